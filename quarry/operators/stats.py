@@ -55,7 +55,7 @@ def n_unique(df: DataFrame, cols=None) -> DataFrame:
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column"), _norm_value(f).alias("value")) for f in fields])).alias("kv")) \
         .select("kv.column", "kv.value").filter(F.col("value").isNotNull())
-    counts = long.groupBy("column", "value").agg().groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+    counts = long.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
     names = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, pos int")
     return (names.join(counts, "column", "left")
             .select("column", F.coalesce("n_unique", F.lit(0)).cast("long").alias("n_unique"), "pos")

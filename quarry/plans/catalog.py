@@ -113,3 +113,342 @@ def q_feature_target_corr(spark, sf_dir):
 
 def flagship(spark, sf_dir):
     return q_feature_target_corr(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------- sources
+@register("typed_scan", "S1 S2 S3 S4", """
+SELECT round(CAST(row_id AS DOUBLE), 6) AS row_id, round(Difference, 6) AS Difference,
+  round(estimated, 6) AS estimated, simulated_damage, wall_thickness, foundation_type_u, roof_shape_o,
+  roof_shape_u, const_col, round(building_area_m2, 6) AS building_area_m2,
+  round(CAST(front_Photos AS DOUBLE), 6) AS front_Photos, CAST(NULL AS DOUBLE) AS notes, is_even
+FROM d1""")
+def q_typed_scan(spark, sf_dir):
+    """D1 written as CSV (S4) and scanned back (S1) with NA spellings
+    and per-column type decisions (S3), as a pandas CSV read would."""
+    from quarry.session import scratch_path
+    from quarry.sources.io import read_table, write_csv
+    path = scratch_path(spark, "d1csv")
+    write_csv(d1(spark, sf_dir), path)
+    return rounded(read_table(spark, path))
+
+
+# --------------------------------------------------------------------------- projections (P)
+@register("drop_null_target", "P1", """
+SELECT row_id, round(Difference, 6) AS Difference FROM d1 WHERE Difference IS NOT NULL""")
+def q_drop_null_target(spark, sf_dir):
+    from quarry.operators.project import drop_null_rows
+    return rounded(drop_null_rows(d1(spark, sf_dir), [C.TARGET_COLUMN]).select("row_id", C.TARGET_COLUMN))
+
+
+@register("filter_report", "P10", """
+SELECT count(*) AS rows_before, count(Difference) AS rows_after, count(*) - count(Difference) AS rows_dropped FROM d1""")
+def q_filter_report(spark, sf_dir):
+    from quarry.operators.project import drop_null_rows, filter_report
+    df = d1(spark, sf_dir)
+    return filter_report(df, drop_null_rows(df, [C.TARGET_COLUMN]))
+
+
+@register("drop_low_variation", "P5 P1", """
+SELECT row_id, round(Difference, 6) AS Difference, round(estimated, 6) AS estimated, simulated_damage,
+  wall_thickness, foundation_type_u, roof_shape_o, roof_shape_u, round(building_area_m2, 6) AS building_area_m2,
+  front_Photos, is_even
+FROM d1 WHERE Difference IS NOT NULL""")
+def q_drop_low_variation(spark, sf_dir):
+    from quarry.operators.project import drop_low_variation, drop_null_rows
+    return rounded(drop_low_variation(drop_null_rows(d1(spark, sf_dir), [C.TARGET_COLUMN])))
+
+
+@register("drop_by_name_rules", "P2 P3 P4", """
+SELECT row_id, round(Difference, 6) AS Difference, round(estimated, 6) AS estimated, simulated_damage,
+  wall_thickness, foundation_type_u, roof_shape_u, const_col, round(building_area_m2, 6) AS building_area_m2,
+  is_even
+FROM d1""")
+def q_drop_by_name_rules(spark, sf_dir):
+    from quarry.operators.project import drop_columns_if_present, drop_columns_matching, drop_superseded_columns
+    df = drop_columns_matching(d1(spark, sf_dir), C.KEYWORDS_TO_DROP)
+    df = drop_columns_if_present(df, C.SPECIFIC_COLUMNS_TO_DROP)
+    return rounded(drop_superseded_columns(df, match="anywhere"))
+
+
+@register("split_align_select", "P6 P7 P8 P9", """
+SELECT row_id, round(value * 2e0 + CAST(user_bucket AS BIGINT), 6) AS label, round(value, 6) AS value,
+  round(hour_of_day, 6) AS hour_of_day, 0e0 AS missing_feature
+FROM (SELECT row_id, value, user_bucket, hour_of_day FROM d3)""")
+def q_split_align_select(spark, sf_dir):
+    """Target split (P6), numeric columns (P7), alignment to a training
+    column list with a missing column filled by 0 (P8), selection (P9)."""
+    from quarry.operators.project import align_columns, columns_by_type, select_features, split_target
+    df = split_target(d3(spark, sf_dir), "label")
+    num = columns_by_type(df, "numeric", exclude=("row_id", "label", "minority", "user_bucket"))
+    df = select_features(df, num)
+    return rounded(align_columns(df, ["value", "hour_of_day", "missing_feature"], keep=("row_id", "label")))
+
+
+# --------------------------------------------------------------------------- statistics (A)
+@register("n_unique", "A1", """
+SELECT * FROM (VALUES (0, 'row_id'), (1, 'Difference'), (2, 'estimated'), (3, 'simulated_damage'),
+  (4, 'wall_thickness'), (5, 'foundation_type_u'), (6, 'roof_shape_o'), (7, 'roof_shape_u'), (8, 'const_col'),
+  (9, 'building_area_m2'), (10, 'front_Photos'), (11, 'notes'), (12, 'is_even')) AS t(pos, column_name)
+JOIN (SELECT unnest([count(DISTINCT row_id), count(DISTINCT Difference), count(DISTINCT estimated),
+  count(DISTINCT simulated_damage), count(DISTINCT wall_thickness), count(DISTINCT foundation_type_u),
+  count(DISTINCT roof_shape_o), count(DISTINCT roof_shape_u), count(DISTINCT const_col),
+  count(DISTINCT building_area_m2), count(DISTINCT front_Photos), count(DISTINCT notes),
+  count(DISTINCT is_even)]) AS n_unique, unnest(range(13)) AS pos FROM d1) USING (pos)
+""".replace("SELECT * FROM", "SELECT column_name AS \"column\", n_unique FROM"))
+def q_n_unique(spark, sf_dir):
+    from quarry.operators.stats import n_unique
+    return n_unique(d1(spark, sf_dir))
+
+
+@register("impute_mean", "A2", """
+, m AS (SELECT avg(Difference) AS md, avg(building_area_m2) AS mb FROM d1)
+SELECT row_id, round(coalesce(Difference, md), 6) AS Difference,
+  round(coalesce(building_area_m2, mb), 6) AS building_area_m2, round(estimated, 6) AS estimated FROM d1, m""")
+def q_impute_mean(spark, sf_dir):
+    from quarry.operators.stats import impute_mean
+    df = d1(spark, sf_dir).select("row_id", C.TARGET_COLUMN, "building_area_m2", "estimated")
+    return rounded(impute_mean(df, [C.TARGET_COLUMN, "building_area_m2", "estimated"]))
+
+
+@register("impute_median", "A3", """
+, m AS (SELECT median(Difference) AS md, median(building_area_m2) AS mb FROM d1)
+SELECT row_id, round(coalesce(Difference, md), 6) AS Difference,
+  round(coalesce(building_area_m2, mb), 6) AS building_area_m2 FROM d1, m""")
+def q_impute_median(spark, sf_dir):
+    from quarry.operators.stats import impute_median
+    df = d1(spark, sf_dir).select("row_id", C.TARGET_COLUMN, "building_area_m2")
+    return rounded(impute_median(df, [C.TARGET_COLUMN, "building_area_m2"]))
+
+
+@register("describe_target", "A4 C12", """
+, s AS (SELECT count(Difference) AS n, avg(Difference) AS mean, median(Difference) AS median,
+          stddev_samp(Difference) AS std, skewness(Difference) AS skew FROM d1)
+SELECT n, round(mean, 6) AS mean, round(median, 6) AS median, round(std, 6) AS std, round(skew, 6) AS skew,
+  CASE WHEN mean > 0.1 THEN 'underestimate' WHEN mean < -0.1 THEN 'overestimate' ELSE 'unbiased' END AS mean_verdict,
+  CASE WHEN skew > 0.5 THEN 'positive' WHEN skew < -0.5 THEN 'negative' ELSE 'none' END AS skew_verdict
+FROM s""")
+def q_describe_target(spark, sf_dir):
+    from quarry.operators.stats import describe_target
+    return rounded(describe_target(d1(spark, sf_dir), C.TARGET_COLUMN))
+
+
+@register("value_counts", "A5", CLEAN_D1_SQL + """
+SELECT foundation_type_u, count(*) AS n FROM c GROUP BY 1""")
+def q_value_counts(spark, sf_dir):
+    from quarry.operators.stats import value_counts
+    return value_counts(clean_d1(spark, sf_dir), "foundation_type_u")
+
+
+SPLIT_D1_SQL = CLEAN_D1_SQL + f"""
+, y AS (SELECT row_id, CAST(trunc(coalesce(Difference, 0e0)) AS INTEGER) AS label FROM c)
+, k AS (SELECT *, row_number() OVER (ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) AS r,
+          count(*) OVER () AS n FROM y)
+, s AS (SELECT row_id, label, CASE WHEN r <= ceil(0.2e0 * n) THEN 'test' ELSE 'train' END AS split FROM k)
+"""
+
+
+@register("class_distribution", "A6 C5 M1", SPLIT_D1_SQL + """
+SELECT 'original' AS split, label, count(*) AS n FROM y GROUP BY 2 UNION ALL
+SELECT 'train_before_balancing', label, count(*) FROM s WHERE split = 'train' GROUP BY 2 UNION ALL
+SELECT 'train_after_balancing', label, count(*) FROM s WHERE split = 'train' GROUP BY 2 UNION ALL
+SELECT 'test', label, count(*) FROM s WHERE split = 'test' GROUP BY 2""")
+def q_class_distribution(spark, sf_dir):
+    from quarry.operators.features import train_test_split
+    from quarry.operators.stats import class_distribution
+    from quarry.plans.clean import prepare_target
+    y = prepare_target(clean_d1(spark, sf_dir)).select("row_id", "label")
+    s = train_test_split(y, "row_id", C.TEST_SIZE, C.SEED_TEXT)
+    train = s.filter("split = 'train'")
+    return class_distribution({"original": y, "train_before_balancing": train,
+                               "train_after_balancing": train, "test": s.filter("split = 'test'")})
+
+
+@register("min_max", "A7", """
+SELECT round(min(label), 6) AS "min", round(max(label), 6) AS "max" FROM d2""")
+def q_min_max(spark, sf_dir):
+    from quarry.operators.stats import min_max
+    return rounded(min_max(d2(spark, sf_dir), "label"))
+
+
+@register("histogram", "A8", """
+, m AS (SELECT min(label) AS mn, max(label) AS mx FROM d2)
+, b AS (SELECT least(10, CAST(floor((label - mn) / (mx - mn) * 10) AS INTEGER) + 1) AS bin FROM d2, m)
+SELECT bin, round(mn + (bin - 1) * ((mx - mn) / 10), 6) AS bin_lo, round(mn + bin * ((mx - mn) / 10), 6) AS bin_hi,
+  count(*) AS n FROM b, m GROUP BY bin, mn, mx""")
+def q_histogram(spark, sf_dir):
+    from quarry.operators.stats import histogram
+    return rounded(histogram(d2(spark, sf_dir), "label", C.HISTOGRAM_BINS))
+
+
+@register("kde", "A9", """
+, g AS (SELECT CAST(v AS DOUBLE) * 5000 AS gx FROM range(0, 21) t(v))
+, h AS (SELECT stddev_samp(label) * power(count(*), -0.2) AS bw, count(*) AS n FROM d2)
+SELECT round(gx, 6) AS gx, round(sum(exp(-0.5 * power((gx - label) / bw, 2))) / (max(n) * max(bw) * sqrt(2 * pi())), 12) AS density
+FROM d2, g, h GROUP BY gx""")
+def q_kde(spark, sf_dir):
+    from quarry.operators.stats import kde
+    return rounded(kde(d2(spark, sf_dir), "label", grid=[5000.0 * i for i in range(21)]),
+                   per_col={"density": 12})
+
+
+@register("box_stats_by_category", "A10", """
+, q AS (SELECT event_type, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+          quantile_cont(value, 0.75) AS q3 FROM d3 GROUP BY 1)
+SELECT q.event_type, q.n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+  round(q3 - q1, 6) AS iqr,
+  round(min(CASE WHEN value >= q1 - 1.5e0 * (q3 - q1) AND value <= q3 + 1.5e0 * (q3 - q1) THEN value END), 6) AS lower_whisker,
+  round(max(CASE WHEN value >= q1 - 1.5e0 * (q3 - q1) AND value <= q3 + 1.5e0 * (q3 - q1) THEN value END), 6) AS upper_whisker,
+  count(CASE WHEN NOT (value >= q1 - 1.5e0 * (q3 - q1) AND value <= q3 + 1.5e0 * (q3 - q1)) THEN 1 END) AS n_outliers
+FROM d3 JOIN q USING (event_type) GROUP BY q.event_type, q.n, q1, median, q3""")
+def q_box_stats(spark, sf_dir):
+    from quarry.operators.stats import box_stats
+    return rounded(box_stats(d3(spark, sf_dir), "value", by=["event_type"]))
+
+
+@register("box_stats_target", "A10 (global)", """
+, q AS (SELECT quantile_cont(Difference, 0.25) AS q1, quantile_cont(Difference, 0.5) AS median,
+          quantile_cont(Difference, 0.75) AS q3 FROM d1)
+SELECT count(Difference) AS n, round(max(q1), 6) AS q1, round(max(median), 6) AS median, round(max(q3), 6) AS q3,
+  round(max(q3 - q1), 6) AS iqr,
+  round(min(CASE WHEN Difference >= q1 - 1.5e0 * (q3 - q1) AND Difference <= q3 + 1.5e0 * (q3 - q1) THEN Difference END), 6) AS lower_whisker,
+  round(max(CASE WHEN Difference >= q1 - 1.5e0 * (q3 - q1) AND Difference <= q3 + 1.5e0 * (q3 - q1) THEN Difference END), 6) AS upper_whisker,
+  count(CASE WHEN NOT (Difference >= q1 - 1.5e0 * (q3 - q1) AND Difference <= q3 + 1.5e0 * (q3 - q1)) THEN 1 END) AS n_outliers
+FROM d1, q""")
+def q_box_stats_target(spark, sf_dir):
+    from quarry.operators.stats import box_stats
+    return rounded(box_stats(d1(spark, sf_dir), C.TARGET_COLUMN))
+
+
+@register("paired_ttest", "A12 C2 C12", """
+, p AS (SELECT try_cast(trim(simulated_damage) AS DOUBLE) - estimated AS d FROM d1)
+, s AS (SELECT count(d) AS n, avg(d) AS mean_diff, avg(d) / (stddev_samp(d) / sqrt(count(d))) AS t FROM p WHERE d IS NOT NULL)
+, g AS (SELECT i * abs(t) / 2000.0 AS x, n - 1.0 AS nu,
+          CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM s, range(0, 2001) r(i))
+, a AS (SELECT sum(w * exp(lgamma((nu + 1) / 2) - lgamma(nu / 2) - 0.5 * ln(nu * pi())
+                      - (nu + 1) / 2 * ln(1 + x * x / nu))) * (max(x) / 2000.0) / 3 AS area FROM g)
+SELECT n, round(mean_diff, 6) AS mean_diff, round(t, 6) AS t_statistic, round(1 - 2 * area, 6) AS p_value,
+  CASE WHEN 1 - 2 * area < 0.05 THEN 'significant' ELSE 'not significant' END AS significance,
+  CASE WHEN 1 - 2 * area >= 0.05 THEN 'none' WHEN t > 0 THEN 'first higher' ELSE 'second higher' END AS direction
+FROM s, a""")
+def q_paired_ttest(spark, sf_dir):
+    from quarry.operators.stats import paired_ttest
+    return rounded(paired_ttest(d1(spark, sf_dir), "simulated_damage", "estimated"))
+
+
+@register("trend_line", "A20", """
+SELECT regr_count(label, value) AS n, round(regr_slope(label, value), 6) AS slope,
+  round(regr_intercept(label, value), 6) AS intercept, round(regr_r2(label, value), 6) AS r2 FROM d3""")
+def q_trend_line(spark, sf_dir):
+    from quarry.operators.stats import trend_line
+    return rounded(trend_line(d3(spark, sf_dir), "value", "label"))
+
+
+@register("trend_band", "A21")
+def q_trend_band(spark, sf_dir):
+    from quarry.operators.stats import trend_band
+    return rounded(trend_band(d3(spark, sf_dir), "value", "label", "row_id", n_boot=200, n_grid=20))
+
+
+# --------------------------------------------------------------------------- scalar functions (C)
+@register("replace_to_numeric", "C1 C2", f"""
+SELECT row_id, round({WALL_SQL}, 6) AS wall_thickness FROM d1""")
+def q_replace_to_numeric(spark, sf_dir):
+    from quarry.functions.columns import replace_values, to_numeric
+    df = replace_values(d1(spark, sf_dir).select("row_id", "wall_thickness"), C.COLUMNS_FOR_VALUE_REPLACEMENT)
+    return rounded(df.select("row_id", to_numeric("wall_thickness").alias("wall_thickness")))
+
+
+@register("blank_fill", "C3 C4", f"""
+SELECT row_id, {BLANK_SQL.format(c='foundation_type_u')} AS foundation_type_u FROM d1""")
+def q_blank_fill(spark, sf_dir):
+    from quarry.functions.columns import blank_to_null, fill_constant
+    return d1(spark, sf_dir).select("row_id", fill_constant(blank_to_null("foundation_type_u"), "un")
+                                    .alias("foundation_type_u"))
+
+
+@register("truncate_map_classes", "C5 C6", """
+, y AS (SELECT row_id, CAST(trunc(coalesce(Difference, 0e0)) AS INTEGER) AS label FROM d1)
+SELECT row_id, label, CAST(CASE label WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 4 THEN 2
+  WHEN 5 THEN 3 END AS DOUBLE) AS label_a FROM y""")
+def q_truncate_map_classes(spark, sf_dir):
+    from quarry.functions.columns import map_classes, truncate_int
+    y = d1(spark, sf_dir).select("row_id", truncate_int(F.coalesce(F.col(C.TARGET_COLUMN), F.lit(0.0))).alias("label"))
+    return y.select("row_id", "label", map_classes("label", C.CLASS_MAPPINGS["A"]).cast("double").alias("label_a"))
+
+
+@register("as_category", "C7", """
+SELECT row_id, coalesce(CAST(building_area_m2 AS VARCHAR), 'nan') AS building_area_m2 FROM d1""")
+def q_as_category(spark, sf_dir):
+    from quarry.functions.columns import as_category
+    return d1(spark, sf_dir).select("row_id", as_category("building_area_m2").alias("building_area_m2"))
+
+
+@register("abs_if_negative", "C8", """
+, m AS (SELECT min(Difference) AS mn FROM d1)
+SELECT row_id, round(CASE WHEN mn < 0 THEN abs(Difference) ELSE Difference END, 6) AS Difference FROM d1, m""")
+def q_abs_if_negative(spark, sf_dir):
+    from quarry.functions.columns import abs_if_negative
+    return rounded(abs_if_negative(d1(spark, sf_dir).select("row_id", C.TARGET_COLUMN), C.TARGET_COLUMN))
+
+
+@register("random_feature", "C9", f"""
+SELECT row_id, round({UNIFORM_SQL.format(k='row_id', s=C.SEED_TEXT)}, 6) AS random_feature FROM d3""")
+def q_random_feature(spark, sf_dir):
+    from quarry.functions.columns import add_random_feature
+    return rounded(add_random_feature(d3(spark, sf_dir).select("row_id"), "row_id", C.SEED_TEXT))
+
+
+@register("combo_key_slug", "C11", """
+, m AS (SELECT DISTINCT event_type FROM d3)
+SELECT event_type || '_Original Features' AS combo_key,
+  replace(replace(replace(event_type || '_Original Features', ' ', '_'), '(', ''), ')', '') AS slug,
+  lower(regexp_replace(event_type || ' vs Original Features', '[^0-9A-Za-z_]+', '_', 'g')) AS safe_name
+FROM m""")
+def q_combo_key_slug(spark, sf_dir):
+    from quarry.functions.columns import combo_key, safe_name, slug
+    m = d3(spark, sf_dir).select("event_type").distinct()
+    k = combo_key("event_type", F.lit("Original Features"))
+    return m.select(k.alias("combo_key"), slug(k).alias("slug"),
+                    safe_name(F.concat(F.col("event_type"), F.lit(" vs Original Features"))).alias("safe_name"))
+
+
+@register("plot_frame", "C13", """
+, a AS (SELECT building_area_m2 AS x, estimated AS y, CAST(foundation_type_u AS VARCHAR) AS hue, Difference AS size
+        FROM d1 WHERE foundation_type_u IS NOT NULL AND Difference IS NOT NULL)
+, m AS (SELECT min(size) AS mn FROM a)
+, b AS (SELECT x, y, hue, CASE WHEN mn < 0 THEN abs(size) ELSE size END AS size FROM a, m
+        WHERE x IS NOT NULL AND y IS NOT NULL)
+, h AS (SELECT count(DISTINCT hue) AS nh FROM b)
+SELECT round(x, 6) AS x, round(y, 6) AS y, hue, round(size, 6) AS size,
+  CASE WHEN nh <= 10 THEN 'tab10' WHEN nh <= 20 THEN 'tab20' ELSE 'hls' END AS palette FROM b, h""")
+def q_plot_frame(spark, sf_dir):
+    from quarry.operators.frames import plot_frame
+    return rounded(plot_frame(d1(spark, sf_dir), "building_area_m2", "estimated", "foundation_type_u",
+                              C.TARGET_COLUMN))
+
+
+# --------------------------------------------------------------------------- top-k (T)
+@register("first_distinct", "T2", """
+SELECT event_type, min(row_id) AS first_pos FROM d3 GROUP BY 1 ORDER BY 2, 1 LIMIT 5""")
+def q_first_distinct(spark, sf_dir):
+    from quarry.operators.rank import first_distinct
+    return first_distinct(d3(spark, sf_dir), "event_type", "row_id", 5)
+
+
+@register("best_row", "T3", """
+SELECT row_id, round(value, 6) AS value FROM d3 ORDER BY value DESC, row_id LIMIT 1""")
+def q_best_row(spark, sf_dir):
+    from quarry.operators.rank import best_row
+    return rounded(best_row(d3(spark, sf_dir).select("row_id", "value"), "value", "row_id"))
+
+
+@register("top_k", "T1", """
+SELECT row_id, round(label, 6) AS label FROM d2r ORDER BY label DESC, row_id LIMIT 15""".replace(
+    "FROM d2r", "FROM (SELECT CAST(l_orderkey AS BIGINT) * 10 + l_linenumber AS row_id, l_extendedprice AS label FROM lineitem)"))
+def q_top_k(spark, sf_dir):
+    from quarry.operators.rank import top_k
+    from quarry.plans.fixtures import table
+    li = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey").cast("long") * 10 + F.col("l_linenumber")).alias("row_id"),
+        F.col("l_extendedprice").alias("label"))
+    return rounded(top_k(li, "label", 15, tiebreak=("row_id",)))
