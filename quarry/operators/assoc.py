@@ -249,8 +249,7 @@ def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -
         g = t.groupBy("pid").agg(
             F.max("nn").alias("n"), F.countDistinct("a").alias("r"), F.countDistinct("b").alias("k"),
             F.sum(F.col("n") * F.col("n") / (F.col("na") * F.col("nb"))).alias("s"),
-            F.min_by(F.abs(F.col("n") * F.col("nn") - F.col("na") * F.col("nb")), F.struct("a", "b")).alias("adbc"),
-            )
+            F.max(F.abs(F.col("n") * F.col("nn") - F.col("na") * F.col("nb"))).alias("adbc"))
         # margins product for the 2x2 Yates form: r1*r2*c1*c2
         ra = t.select("pid", "a", "na").distinct().groupBy("pid").agg(F.expr("aggregate(collect_list(na), 1D, (acc, v) -> acc * v)").alias("pr"))
         cb = t.select("pid", "b", "nb").distinct().groupBy("pid").agg(F.expr("aggregate(collect_list(nb), 1D, (acc, v) -> acc * v)").alias("pc"))
@@ -277,13 +276,12 @@ def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -
             F.struct(F.lit(i).alias("pid"), F.col(a).cast("string").alias("cat"), F.col(b).cast("double").alias("x"))
             for i, (a, b) in enumerate(pm)])).alias("kv")).select("kv.pid", "kv.cat", "kv.x") \
             .filter(F.col("cat").isNotNull() & F.col("x").isNotNull())
-        by_cat = long.groupBy("pid", "cat").agg(F.count(F.lit(1)).alias("nk"), F.avg("x").alias("mk"),
-                                                 F.sum("x").alias("sk"), F.sum(F.col("x") * F.col("x")).alias("qk"))
-        tot = by_cat.groupBy("pid").agg((F.sum("sk") / F.sum("nk")).alias("mu"), F.sum("nk").alias("n"),
-                                        F.sum("qk").alias("q"))
+        by_cat = long.groupBy("pid", "cat").agg(F.count(F.lit(1)).alias("nk"), F.avg("x").alias("mk"))
+        tot = long.groupBy("pid").agg(F.avg("x").alias("mu"), F.count(F.lit(1)).alias("n"),
+                                      F.var_pop("x").alias("vp"))
         j = by_cat.join(tot, "pid")
-        num_ = j.groupBy("pid", "n", "mu", "q").agg(F.sum(F.col("nk") * F.pow(F.col("mk") - F.col("mu"), 2)).alias("num"))
-        den = F.col("q") - F.col("n") * F.col("mu") * F.col("mu")
+        num_ = j.groupBy("pid", "n", "mu", "vp").agg(F.sum(F.col("nk") * F.pow(F.col("mk") - F.col("mu"), 2)).alias("num"))
+        den = F.col("n") * F.col("vp")
         eta = F.when(F.col("num") == 0, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(F.col("num"), den)))
         pt = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pm)], "pid int, feature_a string, feature_b string")
         parts.append(num_.select("pid", eta.alias("assoc")).join(F.broadcast(pt), "pid")

@@ -452,3 +452,245 @@ def q_top_k(spark, sf_dir):
         (F.col("l_orderkey").cast("long") * 10 + F.col("l_linenumber")).alias("row_id"),
         F.col("l_extendedprice").alias("label"))
     return rounded(top_k(li, "label", 15, tiebreak=("row_id",)))
+
+
+# --------------------------------------------------------------------------- features
+RANK_D3_SQL = f"""
+, k AS (SELECT *, row_number() OVER (ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) AS r,
+          count(*) OVER () AS n FROM d3)
+, s AS (SELECT *, CASE WHEN r <= ceil(0.2e0 * n) THEN 'test' ELSE 'train' END AS split FROM k)
+"""
+
+
+def split_d3(spark, sf_dir):
+    from quarry.operators.features import train_test_split
+    return train_test_split(d3(spark, sf_dir), "row_id", C.TEST_SIZE, C.SEED_TEXT)
+
+
+@register("train_test_split", "M1", RANK_D3_SQL + "SELECT row_id, split FROM s")
+def q_train_test_split(spark, sf_dir):
+    return split_d3(spark, sf_dir).select("row_id", "split")
+
+
+@register("kfold", "M10", f"""
+SELECT row_id, CAST((row_number() OVER (ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) - 1) % 5 AS INTEGER) AS fold
+FROM d3""")
+def q_kfold(spark, sf_dir):
+    from quarry.operators.features import kfold
+    return kfold(d3(spark, sf_dir), "row_id", C.N_SPLITS_CV, C.SEED_TEXT).select("row_id", "fold")
+
+
+@register("kfold_stratified", "M10 (stratified)", f"""
+SELECT row_id, minority, CAST((row_number() OVER (PARTITION BY minority
+  ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) - 1) % 5 AS INTEGER) AS fold FROM d3""")
+def q_kfold_stratified(spark, sf_dir):
+    from quarry.operators.features import kfold
+    return kfold(d3(spark, sf_dir), "row_id", C.N_SPLITS_CV, C.SEED_TEXT, stratify_by="minority") \
+        .select("row_id", "minority", "fold")
+
+
+@register("standard_scale", "M2 M1", RANK_D3_SQL + """
+, f AS (SELECT avg(value) AS mv, stddev_pop(value) AS sv, avg(hour_of_day) AS mh, stddev_pop(hour_of_day) AS sh
+        FROM s WHERE split = 'train')
+SELECT row_id, split, round((value - mv) / sv, 6) AS value, round((hour_of_day - mh) / sh, 6) AS hour_of_day FROM s, f""")
+def q_standard_scale(spark, sf_dir):
+    from quarry.operators.features import standard_scale
+    s = split_d3(spark, sf_dir).select("row_id", "split", "value", "hour_of_day")
+    return rounded(standard_scale(s, ["value", "hour_of_day"], fit_on=s.filter("split = 'train'")))
+
+
+EVENT_TYPES_SQL = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("one_hot", "M3 M1", RANK_D3_SQL + """
+SELECT row_id, split, """ + ", ".join(
+    f"CASE WHEN event_type = '{v}' AND '{v}' IN (SELECT event_type FROM s WHERE split = 'train') THEN 1e0 ELSE 0e0 END "
+    f"AS \"cat__event_type_{v}\"" for v in EVENT_TYPES_SQL) + " FROM s")
+def q_one_hot(spark, sf_dir):
+    from quarry.operators.features import one_hot
+    s = split_d3(spark, sf_dir).select("row_id", "split", "event_type")
+    return one_hot(s, ["event_type"], fit_on=s.filter("split = 'train'"))
+
+
+@register("column_transformer", "M4 M2 M3 M1", RANK_D3_SQL + """
+, f AS (SELECT avg(user_bucket) AS m1, stddev_pop(user_bucket) AS s1, avg(hour_of_day) AS m2, stddev_pop(hour_of_day) AS s2,
+          avg(value) AS m3, stddev_pop(value) AS s3, avg(minority) AS m4, stddev_pop(minority) AS s4
+        FROM s WHERE split = 'train')
+SELECT row_id, split, round(label, 6) AS label, round((user_bucket - m1) / s1, 6) AS num__user_bucket,
+  round((hour_of_day - m2) / s2, 6) AS num__hour_of_day, round((value - m3) / s3, 6) AS num__value,
+  round((minority - m4) / s4, 6) AS num__minority, """ + ", ".join(
+    f"CASE WHEN event_type = '{v}' THEN 1e0 ELSE 0e0 END AS \"cat__event_type_{v}\"" for v in EVENT_TYPES_SQL)
+    + " FROM s, f")
+def q_column_transformer(spark, sf_dir):
+    from quarry.operators.features import fit_column_transformer
+    s = split_d3(spark, sf_dir)
+    m = fit_column_transformer(s.filter("split = 'train'"))
+    return rounded(m.transform(s))
+
+
+@register("label_encode", "M5", """
+SELECT row_id, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS BIGINT) AS event_type FROM d3""")
+def q_label_encode(spark, sf_dir):
+    from quarry.operators.features import label_encode
+    return label_encode(d3(spark, sf_dir).select("row_id", "event_type"), ["event_type"])
+
+
+@register("smote", "M8")
+def q_smote(spark, sf_dir):
+    """Minority oversampling on the D3 training rows (class = minority)."""
+    from quarry.operators.features import smote
+    s = split_d3(spark, sf_dir).filter("split = 'train'")
+    out = smote(s, ["value", "hour_of_day", "user_bucket"], label="minority", key="row_id", k=5)
+    return out.groupBy("minority", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------- MI / association
+MI_FEATURES = ["event_type", "user_bucket", "hour_of_day", "value", "minority"]
+_NUMS = ["user_bucket", "hour_of_day", "value", "minority", "label"]
+BIN_D3_SQL = (", rg AS (SELECT " + ", ".join(f"min({c}) AS a_{c}, max({c}) AS b_{c}" for c in _NUMS) + " FROM d3)\n"
+              ", bn AS (SELECT row_id, event_type AS f_event_type, " + ", ".join(
+                  f"CAST(least(10, CAST(floor(({c} - a_{c}) / (b_{c} - a_{c}) * 10) AS INTEGER) + 1) AS VARCHAR) AS f_{c}"
+                  for c in _NUMS) + " FROM d3, rg)\n")
+
+
+def _mi_sql(weighted: bool) -> str:
+    w = "w" if weighted else "1e0"
+    run = "run, " if weighted else ""
+    long = " UNION ALL ".join(f"SELECT {run}'{c}' AS feature, f_{c} AS a, f_label AS b, {w} AS w FROM src" for c in MI_FEATURES)
+    return (f", lg AS ({long})\n"
+            f", cells AS (SELECT {run}feature, a, b, sum(w) AS n FROM lg GROUP BY ALL HAVING sum(w) > 0)\n"
+            f", t AS (SELECT *, sum(n) OVER (PARTITION BY {run}feature, a) AS na, sum(n) OVER (PARTITION BY {run}feature, b) AS nb,"
+            f" sum(n) OVER (PARTITION BY {run}feature) AS nn FROM cells)\n"
+            f", mi AS (SELECT {run}feature, sum(n / nn * ln(n * nn / (na * nb))) AS mi FROM t GROUP BY ALL)\n")
+
+
+@register("mutual_information_binned", "A13 T1", BIN_D3_SQL + ", src AS (SELECT * FROM bn)\n" + _mi_sql(False) + """
+SELECT feature, round(mi, 6) AS mi FROM mi ORDER BY mi DESC, feature LIMIT 15""")
+def q_mi_binned(spark, sf_dir):
+    from quarry.operators.assoc import mutual_information
+    return rounded(mutual_information(d3(spark, sf_dir), "label", MI_FEATURES, method="binned", k=C.N_TOP_MI))
+
+
+def _mi_rep_sql() -> str:
+    from quarry.operators.assoc import _poisson_weight_sql
+    u = UNIFORM_SQL.format(k="concat(CAST(row_id AS VARCHAR), '#', CAST(run AS VARCHAR))", s=C.SEED_TEXT)
+    return (BIN_D3_SQL + f", rp AS (SELECT bn.*, run, {u} AS u FROM bn, range(0, {C.N_MI_RUNS}) r(run))\n"
+            f", src AS (SELECT *, CAST({_poisson_weight_sql('u')} AS DOUBLE) AS w FROM rp)\n" + _mi_sql(True) + """
+SELECT feature, round(quantile_cont(mi, 0.5), 6) AS median_mi, round(quantile_cont(mi, 0.25), 6) AS q1_mi,
+  round(quantile_cont(mi, 0.75), 6) AS q3_mi, round(min(mi), 6) AS min_mi, round(max(mi), 6) AS max_mi, count(*) AS runs
+FROM mi GROUP BY feature ORDER BY median_mi DESC, feature LIMIT 10""")
+
+
+@register("mi_repeated_binned", "A14 T1", _mi_rep_sql())
+def q_mi_repeated(spark, sf_dir):
+    from quarry.operators.assoc import mi_repeated_binned, mi_summary
+    runs = mi_repeated_binned(d3(spark, sf_dir), "label", MI_FEATURES, "row_id", runs=C.N_MI_RUNS)
+    return rounded(mi_summary(runs, C.N_TOP_MI_MEDIAN))
+
+
+@register("mutual_information_knn", "A13 (k-NN) A14 (k-NN)")
+def q_mi_knn(spark, sf_dir):
+    from quarry.operators.assoc import mi_summary, mutual_information_knn
+    df = d3(spark, sf_dir)
+    from quarry.operators.features import label_encode
+    df = label_encode(df, ["event_type"])
+    runs = mutual_information_knn(df, "label", MI_FEATURES, "row_id", runs=3)
+    return rounded(mi_summary(runs, C.N_TOP_MI_MEDIAN))
+
+
+ASSOC_COLS = ["event_type", "hour_band", "minority_s", "user_bucket", "hour_of_day", "value", "label"]
+
+
+def assoc_input(spark, sf_dir):
+    return d3(spark, sf_dir).select(
+        "event_type", F.when(F.col("hour_of_day") < 12, "am").otherwise("pm").alias("hour_band"),
+        F.col("minority").cast("string").alias("minority_s"), "user_bucket", "hour_of_day", "value", "label")
+
+
+def _assoc_sql() -> str:
+    nom = ["event_type", "hour_band", "minority_s"]
+    num = ["user_bucket", "hour_of_day", "value", "label"]
+    x = (", x AS (SELECT event_type, CASE WHEN hour_of_day < 12 THEN 'am' ELSE 'pm' END AS hour_band, "
+         "CAST(minority AS VARCHAR) AS minority_s, user_bucket, hour_of_day, value, label FROM d3)\n")
+    pn = [(a, b) for i, a in enumerate(num) for b in num[i + 1:]]
+    pc = [(a, b) for i, a in enumerate(nom) for b in nom[i + 1:]]
+    pm = [(a, b) for a in nom for b in num]
+    pear = " UNION ALL ".join(f"SELECT '{a}' AS fa, '{b}' AS fb, corr({a}, {b}) AS assoc FROM x" for a, b in pn)
+    cr = " UNION ALL ".join(f"SELECT '{a}' AS fa, '{b}' AS fb, {a} AS a, {b} AS b FROM x" for a, b in pc)
+    mx = " UNION ALL ".join(f"SELECT '{a}' AS fa, '{b}' AS fb, {a} AS cat, {b} AS x FROM x" for a, b in pm)
+    return x + f""", pear AS ({pear})
+, nomp AS ({cr})
+, cells AS (SELECT fa, fb, a, b, CAST(count(*) AS DOUBLE) AS n FROM nomp GROUP BY ALL)
+, t AS (SELECT *, sum(n) OVER (PARTITION BY fa, fb, a) AS na, sum(n) OVER (PARTITION BY fa, fb, b) AS nb,
+          sum(n) OVER (PARTITION BY fa, fb) AS nn FROM cells)
+, g AS (SELECT fa, fb, max(nn) AS n, count(DISTINCT a) AS r, count(DISTINCT b) AS k, sum(n * n / (na * nb)) AS s,
+          max(abs(n * nn - na * nb)) AS adbc FROM t GROUP BY fa, fb)
+, pr AS (SELECT fa, fb, product(na) AS pr FROM (SELECT DISTINCT fa, fb, a, na FROM t) GROUP BY fa, fb)
+, pc AS (SELECT fa, fb, product(nb) AS pc FROM (SELECT DISTINCT fa, fb, b, nb FROM t) GROUP BY fa, fb)
+, chi AS (SELECT g.*, CASE WHEN r = 2 AND k = 2 THEN n * power(greatest(adbc - n / 2, 0), 2) / (pr * pc)
+                      ELSE n * (s - 1) END / n AS phi2 FROM g JOIN pr USING (fa, fb) JOIN pc USING (fa, fb))
+, cv AS (SELECT fa, fb, CASE WHEN least(k - power(k - 1, 2) / (n - 1) - 1, r - power(r - 1, 2) / (n - 1) - 1) <= 0 THEN 0e0
+           ELSE sqrt(greatest(0, phi2 - (k - 1) * (r - 1) / (n - 1))
+                     / least(k - power(k - 1, 2) / (n - 1) - 1, r - power(r - 1, 2) / (n - 1) - 1)) END AS assoc FROM chi)
+, mix AS ({mx})
+, bc AS (SELECT fa, fb, cat, count(*) AS nk, avg(x) AS mk FROM mix GROUP BY ALL)
+, tot AS (SELECT fa, fb, avg(x) AS mu, count(*) AS n, var_pop(x) AS vp FROM mix GROUP BY ALL)
+, eta AS (SELECT fa, fb, CASE WHEN sum(nk * power(mk - mu, 2)) = 0 THEN 0e0
+            ELSE sqrt(sum(nk * power(mk - mu, 2)) / max(n * vp)) END AS assoc
+          FROM bc JOIN tot USING (fa, fb) GROUP BY fa, fb)
+, au AS (SELECT fa, fb, coalesce(CASE WHEN isnan(assoc) THEN NULL ELSE assoc END, 0e0) AS assoc, 'pearson' AS kind FROM pear
+         UNION ALL SELECT fa, fb, assoc, 'cramer' FROM cv UNION ALL SELECT fa, fb, assoc, 'correlation_ratio' FROM eta)
+, am AS (SELECT fa, fb, assoc, kind FROM au UNION ALL SELECT fb, fa, assoc, kind FROM au UNION ALL
+         SELECT c, c, 1e0, 'self' FROM (VALUES {', '.join(f"('{c}')" for c in ASSOC_COLS)}) v(c))
+"""
+
+
+ASSOC_SQL = _assoc_sql()
+
+
+@register("association_matrix", "A15", ASSOC_SQL + """
+SELECT fa AS feature_a, fb AS feature_b, round(assoc, 6) AS assoc, kind FROM am""")
+def q_association_matrix(spark, sf_dir):
+    from quarry.operators.assoc import association_matrix
+    return rounded(association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS))
+
+
+@register("association_distance", "A16", ASSOC_SQL + """
+SELECT fa AS feature_a, fb AS feature_b, round(CASE WHEN fa = fb THEN 0e0 ELSE 1 - abs(assoc) END, 6) AS distance FROM am""")
+def q_association_distance(spark, sf_dir):
+    from quarry.operators.assoc import association_distance, association_matrix
+    return rounded(association_distance(association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS)))
+
+
+CLUSTER_THRESHOLD = 0.5
+
+
+@register("cluster_one_round_representatives", "M9 (one round) A17", ASSOC_SQL + f"""
+, pos AS (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(ASSOC_COLS))}) v(feature, pos))
+, dd AS (SELECT pa.pos AS ca, pb.pos AS cb, 1 - abs(assoc) AS d FROM am JOIN pos pa ON am.fa = pa.feature
+         JOIN pos pb ON am.fb = pb.feature WHERE fa <> fb)
+, nn AS (SELECT ca, cb AS nb, d FROM (SELECT *, row_number() OVER (PARTITION BY ca ORDER BY d, cb) AS r FROM dd) WHERE r = 1)
+, mp AS (SELECT a.ca, a.nb AS cb FROM nn a JOIN nn b ON a.ca = b.nb AND a.nb = b.ca WHERE a.ca < a.nb AND a.d <= {CLUSTER_THRESHOLD})
+, cl AS (SELECT feature, pos, coalesce((SELECT min(mp.ca) FROM mp WHERE mp.cb = pos.pos), pos) AS cluster FROM pos)
+, sc AS (SELECT ca.cluster, am.fa AS feature, sum(abs(assoc)) AS score FROM am JOIN cl ca ON am.fa = ca.feature
+         JOIN cl cb ON am.fb = cb.feature WHERE ca.cluster = cb.cluster GROUP BY ca.cluster, am.fa)
+, rp AS (SELECT feature, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, pos) AS r FROM sc JOIN pos USING (feature))
+SELECT DISTINCT feature FROM rp WHERE r = 1""")
+def q_cluster_one_round(spark, sf_dir):
+    from quarry.operators.assoc import association_matrix, cluster_representatives, cluster_round
+    assoc = association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS)
+    from quarry.operators.assoc import _position_table, association_distance
+    dist = association_distance(assoc).filter(F.col("feature_a") != F.col("feature_b"))
+    clusters = _position_table(spark, ASSOC_COLS).select("feature", F.col("pos").alias("cluster"))
+    pairs = cluster_round(dist, clusters, CLUSTER_THRESHOLD)
+    m = pairs.select(F.col("cb").alias("old"), F.col("ca").alias("new"))
+    clusters = clusters.join(F.broadcast(m), clusters.cluster == m.old, "left") \
+        .select("feature", F.coalesce("new", "cluster").alias("cluster"))
+    return cluster_representatives(assoc, clusters, ASSOC_COLS)
+
+
+@register("feature_clusters", "M9 A17")
+def q_feature_clusters(spark, sf_dir):
+    from quarry.operators.assoc import association_matrix, cluster_features
+    assoc = association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS)
+    return cluster_features(assoc, ASSOC_COLS, CLUSTER_THRESHOLD)
