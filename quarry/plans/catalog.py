@@ -694,3 +694,192 @@ def q_feature_clusters(spark, sf_dir):
     from quarry.operators.assoc import association_matrix, cluster_features
     assoc = association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS)
     return cluster_features(assoc, ASSOC_COLS, CLUSTER_THRESHOLD)
+
+
+# --------------------------------------------------------------------------- models
+TRAIN_STATS_SQL = RANK_D3_SQL + """
+, tr AS (SELECT * FROM s WHERE split = 'train')
+, st AS (SELECT count(*) AS n, avg(value) AS mx, avg(label) AS my, var_pop(value) * count(*) AS sxx,
+           covar_pop(value, label) * count(*) AS sxy, stddev_pop(label) AS sdp, stddev_samp(label) AS sds FROM tr)
+"""
+
+
+def _one_feature_sql(w_expr: str) -> str:
+    return TRAIN_STATS_SQL + f"""
+, co AS (SELECT {w_expr} AS coef, mx, my FROM st)
+, co2 AS (SELECT coef, my - coef * mx AS intercept FROM co)
+, pr AS (SELECT label, intercept + coef * value AS p FROM s, co2 WHERE split = 'test')
+, me AS (SELECT 1 - sum((label - p) * (label - p)) / (var_pop(label) * count(*)) AS r2,
+           avg((label - p) * (label - p)) AS mse, avg(abs(label - p)) AS mae FROM pr)
+SELECT round(coef, 6) AS coef, round(intercept, 6) AS intercept, round(r2, 6) AS r2, round(mse, 6) AS mse,
+  round(mae, 6) AS mae FROM co2, me"""
+
+
+def _fit_one_feature(spark, sf_dir, estimator):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from quarry.operators.models import regression_metrics
+    s = split_d3(spark, sf_dir)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["value"], outputCol="features"), estimator])
+    model = pipe.fit(s.filter("split = 'train'"))
+    lm = model.stages[-1]
+    pred = model.transform(s.filter("split = 'test'"))
+    m = regression_metrics(pred)
+    return rounded(m.select(F.lit(float(lm.coefficients[0])).alias("coef"), F.lit(float(lm.intercept)).alias("intercept"),
+                            "r2", "mse", "mae"))
+
+
+@register("linear_regression", "M14 M13 A18", _one_feature_sql("sxy / sxx"))
+def q_linear_regression(spark, sf_dir):
+    from pyspark.ml.regression import LinearRegression
+    return _fit_one_feature(spark, sf_dir, LinearRegression(regParam=0.0, solver="normal", standardization=False))
+
+
+@register("ridge_regression", "M15 M13 A18", _one_feature_sql("sxy / (sxx + 10.0)"))
+def q_ridge(spark, sf_dir):
+    from quarry.operators.models import Penalized
+    return _fit_one_feature(spark, sf_dir, Penalized(kind="ridge", alpha=10.0))
+
+
+@register("lasso_regression", "M16 M13 A18",
+          _one_feature_sql("sign(sxy) * greatest(abs(sxy / n) - 10.0, 0) / (sxx / n)"))
+def q_lasso(spark, sf_dir):
+    from quarry.operators.models import Penalized
+    return _fit_one_feature(spark, sf_dir, Penalized(kind="lasso", alpha=10.0))
+
+
+# ElasticNet is fitted by an iterative solver (OWL-QN, tolerance-bound), the oracle is a
+# closed form: both sides are compared at 4 decimals.
+@register("elasticnet_regression", "M17 M13 A18",
+          _one_feature_sql("sign(sxy) * greatest(abs(sxy / n) - 1.0 * 0.5, 0) / (sxx / n + 1.0 * 0.5)")
+          .replace(", 6) AS", ", 4) AS"))
+def q_elasticnet(spark, sf_dir):
+    from quarry.operators.models import Penalized
+    return rounded(_fit_one_feature(spark, sf_dir, Penalized(kind="elastic", alpha=1.0, l1_ratio=0.5)), 4)
+
+
+def d3_matrix(spark, sf_dir):
+    """D3 → split → column transformer fitted on train → folds on train."""
+    from quarry.operators.features import fit_column_transformer, kfold
+    s = split_d3(spark, sf_dir)
+    m = fit_column_transformer(s.filter("split = 'train'").drop("minority"))
+    x = m.transform(s)
+    train = kfold(x.filter("split = 'train'"), "row_id", C.N_SPLITS_CV, C.SEED_TEXT)
+    return train, x.filter("split = 'test'"), m.output_names, m
+
+
+def _bench(spark, sf_dir, models):
+    from quarry.operators.models import benchmark
+    train, test, feats, _ = d3_matrix(spark, sf_dir)
+    res, _ = benchmark(train, test, feats, models=models, parallelism=8)
+    return rounded(res)
+
+
+@register("benchmark_linear", "M12 M11 M14 M15 M16 M17 M10 C14")
+def q_bench_linear(spark, sf_dir):
+    return _bench(spark, sf_dir, ["Linear Regression", "Ridge", "Lasso", "ElasticNet"])
+
+
+def _single_fits(spark, sf_dir, points):
+    from quarry.operators.models import _grid_str, fit_and_score
+    train, test, feats, _ = d3_matrix(spark, sf_dir)
+    rows = []
+    for name, params in points:
+        _, m, note = fit_and_score(name, params, train, test, feats)
+        rows.append((name, _grid_str(params) + note, m["r2"], m["mse"], m["mae"]))
+    return rounded(spark.createDataFrame(rows, "model string, params string, r2 double, mse double, mae double"))
+
+
+@register("svr_fits", "M18 M13 A18")
+def q_svr_fits(spark, sf_dir):
+    """SVR re-aimed (huber; rbf via random Fourier features), both kernels at C=1."""
+    return _single_fits(spark, sf_dir, [("SVR", {"kernel": "linear", "C": 1}), ("SVR", {"kernel": "rbf", "C": 1})])
+
+
+@register("benchmark_trees", "M12 M11 M19 M20")
+def q_bench_trees(spark, sf_dir):
+    return _bench(spark, sf_dir, ["Decision Tree", "Random Forest"])
+
+
+@register("boosting_fits", "M21 M22 M23 M24 M13 A18")
+def q_boosting_fits(spark, sf_dir):
+    """One fit per boosting family at its first grid point (100 rounds each)."""
+    return _single_fits(spark, sf_dir, [
+        ("Gradient Boosting", {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 3}),
+        ("Hist Gradient Boosting", {"learning_rate": 0.05, "max_leaf_nodes": 20}),
+        ("XGBoost", {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 3}),
+        ("LightGBM", {"n_estimators": 100, "learning_rate": 0.05, "num_leaves": 15})])
+
+
+# --------------------------------------------------------------------------- explanation
+@register("linear_shap", "M26 A19", RANK_D3_SQL + """
+, tr AS (SELECT * FROM s WHERE split = 'train')
+, st AS (SELECT avg(value) AS m1, avg(hour_of_day) AS m2, var_pop(value) AS s11, var_pop(hour_of_day) AS s22,
+           covar_pop(value, hour_of_day) AS s12, covar_pop(value, label) AS s1y, covar_pop(hour_of_day, label) AS s2y FROM tr)
+, co AS (SELECT m1, m2, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+           (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM st)
+, sh AS (SELECT 'value' AS feature, b1 * (value - m1) AS shap FROM s, co WHERE split = 'test' UNION ALL
+         SELECT 'hour_of_day', b2 * (hour_of_day - m2) FROM s, co WHERE split = 'test')
+SELECT feature, round(avg(abs(shap)), 6) AS mean_abs_shap FROM sh GROUP BY feature""")
+def q_linear_shap(spark, sf_dir):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from quarry.operators.explain import linear_shap, mean_abs_shap
+    s = split_d3(spark, sf_dir)
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    feats = ["value", "hour_of_day"]
+    lm = LinearRegression(regParam=0.0, solver="normal", standardization=False).fit(
+        VectorAssembler(inputCols=feats, outputCol="features").transform(train))
+    coefs = dict(zip(feats, [float(c) for c in lm.coefficients]))
+    return rounded(mean_abs_shap(linear_shap(coefs, test, background=train), C.N_TOP_SHAP))
+
+
+@register("tree_shap", "M25 A19 C10 M28")
+def q_tree_shap(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+    from quarry.operators.explain import shap_summary, tree_shap
+    train, test, feats, m = d3_matrix(spark, sf_dir)
+    model = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
+                             RandomForestRegressor(numTrees=20, maxDepth=5, seed=C.RANDOM_STATE,
+                                                   featureSubsetStrategy="all")]).fit(train)
+    shap, _ = tree_shap(model, test, feats)
+    return rounded(shap_summary(shap, m.categorical_columns, C.N_TOP_SHAP))
+
+
+@register("feature_relationship", "M27 A20 A10", CLEAN_D1_SQL + """
+, q AS (SELECT foundation_type_u, count(*) AS n, quantile_cont(Difference, 0.25) AS q1,
+          quantile_cont(Difference, 0.5) AS median, quantile_cont(Difference, 0.75) AS q3 FROM c GROUP BY 1)
+SELECT 'building_area_m2' AS feature, 'numeric' AS kind, CAST(NULL AS VARCHAR) AS category, regr_count(Difference, building_area_m2) AS n,
+  round(regr_slope(Difference, building_area_m2), 6) AS slope, round(regr_intercept(Difference, building_area_m2), 6) AS intercept,
+  round(regr_r2(Difference, building_area_m2), 6) AS r2, CAST(NULL AS DOUBLE) AS q1, CAST(NULL AS DOUBLE) AS median,
+  CAST(NULL AS DOUBLE) AS q3, CAST(NULL AS DOUBLE) AS lower_whisker, CAST(NULL AS DOUBLE) AS upper_whisker FROM c
+UNION ALL
+SELECT 'foundation_type_u', 'categorical', q.foundation_type_u, q.n, NULL, NULL, NULL, round(q1, 6), round(median, 6),
+  round(q3, 6),
+  round(min(CASE WHEN Difference >= q1 - 1.5e0 * (q3 - q1) AND Difference <= q3 + 1.5e0 * (q3 - q1) THEN Difference END), 6),
+  round(max(CASE WHEN Difference >= q1 - 1.5e0 * (q3 - q1) AND Difference <= q3 + 1.5e0 * (q3 - q1) THEN Difference END), 6)
+FROM c JOIN q USING (foundation_type_u) GROUP BY q.foundation_type_u, q.n, q1, median, q3""")
+def q_feature_relationship(spark, sf_dir):
+    from quarry.operators.frames import feature_relationship
+    return rounded(feature_relationship(clean_d1(spark, sf_dir), C.TARGET_COLUMN,
+                                        ["building_area_m2", "foundation_type_u", "not_a_column"]))
+
+
+@register("actual_vs_predicted", "A22 M13 M14", TRAIN_STATS_SQL + """
+, co AS (SELECT sxy / sxx AS coef, my - sxy / sxx * mx AS intercept FROM st)
+SELECT 'Linear Regression_Original Features' AS combo_key, round(label, 6) AS actual,
+  round(intercept + coef * value, 6) AS predicted, round(label - (intercept + coef * value), 6) AS residual
+FROM s, co WHERE split = 'test'""")
+def q_actual_vs_predicted(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from quarry.operators.stats import actual_vs_predicted
+    s = split_d3(spark, sf_dir)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["value"], outputCol="features"),
+                             LinearRegression(regParam=0.0, solver="normal", standardization=False)]) \
+        .fit(s.filter("split = 'train'"))
+    pred = model.transform(s.filter("split = 'test'"))
+    return rounded(actual_vs_predicted({"Linear Regression_Original Features": pred}))
