@@ -883,3 +883,51 @@ def q_actual_vs_predicted(spark, sf_dir):
         .fit(s.filter("split = 'train'"))
     pred = model.transform(s.filter("split = 'test'"))
     return rounded(actual_vs_predicted({"Linear Regression_Original Features": pred}))
+
+
+# --------------------------------------------------------------------------- selection (M6, M7) and pipeline
+def d1_matrix(spark, sf_dir):
+    """Cleaned D1 → target/leakage filter → split → column transformer (no elimination)."""
+    from dataclasses import replace
+    from quarry.config import PipelineConfig
+    from quarry.plans.pipeline import preprocess
+    x, feats, ct = preprocess(clean_d1(spark, sf_dir), replace(PipelineConfig(), perform_rfe=False))
+    return x, feats, ct
+
+
+@register("rfe", "M6")
+def q_rfe(spark, sf_dir):
+    """RFE with a forest classifier on the truncated target of D1's matrix.
+    The fixture has fewer than 36 features, so 8 are kept (step 10%)."""
+    from quarry.operators.selection import rfe
+    x, feats, _ = d1_matrix(spark, sf_dir)
+    return rfe(x.filter("split = 'train'"), feats, "label", n_select=8, step=C.RFE_STEP, num_trees=50, max_depth=8)
+
+
+@register("rfecv", "M7 M10")
+def q_rfecv(spark, sf_dir):
+    """RFECV curve (min 10 features, 5 folds, step 1) on D1's matrix."""
+    from quarry.operators.features import kfold
+    from quarry.operators.selection import rfecv
+    x, feats, _ = d1_matrix(spark, sf_dir)
+    train = kfold(x.filter("split = 'train'"), "row_id", C.RFECV_FOLDS, C.SEED_TEXT).cache()
+    curve, best, _ = rfecv(train, feats, "label", num_trees=50, max_depth=8)
+    return rounded(curve.withColumn("best", F.col("n_features") == F.lit(best)))
+
+
+@register("run_pipeline", "M30 M31 M12 M25/M26 M27 A19 C10 T2 T3 S4 S5 S7")
+def q_run_pipeline(spark, sf_dir):
+    """The whole pipeline on D1 with the linear and tree families."""
+    from quarry.plans.pipeline import run_pipeline
+    res = run_pipeline(spark, d1(spark, sf_dir), models=["Linear Regression", "Ridge", "Decision Tree"])
+    return rounded(res["results"])
+
+
+@register("model_sweep_kfold", "M29")
+def q_model_sweep(spark, sf_dir):
+    """RMSE sweep with folds stratified by the integer target (D1 matrix)."""
+    from quarry.plans.pipeline import model_sweep_kfold
+    x, feats, _ = d1_matrix(spark, sf_dir)
+    res, _ = model_sweep_kfold(x.filter("split = 'train'"), x.filter("split = 'test'"), feats,
+                               models=["Linear Regression", "Lasso"])
+    return rounded(res)
