@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import config as C
+from quarry.operators.linear import LINEAR_FAMILIES, linear_grid_search
 
 log = logging.getLogger("quarry.models")
 
@@ -184,6 +185,8 @@ def benchmark(train: DataFrame, test: DataFrame, features, models=C.MODEL_NAMES,
               metric: str = "mse", store=None, assoc: DataFrame | None = None, parallelism: int = 4):
     """Thresholds × models sweep → result table.
 
+    The linear families share one sufficient-statistics pass
+    (``quarry.operators.linear``); the others run ``CrossValidator``.
     ``train`` must carry the fold column. Each threshold picks a feature
     set with M9+A17 on the training association table; a failing model
     is logged and skipped. Returns (results DataFrame, {combo_key: model}).
@@ -201,10 +204,16 @@ def benchmark(train: DataFrame, test: DataFrame, features, models=C.MODEL_NAMES,
             a = assoc if assoc is not None else association_matrix(train.select(*features), list(features))
             feats = select_by_clustering(a, features, t)
         test_fs = align_columns(test, feats, keep=("row_id", label))
+        lin = [m for m in models if m in LINEAR_FAMILIES]
+        lin_fits = linear_grid_search(train, feats, lin, label, fold_col) if lin and metric in ("mse", "rmse") else {}
         for name in models:
             try:
-                model, params, _, note = grid_search(name, train, feats, label, fold_col, metric=metric,
-                                                     parallelism=parallelism)
+                if name in lin_fits:
+                    model, params, _ = lin_fits[name]
+                    note = ""
+                else:
+                    model, params, _, note = grid_search(name, train, feats, label, fold_col, metric=metric,
+                                                         parallelism=parallelism)
                 pred = model.transform(test_fs)
                 m = regression_metrics(pred, label).first()
                 key = f"{name}_{label_fs}"

@@ -140,6 +140,21 @@ def class_distribution(splits: dict, label: str = "label") -> DataFrame:
     return u.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n")).orderBy("split", "label")
 
 
+def class_distribution_from_split(df: DataFrame, label: str = "label", split_col: str = "split",
+                                  balanced: DataFrame | None = None) -> DataFrame:
+    """A6 in one pass over a split table: every row counts for 'original'
+    and for its own split; training rows also for 'train_after_balancing'
+    unless a balanced training frame is given."""
+    names = F.when(F.col(split_col) == "train",
+                   F.array(F.lit("original"), F.lit("train_before_balancing"),
+                           *([] if balanced is not None else [F.lit("train_after_balancing")])))
+    names = names.otherwise(F.array(F.lit("original"), F.col(split_col)))
+    u = df.select(F.explode(names).alias("split"), F.col(label).alias("label"))
+    if balanced is not None:
+        u = u.unionByName(balanced.select(F.lit("train_after_balancing").alias("split"), F.col(label).alias("label")))
+    return u.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n")).orderBy("split", "label")
+
+
 def min_max(df: DataFrame, col: str) -> DataFrame:
     """Column range."""
     return df.agg(F.min(col).alias("min"), F.max(col).alias("max"))
@@ -344,7 +359,8 @@ def trend_band(df: DataFrame, x: str, y: str, key: str = "row_id", n_boot: int =
     rep = df.select(F.col(key).alias("_k"), xx.alias("_x"), yy.alias("_y")).filter(
         F.col("_x").isNotNull() & F.col("_y").isNotNull()) \
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-    u = uniform_from_key(F.concat(F.col("_k").cast("string"), F.lit("#"), F.col("b").cast("string")), seed)
+    # 32 bits of a JVM-native hash of (key, replicate, seed): no string building per row × replicate
+    u = F.xxhash64(F.col("_k"), F.col("b"), F.lit(seed)).bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") / F.lit(4294967296.0)
     w = _poisson1_weight(u).cast("double")
     sums = rep.withColumn("w", w).groupBy("b").agg(
         F.sum("w").alias("sw"), F.sum(F.col("w") * F.col("_x")).alias("sx"),

@@ -254,13 +254,11 @@ SELECT 'train_after_balancing', label, count(*) FROM s WHERE split = 'train' GRO
 SELECT 'test', label, count(*) FROM s WHERE split = 'test' GROUP BY 2""")
 def q_class_distribution(spark, sf_dir):
     from quarry.operators.features import train_test_split
-    from quarry.operators.stats import class_distribution
+    from quarry.operators.stats import class_distribution_from_split
     from quarry.plans.clean import prepare_target
     y = prepare_target(clean_d1(spark, sf_dir)).select("row_id", "label")
     s = train_test_split(y, "row_id", C.TEST_SIZE, C.SEED_TEXT)
-    train = s.filter("split = 'train'")
-    return class_distribution({"original": y, "train_before_balancing": train,
-                               "train_after_balancing": train, "test": s.filter("split = 'test'")})
+    return class_distribution_from_split(s)
 
 
 @register("min_max", "A7", """

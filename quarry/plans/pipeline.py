@@ -93,7 +93,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = Pipe
         best = best_row(results.withColumn("_pos", F.monotonically_increasing_id()), "Test R2 Score", "_pos").first()
         key = f"{best['Model']}_{best['Feature Set Name']}"
         model, mfeats = fitted[key]
-        last = model.stages[-1]
+        last = model.stages[-1] if hasattr(model, "stages") else model
         if hasattr(last, "coefficients"):
             coefs = dict(zip(mfeats, [float(c) for c in last.coefficients]))
             shap = linear_shap(coefs, test, background=train)

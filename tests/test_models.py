@@ -117,3 +117,24 @@ def test_linear_shap_sums_to_centered_prediction(spark, data):
     got = {r[0]: r[1] for r in rows}
     for rid in (0, 10, 200):
         assert got[rid] == pytest.approx(float(np.dot([2.0, -1.0, 0.5], X[rid] - mean)))
+
+
+def test_linear_grid_from_statistics_matches_direct_solutions(spark, data):
+    from pyspark.sql import functions as F
+    from quarry.operators.linear import gram_stats, linear_grid_search, solve, sse
+    X, y, df = data
+    folds = df.withColumn("fold", (F.col("row_id") % 5).cast("int"))
+    st = gram_stats(folds, ["a", "b", "c"], "label", "fold")
+    assert sum(s.n for s in st.values()) == 400
+    total = st[0] + st[1] + st[2] + st[3] + st[4]
+    w, b = solve("Ridge", {"alpha": 10.0}, total)
+    Xc, yc = X - X.mean(0), y - y.mean()
+    assert np.allclose(w, np.linalg.solve(Xc.T @ Xc + 10.0 * np.eye(3), Xc.T @ yc))
+    w, b = solve("ElasticNet", {"alpha": 1.0, "l1_ratio": 0.1}, total)
+    assert np.allclose(w, _enet_cd(X, y, 1.0, 0.1), atol=1e-8)
+    assert sse(total, w, b) == pytest.approx(float(((y - b - X @ w) ** 2).sum()))
+    res = linear_grid_search(folds, ["a", "b", "c"], stats=st)
+    model, params, table = res["Ridge"]
+    assert params == {"alpha": 0.1} or len(table) == 3
+    pred = model.transform(df).select("prediction").first()[0]
+    assert pred == pytest.approx(model.intercept + float(np.dot(model.coefficients, X[0])))
