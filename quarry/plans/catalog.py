@@ -926,3 +926,22 @@ def q_model_sweep(spark, sf_dir):
     res, _ = model_sweep_kfold(x.filter("split = 'train'"), x.filter("split = 'test'"), feats,
                                models=["Linear Regression", "Lasso"])
     return rounded(res)
+
+
+@register("original_feature", "C10 M4", CLEAN_D1_SQL + """
+, n AS (SELECT 'num__wall_thickness' AS name UNION ALL SELECT 'num__building_area_m2' UNION ALL
+        SELECT 'num__random_feature' UNION ALL SELECT 'remainder__is_even' UNION ALL
+        SELECT DISTINCT 'cat__foundation_type_u_' || foundation_type_u FROM c UNION ALL
+        SELECT DISTINCT 'cat__roof_shape_u_' || roof_shape_u FROM c)
+, k AS (SELECT 'foundation_type_u' AS col UNION ALL SELECT 'roof_shape_u')
+, lk AS (SELECT name, col, row_number() OVER (PARTITION BY name ORDER BY length(col) DESC) AS r
+        FROM n LEFT JOIN k ON starts_with(substr(name, 6), col || '_') AND starts_with(name, 'cat__'))
+SELECT name, coalesce(col, substr(name, instr(name, '__') + 2)) AS original_feature FROM lk WHERE r = 1""")
+def q_original_feature(spark, sf_dir):
+    """Generated matrix names of cleaned D1 rolled up to their source columns."""
+    from quarry.functions.columns import original_feature
+    from quarry.operators.features import fit_column_transformer
+    from quarry.plans.clean import prepare_target
+    ct = fit_column_transformer(prepare_target(clean_d1(spark, sf_dir)), exclude=("row_id", "label"))
+    cats = spark.createDataFrame([(c,) for c in ct.categorical_columns], "column string")
+    return original_feature(ct.name_table(spark).select("name"), cats)
