@@ -9,6 +9,7 @@ distance tables are long ``(feature_a, feature_b, ...)`` DataFrames.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -23,6 +24,9 @@ from quarry.operators.stats import pearson, stack_row
 from quarry.session import cut_lineage
 
 
+PAIRWISE_AGG_LIMIT = 300  # numeric pairs computed as individual aggregate expressions
+
+
 def _kind(df: DataFrame, c: str) -> str:
     dt = df.schema[c].dataType
     if isinstance(dt, (T.StringType, T.BooleanType)):
@@ -229,6 +233,20 @@ def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -
     nom = [c for c in cols if kinds[c] == "nominal"]
     parts = []
     pn = [(a, b) for i, a in enumerate(num) for b in num[i + 1:]]
+    if len(pn) > PAIRWISE_AGG_LIMIT:
+        # wide: one Gram-statistics pass (d² numbers shuffled) instead of one aggregate
+        # expression per pair; rows with a null in any numeric column are left out
+        from quarry.operators.linear import gram_stats
+        st = gram_stats(df.select(*num, F.lit(0.0).alias("_y")).dropna(), num, "_y")[0]
+        mx = st.sx / st.n
+        cov = st.sxx / st.n - np.outer(mx, mx)
+        sd = np.sqrt(np.clip(np.diag(cov), 0, None))
+        rows = []
+        for i, j in itertools.combinations(range(len(num)), 2):
+            den = sd[i] * sd[j]
+            rows.append((num[i], num[j], float(cov[i, j] / den) if den > 0 else None, "pearson"))
+        parts.append(spark.createDataFrame(rows, "feature_a string, feature_b string, assoc double, kind string"))
+        pn = []
     if pn:
         one = df.agg(*[pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
                        for i, (a, b) in enumerate(pn)])

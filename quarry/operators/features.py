@@ -123,7 +123,7 @@ class OneHotModel:
 
     def exprs(self, prefix: str = "cat__") -> list[Column]:
         return [(F.col(c).cast("string") == F.lit(v)).cast("double").alias(f"{prefix}{c}_{v}")
-                if True else None for c, vs in self.categories.items() for v in vs]
+                for c, vs in self.categories.items() for v in vs]
 
 
 def fit_one_hot(df: DataFrame, cols) -> OneHotModel:
@@ -277,10 +277,14 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
     nbrs = cand.withColumn("j", F.row_number().over(w) - 1).filter(F.col("j") < k)
     # synthetic rows: for class c, need n_major - n_c rows; row s picks base rank and neighbour
     ranked = hash_rank(base.join(F.broadcast(bt.select(label)), label), key, seed + "#smote", partition_by=[label])
-    need = spark.createDataFrame([(c, n_major - counts[c], counts[c]) for c in minority],
-                                 f"{label} {df.schema[label].dataType.simpleString()}, _need long, _nc long")
-    syn_ids = need.select(label, "_nc", F.explode(F.sequence(F.lit(0), F.col("_need") - 1)).alias("s"))
-    pick = syn_ids.select(label, "s", (F.pmod(F.xxhash64("s", F.lit(seed), F.col(label)), F.col("_nc")) + 1).alias("_rank"),
+    # synthetic ids come from a partitioned range per class (never one task exploding all of them)
+    syn_ids = None
+    for ci, c in enumerate(minority):
+        part = spark.range(n_major - counts[c]).select(F.lit(c).cast(df.schema[label].dataType).alias(label),
+                                                       F.lit(counts[c]).alias("_nc"), F.col("id").alias("s"),
+                                                       F.lit(ci).alias("_ci"))
+        syn_ids = part if syn_ids is None else syn_ids.unionByName(part)
+    pick = syn_ids.select(label, "s", "_ci", (F.pmod(F.xxhash64("s", F.lit(seed), F.col(label)), F.col("_nc")) + 1).alias("_rank"),
                           F.pmod(F.xxhash64("s", F.lit(seed + "nb"), F.col(label)), F.lit(k)).cast("int").alias("j"),
                           F.conv(F.substring(F.md5(F.concat_ws("#", F.col("s").cast("string"), F.col(label).cast("string"),
                                                             F.lit(seed))), 1, 8), 16, 10).cast("double") / 4294967296.0)
@@ -293,7 +297,7 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
     chosen = chosen.join(nbrs.select(F.col(key).alias("_base"), "j", F.col("nb").alias("_nbk")), ["_base", "j"])
     nbv = base.select(F.col(key).alias("_nbk"), *[F.col(f).alias(f"_n_{f}") for f in feats])
     syn = chosen.join(nbv, "_nbk").select(
-        (-(F.col("s") + 1)).cast(df.schema[key].dataType).alias(key), label,
+        (-(F.col("s") * F.lit(len(minority)) + F.col("_ci") + 1)).cast(df.schema[key].dataType).alias(key), label,
         *[(F.col(f"_x_{f}") + F.col("u") * (F.col(f"_n_{f}") - F.col(f"_x_{f}"))).alias(f) for f in feats],
         F.lit(True).alias("synthetic"))
     return base.withColumn("synthetic", F.lit(False)).unionByName(syn)

@@ -77,9 +77,16 @@ def low_variation_columns(df: DataFrame, threshold: int = 1, cols=None) -> list[
         r = df.agg(*aggs).first()
         return [c for i, c in enumerate(cols)
                 if r[f"a{i}"] is None or r[f"a{i}"] == r[f"b{i}"]]
+    # HLL sketches first (one pass, relative error ~5%): only columns whose estimate is
+    # near or under the threshold are counted exactly
+    r = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"h{i}") for i, c in enumerate(cols)]).first()
+    margin = lambda t: 1.25 * t + 10  # noqa: E731 - generous versus the sketch's error
+    near = [c for i, c in enumerate(cols) if r[f"h{i}"] <= margin(threshold)]
+    if not near:
+        return []
     from quarry.operators.stats import n_unique
-    counts = {row["column"]: row["n_unique"] for row in n_unique(df, cols).collect()}
-    return [c for c in cols if counts[c] <= threshold]
+    counts = {row["column"]: row["n_unique"] for row in n_unique(df, near).collect()}
+    return [c for c in cols if c in counts and counts[c] <= threshold]
 
 
 def drop_low_variation(df: DataFrame, threshold: int = 1, cols=None) -> DataFrame:

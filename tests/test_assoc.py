@@ -108,3 +108,17 @@ def test_clustering_matches_sequential_average_linkage(spark, seed):
     assert sorted(sorted(v) for v in groups.values()) == _upgma(D, t)
     reps = [r["feature"] for r in cluster_representatives(assoc, cluster_features(assoc, names, t), names).collect()]
     assert len(reps) == len(groups) and reps == sorted(reps)
+
+
+def test_wide_pearson_path_matches_pairwise(spark, monkeypatch):
+    import quarry.operators.assoc as A
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(200, 4))
+    X[:, 1] += X[:, 0]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in X], "a double, b double, c double, d double")
+    narrow = {(r["feature_a"], r["feature_b"]): r["assoc"] for r in A.association_matrix(df).collect()}
+    monkeypatch.setattr(A, "PAIRWISE_AGG_LIMIT", 1)
+    wide = {(r["feature_a"], r["feature_b"]): r["assoc"] for r in A.association_matrix(df).collect()}
+    assert narrow.keys() == wide.keys()
+    for k in narrow:
+        assert wide[k] == pytest.approx(narrow[k], abs=1e-9)
