@@ -190,17 +190,17 @@ def _poisson_weight_sql(u: str, kmax: int = 12) -> str:
 def mi_repeated_binned(df: DataFrame, target: str, features=None, key: str = "row_id", runs: int = C.N_MI_RUNS,
                        bins: int = 10, seed: str = C.SEED_TEXT) -> DataFrame:
     """A14 (binned variant): MI per (run, feature) on Poisson-bootstrap
-    replicates (weights from md5 of key and run). Rows are expanded by
-    ``runs`` and partially aggregated map-side per cell."""
+    replicates (weight from md5 bits of the key mixed with the run number).
+    Rows are expanded by ``runs`` and partially aggregated map-side per cell."""
     features = [c for c in (features or df.columns) if c not in (target, key)]
     be = bin_expr(df, features + [target], bins)
-    rep = df.select(F.col(key).alias("_k"), be[target].alias("b"),
+    from quarry.functions.columns import key_bits, stream_uniform
+    # md5 once per row; each run's uniform is an integer mix of (row bits, run)
+    rep = df.select(key_bits(key, seed).alias("_kb"), be[target].alias("b"),
                     *[be[c].alias(f"_f{i}") for i, c in enumerate(features)]) \
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
-    u = F.conv(F.substring(F.md5(F.concat(F.col("_k").cast("string"), F.lit("#"), F.col("run").cast("string"),
-                                          F.lit(seed))), 1, 8), 16, 10).cast("double") / 4294967296.0
-    rep = rep.withColumn("_u", u).withColumn("w", F.expr(_poisson_weight_sql("_u")).cast("double")) \
-        .filter(F.col("w") > 0)
+    rep = rep.withColumn("_u", stream_uniform("_kb", "run")) \
+        .withColumn("w", F.expr(_poisson_weight_sql("_u")).cast("double")).filter(F.col("w") > 0)
     long = rep.select("run", "b", "w", F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"_f{i}").alias("a")) for i, c in enumerate(features)])).alias("kv")) \
         .select("run", "kv.feature", "kv.a", "b", "w").filter(F.col("a").isNotNull() & F.col("b").isNotNull())

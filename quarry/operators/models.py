@@ -92,6 +92,12 @@ def rff_transformer(n_features: int, gamma: float, n_components: int = 64, seed:
     return SQLTransformer(statement="SELECT *, " + ", ".join(exprs) + " FROM __THIS__")
 
 
+# Each tree level is one pass over the training rows; a larger statistics budget lets
+# Spark split more nodes (of all trees of a forest) per pass, and cached node ids avoid
+# re-walking the trees for every row.
+TREE_PASS_OPTS = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
+
+
 def _grid_str(params: dict) -> str:
     return "{" + ", ".join(f"'{k}': {v!r}" for k, v in params.items()) + "}"
 
@@ -127,21 +133,22 @@ def model_spec(name: str, features, train: DataFrame | None = None, label: str =
                      est.regParam: 1.0 / (p["C"] * max(n, 1))}) for p in points]
         return Pipeline(stages=[rff, va, est]), maps, note
     elif name == "Decision Tree":
-        est = DecisionTreeRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=64)
+        est = DecisionTreeRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=64, **TREE_PASS_OPTS)
         maps = [(p, {est.maxDepth: p["max_depth"], est.minInstancesPerNode: p["min_samples_leaf"]}) for p in points]
     elif name == "Random Forest":
-        est = RandomForestRegressor(seed=C.RANDOM_STATE, featureSubsetStrategy="all", labelCol=label, maxBins=64)
+        est = RandomForestRegressor(seed=C.RANDOM_STATE, featureSubsetStrategy="all", labelCol=label, maxBins=64,
+                                    **TREE_PASS_OPTS)
         maps = [(p, {est.numTrees: p["n_estimators"], est.maxDepth: p["max_depth"],
                      est.minInstancesPerNode: p["min_samples_leaf"]}) for p in points]
     elif name in ("Gradient Boosting", "XGBoost"):
         note = " [first tree unshrunk]"
-        est = GBTRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=64)
+        est = GBTRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=64, **TREE_PASS_OPTS)
         maps = [(p, {est.maxIter: p["n_estimators"], est.stepSize: p["learning_rate"], est.maxDepth: p["max_depth"]})
                 for p in points]
     elif name in ("Hist Gradient Boosting", "LightGBM"):
         note = " [depth-wise trees; first tree unshrunk]"
         leaves_key = "max_leaf_nodes" if name == "Hist Gradient Boosting" else "num_leaves"
-        est = GBTRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=255)
+        est = GBTRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=255, **TREE_PASS_OPTS)
         maps = [(p, {est.maxIter: p.get("n_estimators", 100), est.stepSize: p["learning_rate"],
                      est.maxDepth: int(math.ceil(math.log2(p[leaves_key])))}) for p in points]
     else:

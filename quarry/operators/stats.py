@@ -88,12 +88,17 @@ def impute_mean(df: DataFrame, cols, only_if_null: bool = True) -> DataFrame:
     return df.fillna(means) if means else df
 
 
-def fit_medians(df: DataFrame, cols) -> dict:
+def fit_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 100_000) -> dict:
     """A3 (fit): exact medians of several columns in one narrowing run
-    (columns become groups of an unpivoted frame)."""
+    (columns become groups of an unpivoted frame); ``approx`` uses one
+    ``percentile_approx`` pass instead (rank error ≤ n/accuracy)."""
     cols = list(cols)
     if not cols:
         return {}
+    if approx:
+        r = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"m{i}")
+                     for i, c in enumerate(cols)]).first()
+        return {c: r[f"m{i}"] for i, c in enumerate(cols) if r[f"m{i}"] is not None}
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("kv")) \
         .select("kv.column", "kv.x")
@@ -101,9 +106,9 @@ def fit_medians(df: DataFrame, cols) -> dict:
     return {r["column"]: r["value"] for r in res}
 
 
-def impute_median(df: DataFrame, cols) -> DataFrame:
-    """A3: numeric nulls → exact median."""
-    med = fit_medians(df, cols)
+def impute_median(df: DataFrame, cols, approx: bool = False) -> DataFrame:
+    """A3: numeric nulls → median (exact by default)."""
+    med = fit_medians(df, cols, approx)
     return df.fillna(med) if med else df
 
 

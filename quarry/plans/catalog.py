@@ -571,8 +571,13 @@ def q_mi_binned(spark, sf_dir):
 
 def _mi_rep_sql() -> str:
     from quarry.operators.assoc import _poisson_weight_sql
-    u = UNIFORM_SQL.format(k="concat(CAST(row_id AS VARCHAR), '#', CAST(run AS VARCHAR))", s=C.SEED_TEXT)
-    return (BIN_D3_SQL + f", rp AS (SELECT bn.*, run, {u} AS u FROM bn, range(0, {C.N_MI_RUNS}) r(run))\n"
+    kb = f"CAST('0x' || substr(md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), 1, 8) AS BIGINT)"
+    x = "((kb + run * 2654435761) % 4294967296)"
+    for _ in range(2):
+        x = f"((xor({x} >> 16, {x}) * 73244475) % 4294967296)"
+    u = f"(xor({x} >> 16, {x}) / 4294967296.0)"
+    return (BIN_D3_SQL + f", bk AS (SELECT *, {kb} AS kb FROM bn)\n"
+            f", rp AS (SELECT bk.*, run, {u} AS u FROM bk, range(0, {C.N_MI_RUNS}) r(run))\n"
             f", src AS (SELECT *, CAST({_poisson_weight_sql('u')} AS DOUBLE) AS w FROM rp)\n" + _mi_sql(True) + """
 SELECT feature, round(quantile_cont(mi, 0.5), 6) AS median_mi, round(quantile_cont(mi, 0.25), 6) AS q1_mi,
   round(quantile_cont(mi, 0.75), 6) AS q3_mi, round(min(mi), 6) AS min_mi, round(max(mi), 6) AS max_mi, count(*) AS runs
