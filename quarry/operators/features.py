@@ -228,9 +228,6 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
     Synthetic row j of class c: base row chosen by hash, neighbour chosen
     by hash among its k, ``x + u·(nb − x)`` with a hashed u.
     """
-    import numpy as np
-    import pandas as pd
-
     feats = list(features)
     spark = df.sparkSession
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -243,7 +240,57 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
     if not minority:
         return base.withColumn("synthetic", F.lit(False))
     bt = spark.createDataFrame([(c, blocks[c]) for c in minority], f"{label} {df.schema[label].dataType.simpleString()}, _nb int")
-    m = base.join(F.broadcast(bt), label) \
+    minority_rows = base.join(F.broadcast(bt.select(label)), label)
+    nbrs = knn_within_class(minority_rows, feats, label, key, k, block_rows, seed, blocks)
+    ranked = hash_rank(minority_rows, key, seed + "#smote", partition_by=[label])
+    # synthetic ids come from a partitioned range per class (never one task exploding all of them)
+    syn_ids = None
+    for ci, c in enumerate(minority):
+        part = spark.range(n_major - counts[c]).select(F.lit(c).cast(df.schema[label].dataType).alias(label),
+                                                       F.lit(counts[c]).alias("_nc"), F.col("id").alias("s"),
+                                                       F.lit(ci).alias("_ci"))
+        syn_ids = part if syn_ids is None else syn_ids.unionByName(part)
+    pick = syn_ids.select(label, "s", "_ci", (F.pmod(F.xxhash64("s", F.lit(seed), F.col(label)), F.col("_nc")) + 1).alias("_rank"),
+                          F.pmod(F.xxhash64("s", F.lit(seed + "nb"), F.col(label)), F.lit(k)).cast("int").alias("j"),
+                          F.conv(F.substring(F.md5(F.concat_ws("#", F.col("s").cast("string"), F.col(label).cast("string"),
+                                                            F.lit(seed))), 1, 8), 16, 10).cast("double") / 4294967296.0)
+    pick = pick.withColumnRenamed(pick.columns[-1], "u")
+    b = ranked.select(label, "_rank", F.col(key).alias("_base"), *[F.col(f).alias(f"_x_{f}") for f in feats])
+    chosen = pick.join(b, [label, "_rank"])
+    kcount = nbrs.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"))
+    chosen = chosen.join(kcount.withColumnRenamed(key, "_base"), "_base") \
+        .withColumn("j", F.pmod(F.col("j"), F.col("_kn")))
+    chosen = chosen.join(nbrs.select(F.col(key).alias("_base"), "j", F.col("nb").alias("_nbk")), ["_base", "j"])
+    nbv = base.select(F.col(key).alias("_nbk"), *[F.col(f).alias(f"_n_{f}") for f in feats])
+    syn = chosen.join(nbv, "_nbk").select(
+        (-(F.col("s") * F.lit(len(minority)) + F.col("_ci") + 1)).cast(df.schema[key].dataType).alias(key), label,
+        *[(F.col(f"_x_{f}") + F.col("u") * (F.col(f"_n_{f}") - F.col(f"_x_{f}"))).alias(f) for f in feats],
+        F.lit(True).alias("synthetic"))
+    return base.withColumn("synthetic", F.lit(False)).unionByName(syn)
+
+
+def knn_within_class(df: DataFrame, features, label: str = "label", key: str = "row_id", k: int = 5,
+                     block_rows: int = 4096, seed: str = C.SEED_TEXT, blocks: dict | None = None) -> DataFrame:
+    """M8 neighbour step: the exact ``k`` nearest rows of the same class
+    (squared Euclidean distance, ties by neighbour key) as
+    ``(key, j, nb, d2)`` with ``j`` = 0..k-1.
+
+    Each class is cut into hash blocks of at most ``block_rows`` rows; every
+    (query block, reference block) pair is scored in ``applyInPandas`` keeping
+    the k best per query row, and a window over each row's candidates
+    (blocks × k of them) keeps the final k. Work is quadratic per class, as
+    exact neighbour search is; memory per group is two blocks."""
+    import numpy as np
+    import pandas as pd
+
+    spark = df.sparkSession
+    feats = list(features)
+    if blocks is None:
+        counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+        blocks = {c: max(1, -(-n // block_rows)) for c, n in counts.items()}
+    lt = df.schema[label].dataType.simpleString()
+    bt = spark.createDataFrame(list(blocks.items()), f"{label} {lt}, _nb int")
+    m = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in feats]).join(F.broadcast(bt), label) \
         .withColumn("_blk", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.col("_nb")).cast("int"))
     q = m.select("*", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_rb")) \
         .select(label, F.col("_blk").alias("_qb"), F.col("_rb"), F.lit("q").alias("_role"), key, *feats)
@@ -271,33 +318,7 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
         return pd.DataFrame({key: qs[key].to_numpy()[rows][ok], "nb": rs[key].to_numpy()[cols][ok], "d2": dd[ok]})
 
     key_t = df.schema[key].dataType.simpleString()
-    cand = q.unionByName(r).groupBy(label, "_qb", "_rb").applyInPandas(
-        knn, f"{key} {key_t}, nb {key_t}, d2 double")
+    cand = q.unionByName(r).groupBy(label, "_qb", "_rb").applyInPandas(knn, f"{key} {key_t}, nb {key_t}, d2 double")
     w = Window.partitionBy(key).orderBy("d2", "nb")
-    nbrs = cand.withColumn("j", F.row_number().over(w) - 1).filter(F.col("j") < k)
-    # synthetic rows: for class c, need n_major - n_c rows; row s picks base rank and neighbour
-    ranked = hash_rank(base.join(F.broadcast(bt.select(label)), label), key, seed + "#smote", partition_by=[label])
-    # synthetic ids come from a partitioned range per class (never one task exploding all of them)
-    syn_ids = None
-    for ci, c in enumerate(minority):
-        part = spark.range(n_major - counts[c]).select(F.lit(c).cast(df.schema[label].dataType).alias(label),
-                                                       F.lit(counts[c]).alias("_nc"), F.col("id").alias("s"),
-                                                       F.lit(ci).alias("_ci"))
-        syn_ids = part if syn_ids is None else syn_ids.unionByName(part)
-    pick = syn_ids.select(label, "s", "_ci", (F.pmod(F.xxhash64("s", F.lit(seed), F.col(label)), F.col("_nc")) + 1).alias("_rank"),
-                          F.pmod(F.xxhash64("s", F.lit(seed + "nb"), F.col(label)), F.lit(k)).cast("int").alias("j"),
-                          F.conv(F.substring(F.md5(F.concat_ws("#", F.col("s").cast("string"), F.col(label).cast("string"),
-                                                            F.lit(seed))), 1, 8), 16, 10).cast("double") / 4294967296.0)
-    pick = pick.withColumnRenamed(pick.columns[-1], "u")
-    b = ranked.select(label, "_rank", F.col(key).alias("_base"), *[F.col(f).alias(f"_x_{f}") for f in feats])
-    chosen = pick.join(b, [label, "_rank"])
-    kcount = nbrs.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"))
-    chosen = chosen.join(kcount.withColumnRenamed(key, "_base"), "_base") \
-        .withColumn("j", F.pmod(F.col("j"), F.col("_kn")))
-    chosen = chosen.join(nbrs.select(F.col(key).alias("_base"), "j", F.col("nb").alias("_nbk")), ["_base", "j"])
-    nbv = base.select(F.col(key).alias("_nbk"), *[F.col(f).alias(f"_n_{f}") for f in feats])
-    syn = chosen.join(nbv, "_nbk").select(
-        (-(F.col("s") * F.lit(len(minority)) + F.col("_ci") + 1)).cast(df.schema[key].dataType).alias(key), label,
-        *[(F.col(f"_x_{f}") + F.col("u") * (F.col(f"_n_{f}") - F.col(f"_x_{f}"))).alias(f) for f in feats],
-        F.lit(True).alias("synthetic"))
-    return base.withColumn("synthetic", F.lit(False)).unionByName(syn)
+    return cand.withColumn("j", (F.row_number().over(w) - 1).cast("int")).filter(F.col("j") < k) \
+        .select(key, "j", "nb", "d2")

@@ -722,7 +722,7 @@ def _fit_one_feature(spark, sf_dir, estimator):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from quarry.operators.models import regression_metrics
-    s = split_d3(spark, sf_dir)
+    s = split_d3(spark, sf_dir).select("row_id", "split", "value", "label").persist()  # fit, score and metrics reuse it
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["value"], outputCol="features"), estimator])
     model = pipe.fit(s.filter("split = 'train'"))
     lm = model.stages[-1]
@@ -950,3 +950,19 @@ def q_original_feature(spark, sf_dir):
     ct = fit_column_transformer(prepare_target(clean_d1(spark, sf_dir)), exclude=("row_id", "label"))
     cats = spark.createDataFrame([(c,) for c in ct.categorical_columns], "column string")
     return original_feature(ct.name_table(spark).select("name"), cats)
+
+
+@register("smote_neighbours", "M8 (neighbour step) M1", RANK_D3_SQL + """
+, mi AS (SELECT row_id, value, hour_of_day, user_bucket FROM s WHERE split = 'train' AND minority = 1)
+, pr AS (SELECT a.row_id, b.row_id AS nb,
+           power(a.value - b.value, 2) + power(a.hour_of_day - b.hour_of_day, 2)
+           + power(a.user_bucket - b.user_bucket, 2) AS d2
+         FROM mi a JOIN mi b ON a.row_id <> b.row_id)
+, rk AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY d2, nb) - 1 AS j FROM pr)
+SELECT row_id, CAST(j AS INTEGER) AS j, nb, round(d2, 6) AS d2 FROM rk WHERE j < 5""")
+def q_smote_neighbours(spark, sf_dir):
+    """Exact 5 nearest same-class neighbours of the minority training rows."""
+    from quarry.operators.features import knn_within_class
+    s = split_d3(spark, sf_dir).filter("split = 'train' AND minority = 1")
+    return rounded(knn_within_class(s, ["value", "hour_of_day", "user_bucket"], "minority", "row_id", k=5,
+                                    block_rows=512))
