@@ -334,7 +334,7 @@ def q_paired_ttest(spark, sf_dir):
 
 
 @register("trend_line", "A20", """
-SELECT regr_count(label, value) AS n, round(regr_slope(label, value), 6) AS slope,
+SELECT CAST(regr_count(label, value) AS BIGINT) AS n, round(regr_slope(label, value), 6) AS slope,
   round(regr_intercept(label, value), 6) AS intercept, round(regr_r2(label, value), 6) AS r2 FROM d3""")
 def q_trend_line(spark, sf_dir):
     from quarry.operators.stats import trend_line
@@ -851,7 +851,7 @@ def q_tree_shap(spark, sf_dir):
 @register("feature_relationship", "M27 A20 A10", CLEAN_D1_SQL + """
 , q AS (SELECT foundation_type_u, count(*) AS n, quantile_cont(Difference, 0.25) AS q1,
           quantile_cont(Difference, 0.5) AS median, quantile_cont(Difference, 0.75) AS q3 FROM c GROUP BY 1)
-SELECT 'building_area_m2' AS feature, 'numeric' AS kind, CAST(NULL AS VARCHAR) AS category, regr_count(Difference, building_area_m2) AS n,
+SELECT 'building_area_m2' AS feature, 'numeric' AS kind, CAST(NULL AS VARCHAR) AS category, CAST(regr_count(Difference, building_area_m2) AS BIGINT) AS n,
   round(regr_slope(Difference, building_area_m2), 6) AS slope, round(regr_intercept(Difference, building_area_m2), 6) AS intercept,
   round(regr_r2(Difference, building_area_m2), 6) AS r2, CAST(NULL AS DOUBLE) AS q1, CAST(NULL AS DOUBLE) AS median,
   CAST(NULL AS DOUBLE) AS q3, CAST(NULL AS DOUBLE) AS lower_whisker, CAST(NULL AS DOUBLE) AS upper_whisker FROM c
