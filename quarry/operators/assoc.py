@@ -37,9 +37,10 @@ def _kind(df: DataFrame, c: str) -> str:
 
 
 # ---------------------------------------------------------------- A13 binned
-def bin_expr(df: DataFrame, cols, bins: int):
+def bin_expr(df: DataFrame, cols, bins: int, as_int: bool = False):
     """Equal-width bin per numeric column (range from one aggregate);
-    nominal columns keep their value as the bin."""
+    nominal columns keep their value as the bin. ``as_int`` keeps numeric
+    bins as integers (cheaper cell keys)."""
     num = [c for c in cols if _kind(df, c) == "numeric"]
     rng = {}
     if num:
@@ -50,13 +51,14 @@ def bin_expr(df: DataFrame, cols, bins: int):
     for c in cols:
         if c in rng:
             lo, hi = rng[c]
+            t = "int" if as_int else "string"
             if lo is None:
-                out[c] = F.lit(None).cast("string")
+                out[c] = F.lit(None).cast(t)
             elif lo == hi:
-                out[c] = F.when(F.col(c).isNotNull(), F.lit("1"))
+                out[c] = F.when(F.col(c).isNotNull(), F.lit(1)).cast(t)
             else:
                 x = F.col(c).cast("double")
-                out[c] = F.least(F.lit(bins), F.floor((x - F.lit(lo)) / F.lit(hi - lo) * bins).cast("int") + 1).cast("string")
+                out[c] = F.least(F.lit(bins), F.floor((x - F.lit(lo)) / F.lit(hi - lo) * bins).cast("int") + 1).cast(t)
         else:
             out[c] = F.col(c).cast("string")
     return out
@@ -191,21 +193,29 @@ def mi_repeated_binned(df: DataFrame, target: str, features=None, key: str = "ro
                        bins: int = 10, seed: str = C.SEED_TEXT) -> DataFrame:
     """A14 (binned variant): MI per (run, feature) on Poisson-bootstrap
     replicates (weight from md5 bits of the key mixed with the run number).
-    Rows are expanded by ``runs`` and partially aggregated map-side per cell."""
-    features = [c for c in (features or df.columns) if c not in (target, key)]
-    be = bin_expr(df, features + [target], bins)
+
+    Rows are expanded by ``runs`` and partially aggregated map-side per
+    cell. Nominal features are label-encoded first (bounded category
+    table, broadcast), so every cell key is a fixed-width integer."""
     from quarry.functions.columns import key_bits, stream_uniform
-    # md5 once per row; each run's uniform is an integer mix of (row bits, run)
-    rep = df.select(key_bits(key, seed).alias("_kb"), be[target].alias("b"),
-                    *[be[c].alias(f"_f{i}") for i, c in enumerate(features)]) \
+    from quarry.operators.features import label_encode
+    features = [c for c in (features or df.columns) if c not in (target, key)]
+    nom = [c for c in features if _kind(df, c) == "nominal"]
+    be = bin_expr(df, [c for c in features if c not in nom] + [target], bins, as_int=True)
+    src = label_encode(df.select(key, target, *features), nom) if nom else df
+    code = {c: (F.col(c).cast("int") if c in nom else be[c]) for c in features}
+    rep = src.select(key_bits(key, seed).alias("_kb"), be[target].alias("b"),
+                     *[code[c].alias(f"_f{i}") for i, c in enumerate(features)]) \
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
     rep = rep.withColumn("_u", stream_uniform("_kb", "run")) \
         .withColumn("w", F.expr(_poisson_weight_sql("_u")).cast("double")).filter(F.col("w") > 0)
     long = rep.select("run", "b", "w", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"_f{i}").alias("a")) for i, c in enumerate(features)])).alias("kv")) \
-        .select("run", "kv.feature", "kv.a", "b", "w").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    cells = long.groupBy("run", "feature", "a", "b").agg(F.sum("w").alias("n"))
-    return _mi_from_cells(cells, by=("run", "feature")).select("run", "feature", "mi")
+        F.struct(F.lit(i).alias("fi"), F.col(f"_f{i}").alias("a")) for i, c in enumerate(features)])).alias("kv")) \
+        .select("run", "kv.fi", "kv.a", "b", "w").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    cells = long.groupBy("run", "fi", "a", "b").agg(F.sum("w").alias("n"))
+    names = df.sparkSession.createDataFrame(list(enumerate(features)), "fi int, feature string")
+    mi = _mi_from_cells(cells, by=("run", "fi"))
+    return mi.join(F.broadcast(names), "fi").select("run", "feature", "mi")
 
 
 def mi_summary(mi_runs: DataFrame, k: int | None = C.N_TOP_MI_MEDIAN) -> DataFrame:
