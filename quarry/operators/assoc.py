@@ -273,17 +273,18 @@ def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -
         cells = long.groupBy("pid", "a", "b").agg(F.count(F.lit(1)).cast("double").alias("n"))
         wa, wb, wt = Window.partitionBy("pid", "a"), Window.partitionBy("pid", "b"), Window.partitionBy("pid")
         t = cells.select("pid", "a", "b", "n", F.sum("n").over(wa).alias("na"), F.sum("n").over(wb).alias("nb"),
-                         F.sum("n").over(wt).alias("nn"))
+                         F.sum("n").over(wt).alias("nn"), F.count(F.lit(1)).over(wa).alias("ca"),
+                         F.count(F.lit(1)).over(wb).alias("cb"))
+        # one aggregate over the cell table: a row margin appears once per cell of its row,
+        # so Σ 1/ca counts rows and Σ ln(na)/ca is the log of the product of row margins
         g = t.groupBy("pid").agg(
-            F.max("nn").alias("n"), F.countDistinct("a").alias("r"), F.countDistinct("b").alias("k"),
+            F.max("nn").alias("n"), F.sum(1 / F.col("ca")).alias("r_"), F.sum(1 / F.col("cb")).alias("k_"),
             F.sum(F.col("n") * F.col("n") / (F.col("na") * F.col("nb"))).alias("s"),
-            F.max(F.abs(F.col("n") * F.col("nn") - F.col("na") * F.col("nb"))).alias("adbc"))
-        # margins product for the 2x2 Yates form: r1*r2*c1*c2
-        ra = t.select("pid", "a", "na").distinct().groupBy("pid").agg(F.expr("aggregate(collect_list(na), 1D, (acc, v) -> acc * v)").alias("pr"))
-        cb = t.select("pid", "b", "nb").distinct().groupBy("pid").agg(F.expr("aggregate(collect_list(nb), 1D, (acc, v) -> acc * v)").alias("pc"))
-        g = g.join(ra, "pid").join(cb, "pid")
+            F.max(F.abs(F.col("n") * F.col("nn") - F.col("na") * F.col("nb"))).alias("adbc"),
+            F.sum(F.log(F.col("na")) / F.col("ca") + F.log(F.col("nb")) / F.col("cb")).alias("lprod")) \
+            .withColumn("r", F.round("r_")).withColumn("k", F.round("k_"))
         chi2_plain = F.col("n") * (F.col("s") - 1)
-        yates = F.col("n") * F.pow(F.greatest(F.col("adbc") - F.col("n") / 2, F.lit(0.0)), 2) / (F.col("pr") * F.col("pc"))
+        yates = F.col("n") * F.pow(F.greatest(F.col("adbc") - F.col("n") / 2, F.lit(0.0)), 2) / F.exp(F.col("lprod"))
         chi2 = F.when((F.col("r") == 2) & (F.col("k") == 2), yates).otherwise(chi2_plain)
         phi2 = chi2 / F.col("n")
         if bias_correction:
@@ -304,12 +305,15 @@ def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -
             F.struct(F.lit(i).alias("pid"), F.col(a).cast("string").alias("cat"), F.col(b).cast("double").alias("x"))
             for i, (a, b) in enumerate(pm)])).alias("kv")).select("kv.pid", "kv.cat", "kv.x") \
             .filter(F.col("cat").isNotNull() & F.col("x").isNotNull())
-        by_cat = long.groupBy("pid", "cat").agg(F.count(F.lit(1)).alias("nk"), F.avg("x").alias("mk"))
-        tot = long.groupBy("pid").agg(F.avg("x").alias("mu"), F.count(F.lit(1)).alias("n"),
-                                      F.var_pop("x").alias("vp"))
-        j = by_cat.join(tot, "pid")
-        num_ = j.groupBy("pid", "n", "mu", "vp").agg(F.sum(F.col("nk") * F.pow(F.col("mk") - F.col("mu"), 2)).alias("num"))
-        den = F.col("n") * F.col("vp")
+        # one pass: per category count, mean and (stable) variance; the total sum of
+        # squares follows from the law of total variance
+        by_cat = long.groupBy("pid", "cat").agg(F.count(F.lit(1)).alias("nk"), F.avg("x").alias("mk"),
+                                                 F.var_pop("x").alias("vk"))
+        wp = Window.partitionBy("pid")
+        j = by_cat.withColumn("mu", F.sum(F.col("nk") * F.col("mk")).over(wp) / F.sum("nk").over(wp))
+        num_ = j.groupBy("pid").agg(F.sum(F.col("nk") * F.pow(F.col("mk") - F.col("mu"), 2)).alias("num"),
+                                    F.sum(F.col("nk") * F.col("vk")).alias("within"))
+        den = F.col("num") + F.col("within")
         eta = F.when(F.col("num") == 0, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(F.col("num"), den)))
         pt = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pm)], "pid int, feature_a string, feature_b string")
         parts.append(num_.select("pid", eta.alias("assoc")).join(F.broadcast(pt), "pid")
@@ -321,8 +325,11 @@ def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -
     for p in parts[1:]:
         u = u.unionByName(p)
     u = u.withColumn("assoc", F.coalesce(F.when(~F.isnan("assoc"), F.col("assoc")), F.lit(0.0)))
-    both = u.unionByName(u.select(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"),
-                                  "assoc", "kind"))
+    # both orientations from one evaluation of the pair table
+    both = u.select(F.explode(F.array(
+        F.struct(F.col("feature_a"), F.col("feature_b"), F.col("assoc"), F.col("kind")),
+        F.struct(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), F.col("assoc"),
+                 F.col("kind")))).alias("p")).select("p.*")
     return both.unionByName(diag)
 
 

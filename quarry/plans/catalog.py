@@ -966,3 +966,27 @@ def q_smote_neighbours(spark, sf_dir):
     s = split_d3(spark, sf_dir).filter("split = 'train' AND minority = 1")
     return rounded(knn_within_class(s, ["value", "hour_of_day", "user_bucket"], "minority", "row_id", k=5,
                                     block_rows=512))
+
+
+@register("shap_beeswarm", "M28 M26", RANK_D3_SQL + """
+, tr AS (SELECT * FROM s WHERE split = 'train')
+, st AS (SELECT avg(value) AS m1, avg(hour_of_day) AS m2, var_pop(value) AS s11, var_pop(hour_of_day) AS s22,
+           covar_pop(value, hour_of_day) AS s12, covar_pop(value, label) AS s1y, covar_pop(hour_of_day, label) AS s2y FROM tr)
+, co AS (SELECT m1, m2, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+           (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM st)
+SELECT row_id, 'value' AS feature, round(b1 * (value - m1), 6) AS shap, round(value, 6) AS value FROM s, co WHERE split = 'test'
+UNION ALL
+SELECT row_id, 'hour_of_day', round(b2 * (hour_of_day - m2), 6), round(hour_of_day, 6) FROM s, co WHERE split = 'test'""")
+def q_shap_beeswarm(spark, sf_dir):
+    """(row, feature, SHAP, feature value) rows behind the beeswarm, linear model on two features."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from quarry.operators.explain import linear_shap
+    from quarry.operators.frames import shap_beeswarm_frame
+    s = split_d3(spark, sf_dir).select("row_id", "split", "value", "hour_of_day", "label").persist()
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    feats = ["value", "hour_of_day"]
+    lm = LinearRegression(regParam=0.0, solver="normal", standardization=False).fit(
+        VectorAssembler(inputCols=feats, outputCol="features").transform(train))
+    shap = linear_shap(dict(zip(feats, [float(c) for c in lm.coefficients])), test, background=train)
+    return rounded(shap_beeswarm_frame(shap, test.select("row_id", *feats)))
