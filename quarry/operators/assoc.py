@@ -415,5 +415,6 @@ def select_by_clustering(assoc: DataFrame, features, threshold, linkage: str = C
     """Feature list chosen by M9 + A17 (all features when threshold is None)."""
     if threshold is None or (isinstance(threshold, float) and math.isnan(threshold)):
         return list(features)
+    assoc = cut_lineage(assoc)  # small (d² rows); read by every clustering round and the representatives
     cl = cluster_features(assoc, features, threshold, linkage)
     return [r["feature"] for r in cluster_representatives(assoc, cl, features).collect()]

@@ -241,7 +241,10 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
         return base.withColumn("synthetic", F.lit(False))
     bt = spark.createDataFrame([(c, blocks[c]) for c in minority], f"{label} {df.schema[label].dataType.simpleString()}, _nb int")
     minority_rows = base.join(F.broadcast(bt.select(label)), label)
-    nbrs = knn_within_class(minority_rows, feats, label, key, k, block_rows, seed, blocks)
+    # the neighbour table (k rows per minority row) is quadratic to compute and used twice:
+    # write it once to the shared checkpoint folder instead of recomputing it
+    from quarry.session import cut_lineage
+    nbrs = cut_lineage(knn_within_class(minority_rows, feats, label, key, k, block_rows, seed, blocks))
     ranked = hash_rank(minority_rows, key, seed + "#smote", partition_by=[label])
     # synthetic ids come from a partitioned range per class (never one task exploding all of them)
     syn_ids = None

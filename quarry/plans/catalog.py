@@ -681,7 +681,8 @@ CLUSTER_THRESHOLD = 0.5
 SELECT DISTINCT feature FROM rp WHERE r = 1""")
 def q_cluster_one_round(spark, sf_dir):
     from quarry.operators.assoc import association_matrix, cluster_representatives, cluster_round
-    assoc = association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS)
+    from quarry.session import cut_lineage
+    assoc = cut_lineage(association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS))
     from quarry.operators.assoc import _position_table, association_distance
     dist = association_distance(assoc).filter(F.col("feature_a") != F.col("feature_b"))
     clusters = _position_table(spark, ASSOC_COLS).select("feature", F.col("pos").alias("cluster"))
@@ -695,7 +696,8 @@ def q_cluster_one_round(spark, sf_dir):
 @register("feature_clusters", "M9 A17")
 def q_feature_clusters(spark, sf_dir):
     from quarry.operators.assoc import association_matrix, cluster_features
-    assoc = association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS)
+    from quarry.session import cut_lineage
+    assoc = cut_lineage(association_matrix(assoc_input(spark, sf_dir), ASSOC_COLS))
     return cluster_features(assoc, ASSOC_COLS, CLUSTER_THRESHOLD)
 
 
