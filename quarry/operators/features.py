@@ -191,28 +191,25 @@ def fit_column_transformer(train: DataFrame, exclude=("row_id", "split", "label"
 def label_encode(df: DataFrame, cols, max_per_column: int = C.MAX_CATEGORIES) -> DataFrame:
     """M5: category → index in sorted order (0-based), per column.
 
-    Distinct values per column are bounded and checked; the index is a
-    ``dense_rank`` inside each column's distinct values and joins back
-    through a broadcast of that bounded table.
-    """
+    Fit: the distinct values per column (bounded and checked, never
+    truncated) are collected sorted; transform: a literal map lookup, i.e.
+    a plain projection of the input with no join or shuffle."""
     cols = list(cols)
     if not cols:
         return df
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("kv")) \
-        .select("kv.column", "kv.value").filter(F.col("value").isNotNull()).distinct()
-    sizes = long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_per_column).take(1)
-    if sizes:
-        raise ValueError(f"column {sizes[0]['column']} has more than {max_per_column} categories")
-    codes = long.withColumn("code", (F.dense_rank().over(Window.partitionBy("column").orderBy("value")) - 1)
-                            .cast("long"))
-    out = df
-    for c in cols:
-        m = F.broadcast(codes.filter(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),
-                                                                  F.col("code").alias(f"_code_{c}")))
-        out = out.join(m, out[c].cast("string") == m[f"_v_{c}"], "left")
-        out = out.withColumn(c, F.col(f"_code_{c}")).drop(f"_v_{c}", f"_code_{c}")
-    return out
+    cats = distinct_values(df, cols, max_per_column)
+    out = []
+    for c in df.columns:
+        if c in cats and cats[c]:
+            kv = []
+            for i, v in enumerate(cats[c]):
+                kv += [F.lit(v), F.lit(i).cast("long")]
+            out.append(F.element_at(F.create_map(*kv), F.col(c).cast("string")).alias(c))
+        elif c in cats:
+            out.append(F.lit(None).cast("long").alias(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
 
 
 def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k: int = 5,
