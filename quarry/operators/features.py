@@ -45,14 +45,44 @@ def hash_rank(df: DataFrame, key: str, seed: str = C.SEED_TEXT, partition_by=(),
             .drop("_h", "_b", "_off"))
 
 
+def hash_threshold(df: DataFrame, key: str, seed: str, rank: int, prefix_len: int = C.RANK_BUCKET_HEX):
+    """The (md5, key) pair at 1-based position ``rank`` of the hash order,
+    found without ranking all rows: bucket counts (≤16^prefix_len rows)
+    give the bucket holding the rank; only that bucket's rows (≈ n/16^5)
+    are ordered. Returns None when rank < 1."""
+    if rank < 1:
+        return None
+    d = df.select(F.col(key).alias("_k"), hash_key(key, seed).alias("_h")) \
+        .withColumn("_b", F.substring("_h", 1, prefix_len))
+    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over ≤16^5 bucket rows
+    hit = counts.select("_b", "_c", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off")) \
+        .filter((F.col("_off") < rank) & (F.col("_off") + F.col("_c") >= rank)).first()
+    if hit is None:
+        return None
+    need = rank - hit["_off"]
+    row = d.filter(F.col("_b") == hit["_b"]).orderBy("_h", "_k").limit(need).orderBy(F.desc("_h"), F.desc("_k")).first()
+    return row["_h"], row["_k"]
+
+
 def train_test_split(df: DataFrame, key: str = "row_id", test_size: float = C.TEST_SIZE,
                      seed: str = C.SEED_TEXT, split_col: str = "split") -> DataFrame:
     """M1: exact-size shuffled split; test = first ceil(test_size·n) rows
-    of the hash order."""
-    r = hash_rank(df, key, seed)
-    is_test = F.col("_rank") <= F.ceil(F.lit(float(test_size)) * F.col("_n"))
-    return r.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train"))) \
-        .drop("_rank", "_n")
+    of the (md5(key‖seed), key) order.
+
+    Only the threshold pair at that rank is computed (``hash_threshold``:
+    two small aggregations); the split itself is a projection comparing
+    each row with it, so the data is never shuffled."""
+    import math
+    n = df.count()
+    n_test = int(math.ceil(float(test_size) * n))
+    thr = hash_threshold(df, key, seed, n_test)
+    if thr is None:
+        return df.withColumn(split_col, F.lit("train"))
+    h, k = thr
+    hk = hash_key(key, seed)
+    is_test = (hk < F.lit(h)) | ((hk == F.lit(h)) & (F.col(key) <= F.lit(k)))
+    return df.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
 
 
 def kfold(df: DataFrame, key: str = "row_id", k: int = C.N_SPLITS_CV, seed: str = C.SEED_TEXT,
