@@ -145,6 +145,8 @@ def mutual_information_knn(df: DataFrame, target: str, features=None, key: str =
     are averaged weighted by chunk size. Label-encoded columns are
     treated as continuous, like the analysed pipeline.
     """
+    from quarry.session import ship_package
+    ship_package(df.sparkSession)
     features = [c for c in (features or df.columns) if c not in (target, key)]
     n = df.count()
     n_chunks = max(1, -(-n // chunk_rows))

@@ -313,7 +313,9 @@ def knn_within_class(df: DataFrame, features, label: str = "label", key: str = "
     import numpy as np
     import pandas as pd
 
+    from quarry.session import ship_package
     spark = df.sparkSession
+    ship_package(spark)
     feats = list(features)
     if blocks is None:
         counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}

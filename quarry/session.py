@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CKPT: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def get_spark(app: str = "quarry", master: str | None = None,
@@ -40,6 +41,7 @@ def get_spark(app: str = "quarry", master: str | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -89,3 +91,29 @@ def default_parallelism(spark: SparkSession) -> int:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in Python workers (Arrow UDF tasks).
+
+    Zips the package on the driver and registers it with ``addPyFile``,
+    Spark's own distribution path (what ``--py-files`` does); executors
+    fetch it from the driver. Idempotent per application."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import quarry
+    pkg = os.path.dirname(os.path.abspath(quarry.__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="quarry-pyfiles-"), "quarry.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
