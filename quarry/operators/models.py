@@ -189,7 +189,8 @@ RESULT_SCHEMA = ("`Model` string, `Feature Set Name` string, `Number of Features
 
 def benchmark(train: DataFrame, test: DataFrame, features, models=C.MODEL_NAMES,
               thresholds=C.CLUSTERING_THRESHOLDS_TO_TEST, label: str = "label", fold_col: str = "fold",
-              metric: str = "mse", store=None, assoc: DataFrame | None = None, parallelism: int = 4):
+              metric: str = "mse", store=None, assoc: DataFrame | None = None, parallelism: int = 4,
+              cv_out: list | None = None):
     """Thresholds × models sweep → result table.
 
     The linear families share one sufficient-statistics pass
@@ -216,11 +217,14 @@ def benchmark(train: DataFrame, test: DataFrame, features, models=C.MODEL_NAMES,
         for name in models:
             try:
                 if name in lin_fits:
-                    model, params, _ = lin_fits[name]
+                    model, params, table = lin_fits[name]
+                    cv = [(_grid_str(p), v) for p, v in table]
                     note = ""
                 else:
-                    model, params, _, note = grid_search(name, train, feats, label, fold_col, metric=metric,
-                                                         parallelism=parallelism)
+                    model, params, cv, note = grid_search(name, train, feats, label, fold_col, metric=metric,
+                                                          parallelism=parallelism)
+                if cv_out is not None:
+                    cv_out += [(name, label_fs, p, float(v)) for p, v in cv]
                 pred = model.transform(test_fs)
                 m = regression_metrics(pred, label).first()
                 key = f"{name}_{label_fs}"
@@ -256,3 +260,11 @@ def fit_and_score(name: str, params: dict, train: DataFrame, test: DataFrame, fe
     from quarry.operators.project import align_columns
     pred = model.transform(align_columns(test, features, keep=("row_id", label)))
     return model, regression_metrics(pred, label).first(), note
+
+
+def cv_results(spark, cv_rows, metric: str = "mse") -> DataFrame:
+    """Grid points with their mean validation error and the scoring value
+    (C14: negative MSE / RMSE, larger is better)."""
+    from quarry.functions.columns import neg_mse
+    df = spark.createDataFrame(cv_rows, f"model string, feature_set string, params string, mean_{metric} double")
+    return df.withColumn("mean_test_score", neg_mse(f"mean_{metric}"))

@@ -84,8 +84,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = Pipe
     train = _stage(spark, train, out, "train_folds")
     test = x.filter("split = 'test'")
     store = ModelStore(spark, f"{out}/models")
+    cv_rows: list = []
     results, fitted = benchmark(train, test, feats, models=list(models or cfg.models), thresholds=cfg.thresholds,
-                                store=store)
+                                store=store, cv_out=cv_rows)
+    from quarry.operators.models import cv_results
+    res["cv_results"] = _stage(spark, cv_results(spark, cv_rows), out, "cv_results")
     results = _stage(spark, results, out, "results")
     write_csv(results, f"{out}/results_csv", float_format="%.6f")
     res["results"] = results

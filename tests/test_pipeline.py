@@ -24,5 +24,7 @@ def test_run_pipeline_end_to_end(spark):
     lin = store.get("Linear Regression_Original Features")
     assert lin is not None and len(lin.coefficients) == rows["Linear Regression"]["Number of Features"]
     assert store.get("Decision Tree_Original Features") is not None
+    cv = res["cv_results"].collect()
+    assert len(cv) == 1 + 6 and all(r["mean_test_score"] == -r["mean_mse"] for r in cv)
     back = spark.read.option("header", True).csv(f"{out}/results_csv").collect()
     assert len(back) == 2 and len(back[0]["Test MSE"].split(".")[1]) == 6
