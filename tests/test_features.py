@@ -77,3 +77,13 @@ def test_smote_balances_with_neighbours(spark):
     syn = [r["x"] for r in out.filter("synthetic").collect()]
     minority = [v for _, c, v in rows if c == 1]
     assert min(minority) <= min(syn) and max(syn) <= max(minority)
+
+
+def test_split_edge_sizes(keyed):
+    none = train_test_split(keyed, "row_id", 0.0)
+    assert none.filter("split = 'test'").count() == 0
+    every = train_test_split(keyed, "row_id", 1.0)
+    assert every.filter("split = 'train'").count() == 0
+    one = train_test_split(keyed, "row_id", 1 / 1003)
+    first = keyed.select("row_id", hash_key("row_id", ":42").alias("h")).orderBy("h", "row_id").first()["row_id"]
+    assert [r["row_id"] for r in one.filter("split = 'test'").collect()] == [first]
