@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer document makes a slice alone.
 SLICE_BYTES = 1 << 20
@@ -67,7 +68,7 @@ def slices(texts: pa.Array):
     n = len(texts)
     if not n:
         return
-    sizes = np.asarray(pa.compute.binary_length(texts).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(texts).fill_null(0), dtype=np.int64)
     ends = np.cumsum(sizes)
     lo = 0
     while lo < n:
