@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import quality_gam, quality_rules, simhash
-from quarry.session import checkpoint_dir, ship_package
+from quarry.llm import lines, mixing, quality_gam, quality_rules, simhash
+from quarry.session import checkpoint_dir, cut_lineage, ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +33,58 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words().alias("size"))
+    docs = cut_lineage(docs)  # narrow; words are counted once
+    mixed = mixing.with_copies(docs, mixing.rates(docs.select("source", "size")))
+    return mixed.select("doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
+                        (F.col("size") * F.col("mix_copies")).cast("long").alias("taken"))
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         coalesce(CAST(doc_id AS VARCHAR), 'null') AS k
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source ASC NULLS LAST) AS place
+  FROM d GROUP BY source),
+w AS (
+  SELECT *, CASE (place - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
+         sum(source_size) OVER () * 1.5::DOUBLE AS budget, source_size * 2.0::DOUBLE AS cap
+  FROM s),
+c AS (
+  SELECT *, cap / weight <= (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS capped
+  FROM w),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN capped THEN cap ELSE (budget - coalesce(sum(cap) FILTER (capped) OVER (), 0))
+              / sum(weight) FILTER (NOT capped) OVER () * weight END AS target
+  FROM c),
+r AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size END AS rate,
+         CAST(('0x' || substr(md5('mix:' || d.k), 1, 13)) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * coalesce(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END, 0) AS BIGINT) AS taken
+FROM r
+"""
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    clean = lines.dedup_lines(docs.withColumn("before", F.size(F.split("text", "\n", -1))))
+    return clean.select("doc_id", F.col("before").cast("long").alias("n_lines"),
+                        F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("clean_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_quality_classifier, op4_simhash_near_dedup,
+    op1_quality_rules, op2_quality_classifier, op4_simhash_near_dedup, op5_source_mixing,
+    op10_line_dedup,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_source_mixing": OP5_SQL}
