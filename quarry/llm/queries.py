@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import lines, mixing, quality_gam, quality_rules, simhash
+from quarry.llm import bpe, lines, mixing, quality_gam, quality_rules, simhash
 from quarry.session import checkpoint_dir, cut_lineage, ship_package
 
 
@@ -28,6 +29,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality_gam.held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), path, carry=["doc_id"])
+    text = bpe.decode(coded, bpe.pieces(spark, path))
+    return text.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(bpe.ids_text(), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return near.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -82,7 +91,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_quality_classifier, op4_simhash_near_dedup, op5_source_mixing,
+    op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing,
     op10_line_dedup,
 )}
 
