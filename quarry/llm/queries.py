@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, lines, mixing, quality_gam, quality_rules, simhash
+from quarry.llm import bpe, lines, mixing, pii, quality_gam, quality_rules, simhash
 from quarry.session import checkpoint_dir, cut_lineage, ship_package
 
 
@@ -83,6 +83,13 @@ FROM r
 """
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.detect(docs, pii.fit(docs), carry=["doc_id"])
+    return found.select("doc_id", *(pii.n_spans(k).alias(f"n_{k}") for k in pii.KINDS),
+                        F.sha2("rule_spans", 256).alias("base_sha256"), "spans")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     clean = lines.dedup_lines(docs.withColumn("before", F.size(F.split("text", "\n", -1))))
@@ -92,7 +99,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing,
-    op10_line_dedup,
+    op9_pii, op10_line_dedup,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
