@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, lines, mixing, pii, quality_gam, quality_rules, simhash
+from quarry.llm import ann, bpe, lines, mixing, pii, quality_gam, quality_rules, simhash
 from quarry.session import checkpoint_dir, cut_lineage, ship_package
 
 
@@ -83,6 +83,10 @@ FROM r
 """
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = pii.detect(docs, pii.fit(docs), carry=["doc_id"])
@@ -99,7 +103,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing,
-    op9_pii, op10_line_dedup,
+    op8_nearest_neighbours, op9_pii, op10_line_dedup,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
