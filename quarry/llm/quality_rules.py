@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,32 +116,44 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
     """
     sample = labelled_sample(docs, labels, "quality", max_train_rows)
     sample = sample.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "label")
-    rows = sample.mapInArrow(_featurize, _FEATURES).toPandas().sort_values("doc_id", kind="stable")
-    y = rows["label"].to_numpy(dtype=float)
-    if len(rows) == 0 or y.min() == y.max():
+    rows = sample.mapInArrow(_featurize, _FEATURES).toArrow().sort_by("doc_id")
+    y = rows["label"].to_numpy().astype(float)
+    if len(y) == 0 or y.min() == y.max():
         return Model(np.zeros(N_FEATURES), 20.0, 1.0, 0.0)
-    size = rows["idx"].map(len).to_numpy()
-    idx, val = np.concatenate(rows["idx"].tolist()).astype(np.int64), np.concatenate(rows["val"].tolist()).astype(float)
-    row = np.repeat(np.arange(len(rows)), size)
-    held = np.arange(len(rows)) % 5 == 4
+    vectors = [rows.slice(lo, 250) for lo in range(0, len(y), 250)]  # worked through in parts, in place
+    held = np.arange(len(y)) % 5 == 4
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         held[:] = False
     fitted = (~held).astype(float)
     w, b = np.zeros(N_FEATURES), 0.0
     m, v = np.zeros(N_FEATURES + 1), np.zeros(N_FEATURES + 1)
+    parts = [_sparse(part) for part in vectors]
     for t in range(1, steps + 1):  # full-batch Adam: the sample is small
-        z = np.bincount(row, weights=w[idx] * val, minlength=len(rows)) + b
-        err = (_sigmoid(z) - y) * fitted / fitted.sum()
-        g = np.append(np.bincount(idx, weights=err[row] * val, minlength=N_FEATURES) + penalty * w, err.sum())
+        err = (_sigmoid(_margins(parts, w) + b) - y) * fitted / fitted.sum()
+        g, lo = np.append(penalty * w, err.sum()), 0
+        for idx, val, row, n in parts:
+            g[:-1] += np.bincount(idx, weights=err[lo : lo + n][row] * val, minlength=N_FEATURES)
+            lo += n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.5 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
         w, b = w - step[:-1], b - step[-1]
-    z = np.bincount(row, weights=w[idx] * val, minlength=len(rows)) + b
+    z = _margins(parts, w) + b
     on = held if held.any() else ~held
     slope, shift = _calibrate(z[on], y[on])
     return Model(w, float(b), slope, shift)
 
 
+def _sparse(part: pa.Table):
+    """Bucket, value and row of every entry, and the number of rows."""
+    idx, val = part["idx"].combine_chunks(), part["val"].combine_chunks()
+    row = np.repeat(np.arange(len(idx), dtype=np.int32), np.asarray(pc.list_value_length(idx)))
+    return idx.flatten().to_numpy(), val.flatten().to_numpy(), row, len(idx)
+
+
+def _margins(parts, w: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.bincount(row, weights=w[idx] * val, minlength=n) for idx, val, row, n in parts])
+
+
 def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the log-odds by Newton steps, with smoothed targets."""
     pos, neg = y.sum(), len(y) - y.sum()

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, lines, mixing, pii, quality_gam, quality_rules, simhash
-from quarry.session import checkpoint_dir, cut_lineage, ship_package
+from quarry.llm import ann, bpe, lines, mixing, pii, quality_gam, quality_rules, simhash, warc
+from quarry.session import checkpoint_dir, cut_lineage, scratch_path, ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,14 @@ FROM r
 """
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    warc.write(pages, path)
+    index = warc.merge(warc.read(spark, path))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -102,7 +110,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing,
+    op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing, op6_warc,
     op8_nearest_neighbours, op9_pii, op10_line_dedup,
 )}
 
