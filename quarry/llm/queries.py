@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, lines, mixing, pii, quality_gam, quality_rules, simhash, warc
+from quarry.llm import ann, bpe, chat, lines, mixing, pii, quality_gam, quality_rules, simhash, warc
 from quarry.session import checkpoint_dir, cut_lineage, scratch_path, ship_package
 
 
@@ -91,6 +91,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -110,7 +114,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing, op6_warc,
+    op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing, op6_warc, op7_chat_format,
     op8_nearest_neighbours, op9_pii, op10_line_dedup,
 )}
 
