@@ -97,6 +97,9 @@ FALSE_TOKENS = ["False", "FALSE", "false"]
 SEED_TEXT = ":42"                 # salt appended to keys for hash-based randomness
 RANK_BUCKET_HEX = 5               # md5 prefix length for two-phase global ranks (16^5 buckets)
 BROADCAST_ROW_LIMIT = 2_000_000   # max rows of a derived lookup table we broadcast
+# other implementations of boosted trees: one Spark learner stands for the family
+BOOSTING_ALIASES = ("Hist Gradient Boosting", "XGBoost", "LightGBM")
+SPARK_MODEL_NAMES = [m for m in MODEL_NAMES if m not in BOOSTING_ALIASES]
 QUANTILE_EXACT_LIMIT = 200_000    # rows per bracket we rank directly in exact quantiles
 QUANTILE_BINS = 1024              # histogram bins per narrowing pass
 MAX_CATEGORIES = 10_000           # per-column one-hot category cap (raise, never truncate)
@@ -124,5 +127,5 @@ class PipelineConfig:
     rfe_step: float = RFE_STEP
     thresholds: tuple = tuple(CLUSTERING_THRESHOLDS_TO_TEST)
     n_folds: int = N_SPLITS_CV
-    models: tuple = tuple(MODEL_NAMES)
+    models: tuple = tuple(SPARK_MODEL_NAMES)
     row_id: str = "row_id"

@@ -9,7 +9,6 @@ distance tables are long ``(feature_a, feature_b, ...)`` DataFrames.
 
 from __future__ import annotations
 
-import itertools
 import math
 
 import numpy as np
@@ -20,11 +19,58 @@ from pyspark.sql import types as T
 
 from quarry import config as C
 from quarry.operators.project import NUMERIC_TYPES
-from quarry.operators.stats import pearson, stack_row
+from quarry.functions.columns import number, q
 from quarry.session import cut_lineage
 
 
-PAIRWISE_AGG_LIMIT = 300  # numeric pairs computed as individual aggregate expressions
+def pairwise_pearson(df: DataFrame, num) -> DataFrame:
+    """Pearson of every pair of numeric columns over the rows where both are
+    present, as ``(feature_a, feature_b, assoc)``; undefined → null.
+
+    Columns are centred and scaled by their own mean and deviation first, so
+    a large offset costs no digits; each task then adds up, for its rows, the
+    products of the value and presence matrices, and only d² sums per task
+    are shuffled, whatever the width."""
+    import pyarrow as pa
+
+    from quarry.session import ship_package
+    ship_package(df.sparkSession)
+    d = len(num)
+    x = [number(q(c)) for c in num]
+    r = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(x)]).first()
+    mean = np.array([r[f"m{i}"] if r[f"m{i}"] is not None else 0.0 for i in range(d)])
+    scale = np.array([r[f"s{i}"] or 1.0 for i in range(d)])
+    up = np.triu_indices(d, 1)
+
+    def sums(batches):
+        n, sx, sxx, sxy = (np.zeros((d, d)) for _ in range(4))
+        for b in batches:
+            v = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(d)], axis=1)
+            here = ~np.isnan(v)
+            v = np.where(here, (v - mean) / scale, 0.0)
+            m = here.astype(float)
+            n += m.T @ m
+            sx += v.T @ m
+            sxx += (v * v).T @ m
+            sxy += v.T @ v
+        cols = [up[0], up[1], n[up], sx[up], sx.T[up], sxx[up], sxx.T[up], sxy[up]]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)) for c in cols[:2]] + [pa.array(c) for c in cols[2:]],
+                                         ["i", "j", "n", "si", "sj", "sii", "sjj", "sij"])
+
+    part = df.select(*[c.alias(f"x{i}") for i, c in enumerate(x)]).mapInArrow(
+        sums, "i int, j int, n double, si double, sj double, sii double, sjj double, sij double")
+    t = part.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
+
+    def spread(one, two):  # n² times the variance; rounding noise of a constant counts as none
+        v = F.col("n") * F.col(two) - F.col(one) * F.col(one)
+        return F.when(v > F.col("n") * F.col(two) * F.lit(1e-13), v)
+
+    r_ = F.try_divide(F.col("n") * F.col("sij") - F.col("si") * F.col("sj"), F.sqrt(spread("si", "sii")) * F.sqrt(spread("sj", "sjj")))
+    names = df.sparkSession.createDataFrame(list(enumerate(num)), "k int, name string")  # one row per column
+    return (t.select("i", "j", r_.alias("assoc"))
+            .join(F.broadcast(names.select(F.col("k").alias("i"), F.col("name").alias("feature_a"))), "i")
+            .join(F.broadcast(names.select(F.col("k").alias("j"), F.col("name").alias("feature_b"))), "j")
+            .select("feature_a", "feature_b", "assoc"))
 
 
 def _kind(df: DataFrame, c: str) -> str:
@@ -44,8 +90,8 @@ def bin_expr(df: DataFrame, cols, bins: int, as_int: bool = False):
     num = [c for c in cols if _kind(df, c) == "numeric"]
     rng = {}
     if num:
-        r = df.agg(*[F.min(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(num)],
-                   *[F.max(F.col(c).cast("double")).alias(f"b{i}") for i, c in enumerate(num)]).first()
+        r = df.agg(*[F.min(number(q(c))).alias(f"a{i}") for i, c in enumerate(num)],
+                   *[F.max(number(q(c))).alias(f"b{i}") for i, c in enumerate(num)]).first()
         rng = {c: (r[f"a{i}"], r[f"b{i}"]) for i, c in enumerate(num)}
     out = {}
     for c in cols:
@@ -55,26 +101,36 @@ def bin_expr(df: DataFrame, cols, bins: int, as_int: bool = False):
             if lo is None:
                 out[c] = F.lit(None).cast(t)
             elif lo == hi:
-                out[c] = F.when(F.col(c).isNotNull(), F.lit(1)).cast(t)
+                out[c] = F.when(number(q(c)).isNotNull(), F.lit(1)).cast(t)
             else:
-                x = F.col(c).cast("double")
+                x = number(q(c))
                 out[c] = F.least(F.lit(bins), F.floor((x - F.lit(lo)) / F.lit(hi - lo) * bins).cast("int") + 1).cast(t)
         else:
             out[c] = F.col(c).cast("string")
     return out
 
 
-def _mi_from_cells(cells: DataFrame, by=("feature",)) -> DataFrame:
-    """MI (nats) and phi² per group from weighted contingency cells (a, b, n)."""
+def _mi_from_cells(cells: DataFrame, by=("feature",), phi2: bool = True) -> DataFrame:
+    """MI (nats) and, if asked for, phi² per group from weighted contingency
+    cells (a, b, n).
+
+    With N the total, MI = (Σ n ln n − Σ n_a ln n_a − Σ n_b ln n_b + N ln N) / N:
+    plain aggregates of the cell table; phi² joins the margins. The cells of
+    a feature with very many values are never gathered in one task."""
     by = list(by)
-    wa = Window.partitionBy(*by, "a")
-    wb = Window.partitionBy(*by, "b")
-    wt = Window.partitionBy(*by)
-    t = cells.select(*by, "a", "b", "n", F.sum("n").over(wa).alias("na"), F.sum("n").over(wb).alias("nb"),
-                     F.sum("n").over(wt).alias("nn")).filter(F.col("n") > 0)
-    return t.groupBy(*by).agg(
-        F.sum(F.col("n") / F.col("nn") * F.log(F.col("n") * F.col("nn") / (F.col("na") * F.col("nb")))).alias("mi"),
-        (F.sum(F.col("n") * F.col("n") / (F.col("na") * F.col("nb"))) - 1).alias("phi2"))
+    cells = cells.filter(F.col("n") > 0)
+    xlogx = F.sum(F.col("n") * F.log("n"))
+    left = cells.groupBy(*by, "a").agg(F.sum("n").alias("na"))
+    right = cells.groupBy(*by, "b").agg(F.sum("n").alias("nb"))
+    t = cells.groupBy(*by).agg(xlogx.alias("hab"), F.sum("n").alias("nn")) \
+        .join(left.groupBy(*by).agg(F.sum(F.col("na") * F.log("na")).alias("ha")), by) \
+        .join(right.groupBy(*by).agg(F.sum(F.col("nb") * F.log("nb")).alias("hb")), by)
+    t = t.select(*by, ((F.col("hab") - F.col("ha") - F.col("hb")) / F.col("nn") + F.log("nn")).alias("mi"))
+    if not phi2:
+        return t
+    each = cells.join(left, [*by, "a"]).join(right, [*by, "b"])
+    share = each.groupBy(*by).agg((F.sum(F.col("n") * F.col("n") / (F.col("na") * F.col("nb"))) - 1).alias("phi2"))
+    return t.join(share, by)
 
 
 def mutual_information_binned(df: DataFrame, target: str, features=None, bins: int = 10,
@@ -82,15 +138,15 @@ def mutual_information_binned(df: DataFrame, target: str, features=None, bins: i
     """A13 (binned plug-in estimate): MI of each feature with the target.
 
     Unpivot once to (feature, x_bin, y_bin), count cells with map-side
-    partial aggregation, then reduce the cell table per feature.
+    partial aggregation, then reduce the (checkpointed) cell table.
     """
     features = [c for c in (features or df.columns) if c != target]
     be = bin_expr(df, features + [target], bins)
     long = df.select(be[target].alias("b"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), be[c].alias("a")) for c in features])).alias("kv")) \
         .select("kv.feature", "kv.a", "b").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    cells = long.groupBy("feature", "a", "b").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    out = _mi_from_cells(cells).select("feature", "mi").orderBy(F.desc("mi"), "feature")
+    cells = cut_lineage(long.groupBy("feature", "a", "b").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    out = _mi_from_cells(cells, phi2=False).select("feature", "mi").orderBy(F.desc("mi"), "feature")
     return out.limit(k) if k else out
 
 
@@ -183,12 +239,67 @@ def mutual_information(df: DataFrame, target: str, features=None, method: str =
 
 
 def _poisson_weight_sql(u: str, kmax: int = 12) -> str:
+    cdf = poisson1_cdf(kmax)
+    return "CASE " + " ".join(f"WHEN {u} < {c!r} THEN {i}" for i, c in enumerate(cdf)) + f" ELSE {kmax} END"
+
+
+def poisson1_cdf(kmax: int = 12) -> list[float]:
+    """Cumulative probabilities of Poisson(1), for draws by inversion."""
     cdf, p, acc = [], math.exp(-1.0), 0.0
     for i in range(kmax):
         acc += p
         cdf.append(acc)
         p /= (i + 1)
-    return "CASE " + " ".join(f"WHEN {u} < {c!r} THEN {i}" for i, c in enumerate(cdf)) + f" ELSE {kmax} END"
+    return cdf
+
+
+def replicate_weights(bits: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Poisson(1) weight of each (run, row): ``stream_uniform`` of the row's key
+    bits, by inversion."""
+    mask, mult, golden = np.uint64(0xFFFFFFFF), np.uint64(73244475), np.uint64(2654435761)
+    h = (bits[None, :] + runs.astype(np.uint64)[:, None] * golden) & mask
+    for _ in range(2):
+        h = (((h >> np.uint64(16)) ^ h) * mult) & mask
+    return np.searchsorted(poisson1_cdf(), ((h >> np.uint64(16)) ^ h) / 4294967296.0, side="right")
+
+
+def _replicate_cells(n_features: int, runs: int, limit: int = 20_000):
+    """Per cell (feature, a, b) the replicate weights summed over a task's
+    rows; a table of more than ``limit`` cells is handed on and begun anew."""
+    import pyarrow as pa
+
+    def out(found):
+        if found:
+            keys = np.array(list(found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[:, 0].astype(np.int32)), pa.array(keys[:, 1]), pa.array(keys[:, 2]), pa.array(list(found.values()), pa.list_(pa.float64()))],
+                ["fi", "a", "b", "w"])
+            found.clear()
+
+    def run(batches):
+        found: dict = {}
+        for whole in batches:
+            for lo in range(0, len(whole), 8192):
+                part = whole.slice(lo, 8192)
+                b = np.asarray(part.column("b"))
+                w = replicate_weights(np.asarray(part.column("kb")).astype(np.uint64), np.arange(runs)).astype(float)
+                for f in range(n_features):
+                    a = part.column(f"f{f}")
+                    here = np.flatnonzero(np.asarray(a.is_valid()))
+                    if not len(here):
+                        continue
+                    pair = np.stack([a.drop_null().to_numpy(), b[here]], axis=1)
+                    cell, at = np.unique(pair, axis=0, return_inverse=True)
+                    order = np.argsort(at.ravel(), kind="stable")
+                    cuts = np.searchsorted(at.ravel()[order], np.arange(len(cell)))
+                    sums = np.add.reduceat(w[:, here[order]], cuts, axis=1)
+                    for n, (x, y) in enumerate(cell.tolist()):
+                        k = (f, x, y)
+                        found[k] = found[k] + sums[:, n] if k in found else sums[:, n]
+                if len(found) > limit:
+                    yield from out(found)
+        yield from out(found)
+    return run
 
 
 def mi_repeated_binned(df: DataFrame, target: str, features=None, key: str = "row_id", runs: int = C.N_MI_RUNS,
@@ -196,27 +307,25 @@ def mi_repeated_binned(df: DataFrame, target: str, features=None, key: str = "ro
     """A14 (binned variant): MI per (run, feature) on Poisson-bootstrap
     replicates (weight from md5 bits of the key mixed with the run number).
 
-    Rows are expanded by ``runs`` and partially aggregated map-side per
-    cell. Nominal features are label-encoded first (bounded category
-    table, broadcast), so every cell key is a fixed-width integer."""
-    from quarry.functions.columns import key_bits, stream_uniform
+    A task holds, per cell, one sum for each run; rows are never repeated
+    per run. Nominal features are label-encoded first, so every cell key is
+    a fixed-width integer."""
+    from quarry.functions.columns import key_bits
     from quarry.operators.features import label_encode
+    from quarry.session import ship_package
     features = [c for c in (features or df.columns) if c not in (target, key)]
     nom = [c for c in features if _kind(df, c) == "nominal"]
     be = bin_expr(df, [c for c in features if c not in nom] + [target], bins, as_int=True)
     src = label_encode(df.select(key, target, *features), nom) if nom else df
     code = {c: (F.col(c).cast("int") if c in nom else be[c]) for c in features}
-    rep = src.select(key_bits(key, seed).alias("_kb"), be[target].alias("b"),
-                     *[code[c].alias(f"_f{i}") for i, c in enumerate(features)]) \
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
-    rep = rep.withColumn("_u", stream_uniform("_kb", "run")) \
-        .withColumn("w", F.expr(_poisson_weight_sql("_u")).cast("double")).filter(F.col("w") > 0)
-    long = rep.select("run", "b", "w", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("fi"), F.col(f"_f{i}").alias("a")) for i, c in enumerate(features)])).alias("kv")) \
-        .select("run", "kv.fi", "kv.a", "b", "w").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    cells = long.groupBy("run", "fi", "a", "b").agg(F.sum("w").alias("n"))
+    ship_package(df.sparkSession)
+    rows = src.select(key_bits(key, seed).alias("kb"), be[target].cast("long").alias("b"),
+                      *[code[c].cast("long").alias(f"f{i}") for i, c in enumerate(features)]).filter(F.col("b").isNotNull())
+    cells = rows.mapInArrow(_replicate_cells(len(features), runs), "fi int, a long, b long, w array<double>")
+    cells = cells.select("fi", "a", "b", F.posexplode("w").alias("run", "w")).groupBy("run", "fi", "a", "b").agg(F.sum("w").alias("n"))
+    cells = cut_lineage(cells)
     names = df.sparkSession.createDataFrame(list(enumerate(features)), "fi int, feature string")
-    mi = _mi_from_cells(cells, by=("run", "fi"))
+    mi = _mi_from_cells(cells, by=("run", "fi"), phi2=False)
     return mi.join(F.broadcast(names), "fi").select("run", "feature", "mi")
 
 
@@ -244,28 +353,8 @@ def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -
     num = [c for c in cols if kinds[c] == "numeric"]
     nom = [c for c in cols if kinds[c] == "nominal"]
     parts = []
-    pn = [(a, b) for i, a in enumerate(num) for b in num[i + 1:]]
-    if len(pn) > PAIRWISE_AGG_LIMIT:
-        # wide: one Gram-statistics pass (d² numbers shuffled) instead of one aggregate
-        # expression per pair; rows with a null in any numeric column are left out
-        from quarry.operators.linear import gram_stats
-        st = gram_stats(df.select(*num, F.lit(0.0).alias("_y")).dropna(), num, "_y")[0]
-        mx = st.sx / st.n
-        cov = st.sxx / st.n - np.outer(mx, mx)
-        sd = np.sqrt(np.clip(np.diag(cov), 0, None))
-        rows = []
-        for i, j in itertools.combinations(range(len(num)), 2):
-            den = sd[i] * sd[j]
-            rows.append((num[i], num[j], float(cov[i, j] / den) if den > 0 else None, "pearson"))
-        parts.append(spark.createDataFrame(rows, "feature_a string, feature_b string, assoc double, kind string"))
-        pn = []
-    if pn:
-        one = df.agg(*[pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
-                       for i, (a, b) in enumerate(pn)])
-        names = [(f"{i}", f"p{i}") for i in range(len(pn))]
-        lp = stack_row(one, names, "pid", "assoc")
-        pt = spark.createDataFrame([(str(i), a, b) for i, (a, b) in enumerate(pn)], "pid string, feature_a string, feature_b string")
-        parts.append(lp.join(F.broadcast(pt), "pid").select("feature_a", "feature_b", "assoc", F.lit("pearson").alias("kind")))
+    if len(num) > 1:
+        parts.append(pairwise_pearson(df, num).withColumn("kind", F.lit("pearson")))
     pc = [(a, b) for i, a in enumerate(nom) for b in nom[i + 1:]]
     if pc:
         long = df.select(F.explode(F.array(*[
@@ -355,8 +444,10 @@ def cluster_round(dist: DataFrame, clusters: DataFrame, threshold: float) -> Dat
     a = clusters.select(F.col("feature").alias("feature_a"), F.col("cluster").alias("ca"))
     b = clusters.select(F.col("feature").alias("feature_b"), F.col("cluster").alias("cb"))
     cd = (dist.join(F.broadcast(a), "feature_a").join(F.broadcast(b), "feature_b")
-          .filter(F.col("ca") != F.col("cb"))
-          .groupBy("ca", "cb").agg(F.avg("distance").alias("d")))
+          .filter(F.col("ca") < F.col("cb"))
+          .groupBy("ca", "cb").agg(F.round(F.avg("distance"), 12).alias("d")))
+    # both orientations of one number, so that a nearest pair is nearest from either side
+    cd = cd.unionByName(cd.select(F.col("cb").alias("ca"), F.col("ca").alias("cb"), "d"))
     w = Window.partitionBy("ca").orderBy("d", "cb")
     nn = cd.withColumn("r", F.row_number().over(w)).filter("r = 1").select("ca", F.col("cb").alias("nb"), "d")
     back = nn.select(F.col("ca").alias("nb"), F.col("nb").alias("ca"))

@@ -88,9 +88,35 @@ def train_test_split(df: DataFrame, key: str = "row_id", test_size: float = C.TE
 def kfold(df: DataFrame, key: str = "row_id", k: int = C.N_SPLITS_CV, seed: str = C.SEED_TEXT,
           stratify_by: str | None = None, fold_col: str = "fold") -> DataFrame:
     """Shuffled folds whose sizes differ by at most one (per stratum
-    when ``stratify_by`` is given)."""
-    r = hash_rank(df, key, seed, partition_by=[stratify_by] if stratify_by else [])
-    return r.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_n")
+    when ``stratify_by`` is given): contiguous slices of the hash order.
+
+    Only the k − 1 (md5, key) pairs at the slice ends are computed, per
+    stratum; the fold itself is a projection that counts the pairs before a
+    row, so the data is never shuffled."""
+    from quarry.session import cut_lineage
+    stratum = F.coalesce(F.col(stratify_by).cast("string"), F.lit("\u0000")) if stratify_by else F.lit("")
+    d = df.select(stratum.alias("_s"), F.col(key).alias("_k"), hash_key(key, seed).alias("_h")) \
+        .withColumn("_b", F.substring("_h", 1, C.RANK_BUCKET_HEX))
+    counts = cut_lineage(d.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_c")))  # at most 16^5 rows per stratum
+    before = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_s", "_b", "_c", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_c").over(Window.partitionBy("_s")).alias("_n"))
+    i = F.col("_i")
+    ends = offs.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(k - 1)))) \
+        .withColumn("_r", i * F.floor(F.col("_n") / k) + F.least(i, F.col("_n") % k) - F.col("_off")) \
+        .filter((F.col("_r") >= 1) & (F.col("_r") <= F.col("_c"))).select("_s", "_b", "_i", "_r")
+    ends = cut_lineage(ends)  # k − 1 rows per stratum
+    place = F.row_number().over(Window.partitionBy("_s", "_b", "_i").orderBy("_h", "_k"))
+    cuts = d.join(ends, ["_s", "_b"]).withColumn("_p", place).filter("_p = _r") \
+        .groupBy("_s").agg(F.sort_array(F.collect_list(F.struct("_h", "_k"))).alias("_cuts"))
+    cuts = cut_lineage(cuts)
+    marked = df.withColumn("_s", stratum)
+    if cuts.count() <= C.BROADCAST_ROW_LIMIT // 1000:
+        cuts = F.broadcast(cuts)  # one row per stratum, measured
+    own = F.struct(hash_key(key, seed).alias("_h"), F.col(key).alias("_k"))
+    out = marked.join(cuts, "_s", "left").withColumn("_own", own)
+    fold = F.size(F.filter(F.coalesce("_cuts", F.array().cast(cuts.schema["_cuts"].dataType)), lambda t: t < F.col("_own")))
+    return out.withColumn(fold_col, fold.cast("int")).select(*df.columns, fold_col)
 
 
 @dataclass
@@ -218,28 +244,44 @@ def fit_column_transformer(train: DataFrame, exclude=("row_id", "split", "label"
     return ColumnTransformerModel(fit_standard_scaler(train, num), fit_one_hot(train, cat), rem)
 
 
-def label_encode(df: DataFrame, cols, max_per_column: int = C.MAX_CATEGORIES) -> DataFrame:
-    """M5: category → index in sorted order (0-based), per column.
+def category_codes(df: DataFrame, cols) -> DataFrame:
+    """M5 (fit): ``(column, value, code)`` with 0-based codes in sorted order
+    of each column's distinct non-null values, however many there are.
 
-    Fit: the distinct values per column (bounded and checked, never
-    truncated) are collected sorted; transform: a literal map lookup, i.e.
-    a plain projection of the input with no join or shuffle."""
-    cols = list(cols)
+    The distinct values are sorted by range; a code is the value's place in
+    its partition plus the number of the column's values in partitions before
+    (one small row per partition and column)."""
+    from quarry.session import cut_lineage
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("kv")) \
+        .select("kv.column", "kv.value").filter(F.col("value").isNotNull()).distinct()
+    ranged = long.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
+    ranged = cut_lineage(ranged.withColumn("_m", F.monotonically_increasing_id()))
+    part = F.shiftright("_m", 33)
+    runs = ranged.groupBy("column", part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"), F.min("_m").alias("_first"))
+    before = Window.partitionBy("column").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
+    coded = ranged.withColumn("_p", part).join(F.broadcast(runs), ["column", "_p"])
+    return cut_lineage(coded.select("column", "value", (F.col("_off") + F.col("_m") - F.col("_first")).alias("code")))
+
+
+def label_encode(df: DataFrame, cols) -> DataFrame:
+    """M5: category → index in sorted order (0-based), per column; null stays null.
+
+    Each column is joined with its code table, which is broadcast if its
+    measured size is small and shuffled otherwise."""
+    cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    cats = distinct_values(df, cols, max_per_column)
-    out = []
-    for c in df.columns:
-        if c in cats and cats[c]:
-            kv = []
-            for i, v in enumerate(cats[c]):
-                kv += [F.lit(v), F.lit(i).cast("long")]
-            out.append(F.element_at(F.create_map(*kv), F.col(c).cast("string")).alias(c))
-        elif c in cats:
-            out.append(F.lit(None).cast("long").alias(c))
-        else:
-            out.append(F.col(c))
-    return df.select(*out)
+    codes = category_codes(df, cols)
+    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = df
+    for i, c in enumerate(cols):
+        t = codes.filter(F.col("column") == c).select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
+        if sizes.get(c, 0) <= C.BROADCAST_ROW_LIMIT // 10:
+            t = F.broadcast(t)
+        out = out.join(t, F.col(c).cast("string") == F.col(f"_v{i}"), "left")
+    return out.select(*[F.col(f"_c{cols.index(c)}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k: int = 5,
@@ -261,8 +303,11 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
     if not counts:
         return df.withColumn("synthetic", F.lit(False))
     n_major = max(counts.values())
+    alone = [c for c, n in counts.items() if n == 1 and n < n_major]
+    if alone:
+        raise ValueError(f"classes with one row have no neighbour to interpolate with: {alone}")
     blocks = {c: max(1, -(-n // block_rows)) for c, n in counts.items()}
-    minority = [c for c, n in counts.items() if n < n_major and n > 1]
+    minority = [c for c, n in counts.items() if n < n_major]
     base = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in feats])
     if not minority:
         return base.withColumn("synthetic", F.lit(False))
@@ -307,9 +352,10 @@ def knn_within_class(df: DataFrame, features, label: str = "label", key: str = "
 
     Each class is cut into hash blocks of at most ``block_rows`` rows; every
     (query block, reference block) pair is scored in ``applyInPandas`` keeping
-    the k best per query row, and a window over each row's candidates
-    (blocks × k of them) keeps the final k. Work is quadratic per class, as
-    exact neighbour search is; memory per group is two blocks."""
+    the k best per query row (all ties of the last place are seen, the smallest
+    keys win), and a window over each row's candidates (blocks × k of them)
+    keeps the final k. Work is quadratic per class, as exact neighbour search
+    is; memory per group is two blocks and a strip of differences."""
     import numpy as np
     import pandas as pd
 
@@ -338,16 +384,23 @@ def knn_within_class(df: DataFrame, features, label: str = "label", key: str = "
             return pd.DataFrame({key: [], "nb": [], "d2": []})
         qx = qs[feats].to_numpy(float)
         rx = rs[feats].to_numpy(float)
-        d2 = ((qx[:, None, :] - rx[None, :, :]) ** 2).sum(axis=2)
-        same = qs[key].to_numpy()[:, None] == rs[key].to_numpy()[None, :]
-        d2[same] = np.inf
-        kk_ = min(kk, d2.shape[1])
-        idx = np.argpartition(d2, kk_ - 1, axis=1)[:, :kk_]
-        rows = np.repeat(np.arange(len(qs)), kk_)
-        cols = idx.reshape(-1)
-        dd = d2[rows, cols]
-        ok = np.isfinite(dd)
-        return pd.DataFrame({key: qs[key].to_numpy()[rows][ok], "nb": rs[key].to_numpy()[cols][ok], "d2": dd[ok]})
+        qk, rk = qs[key].to_numpy(), rs[key].to_numpy()
+        by_key = np.argsort(rk, kind="stable")
+        rx, rk = rx[by_key], rk[by_key]
+        strip = max(1, (1 << 22) // max(1, rx.size))  # at most 32 MiB of differences at a time
+        out = []
+        for lo in range(0, len(qx), strip):
+            d2 = ((qx[lo:lo + strip, None, :] - rx[None, :, :]) ** 2).sum(axis=2)
+            d2[qk[lo:lo + strip, None] == rk[None, :]] = np.inf
+            n = min(kk, d2.shape[1])
+            worst = np.partition(d2, n - 1, axis=1)[:, n - 1:n]
+            row, col = np.nonzero((d2 <= worst) & np.isfinite(d2))  # all ties of the last place
+            dd = d2[row, col]
+            order = np.lexsort((col, dd, row))  # columns are in key order
+            row, col, dd = row[order], col[order], dd[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < n
+            out.append(pd.DataFrame({key: qk[lo + row[keep]], "nb": rk[col[keep]], "d2": dd[keep]}))
+        return pd.concat(out)
 
     key_t = df.schema[key].dataType.simpleString()
     cand = q.unionByName(r).groupBy(label, "_qb", "_rb").applyInPandas(knn, f"{key} {key_t}, nb {key_t}, d2 double")

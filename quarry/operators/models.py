@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import config as C
+from quarry.functions.columns import q
 from quarry.operators.linear import LINEAR_FAMILIES, linear_grid_search
 
 log = logging.getLogger("quarry.models")
@@ -98,6 +99,19 @@ def rff_transformer(n_features: int, gamma: float, n_components: int = 64, seed:
 TREE_PASS_OPTS = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
+def scale_gamma(train: DataFrame | None, features) -> float:
+    """The 'scale' width of an RBF kernel: 1 / (columns · variance of the whole matrix)."""
+    d = len(features)
+    if train is None or not d:
+        return 1.0 / max(d, 1)
+    x = [F.col(q(f)).cast("double") for f in features]
+    r = train.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)], *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(x)]).first()
+    means = [r[f"m{i}"] or 0.0 for i in range(d)]
+    grand = sum(means) / d
+    total = sum((r[f"v{i}"] or 0.0) + (means[i] - grand) ** 2 for i in range(d)) / d
+    return 1.0 / (d * total) if total else 1.0 / d
+
+
 def _grid_str(params: dict) -> str:
     return "{" + ", ".join(f"'{k}': {v!r}" for k, v in params.items()) + "}"
 
@@ -124,7 +138,7 @@ def model_spec(name: str, features, train: DataFrame | None = None, label: str =
         note = " [approximate: huber loss; rbf via random Fourier features]"
         n = train.count() if train is not None else 1
         d = len(features)
-        gamma = 1.0 / d if d else 1.0  # 'scale' on standardised features
+        gamma = scale_gamma(train, features)
         rff = rff_transformer(d, gamma, n_components=64, input_cols=list(features))
         rff_cols = [f"rff_{j}" for j in range(64)]
         va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
@@ -140,17 +154,13 @@ def model_spec(name: str, features, train: DataFrame | None = None, label: str =
                                     **TREE_PASS_OPTS)
         maps = [(p, {est.numTrees: p["n_estimators"], est.maxDepth: p["max_depth"],
                      est.minInstancesPerNode: p["min_samples_leaf"]}) for p in points]
-    elif name in ("Gradient Boosting", "XGBoost"):
+    elif name == "Gradient Boosting":
         note = " [first tree unshrunk]"
         est = GBTRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=64, **TREE_PASS_OPTS)
         maps = [(p, {est.maxIter: p["n_estimators"], est.stepSize: p["learning_rate"], est.maxDepth: p["max_depth"]})
                 for p in points]
-    elif name in ("Hist Gradient Boosting", "LightGBM"):
-        note = " [depth-wise trees; first tree unshrunk]"
-        leaves_key = "max_leaf_nodes" if name == "Hist Gradient Boosting" else "num_leaves"
-        est = GBTRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=255, **TREE_PASS_OPTS)
-        maps = [(p, {est.maxIter: p.get("n_estimators", 100), est.stepSize: p["learning_rate"],
-                     est.maxDepth: int(math.ceil(math.log2(p[leaves_key])))}) for p in points]
+    elif name in C.BOOSTING_ALIASES:
+        raise ValueError(f"{name} is another implementation of boosted trees; use Gradient Boosting")
     else:
         raise ValueError(f"unknown model {name}")
     pipe = Pipeline(stages=[va, est])
@@ -184,10 +194,11 @@ def grid_search(name: str, train: DataFrame, features, label: str = "label", fol
 
 
 RESULT_SCHEMA = ("`Model` string, `Feature Set Name` string, `Number of Features` int, `Threshold Value` double, "
-                 "`Best Params` string, `Test R2 Score` double, `Test MSE` double, `Test MAE` double")
+                 "`Best Params` string, `Test R2 Score` double, `Test MSE` double, `Test MAE` double, "
+                 "`Position` int, `Error` string")
 
 
-def benchmark(train: DataFrame, test: DataFrame, features, models=C.MODEL_NAMES,
+def benchmark(train: DataFrame, test: DataFrame, features, models=C.SPARK_MODEL_NAMES,
               thresholds=C.CLUSTERING_THRESHOLDS_TO_TEST, label: str = "label", fold_col: str = "fold",
               metric: str = "mse", store=None, assoc: DataFrame | None = None, parallelism: int = 4,
               cv_out: list | None = None):
@@ -197,45 +208,49 @@ def benchmark(train: DataFrame, test: DataFrame, features, models=C.MODEL_NAMES,
     (``quarry.operators.linear``); the others run ``CrossValidator``.
     ``train`` must carry the fold column. Each threshold picks a feature
     set with M9+A17 on the training association table; a failing model
-    is logged and skipped. Returns (results DataFrame, {combo_key: model}).
+    keeps its row, with the error and no scores. Position numbers the rows
+    in the order of the sweep. Returns (results DataFrame, {combo_key: model}).
     """
     from quarry.operators.assoc import association_matrix, select_by_clustering
     from quarry.operators.project import align_columns
     spark = train.sparkSession
     rows, fitted = [], {}
     train = train.persist()
-    for t in thresholds:
-        label_fs = "Original Features" if t is None else f"Clustered (Thresh={t})"
-        if t is None:
-            feats = list(features)
-        else:
-            a = assoc if assoc is not None else association_matrix(train.select(*features), list(features))
-            feats = select_by_clustering(a, features, t)
-        test_fs = align_columns(test, feats, keep=("row_id", label))
-        lin = [m for m in models if m in LINEAR_FAMILIES]
-        lin_fits = linear_grid_search(train, feats, lin, label, fold_col) if lin and metric in ("mse", "rmse") else {}
-        for name in models:
-            try:
-                if name in lin_fits:
-                    model, params, table = lin_fits[name]
-                    cv = [(_grid_str(p), v) for p, v in table]
-                    note = ""
-                else:
-                    model, params, cv, note = grid_search(name, train, feats, label, fold_col, metric=metric,
-                                                          parallelism=parallelism)
-                if cv_out is not None:
-                    cv_out += [(name, label_fs, p, float(v)) for p, v in cv]
-                pred = model.transform(test_fs)
-                m = regression_metrics(pred, label).first()
-                key = f"{name}_{label_fs}"
-                fitted[key] = (model, feats)
-                if store is not None:
-                    store.put(key, name, label_fs, model)
-                rows.append((name, label_fs, len(feats), None if t is None else float(t), _grid_str(params) + note,
-                             m["r2"], m["mse"], m["mae"]))
-            except Exception as e:  # noqa: BLE001 - the sweep keeps going, as the analysed pipeline does
-                log.error("model %s on %s failed: %s", name, label_fs, e)
-    train.unpersist()
+    try:
+        for t in thresholds:
+            label_fs = "Original Features" if t is None else f"Clustered (Thresh={t})"
+            if t is None:
+                feats = list(features)
+            else:
+                a = assoc if assoc is not None else association_matrix(train.select(*[q(f) for f in features]), list(features))
+                feats = select_by_clustering(a, features, t)
+            test_fs = align_columns(test, feats, keep=("row_id", label))
+            lin = [m for m in models if m in LINEAR_FAMILIES]
+            lin_fits: dict = {}
+            for name in models:
+                head = (name, label_fs, len(feats), None if t is None else float(t))
+                try:
+                    if name in lin and metric in ("mse", "rmse"):
+                        lin_fits = lin_fits or linear_grid_search(train, feats, lin, label, fold_col)
+                        model, params, table = lin_fits[name]
+                        cv = [(_grid_str(p), v) for p, v in table]
+                        note = ""
+                    else:
+                        model, params, cv, note = grid_search(name, train, feats, label, fold_col, metric=metric,
+                                                              parallelism=parallelism)
+                    if cv_out is not None:
+                        cv_out += [(name, label_fs, p, float(v)) for p, v in cv]
+                    m = regression_metrics(model.transform(test_fs), label).first()
+                    key = f"{name}_{label_fs}"
+                    fitted[key] = (model, feats)
+                    if store is not None:
+                        store.put(key, name, label_fs, model)
+                    rows.append((*head, _grid_str(params) + note, m["r2"], m["mse"], m["mae"], len(rows), None))
+                except Exception as e:  # noqa: BLE001 - the sweep keeps going; the row says what failed
+                    log.error("model %s on %s failed: %s", name, label_fs, e)
+                    rows.append((*head, None, None, None, None, len(rows), f"{type(e).__name__}: {e}"[:500]))
+    finally:
+        train.unpersist()
     return spark.createDataFrame(rows, RESULT_SCHEMA), fitted
 
 

@@ -7,10 +7,12 @@ Catalyst prunes down to the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.columns import q
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
 
@@ -77,15 +79,8 @@ def low_variation_columns(df: DataFrame, threshold: int = 1, cols=None) -> list[
         r = df.agg(*aggs).first()
         return [c for i, c in enumerate(cols)
                 if r[f"a{i}"] is None or r[f"a{i}"] == r[f"b{i}"]]
-    # HLL sketches first (one pass, relative error ~5%): only columns whose estimate is
-    # near or under the threshold are counted exactly
-    r = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"h{i}") for i, c in enumerate(cols)]).first()
-    margin = lambda t: 1.25 * t + 10  # noqa: E731 - generous versus the sketch's error
-    near = [c for i, c in enumerate(cols) if r[f"h{i}"] <= margin(threshold)]
-    if not near:
-        return []
     from quarry.operators.stats import n_unique
-    counts = {row["column"]: row["n_unique"] for row in n_unique(df, near).collect()}
+    counts = {row["column"]: row["n_unique"] for row in n_unique(df, cols).collect()}
     return [c for c in cols if c in counts and counts[c] <= threshold]
 
 
@@ -120,37 +115,15 @@ def align_columns(df: DataFrame, columns, fill=0, keep=()) -> DataFrame:
     """Training columns in training order; missing ones as ``fill``; extras dropped."""
     have = set(df.columns)
     return df.select(*[F.col(k) for k in keep if k in have],
-                     *[F.col(c) if c in have else F.lit(fill).cast("double").alias(c) for c in columns])
+                     *[F.col(q(c)) if c in have else F.lit(fill).cast("double").alias(c) for c in columns])
 
 
 def select_features(df: DataFrame, names, keep=("row_id", "label")) -> DataFrame:
     """Keep the chosen features (plus key/label columns)."""
-    return df.select(*[k for k in keep if k in df.columns], *names)
-
-
-class FilterReport:
-    """P10: row counts before/after steps via ``observe`` (no extra jobs).
-
-    Counts are filled in when an action runs on the observed DataFrame.
-    """
-
-    def __init__(self):
-        self.steps: list[tuple[str, Observation]] = []
-
-    def mark(self, df: DataFrame, step: str) -> DataFrame:
-        obs = Observation(step)
-        self.steps.append((step, obs))
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
-
-    def table(self, spark):
-        rows = [(s, int(o.get["rows"])) for s, o in self.steps]
-        return spark.createDataFrame(rows, "step string, rows long")
+    return df.select(*[k for k in keep if k in df.columns], *[F.col(q(n)) for n in names])
 
 
-def filter_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """P10 as a query: rows before, after and dropped, one job over both sides."""
-    u = before.select(F.lit(1).alias("_b"), F.lit(0).alias("_a")).unionByName(
-        after.select(F.lit(0).alias("_b"), F.lit(1).alias("_a")))
-    return u.agg(F.sum("_b").cast("long").alias("rows_before"),
-                 F.sum("_a").cast("long").alias("rows_after")) \
-        .withColumn("rows_dropped", F.col("rows_before") - F.col("rows_after"))
+def filter_report(df: DataFrame, keep) -> DataFrame:
+    """P10: rows before, after and dropped by the condition ``keep``, in one scan."""
+    out = df.agg(F.count(F.lit(1)).alias("rows_before"), F.count(F.when(keep, 1)).alias("rows_after"))
+    return out.withColumn("rows_dropped", F.col("rows_before") - F.col("rows_after"))

@@ -15,15 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import config as C
-from quarry.functions.columns import bias_verdict, significance_verdict, to_numeric, uniform_from_key
+from quarry.functions.columns import bias_verdict, nan_to_null, number, q, significance_verdict, to_numeric
 from quarry.operators.quantile import exact_quantiles
 
 
-def q(name: str) -> str:
-    """Back-quote a column name for SQL expressions."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def lit_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -70,7 +65,7 @@ def fit_means(df: DataFrame, cols, only_if_null: bool = True) -> dict:
         return {}
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
-        aggs += [F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.count(F.col(c)).alias(f"c{i}")]
+        aggs += [F.avg(number(q(c))).alias(f"m{i}"), F.count(number(q(c))).alias(f"c{i}")]
     r = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(cols):
@@ -96,7 +91,7 @@ def fit_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 100_0
     if not cols:
         return {}
     if approx:
-        r = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"m{i}")
+        r = df.agg(*[F.percentile_approx(number(q(c)), 0.5, accuracy).alias(f"m{i}")
                      for i, c in enumerate(cols)]).first()
         return {c: r[f"m{i}"] for i, c in enumerate(cols) if r[f"m{i}"] is not None}
     long = df.select(F.explode(F.array(*[
@@ -115,12 +110,12 @@ def impute_median(df: DataFrame, cols, approx: bool = False) -> DataFrame:
 def sample_skewness(c) -> Column:
     """Bias-corrected sample skewness (pandas ``skew``; Spark's is population)."""
     n = F.count(c).cast("double")
-    return F.sqrt(n * (n - 1)) / (n - 2) * F.skewness(c)
+    return F.when(n > 2, F.try_divide(F.sqrt(n * (n - 1)), n - 2) * F.skewness(c))
 
 
 def describe_target(df: DataFrame, col: str) -> DataFrame:
     """A4 + C12: n, mean, median, sample std, sample skew and verdicts."""
-    x = F.col(col).cast("double")
+    x = number(col)
     med = exact_quantiles(df, col, [0.5]).first()
     base = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                   sample_skewness(x).alias("skew"))
@@ -161,13 +156,13 @@ def class_distribution_from_split(df: DataFrame, label: str = "label", split_col
 
 
 def min_max(df: DataFrame, col: str) -> DataFrame:
-    """Column range."""
-    return df.agg(F.min(col).alias("min"), F.max(col).alias("max"))
+    """Column range (NaN is missing)."""
+    return nan_to_null(df.select(col)).agg(F.min(col).alias("min"), F.max(col).alias("max"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = C.HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed."""
-    x = F.col(col).cast("double")
+    x = number(col)
     r = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
     mn, mx = r["mn"], r["mx"]
     if mn is None:
@@ -191,7 +186,7 @@ def kde(df: DataFrame, col: str, grid=None, n_grid: int = 200) -> DataFrame:
     One pass for (n, sample std, min, max), then one aggregate holding one
     sum per grid point, so rows are never replicated per grid point.
     """
-    x = F.col(col).cast("double")
+    x = number(col)
     r = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("mn"),
                F.max(x).alias("mx")).first()
     n, sd = r["n"], r["sd"]
@@ -219,16 +214,16 @@ def box_stats(df: DataFrame, col: str, by=None) -> DataFrame:
     qs = exact_quantiles(df, col, [0.25, 0.5, 0.75], by=by)
     qw = (qs.groupBy(*by).pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value"))
           .withColumnRenamed("0.25", "q1").withColumnRenamed("0.5", "median").withColumnRenamed("0.75", "q3"))
-    x = F.col(col).cast("double")
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    inside = (x >= lo) & (x <= hi)
-    src = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
-    if by:
-        joined = src.join(F.broadcast(qw), by)
+    src = df.select(*by, number(col).alias("_x")).filter(F.col("_x").isNotNull())
+    if by:  # null is a group like any other
+        keys = qw.select(*[F.col(b).alias(f"_g{i}") for i, b in enumerate(by)], "q1", "median", "q3")
+        same = [F.col(b).eqNullSafe(F.col(f"_g{i}")) for i, b in enumerate(by)]
+        joined = src.join(keys, same).drop(*[f"_g{i}" for i in range(len(by))])
     else:  # one row of quartiles → literals
         r = qw.first()
-        joined = src.select("_x", *[F.lit(r[c]).cast("double").alias(c) for c in ("q1", "median", "q3")])
+        joined = src.select("_x", *[F.lit(r[c] if r else None).cast("double").alias(c) for c in ("q1", "median", "q3")])
     inside = (F.col("_x") >= lo) & (F.col("_x") <= hi)
     agg = joined.groupBy(*by, "q1", "median", "q3").agg(
         F.count(F.lit(1)).alias("n"),
@@ -253,8 +248,8 @@ def feature_target_corr(df: DataFrame, target: str, features=None, k: int | None
     row into ``(feature, corr, abs_corr)`` rows.
     """
     features = [c for c in (features or df.columns) if c != target]
-    y = F.col(target).cast("double")
-    one = df.agg(*[pearson(F.col(c).cast("double"), y).alias(f"c{i}") for i, c in enumerate(features)])
+    y = number(target)
+    one = df.agg(*[pearson(number(q(c)), y).alias(f"c{i}") for i, c in enumerate(features)])
     long = stack_row(one, [(c, f"c{i}") for i, c in enumerate(features)], "feature", "corr")
     out = long.select("feature", "corr", F.abs("corr").alias("abs_corr")) \
         .orderBy(F.desc_nulls_last("abs_corr"), F.asc("feature"))
@@ -328,22 +323,32 @@ def paired_ttest(df: DataFrame, a: str, b: str, alpha: float = C.SIGNIFICANCE_AL
 
 def trend_line(df: DataFrame, x: str, y: str) -> DataFrame:
     """OLS line; zero-variance x gives null slope/intercept."""
-    xx, yy = F.col(x).cast("double"), F.col(y).cast("double")
+    xx, yy = number(x), number(y)
     return df.agg(F.regr_count(yy, xx).alias("n"), F.regr_slope(yy, xx).alias("slope"),
                   F.regr_intercept(yy, xx).alias("intercept"), F.regr_r2(yy, xx).alias("r2"))
 
 
-def _poisson1_weight(u: Column, kmax: int = 12) -> Column:
-    """Poisson(1) draw from a uniform by inverse CDF (thresholds from the pmf)."""
-    cdf, p, acc = [], math.exp(-1.0), 0.0
-    for k in range(kmax):
-        acc += p
-        cdf.append(acc)
-        p /= (k + 1)
-    expr = F.lit(kmax)
-    for k in reversed(range(kmax)):
-        expr = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(expr)
-    return expr
+def _replicate_sums(n_boot: int, cx: float, cy: float):
+    """Weighted sums (1, x, y, xx, xy) of every replicate, one row per task and
+    replicate: rows are never repeated per replicate."""
+    import numpy as np
+    import pyarrow as pa
+    from quarry.operators.assoc import replicate_weights
+
+    def run(batches):
+        total = np.zeros((n_boot, 5))
+        for b in batches:
+            bits = np.asarray(b.column("_kb")).astype(np.uint64)
+            x, y = np.asarray(b.column("_x")) - cx, np.asarray(b.column("_y")) - cy
+            terms = np.stack([np.ones_like(x), x, y, x * x, x * y], axis=1)
+            for lo in range(0, len(x), 1024):
+                own = bits[lo : lo + 1024]
+                for first in range(0, n_boot, 250):
+                    run_no = np.arange(first, min(first + 250, n_boot))
+                    total[run_no] += replicate_weights(own, run_no) @ terms[lo : lo + 1024]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_boot, dtype=np.int32)), *(pa.array(total[:, i].copy()) for i in range(5))],
+                                         ["b", "sw", "sx", "sy", "sxx", "sxy"])
+    return run
 
 
 def trend_band(df: DataFrame, x: str, y: str, key: str = "row_id", n_boot: int = 1000,
@@ -351,30 +356,30 @@ def trend_band(df: DataFrame, x: str, y: str, key: str = "row_id", n_boot: int =
     """Bootstrap band of the OLS line (Poisson bootstrap).
 
     Each row gets a Poisson(1) weight per replicate from a hash of
-    (key, replicate); replicate sums are partially aggregated map-side,
-    so only ``n_boot`` small rows are shuffled. The band is the
+    (key, replicate); a task multiplies its weight matrix by the terms of
+    its rows and hands on ``n_boot`` rows of sums. The band is the
     percentile of replicate predictions per grid point (``n_boot`` values
     per point: a bounded group).
     """
-    xx, yy = F.col(x).cast("double"), F.col(y).cast("double")
+    xx, yy = number(x), number(y)
     r = df.agg(F.min(xx).alias("mn"), F.max(xx).alias("mx")).first()
     if r["mn"] is None:
         return df.sparkSession.createDataFrame([], "gx double, lower double, upper double")
     grid = [r["mn"] + (r["mx"] - r["mn"]) * i / max(n_grid - 1, 1) for i in range(n_grid)]
-    rep = df.select(F.col(key).alias("_k"), xx.alias("_x"), yy.alias("_y")).filter(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull()) \
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-    # 32 bits of a JVM-native hash of (key, replicate, seed): no string building per row × replicate
-    u = F.xxhash64(F.col("_k"), F.col("b"), F.lit(seed)).bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") / F.lit(4294967296.0)
-    w = _poisson1_weight(u).cast("double")
-    sums = rep.withColumn("w", w).groupBy("b").agg(
-        F.sum("w").alias("sw"), F.sum(F.col("w") * F.col("_x")).alias("sx"),
-        F.sum(F.col("w") * F.col("_y")).alias("sy"), F.sum(F.col("w") * F.col("_x") * F.col("_x")).alias("sxx"),
-        F.sum(F.col("w") * F.col("_x") * F.col("_y")).alias("sxy"))
+    from quarry.functions.columns import key_bits
+    from quarry.session import ship_package
+    ship_package(df.sparkSession)
+    mid = df.agg(F.avg(xx).alias("x"), F.avg(yy).alias("y")).first()
+    cx, cy = mid["x"] or 0.0, mid["y"] or 0.0  # centred sums stay accurate far from the origin
+    rep = df.select(key_bits(key, seed).alias("_kb"), xx.alias("_x"), yy.alias("_y")).filter(
+        F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    sums = rep.mapInArrow(_replicate_sums(n_boot, cx, cy), "b int, sw double, sx double, sy double, sxx double, sxy double") \
+        .groupBy("b").agg(*[F.sum(c).alias(c) for c in ("sw", "sx", "sy", "sxx", "sxy")])
     slope = F.try_divide(F.col("sw") * F.col("sxy") - F.col("sx") * F.col("sy"),
                          F.col("sw") * F.col("sxx") - F.col("sx") * F.col("sx"))
     lines = sums.select("b", slope.alias("m"), F.col("sx"), F.col("sy"), F.col("sw")) \
-        .select("b", "m", ((F.col("sy") - F.col("m") * F.col("sx")) / F.col("sw")).alias("c"))
+        .select("b", "m", (F.try_divide(F.col("sy") - F.col("m") * F.col("sx"), F.col("sw"))
+                           + F.lit(cy) - F.col("m") * F.lit(cx)).alias("c"))
     gl = F.array(*[F.lit(float(g)) for g in grid])
     pts = lines.select("b", "m", "c", F.explode(gl).alias("gx")) \
         .select("gx", (F.col("m") * F.col("gx") + F.col("c")).alias("yhat"))

@@ -143,9 +143,8 @@ def q_drop_null_target(spark, sf_dir):
 @register("filter_report", "P10", """
 SELECT count(*) AS rows_before, count(Difference) AS rows_after, count(*) - count(Difference) AS rows_dropped FROM d1""")
 def q_filter_report(spark, sf_dir):
-    from quarry.operators.project import drop_null_rows, filter_report
-    df = d1(spark, sf_dir)
-    return filter_report(df, drop_null_rows(df, [C.TARGET_COLUMN]))
+    from quarry.operators.project import filter_report
+    return filter_report(d1(spark, sf_dir), F.col(C.TARGET_COLUMN).isNotNull())
 
 
 @register("drop_low_variation", "P5 P1", """
@@ -344,7 +343,7 @@ def q_trend_line(spark, sf_dir):
 @register("trend_band", "A21")
 def q_trend_band(spark, sf_dir):
     from quarry.operators.stats import trend_band
-    return rounded(trend_band(d3(spark, sf_dir), "value", "label", "row_id", n_boot=200, n_grid=20))
+    return rounded(trend_band(d3(spark, sf_dir), "value", "label", "row_id", n_boot=1000, n_grid=100))
 
 
 # --------------------------------------------------------------------------- scalar functions (C)
@@ -470,17 +469,25 @@ def q_train_test_split(spark, sf_dir):
     return split_d3(spark, sf_dir).select("row_id", "split")
 
 
+#: Slice of the hash order that rank r (from 0) of n rows falls into, of five slices.
+FOLD_SQL = ("CAST(CASE WHEN r < (n % 5) * (n // 5 + 1) THEN r // (n // 5 + 1) "
+            "ELSE n % 5 + (r - (n % 5) * (n // 5 + 1)) // greatest(n // 5, 1) END AS INTEGER)")
+
+
 @register("kfold", "M10", f"""
-SELECT row_id, CAST((row_number() OVER (ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) - 1) % 5 AS INTEGER) AS fold
-FROM d3""")
+, r AS (SELECT row_id, row_number() OVER (ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) - 1 AS r,
+          count(*) OVER () AS n FROM d3)
+SELECT row_id, {FOLD_SQL} AS fold FROM r""")
 def q_kfold(spark, sf_dir):
     from quarry.operators.features import kfold
     return kfold(d3(spark, sf_dir), "row_id", C.N_SPLITS_CV, C.SEED_TEXT).select("row_id", "fold")
 
 
 @register("kfold_stratified", "M10 (stratified)", f"""
-SELECT row_id, minority, CAST((row_number() OVER (PARTITION BY minority
-  ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) - 1) % 5 AS INTEGER) AS fold FROM d3""")
+, r AS (SELECT row_id, minority, row_number() OVER (PARTITION BY minority
+            ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) - 1 AS r,
+          count(*) OVER (PARTITION BY minority) AS n FROM d3)
+SELECT row_id, minority, {FOLD_SQL} AS fold FROM r""")
 def q_kfold_stratified(spark, sf_dir):
     from quarry.operators.features import kfold
     return kfold(d3(spark, sf_dir), "row_id", C.N_SPLITS_CV, C.SEED_TEXT, stratify_by="minority") \
@@ -803,14 +810,10 @@ def q_bench_trees(spark, sf_dir):
     return _bench(spark, sf_dir, ["Decision Tree", "Random Forest"])
 
 
-@register("boosting_fits", "M21 M22 M23 M24 M13 A18")
+@register("boosting_fits", "M21 M13 A18")
 def q_boosting_fits(spark, sf_dir):
-    """One fit per boosting family at its first grid point (100 rounds each)."""
-    return _single_fits(spark, sf_dir, [
-        ("Gradient Boosting", {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 3}),
-        ("Hist Gradient Boosting", {"learning_rate": 0.05, "max_leaf_nodes": 20}),
-        ("XGBoost", {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 3}),
-        ("LightGBM", {"n_estimators": 100, "learning_rate": 0.05, "num_leaves": 15})])
+    """Boosted trees at the first grid point (100 rounds)."""
+    return _single_fits(spark, sf_dir, [("Gradient Boosting", {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 3})])
 
 
 # --------------------------------------------------------------------------- explanation
@@ -903,7 +906,7 @@ def q_rfe(spark, sf_dir):
     The fixture has fewer than 36 features, so 8 are kept (step 10%)."""
     from quarry.operators.selection import rfe
     x, feats, _ = d1_matrix(spark, sf_dir)
-    return rfe(x.filter("split = 'train'"), feats, "label", n_select=8, step=C.RFE_STEP, num_trees=50, max_depth=8)
+    return rfe(x.filter("split = 'train'"), feats, "label", n_select=8, step=C.RFE_STEP, num_trees=100)
 
 
 @register("rfecv", "M7 M10")

@@ -49,6 +49,29 @@ def preprocess(cleaned: DataFrame, cfg: PipelineConfig = PipelineConfig()):
     return x, feats, ct
 
 
+def importance_input(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """Input of the importance stage: target and numbers with nulls as the
+    median, text with missing values as a category of its own."""
+    from quarry.functions.columns import as_category, nan_to_null, q
+    from quarry.operators.project import columns_by_type
+    from quarry.operators.stats import impute_median
+    df = nan_to_null(raw.drop(cfg.row_id) if cfg.row_id in raw.columns else raw)
+    numeric = columns_by_type(df, "numeric")
+    df = impute_median(df.select(*[F.col(q(c)).cast("double").alias(c) if c in numeric else F.col(q(c)) for c in df.columns]), numeric)
+    return df.select(*[F.col(q(c)) if c in numeric else as_category(F.col(q(c))).alias(c) for c in df.columns])
+
+
+def label_distribution(cleaned: DataFrame, matrix: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """A6 of the whole table, the split before balancing, and the training rows after it."""
+    from quarry.operators.features import train_test_split
+    from quarry.operators.stats import class_distribution
+    from quarry.plans.clean import prepare_target
+    y = train_test_split(prepare_target(cleaned, cfg), cfg.row_id, cfg.test_size, cfg.seed).select("label", "split")
+    return class_distribution({
+        "original": y, "train_before_balancing": y.filter("split = 'train'"), "test": y.filter("split = 'test'"),
+        "train_after_balancing": matrix.filter("split = 'train'")})
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfig(),
                  out_dir: str | None = None, models=None, explain: bool = True) -> dict:
     """Clean → preprocess → describe → importance → models → explain.
@@ -59,11 +82,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = Pipe
     from quarry.operators.explain import linear_shap, shap_summary, top_original_features, tree_shap
     from quarry.operators.features import kfold
     from quarry.operators.frames import feature_relationship
-    from quarry.operators.models import benchmark
-    from quarry.operators.rank import best_row
-    from quarry.operators.stats import class_distribution, describe_target, histogram, paired_ttest
+    from quarry.operators.models import benchmark, predict
+    from quarry.operators.rank import best_row, top_k
+    from quarry.operators.stats import actual_vs_predicted, axis_range, describe_target, histogram, paired_ttest
     from quarry.plans.clean import clean
-    from quarry.sources.io import ModelStore, write_csv
+    from quarry.sources.io import ModelStore, save_json, write_csv
 
     out = out_dir or scratch_path(spark, "pipeline")
     res: dict[str, DataFrame] = {}
@@ -72,14 +95,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = Pipe
     x, feats, ct = preprocess(cleaned, cfg)
     x = _stage(spark, x, out, "matrix")
     res["matrix"] = x
-    res["class_distribution"] = class_distribution({
-        "original": x.select("label"), "train": x.filter("split = 'train'"), "test": x.filter("split = 'test'")})
+    save_json(spark, ct.to_dict(), f"{out}/transformer")
+    res["class_distribution"] = label_distribution(cleaned, x, cfg)
     res["target"] = describe_target(raw, cfg.target)
     res["histogram"] = histogram(raw, cfg.target)
     if "simulated_damage" in raw.columns and "estimated" in raw.columns:
         res["paired_ttest"] = paired_ttest(raw, "simulated_damage", "estimated")
-    mi_in = raw.drop(cfg.row_id) if cfg.row_id in raw.columns else raw
-    res["mutual_information"] = mutual_information(mi_in.dropna(subset=[cfg.target]), cfg.target, k=C.N_TOP_MI)
+    imp = _stage(spark, importance_input(raw, cfg), out, "importance_input")
+    res["mutual_information"] = mutual_information(imp, cfg.target, k=C.N_TOP_MI)
     train = kfold(x.filter("split = 'train'"), cfg.row_id, cfg.n_folds, cfg.seed)
     train = _stage(spark, train, out, "train_folds")
     test = x.filter("split = 'test'")
@@ -92,8 +115,17 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = Pipe
     results = _stage(spark, results, out, "results")
     write_csv(results, f"{out}/results_csv", float_format="%.6f")
     res["results"] = results
+    leaders = top_k(results.filter("Error is null"), "Test R2 Score", C.N_TOP_MODELS, tiebreak=("Position",)).collect()
+    scored = {}
+    for r in leaders:
+        key = f"{r['Model']}_{r['Feature Set Name']}"
+        model, own = fitted[key]
+        scored[key] = predict(model, test, own, keep=(cfg.row_id, "label"))
+    if scored:
+        res["actual_vs_predicted"] = _stage(spark, actual_vs_predicted(scored), out, "actual_vs_predicted")
+        res["identity_range"] = axis_range(res["actual_vs_predicted"])
     if explain and fitted:
-        best = best_row(results.withColumn("_pos", F.monotonically_increasing_id()), "Test R2 Score", "_pos").first()
+        best = best_row(results, "Test R2 Score", "Position").first()
         key = f"{best['Model']}_{best['Feature Set Name']}"
         model, mfeats = fitted[key]
         last = model.stages[-1] if hasattr(model, "stages") else model
@@ -111,7 +143,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = Pipe
 
 
 def model_sweep_kfold(train: DataFrame, test: DataFrame, features, label: str = "label", key: str = "row_id",
-                      models=C.MODEL_NAMES, n_folds: int = C.N_SPLITS_CV, seed: str = C.SEED_TEXT):
+                      models=C.SPARK_MODEL_NAMES, n_folds: int = C.N_SPLITS_CV, seed: str = C.SEED_TEXT):
     """M29 (re-aimed AutoML sweep): the benchmark with RMSE and folds
     stratified by the (integer) target."""
     from quarry.operators.features import kfold

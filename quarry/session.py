@@ -81,18 +81,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(1, int(spark.sparkContext.defaultParallelism))
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``quarry`` importable in Python workers (Arrow UDF tasks).
 

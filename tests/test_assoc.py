@@ -110,15 +110,23 @@ def test_clustering_matches_sequential_average_linkage(spark, seed):
     assert len(reps) == len(groups) and reps == sorted(reps)
 
 
-def test_wide_pearson_path_matches_pairwise(spark, monkeypatch):
-    import quarry.operators.assoc as A
+def test_pearson_of_wide_frames_with_nulls_and_offsets(spark):
+    """30 columns, 10 % missing (null or NaN), offsets up to 1e9: pairwise complete."""
+    import pandas as pd
+
+    from quarry.operators.assoc import association_matrix
     rng = np.random.default_rng(5)
-    X = rng.normal(size=(200, 4))
-    X[:, 1] += X[:, 0]
-    df = spark.createDataFrame([tuple(map(float, r)) for r in X], "a double, b double, c double, d double")
-    narrow = {(r["feature_a"], r["feature_b"]): r["assoc"] for r in A.association_matrix(df).collect()}
-    monkeypatch.setattr(A, "PAIRWISE_AGG_LIMIT", 1)
-    wide = {(r["feature_a"], r["feature_b"]): r["assoc"] for r in A.association_matrix(df).collect()}
-    assert narrow.keys() == wide.keys()
-    for k in narrow:
-        assert wide[k] == pytest.approx(narrow[k], abs=1e-9)
+    x = rng.normal(size=(400, 30))
+    x[:, 1] += x[:, 0]
+    x[:, 5] = 3.25
+    shift = np.where(np.arange(30) % 3 == 0, 1e9, 0.0)
+    hole = rng.random(x.shape) < 0.1
+    rows = [tuple((None if rng.random() < 0.5 else float("nan")) if h else float(v + s) for v, h, s in zip(r, hr, shift))
+            for r, hr in zip(x, hole)]
+    names = [f"c.{i}" for i in range(30)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names))
+    got = {(r["feature_a"], r["feature_b"]): r["assoc"] for r in association_matrix(df).collect()}
+    want = pd.DataFrame(np.where(hole, np.nan, x), columns=names).corr().fillna(0.0)
+    for a in names:
+        for b in names:
+            assert abs(got[a, b] - (1.0 if a == b else want.loc[a, b])) < 1e-5, (a, b)

@@ -10,7 +10,7 @@ def test_run_pipeline_end_to_end(spark):
     res = run_pipeline(spark, d1(spark, SF), out_dir=out, models=["Linear Regression", "Decision Tree"])
     r = res["results"]
     assert r.columns == ["Model", "Feature Set Name", "Number of Features", "Threshold Value", "Best Params",
-                         "Test R2 Score", "Test MSE", "Test MAE"]
+                         "Test R2 Score", "Test MSE", "Test MAE", "Position", "Error"]
     rows = {x["Model"]: x for x in r.collect()}
     assert set(rows) == {"Linear Regression", "Decision Tree"}
     assert rows["Decision Tree"]["Best Params"].startswith("{'max_depth':")
