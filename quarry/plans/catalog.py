@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import config as C
-from quarry.plans.fixtures import d1, d2, d3, duck_ctes
+from quarry.plans.fixtures import D4_WIDE, D4_WIDE_SQL, d1, d2, d3, d4, d4_wide, duck_ctes
 
 R = 6
 
@@ -995,3 +995,97 @@ def q_shap_beeswarm(spark, sf_dir):
         VectorAssembler(inputCols=feats, outputCol="features").transform(train))
     shap = linear_shap(dict(zip(feats, [float(c) for c in lm.coefficients])), test, background=train)
     return rounded(shap_beeswarm_frame(shap, test.select("row_id", *feats)))
+
+
+# --------------------------------------------------------------------------- traps
+CLEAN_D4_SQL = (", n4 AS (SELECT row_id, CASE WHEN isnan(x) THEN NULL ELSE x END AS x, CASE WHEN isnan(y) THEN NULL ELSE y END AS y, "
+                "far, big, code, town FROM d4)\n")
+
+
+@register("trap_impute_mean", "A2 (NaN)", CLEAN_D4_SQL + """
+SELECT row_id, round(coalesce(x, (SELECT avg(x) FROM n4)), 6) AS x, round(coalesce(y, (SELECT avg(y) FROM n4)), 6) AS y FROM n4""")
+def q_trap_impute_mean(spark, sf_dir):
+    from quarry.operators.stats import impute_mean
+    return rounded(impute_mean(d4(spark, sf_dir).select("row_id", "x", "y"), ["x", "y"]))
+
+
+@register("trap_describe_target", "A4 C12 (NaN)", CLEAN_D4_SQL + """
+, m AS (SELECT count(x) AS n, avg(x) AS mean, quantile_cont(x, 0.5) AS median, stddev_samp(x) AS std, skewness(x) AS skew FROM n4)
+SELECT n, round(mean, 6) AS mean, round(median, 6) AS median, round(std, 6) AS std, round(skew, 6) AS skew,
+  CASE WHEN mean > 0.1 THEN 'underestimate' WHEN mean < -0.1 THEN 'overestimate' ELSE 'unbiased' END AS mean_verdict,
+  CASE WHEN skew > 0.5 THEN 'positive' WHEN skew < -0.5 THEN 'negative' ELSE 'none' END AS skew_verdict FROM m""")
+def q_trap_describe(spark, sf_dir):
+    from quarry.operators.stats import describe_target
+    return rounded(describe_target(d4(spark, sf_dir), "x"))
+
+
+@register("trap_feature_target_corr", "A11 (NaN, offset)", CLEAN_D4_SQL + """
+, c AS (SELECT 'far' AS feature, corr(far, x) AS corr FROM n4 WHERE x IS NOT NULL
+        UNION ALL SELECT 'y', corr(y, x) FROM n4 WHERE x IS NOT NULL AND y IS NOT NULL)
+SELECT feature, round(corr, 5) AS corr, round(abs(corr), 5) AS abs_corr FROM c""")
+def q_trap_corr(spark, sf_dir):
+    from quarry.operators.stats import feature_target_corr
+    return rounded(feature_target_corr(d4(spark, sf_dir).select("x", "y", "far"), "x", k=None), 5)
+
+
+@register("trap_histogram_range", "A7 A8 (NaN)", CLEAN_D4_SQL + """
+, r AS (SELECT min(x) AS a, max(x) AS b FROM n4)
+, h AS (SELECT least(10, CAST(floor((x - a) / (b - a) * 10) AS INTEGER) + 1) AS bin FROM n4, r WHERE x IS NOT NULL)
+SELECT CAST(i AS INTEGER) AS bin, round(a, 6) AS range_min, round(b, 6) AS range_max,
+  CAST(coalesce((SELECT count(*) FROM h WHERE h.bin = i), 0) AS BIGINT) AS n FROM range(1, 11) t(i), r""")
+def q_trap_histogram(spark, sf_dir):
+    from quarry.operators.stats import histogram, min_max
+    df = d4(spark, sf_dir)
+    ends = min_max(df, "x").select(F.col("min").alias("range_min"), F.col("max").alias("range_max"))  # one row
+    return rounded(histogram(df, "x").select("bin", "n").join(ends, F.lit(True)))
+
+
+@register("trap_numeric_text", "C2 S3 (number texts)", """
+SELECT row_id, CASE WHEN trim(code) IN ('7.5', '1e3') THEN CAST(trim(code) AS DOUBLE) END AS value FROM d4""")
+def q_trap_numeric_text(spark, sf_dir):
+    from quarry.functions.columns import to_numeric
+    return d4(spark, sf_dir).select("row_id", to_numeric("code").alias("value"))
+
+
+@register("trap_as_category", "C7 (large doubles, NaN)", CLEAN_D4_SQL + """
+SELECT row_id, CAST(big AS VARCHAR) AS big, CASE WHEN y IS NULL THEN 'nan' ELSE CAST(y AS VARCHAR) END AS y FROM n4""")
+def q_trap_as_category(spark, sf_dir):
+    from quarry.functions.columns import as_category
+    return d4(spark, sf_dir).select("row_id", as_category("big").alias("big"), as_category("y").alias("y"))
+
+
+@register("trap_top_and_best", "T1 T3 (NaN)", CLEAN_D4_SQL + """
+SELECT row_id, round(x, 6) AS x FROM n4 ORDER BY x DESC NULLS LAST, row_id LIMIT 15""")
+def q_trap_top(spark, sf_dir):
+    from quarry.operators.rank import top_k
+    return rounded(top_k(d4(spark, sf_dir).select("row_id", "x"), "x", 15, tiebreak=("row_id",)))
+
+
+@register("trap_wide_association", "A15 (nulls, offset, width)", ", w4 AS (" + D4_WIDE_SQL.format(d4="d4") + ")\n, p AS ("
+          + " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS r FROM w4 WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
+                               for i, a in enumerate(D4_WIDE) for b in D4_WIDE[i + 1:]) + """)
+SELECT feature_a, feature_b, round(coalesce(r, 0), 5) AS assoc FROM p UNION ALL SELECT feature_b, feature_a, round(coalesce(r, 0), 5) FROM p""")
+def q_trap_wide(spark, sf_dir):
+    from quarry.operators.assoc import association_matrix
+    out = association_matrix(d4_wide(spark, sf_dir).drop("row_id")).filter("feature_a != feature_b")
+    return rounded(out.select("feature_a", "feature_b", (F.col("assoc") + F.lit(0.0)).alias("assoc")), 5)
+
+
+@register("trap_dotted_category", "M3 M4 P9 (names with dots)", """
+SELECT row_id, CASE WHEN town = 'B' THEN 1e0 ELSE 0e0 END AS b, CASE WHEN town = 'St. A' THEN 1e0 ELSE 0e0 END AS st_a,
+  CASE WHEN town = 'a.b' THEN 1e0 ELSE 0e0 END AS a_b FROM d4""")
+def q_trap_dotted(spark, sf_dir):
+    from quarry.operators.features import one_hot
+    from quarry.operators.project import select_features
+    hot = one_hot(d4(spark, sf_dir).select("row_id", "town"), ["town"])
+    return select_features(hot, ["cat__town_B", "cat__town_St. A", "cat__town_a.b"], keep=("row_id",)).toDF("row_id", "b", "st_a", "a_b")
+
+
+@register("trap_tied_neighbours", "M8 (ties)", """
+, k AS (SELECT a.row_id, b.row_id AS nb, (a.bit1 - b.bit1) * (a.bit1 - b.bit1) + (a.bit2 - b.bit2) * (a.bit2 - b.bit2) AS d2
+        FROM d4 a JOIN d4 b ON a.grp = b.grp AND a.row_id <> b.row_id)
+, r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY d2, nb) - 1 AS j FROM k)
+SELECT row_id, CAST(j AS INTEGER) AS j, nb, d2 FROM r WHERE j < 5""")
+def q_trap_ties(spark, sf_dir):
+    from quarry.operators.features import knn_within_class
+    return knn_within_class(d4(spark, sf_dir).select("row_id", "grp", "bit1", "bit2"), ["bit1", "bit2"], "grp", "row_id", 5)

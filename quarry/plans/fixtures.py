@@ -1,4 +1,4 @@
-"""Test views over the driver's tables (FIXTURES.md D1-D3).
+"""Test views over the driver's tables (FIXTURES.md D1-D4).
 
 The same SQL text runs in Spark (here, with DataFrame parameters) and in
 DuckDB (the oracle statements in ``plans.catalog``), so both engines see
@@ -39,6 +39,25 @@ SELECT event_id AS row_id, event_type, CAST(user_id % 10 AS DOUBLE) AS user_buck
 FROM {events}
 """
 
+D4_SQL = """
+SELECT o_orderkey AS row_id, o_custkey % 50 AS grp,
+  CASE WHEN o_orderkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) WHEN o_orderkey % 11 = 0 THEN NULL
+       ELSE o_totalprice / 1e3 END AS x,
+  CASE WHEN o_orderkey % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(o_custkey AS DOUBLE) END AS y,
+  o_totalprice / 1e3 + 1e9 AS far,
+  CAST(o_orderkey AS DOUBLE) * 1e6 + 5e-1 AS big,
+  CASE o_orderkey % 5 WHEN 0 THEN '1d' WHEN 1 THEN '2F' WHEN 2 THEN '0x1p3' WHEN 3 THEN ' 7.5 ' ELSE '1e3' END AS code,
+  CASE o_orderkey % 3 WHEN 0 THEN 'St. A' WHEN 1 THEN 'a.b' ELSE 'B' END AS town,
+  CAST(o_custkey % 2 AS DOUBLE) AS bit1, CAST(o_orderkey % 2 AS DOUBLE) AS bit2
+FROM {orders}
+"""
+
+#: Thirty numeric columns with nulls and an offset, over D4's keys.
+D4_WIDE = [f"c{i}" for i in range(30)]
+D4_WIDE_SQL = ("SELECT row_id, " + ", ".join(
+    f"CASE WHEN (row_id + {i}) % 10 = 0 THEN NULL ELSE CAST((row_id * {2 * i + 3}) % 101 AS DOUBLE) + 1e9 END AS c{i}"
+    for i in range(30)) + " FROM {d4}")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -59,7 +78,17 @@ def d3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(D3_SQL, events=table(spark, sf_dir, "events"))
 
 
+def d4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traps: NaN, Java number texts, dotted categories, ties, offsets, large doubles."""
+    return spark.sql(D4_SQL, orders=table(spark, sf_dir, "orders"))
+
+
+def d4_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(D4_WIDE_SQL, d4=d4(spark, sf_dir))
+
+
 def duck_ctes() -> str:
     """The same views for DuckDB, as a WITH prefix."""
     return ("WITH d1 AS (" + D1_SQL.format(orders="orders") + "), d2 AS ("
-            + D2_SQL.format(lineitem="lineitem") + "), d3 AS (" + D3_SQL.format(events="events") + ")")
+            + D2_SQL.format(lineitem="lineitem") + "), d3 AS (" + D3_SQL.format(events="events")
+            + "), d4 AS (" + D4_SQL.format(orders="orders") + ")")
