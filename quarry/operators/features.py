@@ -307,7 +307,7 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
     if alone:
         raise ValueError(f"classes with one row have no neighbour to interpolate with: {alone}")
     blocks = {c: max(1, -(-n // block_rows)) for c, n in counts.items()}
-    minority = [c for c, n in counts.items() if n < n_major]
+    minority = sorted((c for c, n in counts.items() if n < n_major), key=str)
     base = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in feats])
     if not minority:
         return base.withColumn("synthetic", F.lit(False))
@@ -325,11 +325,12 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
                                                        F.lit(counts[c]).alias("_nc"), F.col("id").alias("s"),
                                                        F.lit(ci).alias("_ci"))
         syn_ids = part if syn_ids is None else syn_ids.unionByName(part)
-    pick = syn_ids.select(label, "s", "_ci", (F.pmod(F.xxhash64("s", F.lit(seed), F.col(label)), F.col("_nc")) + 1).alias("_rank"),
-                          F.pmod(F.xxhash64("s", F.lit(seed + "nb"), F.col(label)), F.lit(k)).cast("int").alias("j"),
-                          F.conv(F.substring(F.md5(F.concat_ws("#", F.col("s").cast("string"), F.col(label).cast("string"),
-                                                            F.lit(seed))), 1, 8), 16, 10).cast("double") / 4294967296.0)
-    pick = pick.withColumnRenamed(pick.columns[-1], "u")
+    def draw(kind: str) -> Column:  # 32 bits of md5, the same in any engine
+        text = F.concat_ws("#", F.col("s").cast("string"), F.col(label).cast("string"), F.lit(seed + kind))
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+    pick = syn_ids.select(label, "s", "_ci", (draw("row") % F.col("_nc") + 1).alias("_rank"),
+                          (draw("nb") % F.lit(k)).cast("int").alias("j"), (draw("") / F.lit(4294967296.0)).alias("u"))
     b = ranked.select(label, "_rank", F.col(key).alias("_base"), *[F.col(f).alias(f"_x_{f}") for f in feats])
     chosen = pick.join(b, [label, "_rank"])
     kcount = nbrs.groupBy(key).agg(F.count(F.lit(1)).alias("_kn"))

@@ -340,10 +340,27 @@ def q_trend_line(spark, sf_dir):
     return rounded(trend_line(d3(spark, sf_dir), "value", "label"))
 
 
-@register("trend_band", "A21")
+def _trend_band_sql() -> str:
+    from quarry.operators.assoc import _poisson_weight_sql
+    kb = f"CAST('0x' || substr(md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), 1, 8) AS BIGINT)"
+    x = "((kb + b * 2654435761) % 4294967296)"
+    for _ in range(2):
+        x = f"((xor({x} >> 16, {x}) * 73244475) % 4294967296)"
+    return f""", m AS (SELECT avg(value) AS cx, avg(label) AS cy, min(value) AS mn, max(value) AS mx FROM d3)
+, k AS (SELECT {kb} AS kb, value - cx AS x, label - cy AS y FROM d3, m)
+, w AS (SELECT b, x, y, CAST({_poisson_weight_sql(f"(xor({x} >> 16, {x}) / 4294967296.0)")} AS DOUBLE) AS w FROM k, range(0, 1000) r(b))
+, t AS (SELECT b, sum(w) AS sw, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM w GROUP BY b)
+, l AS (SELECT b, (sw * sxy - sx * sy) / (sw * sxx - sx * sx) AS m, sx, sy, sw FROM t)
+, g AS (SELECT mn + (mx - mn) * i / 99 AS gx FROM m, range(0, 100) r(i))
+, p AS (SELECT gx, l.m * (gx - cx) + (sy - l.m * sx) / sw + cy AS yhat FROM l, m, g)
+SELECT round(gx, 6) AS gx, round(quantile_cont(yhat, 0.025), 4) AS lower, round(quantile_cont(yhat, 0.975), 4) AS upper FROM p GROUP BY gx"""
+
+
+@register("trend_band", "A21", _trend_band_sql())
 def q_trend_band(spark, sf_dir):
     from quarry.operators.stats import trend_band
-    return rounded(trend_band(d3(spark, sf_dir), "value", "label", "row_id", n_boot=1000, n_grid=100))
+    out = trend_band(d3(spark, sf_dir), "value", "label", "row_id", n_boot=1000, n_grid=100)
+    return rounded(out, per_col={"lower": 4, "upper": 4})
 
 
 # --------------------------------------------------------------------------- scalar functions (C)
@@ -540,13 +557,32 @@ def q_label_encode(spark, sf_dir):
     return label_encode(d3(spark, sf_dir).select("row_id", "event_type"), ["event_type"])
 
 
-@register("smote", "M8")
+def _smote_sql() -> str:
+    def draw(kind):
+        return f"CAST('0x' || substr(md5(concat_ws('#', CAST(s AS VARCHAR), '1', '{C.SEED_TEXT}{kind}')), 1, 8) AS BIGINT)"
+    feats = ("value", "hour_of_day", "user_bucket")
+    dist = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in feats)
+    return RANK_D3_SQL + f"""
+, tr AS (SELECT * FROM s WHERE split = 'train')
+, mi AS (SELECT *, row_number() OVER (ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}#smote')), row_id) AS pos,
+           count(*) OVER () AS nc FROM tr WHERE minority = 1)
+, nn AS (SELECT a.row_id, b.row_id AS nb, row_number() OVER (PARTITION BY a.row_id ORDER BY {dist}, b.row_id) - 1 AS j
+         FROM mi a JOIN mi b ON a.row_id <> b.row_id)
+, sy AS (SELECT s, {draw('row')} % (SELECT max(nc) FROM mi) + 1 AS pos, {draw('nb')} % 5 AS j, {draw('')} / 4294967296.0 AS u
+         FROM range(0, (SELECT CAST(count(*) FILTER (minority = 0) - count(*) FILTER (minority = 1) AS BIGINT) FROM tr)) r(s))
+SELECT row_id, minority, false AS synthetic, """ + ", ".join(f"round({f}, 6) AS {f}" for f in feats) + """ FROM tr
+UNION ALL SELECT -(sy.s + 1), 1, true, """ + ", ".join(f"round(a.{f} + u * (b.{f} - a.{f}), 6)" for f in feats) + """
+FROM sy JOIN mi a ON a.pos = sy.pos JOIN nn ON nn.row_id = a.row_id AND nn.j = sy.j JOIN tr b ON b.row_id = nn.nb"""
+
+
+@register("smote", "M8", _smote_sql())
 def q_smote(spark, sf_dir):
     """Minority oversampling on the D3 training rows (class = minority)."""
     from quarry.operators.features import smote
     s = split_d3(spark, sf_dir).filter("split = 'train'")
-    out = smote(s, ["value", "hour_of_day", "user_bucket"], label="minority", key="row_id", k=5)
-    return out.groupBy("minority", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+    feats = ["value", "hour_of_day", "user_bucket"]
+    out = smote(s, feats, label="minority", key="row_id", k=5)
+    return rounded(out.select("row_id", "minority", "synthetic", *feats))
 
 
 # --------------------------------------------------------------------------- MI / association
@@ -1089,3 +1125,55 @@ SELECT row_id, CAST(j AS INTEGER) AS j, nb, d2 FROM r WHERE j < 5""")
 def q_trap_ties(spark, sf_dir):
     from quarry.operators.features import knn_within_class
     return knn_within_class(d4(spark, sf_dir).select("row_id", "grp", "bit1", "bit2"), ["bit1", "bit2"], "grp", "row_id", 5)
+
+
+# --------------------------------------------------------------------------- stores (S5-S8) and scoring sign (C14)
+@register("matrix_round_trip", "S5 S8", """
+SELECT returnflag, count(*) AS n, round(sum(label), 2) AS label FROM d2 GROUP BY returnflag""")
+def q_matrix_round_trip(spark, sf_dir):
+    from quarry.session import scratch_path
+    from quarry.sources.io import load_matrix, require_columns, save_matrix
+    path = scratch_path(spark, "matrix")
+    save_matrix(d2(spark, sf_dir), path)
+    m = load_matrix(spark, path)
+    require_columns(m, ["returnflag", "label"])
+    return rounded(m.groupBy("returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("label")), 2)
+
+
+@register("stored_models", "S6 S7 M14 M15", TRAIN_STATS_SQL + """
+, co AS (SELECT 'Linear Regression_all' AS combo_key, sxy / sxx AS coef, my - sxy / sxx * mx AS intercept FROM st
+         UNION ALL SELECT 'Ridge_all', sxy / (sxx + 10.0), my - sxy / (sxx + 10.0) * mx FROM st)
+SELECT combo_key, round(coef, 6) AS coef, round(intercept, 6) AS intercept FROM co""")
+def q_stored_models(spark, sf_dir):
+    """Two fits put by two openings of one store, read back through its manifest."""
+    from quarry.operators.linear import LinearExpressionModel, gram_stats, solve
+    from quarry.session import scratch_path
+    from quarry.sources.io import ModelStore
+    root = scratch_path(spark, "store")
+    st = gram_stats(split_d3(spark, sf_dir).filter("split = 'train'"), ["value"])[0]
+    for name, params in (("Linear Regression", {}), ("Ridge", {"alpha": 10.0})):
+        ModelStore(spark, root).put(f"{name}_all", name, "all", LinearExpressionModel(["value"], *solve(name, params, st)))
+    store = ModelStore(spark, root)
+    keys = [r["combo_key"] for r in store.manifest().collect()]  # one row per stored model
+    found = [(k, store.get(k).coefficients[0], store.get(k).intercept) for k in keys]
+    return rounded(spark.createDataFrame(found, "combo_key string, coef double, intercept double"))
+
+
+@register("cv_scores", "C14 M11 M10 M15", f""", s AS (SELECT row_id, value, label, row_number() OVER (ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) - 1 AS r,
+          count(*) OVER () AS n FROM d3)
+, f AS (SELECT value AS x, label AS y, {FOLD_SQL} AS fold FROM s)
+, tr AS (SELECT k, avg(x) AS mx, avg(y) AS my, count(*) * var_pop(x) AS sxx, count(*) * covar_pop(x, y) AS sxy
+         FROM f, range(0, 5) r(k) WHERE fold <> k GROUP BY k)
+, a AS (SELECT unnest([{", ".join(str(float(v)) + "::DOUBLE" for v in C.PARAM_GRIDS["Ridge"]["alpha"])}]) AS alpha)
+, e AS (SELECT alpha, k, avg((y - (my + sxy / (sxx + alpha) * (x - mx))) * (y - (my + sxy / (sxx + alpha) * (x - mx)))) AS mse
+        FROM a, tr JOIN f ON f.fold = tr.k GROUP BY alpha, k)
+SELECT alpha, round(avg(mse), 6) AS mean_mse, round(-avg(mse), 6) AS mean_test_score FROM e GROUP BY alpha""")
+def q_cv_scores(spark, sf_dir):
+    """Ridge grid, five folds: mean validation error and its scoring sign."""
+    from quarry.functions.columns import neg_mse
+    from quarry.operators.features import kfold
+    from quarry.operators.linear import linear_grid_search
+    train = kfold(d3(spark, sf_dir), "row_id", C.N_SPLITS_CV, C.SEED_TEXT)
+    _, _, table = linear_grid_search(train, ["value"], ["Ridge"])["Ridge"]
+    df = spark.createDataFrame([(float(p["alpha"]), v) for p, v in table], "alpha double, mean_mse double")
+    return rounded(df.withColumn("mean_test_score", neg_mse("mean_mse")))
