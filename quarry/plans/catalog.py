@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from quarry import config as C
 from quarry.plans.fixtures import D4_WIDE, D4_WIDE_SQL, d1, d2, d3, d4, d4_wide, duck_ctes
+from quarry.session import cut_lineage
 
 R = 6
 
@@ -767,7 +768,7 @@ def _fit_one_feature(spark, sf_dir, estimator):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from quarry.operators.models import regression_metrics
-    s = split_d3(spark, sf_dir).select("row_id", "split", "value", "label").persist()  # fit, score and metrics reuse it
+    s = cut_lineage(split_d3(spark, sf_dir).select("row_id", "split", "value", "label"))  # fit, score and metrics reuse it
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["value"], outputCol="features"), estimator])
     model = pipe.fit(s.filter("split = 'train'"))
     lm = model.stages[-1]
@@ -889,6 +890,22 @@ def q_tree_shap(spark, sf_dir):
     return rounded(shap_summary(shap, m.categorical_columns, C.N_TOP_SHAP))
 
 
+@register("tree_shap_additivity", "M25 (additivity)", RANK_D3_SQL + "SELECT row_id, 0e0 AS gap FROM s WHERE split = 'test'")
+def q_tree_shap_additivity(spark, sf_dir):
+    """Base value plus a row's SHAP values, less the forest's prediction."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+    from quarry.operators.explain import tree_shap
+    train, test, feats, _ = d3_matrix(spark, sf_dir)
+    model = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
+                             RandomForestRegressor(numTrees=5, maxDepth=4, seed=C.RANDOM_STATE, featureSubsetStrategy="all")]).fit(train)
+    shap, base = tree_shap(model, test, feats)
+    total = shap.groupBy("row_id").agg(F.sum("shap").alias("total"))
+    gap = F.round(F.abs(F.col("total") + F.lit(base) - F.col("prediction")), 6)
+    return model.transform(test).join(total, "row_id").select("row_id", gap.alias("gap"))
+
+
 @register("feature_relationship", "M27 A20 A10", CLEAN_D1_SQL + """
 , q AS (SELECT foundation_type_u, count(*) AS n, quantile_cont(Difference, 0.25) AS q1,
           quantile_cont(Difference, 0.5) AS median, quantile_cont(Difference, 0.75) AS q3 FROM c GROUP BY 1)
@@ -951,8 +968,8 @@ def q_rfecv(spark, sf_dir):
     from quarry.operators.features import kfold
     from quarry.operators.selection import rfecv
     x, feats, _ = d1_matrix(spark, sf_dir)
-    train = kfold(x.filter("split = 'train'"), "row_id", C.RFECV_FOLDS, C.SEED_TEXT).cache()
-    curve, best, _ = rfecv(train, feats, "label", num_trees=50, max_depth=8)
+    train = kfold(x.filter("split = 'train'"), "row_id", C.RFECV_FOLDS, C.SEED_TEXT)
+    curve, best, _ = rfecv(cut_lineage(train), feats, "label", num_trees=50, max_depth=8)
     return rounded(curve.withColumn("best", F.col("n_features") == F.lit(best)))
 
 
@@ -1024,7 +1041,7 @@ def q_shap_beeswarm(spark, sf_dir):
     from pyspark.ml.regression import LinearRegression
     from quarry.operators.explain import linear_shap
     from quarry.operators.frames import shap_beeswarm_frame
-    s = split_d3(spark, sf_dir).select("row_id", "split", "value", "hour_of_day", "label").persist()
+    s = cut_lineage(split_d3(spark, sf_dir).select("row_id", "split", "value", "hour_of_day", "label"))
     train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
     feats = ["value", "hour_of_day"]
     lm = LinearRegression(regParam=0.0, solver="normal", standardization=False).fit(
