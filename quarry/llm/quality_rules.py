@@ -5,7 +5,7 @@ labelled quality rows, calibrated to probabilities on rows it was not fitted
 to, and scores documents in Arrow batches against fixed thresholds.
 
 Features are relative frequencies: every document has a mass of one for its
-words and one for the n-grams of each order, spread over hash buckets.  A
+words, its pairs of neighbouring words and its character n-grams of each order, spread over hash buckets.  A
 score is therefore the mean weight of what the text holds, and is computed
 for a slice of documents by gathers and segment sums over whole texts.
 
@@ -30,9 +30,9 @@ from pyspark.sql import types as T
 from quarry.llm.labelled import labelled_sample
 from quarry.llm.textbuf import TextSlice, base_counts, slices
 
-#: Buckets: words first, then one range for each character order.
+#: Buckets: words and word pairs, then one range for each character order.
 WORD_BITS, CHAR_BITS, CHAR_ORDERS = 13, 13, (2, 4)
-N_FEATURES = (1 << WORD_BITS) + len(CHAR_ORDERS) * (1 << CHAR_BITS)
+N_FEATURES = (2 << WORD_BITS) + len(CHAR_ORDERS) * (1 << CHAR_BITS)
 #: Fit on at most this many labelled rows.
 MAX_TRAIN_ROWS = 4000
 #: Fixed thresholds.
@@ -46,8 +46,12 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def _families(s: TextSlice):
     """For each feature family: bucket of every item, document of every item."""
     yield (s.word_hash >> np.uint64(64 - WORD_BITS)).astype(np.int64), s.word_doc
+    pair, doc, echo = s.bigrams()
+    bucket = (pair >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    bucket[echo] = 0  # a word that follows itself is one feature, whatever the word
+    yield bucket + (1 << WORD_BITS), doc
     for k, n in enumerate(CHAR_ORDERS):
-        first = (1 << WORD_BITS) + k * (1 << CHAR_BITS)
+        first = (2 << WORD_BITS) + k * (1 << CHAR_BITS)
         if len(s.cp) < n:
             yield np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
             continue
@@ -200,7 +204,7 @@ def judge(docs: DataFrame, model: Model, text: str = "text", carry: list[str] |
     column named like a result gets the prefix ``in_``.
     """
     carry = docs.columns if carry is None else carry
-    result = {*COUNTS, "base_failed", "quality_probability", "kept"}
+    result = {*COUNTS, "base_failed", "quality_probability", "kept", "_judged"}
     renamed = [c if c not in result else f"in_{c}" for c in carry]
     need = [F.col(f"`{c}`").alias(r) for c, r in zip(carry, renamed, strict=True)]
     src = docs.select(*need, F.col(f"`{text}`").alias("_judged"))

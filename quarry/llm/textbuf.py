@@ -114,6 +114,13 @@ class TextSlice:
         np.cumsum(flags, out=total[1:])
         return total[self.offsets[1:]] - total[self.offsets[:-1]]
 
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash and document of every pair of neighbouring words, and whether
+        both are the same word."""
+        inside = np.flatnonzero(self.word_doc[1:] == self.word_doc[:-1])
+        one, two = self.word_hash[inside], self.word_hash[inside + 1]
+        return mix(one * np.uint64(_ODD) + two), self.word_doc[inside], one == two
+
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and document of every line (split at \\n)."""
         cuts = np.flatnonzero(self.cp == 10)
