@@ -30,7 +30,7 @@ from quarry.llm.textbuf import TextSlice, base_counts, slices, table_flags
 
 FEATURES = ["log_words", "log_chars", "word_length", "symbols", "capitals", "digits", "punctuation",
             "exclamations", "bars", "dup_lines", "repeats", "distinct_words", "log_lines", "white",
-            "non_ascii", "stops", "top_word", "long_words"]
+            "non_ascii", "stops", "top_word", "long_words", "echoes"]
 MAX_TRAIN_ROWS = 20_000
 MAX_BINS = 32
 N_PAIRS = 6
@@ -56,6 +56,8 @@ def features(s: TextSlice) -> np.ndarray:
     top = np.zeros(s.n_docs)
     np.maximum.at(top, owner, count)
     long_words = np.bincount(s.word_doc[(s.ends - s.starts) > 12], minlength=s.n_docs)
+    _, pair_doc, echo = s.bigrams()
+    echoes = np.bincount(pair_doc[echo], minlength=s.n_docs)
     share = lambda table: s.per_doc(table_flags(s.cp, table)) / chars
     return np.stack([
         np.log1p(base["n_words"]), np.log1p(np.diff(s.offsets)), base["word_chars"] / words,
@@ -63,7 +65,7 @@ def features(s: TextSlice) -> np.ndarray:
         s.per_doc(s.cp == 33) / words, s.per_doc(s.cp == 124) / words, base["n_dup_lines"] / lines,
         base["n_repeat_words"] / words, np.bincount(owner, minlength=s.n_docs) / words, np.log1p(lines),
         s.per_doc(s.space) / chars, s.per_doc(s.cp > 127) / chars, s.per_doc(s.cp == 46) / words,
-        top / words, long_words / words], axis=1)
+        top / words, long_words / words, echoes / words], axis=1)
 
 
 @dataclass
@@ -212,7 +214,7 @@ def score(docs: DataFrame, model: Additive, text: str = "text", carry: list[str]
     A carried column named like a result gets the prefix ``in_``.
     """
     carry = docs.columns if carry is None else carry
-    renamed = [c if c not in ("score", "predicted") else f"in_{c}" for c in carry]
+    renamed = [c if c not in ("score", "predicted", "_judged") else f"in_{c}" for c in carry]
     src = docs.select(*(F.col(f"`{c}`").alias(r) for c, r in zip(carry, renamed, strict=True)),
                       F.col(f"`{text}`").alias("_judged"))
     schema = T.StructType([f for f in src.schema.fields if f.name != "_judged"]).add("score", "double").add("predicted", "integer")
