@@ -16,7 +16,7 @@ what it would get were all before it capped.
 Edge cases: a null text has no words; a null source is a source of its own;
 a source without words has target 0 and emits nothing; documents with a null
 id draw by their text, and rows alike draw alike; an empty table gives no
-rows.  Columns are referenced by name once and results are named apart.
+rows.  ``mix`` works on columns by place, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.llm.naming import by_place
 from quarry.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -98,5 +99,6 @@ def emit(docs_with_copies: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The mixed corpus: the rows of `docs`, repeated."""
-    sized = docs.select(F.col(f"`{source}`").alias("source"), n_words(text).alias("size"))
-    return emit(with_copies(docs, rates(sized), source, doc_id, text))
+    d, (source, doc_id, text) = by_place(docs, source, doc_id, text)
+    sized = d.select(F.col(source).alias("source"), n_words(text).alias("size"))
+    return emit(with_copies(d, rates(sized), source, doc_id, text)).toDF(*docs.columns)

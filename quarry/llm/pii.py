@@ -407,7 +407,7 @@ def detect(docs: DataFrame, weights: np.ndarray, text: str = "text", carry: list
     commas, by kind as in KINDS and start; spans holds those of the rules and the
     field.  A carried column named like a result gets the prefix ``in_``."""
     carry = docs.columns if carry is None else carry
-    names = [f"in_{c}" if c in ("rule_spans", "spans") else c for c in carry]
+    names = [f"in_{c}" if c in ("rule_spans", "spans", "_text") else c for c in carry]
     src = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(carry, names, strict=True)), F.col(f"`{text}`").alias("_text"))
     schema = T.StructType([f for f in src.schema.fields if f.name != "_text"]).add("rule_spans", "string").add("spans", "string")
 

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import connected_components
+from quarry.llm.naming import by_place
 from quarry.llm.runs import close_pairs, key_runs
 from quarry.session import cut_lineage
 
@@ -89,7 +90,7 @@ def fingerprints(docs: DataFrame, text: str = "text", carry: list[str] | None =
                  width: int = SHINGLE_WORDS) -> DataFrame:
     """The carried columns and the fingerprint (its 64 bits as a long)."""
     carry = docs.columns if carry is None else carry
-    renamed = [c if c != "fingerprint" else "in_fingerprint" for c in carry]
+    renamed = [c if c not in ("fingerprint", "_text") else f"in_{c}" for c in carry]
     src = docs.select(*(F.col(f"`{c}`").alias(r) for c, r in zip(carry, renamed, strict=True)), F.col(f"`{text}`").alias("_text"))
     schema = T.StructType([f for f in src.schema.fields if f.name != "_text"]).add("fingerprint", "long")
     return src.mapInArrow(_fingerprinter(renamed, width), schema)
@@ -205,8 +206,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     The columns are those of `docs`, which must be a table or checkpoint, so
     that reading it twice gives rows in the same places.
     """
-    place = docs.withColumn("_place", F.monotonically_increasing_id())
+    place, (doc_id, text) = by_place(docs, doc_id, text)
+    place = place.withColumn("_place", F.monotonically_increasing_id())
     near = near_duplicates(place, doc_id, text, width, bits, ["_place"])
     best = near.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_place")).alias("best"))
     kept = cut_lineage(best.select(F.col("best._place").alias("_place")))
-    return place.join(kept, "_place", "left_semi").drop("_place")
+    return place.join(kept, "_place", "left_semi").drop("_place").toDF(*docs.columns)

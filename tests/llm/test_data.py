@@ -46,7 +46,7 @@ def test_mixing(spark, tmp_path):
     rng = random.Random(5)
     rows = [(i, rng.choice(["b", "a", "ü", None, "c", "z", "aa"]), "w " * rng.randint(0, 40), 1) for i in range(400)]
     rows += [(None, "a", "x y", 2), (None, "a", "x y", 2), (7, None, None, 3), (8, "empty", "", 4)]
-    d = frame(spark, tmp_path, rows, "doc_id long, source string, text string, rate int")
+    d = frame(spark, tmp_path, rows, "doc_id long, source string, text string, mix_copies int")
     sizes = {}
     for _, s, t, _ in rows:
         sizes[s] = sizes.get(s, 0) + len((t or "").split())

@@ -224,7 +224,7 @@ def test_simhash_documents(spark, tmp_path):
     long = " ".join(f"w{i}" for i in range(400))
     rows = [(5, long, "a"), (3, long.upper(), "b"), (3, long.upper(), "b"), (9, long + " tail", "c"), (4, "", "d"), (2, None, "e"),
             (None, "only me here today", "f"), (8, "quite another text of some words", "g")]
-    d = frame(spark, tmp_path, rows, "doc_id long, text string, root string")
+    d = frame(spark, tmp_path, rows, "doc_id long, text string, _place string")
     got = sorted((r["doc_id"] or -1, r["component_id"]) for r in simhash.near_duplicates(d).collect())
     assert got == [(-1, None), (2, 2), (3, 3), (3, 3), (4, 2), (5, 3), (8, 8), (9, got[-1][1])]
     kept = simhash.keep_one(d)
@@ -296,7 +296,7 @@ def test_fuzzy_lines(spark, tmp_path, monkeypatch, limit):
     gone = {(x[3], x[2]) for x in seen if keep[root[x[-1]]] != x}
     expected = [(i, t if t is None else "\n".join(s for k, s in enumerate(t.split("\n")) if (p, k) not in gone)) for p, (i, t) in enumerate(order)]
     key = lambda x: (x[0] is None, x[0] or 0, x[1] is None, x[1] or "")
-    got = [(r["doc_id"], r["text"]) for r in lines.dedup_lines(d.withColumnRenamed("_place", "place")).collect()]
+    got = [(r["doc_id"], r["text"]) for r in lines.dedup_lines(d).collect()]
     assert sorted(got, key=key) == sorted(expected, key=key)
     assert lines.dedup_lines(d.select("doc_id", "text").limit(0)).count() == 0
 
