@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import config as C
+from quarry.functions.columns import q
 from quarry.operators.project import columns_by_type
 
 
@@ -126,7 +127,7 @@ class ScalerModel:
     scales: dict = field(default_factory=dict)
 
     def exprs(self, prefix: str = "") -> list[Column]:
-        return [((F.col(c).cast("double") - F.lit(m)) / F.lit(self.scales[c])).alias(prefix + c)
+        return [((F.col(q(c)).cast("double") - F.lit(m)) / F.lit(self.scales[c])).alias(prefix + c)
                 for c, m in self.means.items()]
 
 
@@ -137,7 +138,7 @@ def fit_standard_scaler(df: DataFrame, cols) -> ScalerModel:
         return ScalerModel()
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = F.col(q(c)).cast("double")
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
     r = df.agg(*aggs).first()
     means = {c: r[f"m{i}"] for i, c in enumerate(cols)}
@@ -178,7 +179,7 @@ class OneHotModel:
         return [f"{prefix}{c}_{v}" for c, vs in self.categories.items() for v in vs]
 
     def exprs(self, prefix: str = "cat__") -> list[Column]:
-        return [(F.col(c).cast("string") == F.lit(v)).cast("double").alias(f"{prefix}{c}_{v}")
+        return [(F.col(q(c)).cast("string") == F.lit(v)).cast("double").alias(f"{prefix}{c}_{v}")
                 for c, vs in self.categories.items() for v in vs]
 
 
@@ -284,6 +285,47 @@ def label_encode(df: DataFrame, cols) -> DataFrame:
     return out.select(*[F.col(f"_c{cols.index(c)}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+@dataclass
+class SparseMatrixModel:
+    """M4 state for wide matrices: numeric scaling, and one code table (a
+    DataFrame) for all text columns with the number of codes per column."""
+    numeric: ScalerModel
+    codes: DataFrame | None
+    sizes: dict
+
+    def transform(self, df: DataFrame, keep=("row_id", "split", "label"), out: str = "features") -> DataFrame:
+        """The kept columns and one vector per row: scaled numbers, then a
+        sparse block of 0/1 per text column. Unseen values and nulls are all
+        zeros, like in the dense form; names never become columns, so their
+        number and spelling do not matter to the plan."""
+        from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+        kept = [k for k in keep if k in df.columns]
+        src = df.select(*kept, *[F.col(q(c)).cast("string").alias(f"_t{i}") for i, c in enumerate(self.sizes)],
+                        *[e.cast("double").alias(f"_n{i}") for i, e in enumerate(self.numeric.exprs())])
+        for i, (c, n) in enumerate(self.sizes.items()):
+            t = self.codes.filter(F.col("column") == c).select(F.col("value").alias("_v"), F.col("code").alias(f"_c{i}"))
+            if n <= C.BROADCAST_ROW_LIMIT // 10:
+                t = F.broadcast(t)  # measured size
+            src = src.join(t, F.col(f"_t{i}") == F.col("_v"), "left").drop("_v").withColumn(
+                f"_c{i}", F.coalesce(F.col(f"_c{i}"), F.lit(n)).cast("double"))
+        ins = [f"_c{i}" for i in range(len(self.sizes))]
+        if ins:
+            # the size of each block comes from the fitted codes, with one place for "none" that is dropped
+            sizes = df.sparkSession.createDataFrame([tuple(float(n) for n in self.sizes.values())], ", ".join(f"{c} double" for c in ins))
+            enc = OneHotEncoder(inputCols=ins, outputCols=[f"_o{i}" for i in range(len(ins))], dropLast=True).fit(sizes)
+            src = enc.transform(src)
+        blocks = [f"_n{i}" for i in range(len(self.numeric.means))] + [f"_o{i}" for i in range(len(ins))]
+        return VectorAssembler(inputCols=blocks, outputCol=out, handleInvalid="keep").transform(src).select(*kept, out)
+
+
+def fit_sparse_matrix(train: DataFrame, exclude=("row_id", "split", "label")) -> SparseMatrixModel:
+    """M4 (fit) without a column per category: any number of categories."""
+    num, cat = columns_by_type(train, "numeric", exclude), columns_by_type(train, "string", exclude)
+    codes = category_codes(train, cat) if cat else None
+    found = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()} if cat else {}
+    return SparseMatrixModel(fit_standard_scaler(train, num), codes, {c: found.get(c, 0) for c in cat})
+
+
 def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k: int = 5,
           seed: str = C.SEED_TEXT, block_rows: int = 4096) -> DataFrame:
     """M8: oversample every minority class to the majority size.

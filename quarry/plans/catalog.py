@@ -551,6 +551,23 @@ def q_column_transformer(spark, sf_dir):
     return rounded(m.transform(s))
 
 
+@register("sparse_matrix", "M3 M4 (sparse)", RANK_D3_SQL + """
+, f AS (SELECT avg(value) AS mv, stddev_pop(value) AS sv FROM s WHERE split = 'train')
+, kc AS (SELECT event_type, dense_rank() OVER (ORDER BY event_type) - 1 AS code FROM (SELECT DISTINCT event_type FROM s WHERE split = 'train'))
+SELECT row_id, round((value - mv) / sv, 6) AS scaled, CAST(coalesce(code, -1) AS BIGINT) AS active,
+  CAST(1 + (SELECT count(*) FROM kc) AS INTEGER) AS width FROM s LEFT JOIN kc USING (event_type), f""")
+def q_sparse_matrix(spark, sf_dir):
+    """The vector form: scaled number, and the place of the one in the category block."""
+    from pyspark.ml.functions import vector_to_array
+    from quarry.operators.features import fit_sparse_matrix
+    s = split_d3(spark, sf_dir).select("row_id", "split", "value", "event_type")
+    m = fit_sparse_matrix(s.filter("split = 'train'"))
+    v = m.transform(s).select("row_id", vector_to_array("features").alias("v"))
+    return rounded(v.select("row_id", F.col("v")[0].alias("scaled"),
+                            (F.array_position(F.slice("v", 2, F.size("v") - 1), 1.0) - 1).cast("long").alias("active"),
+                            F.size("v").alias("width")))
+
+
 @register("label_encode", "M5", """
 SELECT row_id, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS BIGINT) AS event_type FROM d3""")
 def q_label_encode(spark, sf_dir):
