@@ -4,9 +4,8 @@ Texts are split at ASCII white space, which no token crosses: the tokenizer
 normalises, splits and merges each word by itself.  A run of documents makes
 a block, and each block lists its distinct words once.  The lists are dealt
 out by a hash of the word, so that all blocks' copies of a word meet in one
-task, which encodes it once for as long as its table of words holds it; the
-ids go back to the blocks by position in their lists, where the documents put
-them in order of their words.  Only word lists, id lists and positions are
+task, which encodes it once; the ids go back to the blocks by position in their
+lists, where the documents put them in order of their words.  Only word lists, id lists and positions are
 shuffled, never one row per word.
 
 Decoding joins ids to the table of pieces, which has the fixed size of the
@@ -34,12 +33,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: UTF-8 bytes of text in a block (a longer document is a block alone).
-BLOCK_BYTES = 16 << 20
-#: Parts that a block's word list is cut into; each part meets its like of
-#: all other blocks in one task.
-PARTS = 64
-#: Distinct words a task remembers before it starts its table anew.
-TABLE_WORDS = 1_000_000
+BLOCK_BYTES = 8 << 20
+#: A block's word list is cut into this many parts per shuffle partition of the
+#: session; a part meets its like of all other blocks in one task, whose table
+#: of words holds the distinct words of that part.
+PARTS_PER_PARTITION = 4
 
 _TOKENIZERS: dict[str, Tokenizer] = {}
 
@@ -62,37 +60,37 @@ def _unpack(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=kind)
 
 
-def _block(rows: list[bytes]):
+def _block(rows: list[bytes], parts: int):
     """Word lists by part, the checksum, and for each row the numbers of its words.
 
     A word's number counts through the parts in order.
     """
     found: dict[bytes, int] = {}
     number = found.setdefault
-    counts, flat = [], []
+    each = []
     for r in rows:
         words = r.split()
-        counts.append(len(words))
-        flat.extend([number(w, len(found)) for w in words])
+        each.append(np.fromiter((number(w, len(found)) for w in words), dtype=np.uint32, count=len(words)))
     words = list(found)
-    part = np.fromiter((xxhash.xxh32_intdigest(w) % PARTS for w in words), dtype=np.int64, count=len(words))
+    found.clear()
+    part = np.fromiter((xxhash.xxh32_intdigest(w) % parts for w in words), dtype=np.int64, count=len(words))
     order = np.argsort(part, kind="stable")
     place = np.empty(len(words), dtype=np.uint32)
     place[order] = np.arange(len(words), dtype=np.uint32)
-    sizes = np.bincount(part, minlength=PARTS)
+    sizes = np.bincount(part, minlength=parts)
     lists = [b" ".join([words[i] for i in own]) for own in np.split(order, np.cumsum(sizes)[:-1])]
     check = xxhash.xxh64_intdigest(b"\n".join(lists)) >> 1
-    return lists, sizes, check, counts, place[np.array(flat, dtype=np.int64)] if flat else np.zeros(0, dtype=np.uint32)
+    return lists, sizes, check, each, place
 
 
 def _blocks(batches):
     """(number in the partition, rows, batch slices) of blocks of about BLOCK_BYTES."""
     rows, cuts, held, n = [], [], 0, 0
     for b in batches:
-        texts = b.column("text").cast(pa.binary()).to_pylist()
+        texts = b.column("text").cast(pa.binary())
         lo = 0
-        for k, t in enumerate(texts):
-            rows.append(t or b"")
+        for k in range(len(texts)):
+            rows.append(texts[k].as_py() or b"")
             held += len(rows[-1]) + 16
             if held >= BLOCK_BYTES:
                 yield n, rows, [*cuts, b.slice(lo, k + 1 - lo).drop_columns(["text"])]
@@ -109,48 +107,50 @@ def _partition() -> int:
     return TaskContext.get().partitionId()
 
 
-def _word_lists(batches):
-    for n, rows, _ in _blocks(batches):
-        lists, sizes, check, _, _ = _block(rows)
-        full = np.flatnonzero(sizes)
-        block = (_partition() << 24) + n
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(full), block)), pa.array(full.astype(np.int32)), pa.array(np.full(len(full), check)),
-             pa.array([zstandard.ZstdCompressor(level=1).compress(lists[i]) for i in full], pa.binary())],
-            ["block", "part", "check", "words"])
+def _word_lists(parts: int):
+    def run(batches):
+        for n, rows, _ in _blocks(batches):
+            lists, sizes, check, _, _ = _block(rows, parts)
+            full = np.flatnonzero(sizes)
+            block = (_partition() << 24) + n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(full), block)), pa.array(full.astype(np.int32)), pa.array(np.full(len(full), check)),
+                 pa.array([zstandard.ZstdCompressor(level=1).compress(lists[i]) for i in full], pa.binary())],
+                ["block", "part", "check", "words"])
+    return run
 
 
-def _documents(batches):
-    for n, rows, cuts in _blocks(batches):
-        _, _, check, counts, numbers = _block(rows)
-        block, at = (_partition() << 24) + n, 0
-        packed = []
-        for c in counts:
-            packed.append(_pack(numbers[at : at + c]))
-            at += c
-        own = pa.Table.from_batches(cuts).combine_chunks().to_batches()[0]
-        size = len(counts)
-        yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.full(size, block)), pa.array(np.full(size, check)),
-                                          pa.array(packed, pa.binary())], [*own.schema.names, "block", "check", "numbers"])
+def _documents(parts: int):
+    def run(batches):
+        for n, rows, cuts in _blocks(batches):
+            _, _, check, each, place = _block(rows, parts)
+            block, size = (_partition() << 24) + n, len(each)
+            packed = [_pack(place[numbers]) for numbers in each]
+            own = pa.Table.from_batches(cuts).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.full(size, block)), pa.array(np.full(size, check)),
+                                              pa.array(packed, pa.binary())], [*own.schema.names, "block", "check", "numbers"])
+    return run
 
 
 def _encoder(path: str):
-    """Ids of the words of every list; the task's table of distinct words
-    holds each word once for all blocks."""
+    """Ids of the words of every list. Lists come sorted by part; the table of
+    distinct words holds each word of the part once, for all blocks."""
     def run(batches):
         encode = tokenizer(path).encode_batch
         table: dict[bytes, bytes] = {}
+        at = None
         for b in batches:
             out = []
-            for data in b.column("words").to_pylist():
+            for part, data in zip(b.column("part").to_pylist(), b.column("words").to_pylist(), strict=True):
+                if part != at:
+                    table.clear()
+                    at = part
                 words = zstandard.ZstdDecompressor().decompress(data).split(b" ")
                 new = [w for w in words if w not in table]
-                if new:
-                    if len(table) > TABLE_WORDS:
-                        table.clear()
-                        new = words
-                    made = encode([w.decode("utf-8") for w in new], add_special_tokens=False)
-                    table.update((w, np.array(e.ids, dtype=np.uint32).tobytes()) for w, e in zip(new, made, strict=True))
+                for lo in range(0, len(new), 2000):
+                    some = new[lo : lo + 2000]
+                    made = encode([w.decode("utf-8") for w in some], add_special_tokens=False)
+                    table.update((w, np.array(e.ids, dtype=np.uint32).tobytes()) for w, e in zip(some, made, strict=True))
                 ids = [table[w] for w in words]
                 sizes = np.array([len(x) // 4 for x in ids], dtype=np.uint32)
                 out.append(_pack(np.concatenate([np.array([len(ids)], np.uint32), sizes,
@@ -198,9 +198,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", carry: list[str] | No
     names = [f"in_{c}" if c in ("text", "block", "check", "numbers", "ids") else c for c in carry]
     src = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(carry, names, strict=True)), F.col(f"`{text}`").alias("text"))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name != "text"]
-    lists = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(_word_lists, "block long, part int, check long, words binary")
-    ids = lists.repartition("part").mapInArrow(_encoder(path), "block long, part int, check long, ids binary")
-    placed = src.mapInArrow(_documents, ", ".join([*kinds, "block long, check long, numbers binary"]))
+    parts = PARTS_PER_PARTITION * max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    lists = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(_word_lists(parts), "block long, part int, check long, words binary")
+    ids = lists.repartition("part").sortWithinPartitions("part").mapInArrow(_encoder(path), "block long, part int, check long, ids binary")
+    placed = src.mapInArrow(_documents(parts), ", ".join([*kinds, "block long, check long, numbers binary"]))
     return placed.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(
         _assembler(names), ", ".join([*kinds, "ids array<int>"]))
 
