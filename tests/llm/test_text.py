@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quarry.llm import lines, pii, quality_gam, quality_rules, runs, simhash
+from quarry.llm import components, lines, pii, quality_gam, quality_rules, runs, simhash
 from quarry.llm.components import connected_components
 from quarry.llm.textbuf import TextSlice, base_counts
 
@@ -308,7 +308,9 @@ def test_line_fingerprints_of_long_lines():
     assert one[0] == two[1]
 
 
-def test_components_of_a_chain(spark):
+@pytest.mark.parametrize("limit", [60, 500_000])
+def test_components_of_a_chain(spark, monkeypatch, limit):
+    monkeypatch.setattr(components, "EDGES_PER_TASK", limit)
     n = 200
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (1001, 1000), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["root"] for r in connected_components(edges).collect()}
