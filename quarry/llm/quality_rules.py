@@ -20,9 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +32,7 @@ from quarry.llm.textbuf import TextSlice, base_counts, slices
 WORD_BITS, CHAR_BITS, CHAR_ORDERS = 13, 13, (2, 4)
 N_FEATURES = (2 << WORD_BITS) + len(CHAR_ORDERS) * (1 << CHAR_BITS)
 #: Fit on at most this many labelled rows.
-MAX_TRAIN_ROWS = 4000
+MAX_TRAIN_ROWS = 2500
 #: Fixed thresholds.
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
@@ -97,16 +95,15 @@ def _featurize(batches):
             idx, val, doc = map(np.concatenate, (idx, val, doc))
             order = np.argsort(doc, kind="stable")
             cut = np.cumsum(np.bincount(doc, minlength=s.n_docs))[:-1]
-            yield pa.RecordBatch.from_pandas(pd.DataFrame({
-                "doc_id": b.column("doc_id").to_pylist()[lo:hi], "label": label[lo:hi],
-                "idx": [x.astype(np.int32) for x in np.split(idx[order], cut)],
-                "val": [x.astype(np.float32) for x in np.split(val[order], cut)]}),
-                schema=_FEATURE_ARROW, preserve_index=False)
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id").slice(lo, hi - lo), pa.array(label[lo:hi], pa.int32()),
+                pa.array([x.astype(np.uint16).tobytes() for x in np.split(idx[order], cut)], pa.binary()),
+                pa.array([x.astype(np.float32).tobytes() for x in np.split(val[order], cut)], pa.binary())],
+                ["doc_id", "label", "idx", "val"])
 
 
-_FEATURE_ARROW = pa.schema([("doc_id", pa.string()), ("label", pa.int32()),
-                            ("idx", pa.list_(pa.int32())), ("val", pa.list_(pa.float32()))])
-_FEATURES = "doc_id string, label int, idx array<int>, val array<float>"
+#: idx: bucket numbers as 16-bit words; val: their shares as 32-bit floats.
+_FEATURES = "doc_id string, label int, idx binary, val binary"
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS,
@@ -120,18 +117,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
     """
     sample = labelled_sample(docs, labels, "quality", max_train_rows)
     sample = sample.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "label")
-    rows = sample.mapInArrow(_featurize, _FEATURES).toArrow().sort_by("doc_id")
-    y = rows["label"].to_numpy().astype(float)
+    rows = sample.mapInArrow(_featurize, _FEATURES).toArrow()
+    order = np.argsort(np.array(rows["doc_id"].to_pylist(), dtype=str), kind="stable")
+    y = rows["label"].to_numpy()[order].astype(float)
     if len(y) == 0 or y.min() == y.max():
         return Model(np.zeros(N_FEATURES), 20.0, 1.0, 0.0)
-    vectors = [rows.slice(lo, 250) for lo in range(0, len(y), 250)]  # worked through in parts, in place
+    parts = [_sparse(rows, order[lo : lo + 250]) for lo in range(0, len(y), 250)]  # worked through in parts
+    del rows
     held = np.arange(len(y)) % 5 == 4
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         held[:] = False
     fitted = (~held).astype(float)
     w, b = np.zeros(N_FEATURES), 0.0
     m, v = np.zeros(N_FEATURES + 1), np.zeros(N_FEATURES + 1)
-    parts = [_sparse(part) for part in vectors]
     for t in range(1, steps + 1):  # full-batch Adam: the sample is small
         err = (_sigmoid(_margins(parts, w) + b) - y) * fitted / fitted.sum()
         g, lo = np.append(penalty * w, err.sum()), 0
@@ -147,11 +145,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
     return Model(w, float(b), slope, shift)
 
 
-def _sparse(part: pa.Table):
-    """Bucket, value and row of every entry, and the number of rows."""
-    idx, val = part["idx"].combine_chunks(), part["val"].combine_chunks()
-    row = np.repeat(np.arange(len(idx), dtype=np.int32), np.asarray(pc.list_value_length(idx)))
-    return idx.flatten().to_numpy(), val.flatten().to_numpy(), row, len(idx)
+def _sparse(rows: pa.Table, own: np.ndarray):
+    """Bucket, value and row of every entry of some rows, and the number of rows."""
+    idx = [np.frombuffer(rows["idx"][int(k)].as_py(), dtype=np.uint16) for k in own]
+    val = [np.frombuffer(rows["val"][int(k)].as_py(), dtype=np.float32) for k in own]
+    row = np.repeat(np.arange(len(own), dtype=np.int16), [len(x) for x in idx])
+    return np.concatenate(idx), np.concatenate(val), row, len(own)
 
 
 def _margins(parts, w: np.ndarray) -> np.ndarray:
