@@ -22,6 +22,8 @@ raises an error.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -43,8 +45,12 @@ _TOKENIZERS: dict[str, Tokenizer] = {}
 
 
 def tokenizer(path: str) -> Tokenizer:
-    """The tokenizer of a file, loaded once per worker, without truncation or padding."""
+    """The tokenizer of a file, loaded once per worker, without truncation or padding.
+
+    Spark's tasks are the parallelism: threads of the library's own would
+    crowd the executor's cores, and each keeps memory of its own."""
     if path not in _TOKENIZERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()

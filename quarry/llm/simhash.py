@@ -80,7 +80,8 @@ def fingerprint_text(text: str, width: int = SHINGLE_WORDS) -> int:
 def _fingerprinter(names: list[str], width: int):
     def run(batches):
         for b in batches:
-            made = np.array([fingerprint_text(t, width) if t else 0 for t in b.column("_text").to_pylist()], dtype=np.uint64)
+            texts = b.column("_text")  # one text at a time is a Python string
+            made = np.array([fingerprint_text(t.as_py() or "", width) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(made.view(np.int64))],
                                              [*names, "fingerprint"])
     return run
