@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that are repeated elsewhere; n_chars follows the text."""
     ship_package(spark)
-    clean = lines.dedup_lines(docs)
+    clean = lines.dedup_lines(docs, bits=None)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -108,7 +108,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    clean = lines.dedup_lines(docs.withColumn("before", F.size(F.split("text", "\n", -1))))
+    clean = lines.dedup_lines(docs.withColumn("before", F.size(F.split("text", "\n", -1))), bits=None)
     return clean.select("doc_id", F.col("before").cast("long").alias("n_lines"),
                         F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("clean_sha256"))
 

@@ -301,6 +301,39 @@ def test_fuzzy_lines(spark, tmp_path, monkeypatch, limit):
     assert lines.dedup_lines(d.select("doc_id", "text").limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("words", "limit"), [(5, 1024), (10, 8), (20, 1024), (30, 1024)])
+def test_lines_by_similarity_alone(spark, tmp_path, monkeypatch, words, limit):
+    """Recall against edit similarity alone, by line length: lines with one word replaced, added or taken away."""
+    rng = random.Random(words)
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprstuvwz") for _ in range(rng.randint(2, 8)))
+    texts = []
+    for _ in range(12):
+        line = [word() for _ in range(words)]
+        texts.append(" ".join(line))
+        for _ in range(3):
+            other, at = list(line), rng.randrange(words)
+            other[at : at + rng.randint(0, 1)] = [word()]
+            texts.append(" ".join(other))
+    common = [f"{word()} {' '.join(texts[0].split()[:4])} {' '.join(word() for _ in range(words))}" for _ in range(9)]
+    texts = list(dict.fromkeys(texts + common))
+    monkeypatch.setattr(lines, "BUCKET_LIMIT", limit)
+    d = frame(spark, tmp_path, [(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, z int")
+    near = lambda a, b: 1 - levenshtein(a, b) / max(len(a), len(b)) >= 0.8 - 1e-9
+    root = brute_components(texts, near)
+    gone = {t for t in texts if any(root[t] == root[u] for u in texts[: texts.index(t)])}
+    got = {texts[r["doc_id"]] for r in lines.dedup_lines(d, bits=None).collect() if not r["text"]}
+    assert got <= gone and len(got) >= 0.98 * len(gone) and len(gone) >= 10
+
+
+def test_grams_of_any_lines():
+    many = [b"a", b"xyzxyzxyz" * 400, b"", bytes(range(97, 123)) * 3, b"the same words in a line"]
+    h, line = lines.grams(many, 8)
+    for i, x in enumerate(many):
+        alone, _ = lines.grams([x], 8)
+        assert sorted(h[line == i].tolist()) == alone.tolist()
+        assert len(alone) == min(lines.GRAMS, len({x[k : k + 8] for k in range(max(len(x) - 7, 1))}) if x else 0)
+
+
 def test_line_fingerprints_of_long_lines():
     many = " ".join(f"w{i % 997}" for i in range(2000)).encode()
     one = lines.fingerprints([many], np.array([2000]))
