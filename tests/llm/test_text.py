@@ -325,6 +325,14 @@ def test_lines_by_similarity_alone(spark, tmp_path, monkeypatch, words, limit):
     assert got <= gone and len(got) >= 0.98 * len(gone) and len(gone) >= 10
 
 
+def test_short_lines_and_lines_without_blanks(spark, tmp_path):
+    one, url = "东京都的天气今天很好我们一起去公园散步吧然后再去喝一杯热咖啡好吗", "https://example.org/a-rather-long-path/with/many-parts"
+    texts = ["Read more", f"read more!\n\n{one}\n{url}", f"read mode\n{one[:-2]}了吗\n{url.replace('/', '_')}", "- - -\n- - -\nok", f"OK\n{one}"]
+    d = frame(spark, tmp_path, [(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, z int")
+    got = [r["text"] for r in lines.dedup_lines(d, bits=None).orderBy("doc_id").collect()]
+    assert got == ["Read more", f"\n{one}\n{url}", "read mode", "- - -\n- - -\nok", ""]
+
+
 def test_grams_of_any_lines():
     many = [b"a", b"xyzxyzxyz" * 400, b"", bytes(range(97, 123)) * 3, b"the same words in a line"]
     h, line = lines.grams(many, 8)
