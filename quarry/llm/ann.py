@@ -2,9 +2,11 @@
 
 Each table turns unit vectors by a fast pseudo-rotation (three rounds of
 random signs and a Hadamard transform) and stores a vector under the nearest
-signed axis.  A query looks, in each table, under the PROBES axes nearest to
-it.  What lies there is ranked exactly, by cosine in double precision on the
-original vectors.
+signed axis.  A query looks, in each table, under the axes nearest to it: PROBES,
+or an eighth of all axes if that is more.  What lies there is ranked exactly,
+by cosine in double precision on the original vectors.  A query that is left
+with fewer than k and its own id, and fewer than its length has, is compared
+with all vectors of its length.
 
 A bucket's points and queries are cut into pieces of bounded size by a hash
 of their id, and each pair of pieces is one group of matrix products, so a
@@ -75,8 +77,9 @@ def usable(embedding: str = "embedding"):
     return e.isNotNull() & (F.size(e) > 0) & F.forall(e, fine) & F.exists(e, lambda x: x != 0)
 
 
-def _hasher(name: str, probes: int, tables: int):
-    """A row for each table (and probe): bucket, id, vector."""
+def _hasher(name: str, probes: int | None, tables: int):
+    """A row for each table (and probe): bucket, id, vector. Without a number
+    of probes it follows the dimension."""
     def run(batches):
         for whole in batches:
             for lo in range(0, len(whole), 1024):
@@ -92,7 +95,7 @@ def _hasher(name: str, probes: int, tables: int):
                     for t in range(tables):
                         y = rotate(x, t)
                         both = np.concatenate([y, -y], axis=1)
-                        n = min(probes, both.shape[1])
+                        n = min(max(PROBES, both.shape[1] // 8) if probes is None else probes, both.shape[1])
                         axis = np.argsort(-both, axis=1, kind="stable")[:, :n] if n > 1 else both.argmax(axis=1)[:, None]
                         bucket = (int(d) << 32) | (t << 24) | axis
                         take = pa.array(np.repeat(rows, n))
@@ -141,8 +144,29 @@ def _pieces(rows: DataFrame, name: str, own: str, other: str, sizes: DataFrame)
     return d.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1))).drop("n_points", "n_queries")
 
 
+def _completed(found: DataFrame, classes: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """`found`, with the exact k best for queries that have fewer than k and
+    than there are ids with vectors of their length."""
+    length = F.size("embedding").cast("long").alias("bucket")
+    have = found.groupBy("query").agg(F.count("*").alias("have"))
+    there = cut_lineage(index.select("vec_id", length).groupBy("bucket").agg(F.countDistinct("vec_id").alias("there"), F.count("*").alias("p")))
+    short = classes.select("query", "embedding", length).join(have, "query", "left").join(there, "bucket")
+    short = cut_lineage(short.where(F.coalesce("have", F.lit(0)) < F.least(F.lit(k), "there")).select("bucket", "query", "embedding"))
+    if short.isEmpty():
+        return found
+    sizes = cut_lineage(short.groupBy("bucket").agg(F.count("*").alias("q")).join(there, "bucket").select(
+        "bucket", F.ceil(F.col("p") / PIECE).cast("int").alias("n_points"), F.ceil(F.col("q") / PIECE).cast("int").alias("n_queries")))
+    left = _pieces(short, "query", "queries", "points", sizes).groupBy("bucket", "queries", "points")
+    right = _pieces(index.select(length, "vec_id", "embedding"), "vec_id", "points", "queries", sizes).groupBy("bucket", "queries", "points")
+    exact = left.cogroup(right).applyInArrow(_ranker(k), "query long, vec_id long, score double")
+    exact = exact.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+    exact = exact.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).drop("_n")
+    return cut_lineage(found.join(short.select("query"), "query", "left_anti").unionByName(exact))
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding",
-            tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+            tables: int = TABLES, probes: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k nearest found for
     each row that the condition `is_query` (over vec_id) admits, its own id left out."""
     rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").alias("embedding"))
@@ -166,6 +190,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", em
     found = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id").asc())
     found = cut_lineage(found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).drop("_n"))
+    found = _completed(found, classes, index, k + 1)
     # back to every query row: its class's list without itself
     names = classes.select(F.col("embedding").alias("_e"), F.col("query"))
     each = asked.join(names, asked["embedding"] == names["_e"]).select(F.col("vec_id").alias("query_id"), "query")

@@ -226,6 +226,22 @@ def test_nearest(spark, tmp_path):
     assert ann.nearest(d.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_nearest_of_few_vectors(spark, tmp_path):
+    """All candidates come back where a length has fewer than five, or about as many."""
+    rng = np.random.default_rng(5)
+    rows = [(100 * d + i, rng.normal(size=d).tolist(), 0) for d, n in ((64, 6), (256, 4), (768, 9)) for i in range(n)]
+    rows += [(100 * 256 + 50, rows[6][1], 0)]  # an equal vector
+    d = frame(spark, tmp_path, rows, "vec_id long, embedding array<double>, score int")
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in rows}
+    got = {}
+    for r in ann.nearest(d, F.lit(True)).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert [len(got[i]) for i, v, _ in rows] == [5 if len(v) != 256 else 4 for _, v, _ in rows]
+    for q in (i for i in unit if len(unit[i]) < 768):
+        assert got[q] == sorted((i for i in unit if i != q and len(unit[i]) == len(unit[q])),
+                                key=lambda i: (-round(float(unit[q] @ unit[i]), 12), i))
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 64))
     assert np.allclose(np.linalg.norm(ann.rotate(x, 3), axis=1), np.linalg.norm(x, axis=1))
