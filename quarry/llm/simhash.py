@@ -15,8 +15,8 @@ with those that met it there.
 Anchors that gather more than ANCHOR_LIMIT fingerprints take another exact
 way: two fingerprints at most two bits apart have a common neighbour one bit
 from both (or are it), so each such fingerprint is keyed by all 65 words
-within one bit of it, and fingerprints that share a key link.  At most 65 can
-share a key, so no group grows with the data.
+within one bit of it, and fingerprints that share a key link (for one bit: with the key, if it is one of them).  At most
+65 can share a key, so no group grows with the data.
 
 Equal fingerprints are one row throughout; documents rejoin at the end.
 Null and empty texts have fingerprint zero and link like any other.  Rows
@@ -162,15 +162,16 @@ def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     dealt = distinct.mapInArrow(_to_anchors, "anchor long, fingerprint long").repartition("anchor")
     met = cut_lineage(dealt.sortWithinPartitions("anchor").mapInArrow(_comparer(bits), "a long, b long, busy boolean"))
     plain = met.where("not busy").select("a", "b")
-    if bits < 2:
-        busy = met.where("busy").select(F.col("a").alias("fingerprint")).distinct()
-        return plain.union(_star_links(busy.withColumn("middle", F.col("fingerprint")), bits)).distinct()
     busy = met.where("busy").select(F.col("a").alias("fingerprint")).distinct()
     return plain.union(_star_links(busy.mapInArrow(_to_neighbours, "middle long, fingerprint long"), bits)).distinct()
 
 
 def _star_links(keyed: DataFrame, bits: int) -> DataFrame:
+    if bits == 0:
+        keyed = keyed.where("middle = fingerprint")  # distinct fingerprints: no link
     group = keyed.groupBy("middle").agg(F.collect_set("fingerprint").alias("f")).where("size(f) > 1")
+    if bits == 1:  # two members may be two bits apart; the middle, if a member, is one bit from each
+        return group.where(F.array_contains("f", F.col("middle"))).select(F.col("middle").alias("a"), F.explode("f").alias("b")).where("a != b")
     return group.select(F.array_min("f").alias("a"), F.explode("f").alias("b")).where("a != b")
 
 

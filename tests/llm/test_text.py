@@ -234,6 +234,19 @@ def test_simhash_documents(spark, tmp_path):
     assert simhash.near_duplicates(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [0, 1, 2])
+def test_links_at_crowded_anchors(spark, monkeypatch, bits):
+    monkeypatch.setattr(simhash, "ANCHOR_LIMIT", 2)
+    rng = random.Random(bits)
+    values = {0, 1 << 5}
+    while len(values) < 60:
+        values.add(rng.choice(sorted(values)) ^ (1 << rng.randrange(40)) ^ rng.choice([0, 1 << rng.randrange(40)]))
+    d = spark.createDataFrame([(v,) for v in sorted(values)], "fingerprint long")
+    root = brute_components(values, lambda a, b: bin(a ^ b).count("1") <= bits)
+    got = {r["node"]: r["root"] for r in components.connected_components(simhash.links(d, bits)).collect()}
+    assert {v: got.get(v, v) for v in values} == root
+
+
 def test_key_runs_in_any_batches():
     rng = np.random.default_rng(0)
     key = np.sort(rng.integers(0, 40, 500))
