@@ -8,8 +8,8 @@ task, which encodes it once; the ids go back to the blocks by position in their
 lists, where the documents put them in order of their words.  Only word lists, id lists and positions are
 shuffled, never one row per word.
 
-Decoding joins ids to the table of pieces, which has the fixed size of the
-vocabulary, by position; pieces are joined with one space, as a tokenizer
+Decoding collects the table of pieces, which has the fixed size of the
+vocabulary, broadcasts it and looks ids up by position; pieces are joined with one space, as a tokenizer
 without a decoder does.
 
 Edge cases: null and empty texts have no ids and decode to the empty string;
@@ -221,8 +221,8 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
 def decode(encoded: DataFrame, vocabulary: DataFrame, ids: str = "ids") -> DataFrame:
     """`encoded` and `decoded`, the pieces of its ids joined with a space.
 
-    The vocabulary has a fixed size, so it is the broadcast side of the join;
-    an id without a piece is left out.
+    The vocabulary has a fixed size, so it is collected and broadcast, and ids
+    are looked up by position; an id without a piece is left out.
     """
     rows = vocabulary.toPandas()
     known = np.full(int(rows["id"].max()) + 2, None, dtype=object)  # the last entry, null, is for unknown ids
