@@ -195,7 +195,7 @@ def mutual_information_knn(df: DataFrame, target: str, features=None, key: str =
                            seed: int = C.RANDOM_STATE) -> DataFrame:
     """A13/A14 (k-NN estimate) per (feature, run).
 
-    Rows are cut into hash chunks of at most ``chunk_rows``; each
+    Rows are cut into hash chunks of about ``chunk_rows``; each
     (feature, chunk) group runs the estimator for every run seed in
     ``applyInPandas`` (bounded memory per group), and the chunk results
     are averaged weighted by chunk size. Label-encoded columns are

@@ -658,7 +658,7 @@ def q_mi_knn(spark, sf_dir):
     df = d3(spark, sf_dir)
     from quarry.operators.features import label_encode
     df = label_encode(df, ["event_type"])
-    runs = mutual_information_knn(df, "label", MI_FEATURES, "row_id", runs=3)
+    runs = mutual_information_knn(df, "label", MI_FEATURES, "row_id", runs=C.N_MI_RUNS)
     return rounded(mi_summary(runs, C.N_TOP_MI_MEDIAN))
 
 

@@ -5,7 +5,7 @@ import inspect
 import pytest
 
 from quarry import config as C
-from quarry.operators import models, selection
+from quarry.operators import assoc, models, selection
 from quarry.plans import catalog, pipeline
 
 
@@ -48,6 +48,11 @@ def test_rfecv_defaults(monkeypatch):
     assert (got["num_trees"], got["max_depth"]) == (100, 12)
 
 
+def test_all_noise_draws(monkeypatch):
+    monkeypatch.setattr("quarry.operators.features.label_encode", lambda *a: None)
+    assert call(monkeypatch, assoc, "mutual_information_knn", catalog.q_mi_knn)["runs"] == C.N_MI_RUNS
+
+
 def test_all_models(monkeypatch):
     got = call(monkeypatch, pipeline, "model_sweep_kfold", catalog.q_model_sweep)
     assert list(got["models"]) == C.SPARK_MODEL_NAMES
