@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, chat, lines, mixing, pii, quality_gam, quality_rules, simhash, warc
+from quarry.llm import ann, bpe, chat, lines, mixing, pii, quality_gam, quality_rules, repeats, simhash, warc
 from quarry.session import checkpoint_dir, cut_lineage, scratch_path, ship_package
 
 
@@ -113,9 +113,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("clean_sha256"))
 
 
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.strip_repeats(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing, op6_warc, op7_chat_format,
-    op8_nearest_neighbours, op9_pii, op10_line_dedup,
+    op8_nearest_neighbours, op9_pii, op10_line_dedup, op12_repeated_passages,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
