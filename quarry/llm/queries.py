@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, chat, lines, mixing, pii, quality_gam, quality_rules, repeats, simhash, warc
+from quarry.llm import ann, bpe, chat, lines, mixing, pii, quality_gam, quality_rules, repeats, simhash, structure, warc
 from quarry.session import checkpoint_dir, cut_lineage, scratch_path, ship_package
 
 
@@ -118,9 +118,19 @@ def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    fixed = structure.repair(structure.damage(turns), order=["role0", "text0", "hash0"]).withColumnRenamed("conv_id", "own")
+    every = turns.select("conv_id").distinct().join(fixed, F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    return every.select("conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing, op6_warc, op7_chat_format,
     op8_nearest_neighbours, op9_pii, op10_line_dedup, op12_repeated_passages,
+    op13_structure_repair,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
