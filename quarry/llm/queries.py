@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, chat, lines, mixing, pii, quality_gam, quality_rules, repeats, simhash, structure, warc
+from quarry.llm import ann, bpe, chat, lines, mixing, pii, quality_gam, quality_rules, repeats, simhash, structure, trie, warc
 from quarry.session import checkpoint_dir, cut_lineage, scratch_path, ship_package
 
 
@@ -113,6 +113,45 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("clean_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, count(*) AS n, CAST(c AS VARCHAR) AS s FROM t GROUP BY c),
+h AS (
+  SELECT c, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, length(s) + 1),
+           lambda i: [CAST(ord(substr(s, i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, b: xor(xor(a, b) >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)), CAST(4294967295 AS BIGINT)) % 6 AS h
+  FROM n),
+m AS (SELECT h.c, h.h, least(h.h, coalesce(f.n, 0)) AS m FROM h LEFT JOIN n f ON f.c = h.c - h.c % 100),
+b AS (
+  SELECT m.c, t.pos AS d, r, x FROM m JOIN t ON t.c = m.c - m.c % 100 AND t.pos <= m.h
+  UNION ALL SELECT m.c, m.m + t.pos - m.h, r, x FROM m JOIN t ON t.c = m.c AND t.pos > m.h),
+p AS (
+  SELECT c, d, length(x) AS chars, sha256(string_agg(length(r) || ':' || r || length(x) || ':' || x, '') OVER (
+           PARTITION BY c ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS node
+  FROM b
+  UNION ALL SELECT c, 0, 0, 'root' FROM n),
+v AS (SELECT node, min(c) AS c, min(d) AS d, count(*) AS n_convs, max(chars) AS chars FROM p GROUP BY node),
+u AS (SELECT v.*, up.node AS up FROM v LEFT JOIN p up ON up.c = v.c AND up.d = v.d - 1),
+k AS (SELECT up AS node, count(*) AS kids FROM u WHERE up IS NOT NULL GROUP BY up),
+s AS (
+  SELECT a.node, sum(CASE WHEN k.kids IS NULL THEN 1 ELSE 0 END) AS leaves, sum((v.n_convs - 1) * v.chars) AS saved
+  FROM v LEFT JOIN k USING (node) JOIN p a ON a.c = v.c AND a.d <= v.d GROUP BY a.node),
+e AS (
+  SELECT p.node, string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) AS ids
+  FROM p JOIN (SELECT c, max(d) AS d FROM p GROUP BY c) l ON l.c = p.c AND l.d = p.d GROUP BY p.node)
+SELECT u.c AS conv_id, CAST(u.d AS BIGINT) AS depth, w.c AS parent_conv_id, u.n_convs, CAST(coalesce(k.kids, 0) AS BIGINT) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM u LEFT JOIN v w ON w.node = u.up LEFT JOIN k ON k.node = u.node JOIN s ON s.node = u.node LEFT JOIN e ON e.node = u.node
+"""
+
+
 def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.strip_repeats(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -129,9 +168,9 @@ def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing, op6_warc, op7_chat_format,
-    op8_nearest_neighbours, op9_pii, op10_line_dedup, op12_repeated_passages,
+    op8_nearest_neighbours, op9_pii, op10_line_dedup, op11_prefix_trie, op12_repeated_passages,
     op13_structure_repair,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op5_source_mixing": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_source_mixing": OP5_SQL, "op11_prefix_trie": OP11_SQL}

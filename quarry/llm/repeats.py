@@ -10,7 +10,8 @@ windows have equal keys, and neighbouring windows under the same place form
 one segment, so a text is cut into segments of at most 2 * LENGTH - ANCHOR
 bytes with every window in exactly one of them; two equal windows of one text
 never share a segment.  Keys that occur once in the table cannot hold a
-repeat.  The segments of the other keys are gathered, equal segments as one
+repeat.  A key with several equal segments and no other is all repeats, whatever
+their text.  The segments of the other keys are gathered, equal segments as one
 with its number of copies, and dealt by key.
 
 The index.  A task sorts the windows' suffixes of its segments in blocks of
@@ -23,14 +24,16 @@ the samples alone: a sample at x with partner y and match m covers x to x + m
 and y to y + m.  This holds for matches of LENGTH or more although only
 suffixes of at least LENGTH bytes are sorted: a suffix between two that share
 more than LENGTH bytes shares them too.  Copies of a segment only widen runs;
-their own boundary is sampled at the segment's start with its whole length.
+their own boundary is sampled at the segment's start with its whole length (so keys
+with nothing but copies need no text).
 
 A key with more than CROWD different segments (the edge of a passage that very
 many texts share) is not given to one task: its windows are counted by a
 128-bit hash, which is exact for such keys and splits evenly.
 
-Repeated keys are looked up in a bit map of SIEVE_BITS bits when there are at
-most SIEVE_KEYS of them; beyond that by a join, with the same result.
+Repeated keys are looked up in bit maps of SIEVE_BITS bits when there are at
+most SIEVE_KEYS of them; beyond that by a join, with the same result.  Texts are
+shuffled once, compressed, to meet their marks.
 
 Edge cases: null and empty texts have no bytes and nothing removed; texts
 shorter than LENGTH stay whole; rows with equal texts (repeated rows, ties)
@@ -48,13 +51,13 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.llm.naming import by_place
 from quarry.llm.textbuf import Rolling
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, scratch_path
 
 LENGTH = 200
 ANCHOR = 64
@@ -120,13 +123,22 @@ def _texts(batches):
                 yield t, None if given is None else given[lo + k]
 
 
-def _count_keys(length: int, anchor: int):
+def _hash(piece: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(piece) - (1 << 63)
+
+
+def _keys(length: int, anchor: int):
+    """key and hash of every segment."""
     def run(batches):
         for b in batches:
-            found = [k for t in b.column("text").cast(pa.binary()).to_pylist() for _, _, k in segments(t, length, anchor)]
-            if found:
-                key, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
+            for lo in range(0, len(b), 256):
+                keys, hashes = [], []
+                for t in b.column("text").slice(lo, 256).cast(pa.binary()).to_pylist():
+                    for start, end, key in segments(t, length, anchor):
+                        keys.append(key)
+                        hashes += [_hash(t[x:y]) for x, y in zip(start.tolist(), end.tolist(), strict=True)]
+                if hashes:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(hashes, pa.int64())], ["key", "seg"])
     return run
 
 
@@ -149,7 +161,7 @@ def _gather(sieve, length: int, anchor: int):
         for data, starts in _texts(batches):
             for a, b, key in _repeated(data, starts, look, length, anchor):
                 piece = data[a:b]
-                same = (key, xxhash.xxh3_64_intdigest(piece) - (1 << 63))
+                same = (key, _hash(piece))
                 if same in held:
                     held[same][0] += 1
                     continue
@@ -167,7 +179,7 @@ def _gather(sieve, length: int, anchor: int):
 
 
 def _occurrences(sieve, length: int, anchor: int):
-    """key, hash, digest of the text and start of every segment under a repeated key; equal texts of a task once."""
+    """key, hash, digest of the text, start and size of every segment under a repeated key; equal texts of a task once."""
     def run(batches):
         look, rows, seen = Sieve(sieve.value if sieve else None), [], set()
         for data, starts in _texts(batches):
@@ -177,7 +189,7 @@ def _occurrences(sieve, length: int, anchor: int):
             if len(seen) > _SEEN:
                 seen.clear()
             seen.add(digest)
-            rows += [(key, xxhash.xxh3_64_intdigest(data[a:b]) - (1 << 63), digest, a)
+            rows += [(key, _hash(data[a:b]), digest, a, b - a)
                      for a, b, key in _repeated(data, starts, look, length, anchor)]
             if len(rows) > 50_000:
                 yield _rows(rows)
@@ -186,8 +198,9 @@ def _occurrences(sieve, length: int, anchor: int):
             yield _rows(rows)
 
     def _rows(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)],
-                                          ["key", "seg", "digest", "start"])
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                          ["key", "seg", "digest", "start", "size"])
     return run
 
 
@@ -337,28 +350,47 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
     `texts` has one column text without nulls.  digest is the text's SHA-256;
     marks holds (start, ranges) with ranges (a, b, a, b, ...) relative to start.
     """
-    keys = cut_lineage(texts.mapInArrow(_count_keys(length, anchor), "key long, n long").groupBy("key")
-                       .agg(F.sum("n").alias("n")).where("n > 1").select("key"))
-    sieve = None
+    keys = cut_lineage(texts.mapInArrow(_keys(length, anchor), "key long, seg long").groupBy("key")
+                       .agg(F.count("*").alias("n"), F.min("seg").alias("seg"), F.max("seg").alias("other")).where("n > 1").select("key", "seg", "other"))
+    sieve = mixed = None
     if keys.count() <= sieve_keys:
-        sieve, source = _sieve_of(keys), texts
+        sieve, mixed, source = _sieve_of(keys), _sieve_of(keys.where("seg != other")), texts
     else:
         places = texts.mapInArrow(_places(length, anchor), "key long, digest binary, start long").join(keys, "key", "left_semi")
         starts = places.groupBy("digest").agg(F.collect_set("start").alias("starts"))
         source = texts.withColumn("digest", F.unhex(F.sha2("text", 256))).join(cut_lineage(starts), "digest").select("text", "starts")
-    pieces = cut_lineage(source.mapInArrow(_gather(sieve, length, anchor), "key long, seg long, n long, bytes binary")
-                         .groupBy("key", "seg").agg(F.sum("n").alias("n"), F.max("bytes").alias("bytes")))
+    path = scratch_path(texts.sparkSession, "segments")
+    (source.mapInArrow(_gather(mixed, length, anchor), "key long, seg long, n long, bytes binary")
+     .groupBy("key", "seg").agg(F.sum("n").alias("n"), F.max("bytes").alias("bytes")).write.option("compression", "zstd").parquet(path))
+    pieces = texts.sparkSession.read.parquet(path)
     crowded = cut_lineage(pieces.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > crowd).select("key"))
-    few = pieces.join(crowded, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+    # dealt by a hash of the key, not the key: a repartition like the join's own would be dropped from the plan
+    few = pieces.join(crowded, "key", "left_anti").repartition(F.xxhash64("key")).sortWithinPartitions("key")
     marks = few.mapInArrow(_indexed(length), "key long, seg long, ranges array<int>")
     windows = pieces.join(crowded, "key", "left_semi").mapInArrow(_windows(length), "key long, seg long, at int, window binary, n long")
     twice = cut_lineage(windows.groupBy("window").agg(F.sum("n").alias("n")).where("n > 1").select("window"))
     many = (windows.join(twice, "window").groupBy("key", "seg")
             .agg(F.sort_array(F.collect_set("at")).alias("at"))  # at most length - anchor + 1 of them
             .select("key", "seg", F.flatten(F.transform("at", lambda a: F.array(a, a + F.lit(length)))).alias("ranges")))
-    marks = cut_lineage(marks.union(many))
-    seen = source.mapInArrow(_occurrences(sieve, length, anchor), "key long, seg long, digest binary, start long")
-    return seen.join(marks, ["key", "seg"]).groupBy("digest").agg(F.collect_set(F.struct("start", "ranges")).alias("marks"))
+    whole = keys.where("seg = other").select("key", "seg", F.array().cast("array<int>").alias("ranges"))
+    marks = cut_lineage(marks.union(many).union(whole))
+    seen = source.mapInArrow(_occurrences(sieve, length, anchor), "key long, seg long, digest binary, start long, size int").join(marks, ["key", "seg"])
+    ranges = F.when(F.size("ranges") == 0, F.array(F.lit(0), F.col("size"))).otherwise(F.col("ranges"))
+    return seen.select("digest", F.struct("start", ranges.alias("ranges")).alias("mark")).groupBy("digest").agg(F.collect_set("mark").alias("marks"))
+
+
+def _pack(names: list[str]):
+    """Texts with their digest, compressed."""
+    def run(batches):
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            for lo in range(0, len(b), 256):
+                part = b.slice(lo, 256)
+                texts = part.column("text").cast(pa.binary()).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(c) for c in names] + [pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
+                                                       pa.array([squeeze.compress(t) for t in texts], pa.binary())], [*names, "digest", "packed"])
+    return run
 
 
 _ADDED = "kept binary, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>"
@@ -368,11 +400,12 @@ def _cut(names: list[str]):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
+        expand = zstandard.ZstdDecompressor()
         for b in batches:
             for lo in range(0, len(b), 256):
                 part = b.slice(lo, 256)
                 kept, size, gone, spans = [], [], [], []
-                for data, marks in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("marks").to_pylist(), strict=True):
+                for data, marks in zip(map(expand.decompress, part.column("packed").to_pylist()), part.column("marks").to_pylist(), strict=True):
                     cut = union_of((m["start"] + r[0], m["start"] + r[1]) for m in marks or ()
                                    for r in zip(m["ranges"][::2], m["ranges"][1::2], strict=True))
                     edges = [0, *(x for c in cut for x in c), len(data)]
@@ -394,8 +427,8 @@ def strip_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None =
     placed, (body, *own) = by_place(docs, text, *carry)
     full = placed.withColumn("text", F.coalesce(F.col(body).cast("string"), F.lit("")))
     ranges = repeated_ranges(full.select("text"), length, anchor, crowd, sieve_keys)
-    joined = (full.select(*own, "text", F.unhex(F.sha2("text", 256)).alias("digest"))
-              .join(cut_lineage(ranges), "digest", "left").select(*own, "text", "marks"))
     fields = [f"{c} {docs.schema[n].dataType.simpleString()}" for c, n in zip(own, carry, strict=True)]
+    packed = full.select(*own, "text").mapInArrow(_pack(own), ", ".join([*fields, "digest binary, packed binary"]))
+    joined = packed.join(cut_lineage(ranges), "digest", "left").select(*own, "packed", "marks")
     out = joined.mapInArrow(_cut(own), ", ".join([*fields, _ADDED]))
-    return out.toDF(*carry, *(c.split()[0] for c in ("kept", "n_bytes", "n_removed", "spans")))
+    return out.toDF(*carry, "kept", "n_bytes", "n_removed", "spans")

@@ -441,7 +441,7 @@ def repair_pieces(conversations: DataFrame, order=()) -> DataFrame:
     earliest = cut_lineage(edges.where("fresh is not null").groupBy("conv", "fresh").agg(F.min("part").alias("earliest")))
     known = edges.where("fresh is not null").join(earliest, ["conv", "fresh"]).withColumn("again", F.col("part") > F.col("earliest"))
     cols = ["conv", "conv_id", "part", "at", "turn", "role", "text", "again"]
-    pieces = known.select(*cols).union(edges.where("fresh is null").select(*cols)).repartition("part").sortWithinPartitions("part", "at")
+    pieces = known.select(*cols).union(edges.where("fresh is null").select(*cols)).repartition(F.xxhash64("part")).sortWithinPartitions("part", "at")
     pieces = cut_lineage(pieces)
     states = _joined_up(pieces.mapInArrow(_reports, _REPORT).collect())  # at most two pieces per partition
     return inner.union(pieces.mapInArrow(_solve(states, id_kind), f"conv string, conv_id {id_text}, {_RESULT}"))
@@ -464,7 +464,8 @@ def digests(pieces: DataFrame, key: str, order: list[str], data: str) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([sha.hexdigest()])], ["k", "sha"])
 
     blocks = pieces.select(F.col(key).alias("k"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(data).cast("binary").alias("x"))
-    blocks = blocks.repartition("k").sortWithinPartitions("k", *(f"o{i}" for i in range(len(order)))).select("k", "x")
+    # dealt by a hash of the key: a repartition like that of a join below would be dropped from the plan
+    blocks = blocks.repartition(F.xxhash64("k")).sortWithinPartitions("k", *(f"o{i}" for i in range(len(order)))).select("k", "x")
     return blocks.mapInArrow(run, f"k {pieces.schema[key].dataType.simpleString()}, sha string").toDF(key, "sha256")
 
 
