@@ -150,87 +150,10 @@ def mutual_information_binned(df: DataFrame, target: str, features=None, bins: i
     return out.limit(k) if k else out
 
 
-# ---------------------------------------------------------------- A13 k-NN
-def _harmonic(m: int) -> np.ndarray:
-    h = np.zeros(m + 2)
-    h[1:] = np.cumsum(1.0 / np.arange(1, m + 2))
-    return h
-
-
-def _digamma_int(n: np.ndarray, harm: np.ndarray) -> np.ndarray:
-    # digamma(n) = -gamma + H(n-1) for positive integers
-    return -0.5772156649015329 + harm[(n - 1).astype(int)]
-
-
-def ksg_mi(x: np.ndarray, y: np.ndarray, k: int = 3, rng: np.random.Generator | None = None) -> float:
-    """Kraskov estimator (max-norm, as scikit-learn's regression MI):
-    unit-variance scaling, tiny noise, exact neighbour counts."""
-    n = len(x)
-    if n <= k:
-        return 0.0
-    rng = rng or np.random.default_rng(0)
-    x = x.astype(float).copy()
-    y = y.astype(float).copy()
-    for v in (x, y):
-        sd = v.std()
-        if sd > 0:
-            v /= sd
-        v += 1e-10 * max(1.0, float(np.mean(np.abs(v)))) * rng.standard_normal(n)
-    dx = np.abs(x[:, None] - x[None, :])
-    dy = np.abs(y[:, None] - y[None, :])
-    d = np.maximum(dx, dy)
-    np.fill_diagonal(d, np.inf)
-    r = np.partition(d, k - 1, axis=1)[:, k - 1]
-    r = np.nextafter(r, 0)
-    nx = (dx <= r[:, None]).sum(axis=1) - 1  # dx diagonal is 0: remove self
-    ny = (dy <= r[:, None]).sum(axis=1) - 1
-    harm = _harmonic(n + 1)
-    mi = (_digamma_int(np.array([n]), harm)[0] + _digamma_int(np.array([k]), harm)[0]
-          - np.mean(_digamma_int(nx + 1, harm)) - np.mean(_digamma_int(ny + 1, harm)))
-    return max(0.0, float(mi))
-
-
-def mutual_information_knn(df: DataFrame, target: str, features=None, key: str = "row_id",
-                           n_neighbors: int = 3, runs: int = 1, chunk_rows: int = 2048,
-                           seed: int = C.RANDOM_STATE) -> DataFrame:
-    """A13/A14 (k-NN estimate) per (feature, run).
-
-    Rows are cut into hash chunks of about ``chunk_rows``; each
-    (feature, chunk) group runs the estimator for every run seed in
-    ``applyInPandas`` (bounded memory per group), and the chunk results
-    are averaged weighted by chunk size. Label-encoded columns are
-    treated as continuous, like the analysed pipeline.
-    """
-    from quarry.session import ship_package
-    ship_package(df.sparkSession)
-    features = [c for c in (features or df.columns) if c not in (target, key)]
-    n = df.count()
-    n_chunks = max(1, -(-n // chunk_rows))
-    base = df.select(F.pmod(F.xxhash64(F.col(key)), F.lit(n_chunks)).cast("int").alias("chunk"),
-                     F.col(target).cast("double").alias("y"),
-                     F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
-                                         for c in features])).alias("kv")) \
-        .select("kv.feature", "chunk", "kv.x", "y").filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    kk, rr, sd = n_neighbors, runs, seed
-
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        f, ch = pdf["feature"].iloc[0], int(pdf["chunk"].iloc[0])
-        xs, ys = pdf["x"].to_numpy(), pdf["y"].to_numpy()
-        rows = []
-        for run in range(rr):
-            rng = np.random.default_rng([sd, run, ch])
-            rows.append((f, ch, run, ksg_mi(xs, ys, kk, rng), len(xs)))
-        return pd.DataFrame(rows, columns=["feature", "chunk", "run", "mi", "m"])
-
-    parts = base.groupBy("feature", "chunk").applyInPandas(
-        per_group, "feature string, chunk int, run int, mi double, m long")
-    return parts.groupBy("feature", "run").agg(
-        (F.sum(F.col("mi") * F.col("m")) / F.sum("m")).alias("mi"))
-
-
 def mutual_information(df: DataFrame, target: str, features=None, method: str = "binned",
                        k: int | None = C.N_TOP_MI, **kw) -> DataFrame:
     """MI ranking, top ``k`` (binned or k-NN)."""
+    from quarry.operators.mi_knn import mutual_information_knn
     if method == "binned":
         return mutual_information_binned(df, target, features, k=k, **kw)
     out = mutual_information_knn(df, target, features, **kw).groupBy("feature").agg(F.avg("mi").alias("mi")) \

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import config as C
+from quarry.functions.columns import GOLDEN_32, MIX_MULT, TWO_32_INT
 from quarry.plans.fixtures import D4_WIDE, D4_WIDE_SQL, d1, d2, d3, d4, d4_wide, duck_ctes
 from quarry.session import cut_lineage
 
@@ -652,13 +653,51 @@ def q_mi_repeated(spark, sf_dir):
     return rounded(mi_summary(runs, C.N_TOP_MI_MEDIAN))
 
 
-@register("mutual_information_knn", "A13 (k-NN) A14 (k-NN)")
-def q_mi_knn(spark, sf_dir):
-    from quarry.operators.assoc import mi_summary, mutual_information_knn
-    df = d3(spark, sf_dir)
+def _mi_knn_sql() -> str:
+    """One draw of the k-NN estimate by joining every pair of rows."""
+    from quarry.operators.mi_knn import NOISE
+
+    def noise(stream: str) -> str:
+        x = f"((kb + ({stream}) * {GOLDEN_32}) % {TWO_32_INT})"
+        for _ in range(2):
+            x = f"((xor({x} >> 16, {x}) * {MIX_MULT}) % {TWO_32_INT})"
+        return f"((xor({x} >> 16, {x}) / 4294967296e0 - 5e-1) * sqrt(12e0))"
+
+    kb = f"CAST('0x' || substr(md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), 1, 8) AS BIGINT)"
+    long = " UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, row_id, kb, CAST({c} AS DOUBLE) AS x, label AS y FROM src" for i, c in enumerate(MI_FEATURES))
+    away = ("greatest(abs((b.x - a.x) + a.ax * (b.ex - a.ex)), abs((b.y - a.y) + a.ay * (b.ey - a.ey)))")
+    return f"""
+, src AS (SELECT row_id, {kb} AS kb, dense_rank() OVER (ORDER BY event_type) - 1 AS event_type, user_bucket, hour_of_day, value, minority, label FROM d3)
+, long AS ({long})
+, st AS (SELECT f, count(*) AS n, CASE WHEN min(x) = max(x) THEN 1e0 ELSE stddev_pop(x) END AS dx, CASE WHEN min(y) = max(y) THEN 1e0 ELSE stddev_pop(y) END AS dy,
+           avg(abs(x)) AS mx, avg(abs(y)) AS my FROM long GROUP BY f)
+, z AS (SELECT long.f, feature, row_id, n, x / dx AS x, y / dy AS y, {NOISE!r} * greatest(1e0, mx / dx) AS ax, {NOISE!r} * greatest(1e0, my / dy) AS ay,
+          {noise("long.f + 1")} AS ex, {noise("0")} AS ey FROM long JOIN st ON st.f = long.f)
+, r AS (SELECT a.f, a.row_id, min({away}, 3)[3] AS r FROM z a JOIN z b ON a.f = b.f AND a.row_id <> b.row_id GROUP BY a.f, a.row_id)
+, c AS (SELECT a.f, a.row_id, count(*) FILTER (abs((b.x - a.x) + a.ax * (b.ex - a.ex)) < r.r) AS nx, count(*) FILTER (abs((b.y - a.y) + a.ay * (b.ey - a.ey)) < r.r) AS ny
+        FROM z a JOIN r ON r.f = a.f AND r.row_id = a.row_id JOIN z b ON a.f = b.f GROUP BY a.f, a.row_id)
+, h AS (SELECT m, sum(1e0 / m) OVER (ORDER BY m) - 1e0 / m AS psi FROM range(1, (SELECT max(n) + 1 FROM st)) t(m))
+SELECT any_value(z.feature) AS feature, round(greatest(0, any_value(hn.psi) + 15e-1 - avg(hx.psi) - avg(hy.psi)), 6) AS mi
+FROM c JOIN z ON z.f = c.f AND z.row_id = c.row_id JOIN h hx ON hx.m = c.nx JOIN h hy ON hy.m = c.ny JOIN h hn ON hn.m = z.n
+GROUP BY c.f ORDER BY mi DESC, feature LIMIT {C.N_TOP_MI}"""
+
+
+def _encoded_d3(spark, sf_dir):
     from quarry.operators.features import label_encode
-    df = label_encode(df, ["event_type"])
-    runs = mutual_information_knn(df, "label", MI_FEATURES, "row_id", runs=C.N_MI_RUNS)
+    return label_encode(d3(spark, sf_dir), ["event_type"])
+
+
+@register("mutual_information_knn_once", "A13 (k-NN) T1", _mi_knn_sql())
+def q_mi_knn_once(spark, sf_dir):
+    from quarry.operators.assoc import mutual_information
+    return rounded(mutual_information(_encoded_d3(spark, sf_dir), "label", MI_FEATURES, method="knn", key="row_id", k=C.N_TOP_MI))
+
+
+@register("mutual_information_knn", "A14 (k-NN) T1")
+def q_mi_knn(spark, sf_dir):
+    from quarry.operators.assoc import mi_summary
+    from quarry.operators.mi_knn import mutual_information_knn
+    runs = mutual_information_knn(_encoded_d3(spark, sf_dir), "label", MI_FEATURES, "row_id", runs=C.N_MI_RUNS)
     return rounded(mi_summary(runs, C.N_TOP_MI_MEDIAN))
 
 

@@ -5,7 +5,7 @@ import inspect
 import pytest
 
 from quarry import config as C
-from quarry.operators import assoc, models, selection
+from quarry.operators import mi_knn, models, selection
 from quarry.plans import catalog, pipeline
 
 
@@ -50,7 +50,7 @@ def test_rfecv_defaults(monkeypatch):
 
 def test_all_noise_draws(monkeypatch):
     monkeypatch.setattr("quarry.operators.features.label_encode", lambda *a: None)
-    assert call(monkeypatch, assoc, "mutual_information_knn", catalog.q_mi_knn)["runs"] == C.N_MI_RUNS
+    assert call(monkeypatch, mi_knn, "mutual_information_knn", catalog.q_mi_knn)["runs"] == C.N_MI_RUNS
 
 
 def test_all_models(monkeypatch):
