@@ -28,8 +28,11 @@ their own boundary is sampled at the segment's start with its whole length (so k
 with nothing but copies need no text).
 
 A key with more than CROWD different segments (the edge of a passage that very
-many texts share) is not given to one task: its windows are counted by a
-128-bit hash, which is exact for such keys and splits evenly.
+many texts share) is not given to one task.  Its windows are told apart by their
+place relative to the anchor, in blocks of LEVELS places: windows of a block have
+its common bytes around the anchor, so a segment is filed once per block under their hash.
+Groups of one copy go, small groups are indexed, and those still crowded are
+divided into the blocks of the next level; at the last one a group is one window.
 
 Repeated keys are looked up in bit maps of SIEVE_BITS bits when there are at
 most SIEVE_KEYS of them; beyond that by a join, with the same result.  Texts are
@@ -68,6 +71,8 @@ SIEVE_BITS = 1 << 27
 SIEVE_KEYS = 1 << 26
 #: Different segments of a key that one task indexes.
 CROWD = 2000
+#: Places per block of a crowded key's windows, level by level.
+LEVELS = (28, 6, 1)
 #: Bytes of segments in one index block.
 BLOCK_BYTES = 1 << 20
 #: Bytes of segments per output batch, and segments a task remembers having sent.
@@ -296,38 +301,61 @@ def long_matches(pieces: list[bytes], copies: list[int], length: int = LENGTH) -
 def _indexed(length: int):
     def run(batches):
         def solve(rows):
-            marks = long_matches([r[3] for r in rows], [r[2] for r in rows], length)
-            rows = [(k, s, [x for r in m for x in r]) for (k, s, _, _), m in zip(rows, marks, strict=True) if m]
+            marks = long_matches([r[5] for r in rows], [r[3] for r in rows], length)
+            rows = [(r[1], r[2], [r[4] + x for a in m for x in a]) for r, m in zip(rows, marks, strict=True) if m]
             if rows:
-                cols = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.int32())), strict=True)],
-                                                 ["key", "seg", "ranges"])
+                yield _marks(rows)
 
         held, size = [], 0
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("key", "seg", "n", "bytes")), strict=True):
+            for row in zip(*(b.column(c).to_pylist() for c in ("file", "key", "seg", "n", "at", "bytes")), strict=True):
                 if size >= BLOCK_BYTES and row[0] != held[-1][0]:
                     yield from solve(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3])
+                size += len(row[5])
         if held:
             yield from solve(held)
     return run
 
 
-def _windows(length: int):
-    """Every window of a crowded key's segments by its 128-bit hash."""
+def _marks(rows):
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "seg", "ranges"])
+
+
+def divide(piece: bytes, size: int, length: int = LENGTH, anchor: int = ANCHOR):
+    """Yield (hash, first, after the last) of the blocks of a segment's windows.
+
+    A window's place is the number of its bytes before the anchor; a block has
+    the places k * size .. (k + 1) * size - 1.  The hash is of the block and of the bytes around the
+    anchor that all its windows have, so equal windows of two segments share it.
+    """
+    h = Rolling(np.frombuffer(piece, dtype=np.uint8)).every(anchor)
+    windows = len(piece) - length + 1
+    # the anchor of all windows is that of the first
+    at = int(((h[: length - anchor + 1] & ~_PLACE) | np.arange(min(len(h), length - anchor + 1), dtype=np.uint64)).min() & _PLACE)
+    for k in range((at - windows + 1) // size, at // size + 1):
+        low, high = k * size, (k + 1) * size - 1  # places of the block
+        first, last = max(0, at - high), min(windows - 1, at - low)
+        if first <= last:
+            common = piece[at - low : at - high + length]
+            yield xxhash.xxh3_128_digest(k.to_bytes(4, "big") + common), first, last + 1
+
+
+def _divided(size: int, length: int, anchor: int):
+    """The blocks of crowded segments, with the bytes of their windows."""
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+
     def run(batches):
         for b in batches:
             for lo in range(0, len(b), 512):
-                rows = [(k, s, o, xxhash.xxh3_128_digest(p[o : o + length]), n)
-                        for k, s, n, p in zip(*(b.column(c).slice(lo, 512).to_pylist() for c in ("key", "seg", "n", "bytes")), strict=True)
-                        for o in range(len(p) - length + 1)]
+                rows = [(sub, k, s, n, at + first, p[first : end - 1 + length])
+                        for k, s, n, at, p in zip(*(b.column(c).slice(lo, 512).to_pylist() for c in ("key", "seg", "n", "at", "bytes")), strict=True)
+                        for sub, first, end in divide(p, size, length, anchor)]
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                                     ["key", "seg", "at", "window", "n"])
+                                                     ["sub", "key", "seg", "n", "at", "bytes"])
     return run
 
 
@@ -364,16 +392,25 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
      .groupBy("key", "seg").agg(F.sum("n").alias("n"), F.max("bytes").alias("bytes")).write.option("compression", "zstd").parquet(path))
     pieces = texts.sparkSession.read.parquet(path)
     crowded = cut_lineage(pieces.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > crowd).select("key"))
-    # dealt by a hash of the key, not the key: a repartition like the join's own would be dropped from the plan
-    few = pieces.join(crowded, "key", "left_anti").repartition(F.xxhash64("key")).sortWithinPartitions("key")
+    cols = ["key", "seg", "n", "at", "bytes"]
+    few = pieces.join(crowded, "key", "left_anti").select(F.col("key").alias("file"), "key", "seg", "n", F.lit(0).alias("at"), "bytes")
+    crowd_rows = pieces.join(crowded, "key", "left_semi").select("key", "seg", "n", F.lit(0).alias("at"), "bytes")
+    equal = None
+    for size in LEVELS if crowded.count() else ():
+        blocks = cut_lineage(crowd_rows.mapInArrow(_divided(size, length, anchor), "sub binary, key long, seg long, n long, at int, bytes binary"))
+        groups = cut_lineage(blocks.groupBy("sub").agg(F.sum("n").alias("copies"), F.count("*").alias("m")).where("copies > 1"))
+        blocks = cut_lineage(blocks.join(groups.select("sub", "m"), "sub"))
+        if size == 1:
+            equal = blocks.select("key", "seg", F.array(F.col("at"), F.col("at") + F.lit(length)).alias("ranges"))
+        else:
+            few = few.union(blocks.where(F.col("m") <= crowd).select(F.xxhash64("sub").alias("file"), *cols))
+            crowd_rows = blocks.where(F.col("m") > crowd).select(*cols)
+    # dealt by a hash of the file, not the file: a repartition like a join's own would be dropped from the plan
+    few = few.repartition(F.xxhash64("file")).sortWithinPartitions("file")
     marks = few.mapInArrow(_indexed(length), "key long, seg long, ranges array<int>")
-    windows = pieces.join(crowded, "key", "left_semi").mapInArrow(_windows(length), "key long, seg long, at int, window binary, n long")
-    twice = cut_lineage(windows.groupBy("window").agg(F.sum("n").alias("n")).where("n > 1").select("window"))
-    many = (windows.join(twice, "window").groupBy("key", "seg")
-            .agg(F.sort_array(F.collect_set("at")).alias("at"))  # at most length - anchor + 1 of them
-            .select("key", "seg", F.flatten(F.transform("at", lambda a: F.array(a, a + F.lit(length)))).alias("ranges")))
+    marks = marks if equal is None else marks.union(equal)
     whole = keys.where("seg = other").select("key", "seg", F.array().cast("array<int>").alias("ranges"))
-    marks = cut_lineage(marks.union(many).union(whole))
+    marks = cut_lineage(marks.union(whole))
     seen = source.mapInArrow(_occurrences(sieve, length, anchor), "key long, seg long, digest binary, start long, size int").join(marks, ["key", "seg"])
     ranges = F.when(F.size("ranges") == 0, F.array(F.lit(0), F.col("size"))).otherwise(F.col("ranges"))
     return seen.select("digest", F.struct("start", ranges.alias("ranges")).alias("mark")).groupBy("digest").agg(F.collect_set("mark").alias("marks"))

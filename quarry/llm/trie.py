@@ -10,14 +10,14 @@ texts are reduced to 128-bit digests before the first shuffle.
 Subtree totals.  The tree is contracted in rounds until only the root is left.
 Compress: unary chains are spliced out; of a run of nodes that lie next to one
 another under the order of conversation and depth only the lowest stays, and
-other chains lose the unary nodes that a coin marks and whose parent it does
-not.  What a spliced node holds goes onto the edge of the node below, and its
+in a round that left over three quarters of the nodes, other chains lose the
+unary nodes that a coin marks and whose parent it does not.  What a spliced node holds goes onto the edge of the node below, and its
 total is noted as that node's total plus a difference.  Rake: leaves are removed
 with their totals, which go to their parents, summed before the shuffle.  Both
 are joins on unique keys.  The contracted nodes are then expanded in reverse order.
 
-A node's number of rounds is logarithmic whatever the shape: a chain of any
-length loses a constant share in every round, and leaves go at once.
+The number of rounds is logarithmic whatever the shape: leaves and neighbouring
+chains go at once, and other chains lose a constant share in every such round.
 
 Edge cases: rows with a null conv_id belong to no conversation and are left out;
 null roles and texts are empty; turns sort null first, rows of one turn by role,
@@ -283,7 +283,7 @@ def subtree_totals(nodes: DataFrame) -> DataFrame:
     active = cut_lineage(nodes.select(*_COLS[:9], F.lit(0).cast("long").alias("edge_leaves"), F.lit(0).cast("long").alias("edge_saved")))
     noted: list[DataFrame] = []  # high, low, below_high, below_low, leaves, saved of every splice, in the order of the rounds
     done: list[DataFrame] = []  # high, low, leaves, saved
-    turn = 0
+    turn, before = 0, None
     while True:
         turn += 1
         both = cut_lineage(active.repartitionByRange("conv_id", "depth").sortWithinPartitions("conv_id", "depth")
@@ -303,9 +303,10 @@ def subtree_totals(nodes: DataFrame) -> DataFrame:
         left = active.agg(F.count("*").alias("n"), F.count(F.when((F.col("kids") == 1) & F.col("up_high").isNotNull(), 1)).alias("unary")).first()
         if not left["n"]:
             break
-        if left["unary"]:
+        if left["unary"] and before is not None and 4 * left["n"] > 3 * before:  # chains that change conversation at every node
             active, spliced = _mate(active, turn)
             noted.append(spliced)
+        before = left["n"]
     totals = cut_lineage(_union(done))
     for notes in reversed(noted):
         below = totals.select(F.col("high").alias("below_high"), F.col("low").alias("below_low"), F.col("leaves").alias("l"), F.col("saved").alias("s"))
