@@ -263,6 +263,144 @@ def mi_summary(mi_runs: DataFrame, k: int | None = C.N_TOP_MI_MEDIAN) -> DataFra
 
 
 # ---------------------------------------------------------------- A15
+#: Values of a chunk of rows handled at once, and the categories up to which a column joins the dense product.
+CHUNK_VALUES, FEW_CATEGORIES = 1 << 21, 64
+
+
+def _incidence_products(n_nom: int, n_num: int, mean: np.ndarray, scale: np.ndarray):
+    """Per chunk of rows the contingency cells of all nominal pairs and, for every
+    category and numeric column, count, sum and sum of squares.
+
+    Columns with few categories form one incidence matrix X whose product X'X
+    holds the cells of all their pairs; the others are counted pair by pair."""
+    import pyarrow as pa
+
+    def cells(kind, i, j, a, b, n, s=None, ss=None):
+        zero = np.zeros(len(n))
+        cols = (np.full(len(n), kind, np.int32), i, j, a, b, n, zero if s is None else s, zero if ss is None else ss)
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(c), k) for c, k in zip(cols, kinds, strict=True)],
+                                          ["kind", "i", "j", "a", "b", "n", "s", "ss"])
+
+    def chunk(b):
+        rows = len(b)
+        values, codes = [], []
+        for c in range(n_nom):
+            col = b.column(c)
+            here = np.asarray(col.is_valid())
+            code = np.full(rows, -1)
+            found, code[here] = np.unique(col.drop_null().to_numpy(), return_inverse=True)
+            values.append(found)
+            codes.append(code)
+        few = [c for c in range(n_nom) if len(values[c]) <= FEW_CATEGORIES]
+        many = [c for c in range(n_nom) if c not in set(few)]
+        offset = np.cumsum([0, *(len(values[c]) for c in few)])
+        width = int(offset[-1])
+        x = np.zeros((rows, width), dtype=np.float32)
+        for c, o in zip(few, offset, strict=False):
+            on = np.flatnonzero(codes[c] >= 0)
+            x[on, o + codes[c][on]] = 1
+        column = np.repeat(np.array(few, dtype=np.int32), np.diff(offset))
+        hashes = np.concatenate([values[c] for c in few]) if few else np.zeros(0, np.int64)
+        if width:  # chunks have fewer than 2^24 rows, so counts are exact
+            for lo in range(0, width, 1024):
+                n = x[:, lo : lo + 1024].T @ x
+                p, q_ = np.nonzero(n)
+                on = column[lo + p] < column[q_]
+                p, q_ = p[on], q_[on]
+                yield cells(0, column[lo + p], column[q_], hashes[lo + p], hashes[q_], n[p, q_].astype(float))
+        for c in many:
+            for d in range(n_nom):
+                if d == c or (d in many and d < c):
+                    continue
+                both = (codes[c] >= 0) & (codes[d] >= 0)
+                k = len(values[d])
+                pair, n = np.unique(codes[c][both] * k + codes[d][both], return_counts=True)
+                one, two = (c, values[c][pair // k]), (d, values[d][pair % k])
+                first, second = (one, two) if c < d else (two, one)
+                yield cells(0, np.full(len(n), first[0], np.int32), np.full(len(n), second[0], np.int32), first[1], second[1], n.astype(float))
+        if not n_num:
+            return
+        v = np.stack([b.column(n_nom + c).to_numpy(zero_copy_only=False).astype(float) for c in range(n_num)], axis=1)
+        here = ~np.isnan(v)
+        v = np.where(here, (v - mean) / scale, 0.0)
+        sums = [x.T.astype(float) @ m for m in (here.astype(float), v, v * v)] if width else []
+        if width:
+            p, j = np.nonzero(sums[0])
+            yield cells(1, column[p], j.astype(np.int32), hashes[p], np.zeros(len(p), np.int64), *(m[p, j] for m in sums))
+        for c in many:
+            on, k = codes[c] >= 0, len(values[c])
+            for j in range(n_num):
+                got = [np.bincount(codes[c][on], weights=m[on, j].astype(float), minlength=k) for m in (here, v, v * v)]
+                p = np.flatnonzero(got[0])
+                yield cells(1, np.full(len(p), c, np.int32), np.full(len(p), j, np.int32), values[c][p], np.zeros(len(p), np.int64), *(m[p] for m in got))
+
+    def run(batches):
+        step = max(1, CHUNK_VALUES // max(1, n_nom + n_num))
+        for b in batches:
+            for lo in range(0, len(b), step):
+                yield from chunk(b.slice(lo, step))
+    return run
+
+
+def nominal_associations(df: DataFrame, nom, num, bias_correction: bool = True) -> DataFrame:
+    """Cramér's V of every nominal pair and the correlation ratio of every nominal
+    and numeric column, as ``(feature_a, feature_b, assoc, kind)``, over the rows where both are present.
+
+    Rows are read once: tasks hand on contingency cells and sums per category
+    (categories as 64-bit hashes of their text), which are added up with
+    map-side combine; margins are aggregates of the cells. Nothing is
+    repeated per pair, and no pair's cells meet in one task."""
+    from quarry.session import ship_package
+    spark = df.sparkSession
+    ship_package(spark)
+    x = [number(q(c)) for c in num]
+    mean, scale = np.zeros(len(num)), np.ones(len(num))
+    if num:
+        r = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(x)]).first()
+        mean = np.array([r[f"m{i}"] if r[f"m{i}"] is not None else 0.0 for i in range(len(num))])
+        scale = np.array([r[f"s{i}"] or 1.0 for i in range(len(num))])
+    hashed = [F.when(F.col(q(c)).isNotNull(), F.xxhash64(F.col(q(c)).cast("string"))).alias(f"n{i}") for i, c in enumerate(nom)]
+    parts = df.select(*hashed, *[c.alias(f"x{i}") for i, c in enumerate(x)]).mapInArrow(
+        _incidence_products(len(nom), len(num), mean, scale), "kind int, i int, j int, a long, b long, n double, s double, ss double")
+    cells = cut_lineage(parts.groupBy("kind", "i", "j", "a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]))
+    two = cells.where("kind = 0").select("i", "j", "a", "b", "n")
+    rows, cols = (two.groupBy("i", "j", c).agg(F.sum("n").alias(f"n{c}")) for c in "ab")
+    across = rows.groupBy("i", "j").agg(F.sum("na").alias("t"), F.count(F.lit(1)).alias("r"), F.sum(F.log("na")).alias("la"))
+    down = cols.groupBy("i", "j").agg(F.count(F.lit(1)).alias("k"), F.sum(F.log("nb")).alias("lb"))
+    each = two.join(rows, ["i", "j", "a"]).join(cols, ["i", "j", "b"])
+    # 2 x 2 tables: |ad - bc| is the same for every cell, |n t - na nb|
+    g = each.groupBy("i", "j").agg(F.sum(F.col("n") * F.col("n") / (F.col("na") * F.col("nb"))).alias("s"),
+                                   F.max(F.struct("n", "na", "nb")).alias("any"))
+    g = g.join(across, ["i", "j"]).join(down, ["i", "j"])
+    n, any_ = F.col("t"), F.col("any")
+    adbc = F.abs(any_["n"] * n - any_["na"] * any_["nb"])
+    yates = F.pow(F.greatest(adbc - n / 2, F.lit(0.0)), 2) / F.exp(F.col("la") + F.col("lb"))
+    phi2 = F.when((F.col("r") == 2) & (F.col("k") == 2), yates).otherwise(F.col("s") - 1)
+    r_, k_ = F.col("r"), F.col("k")
+    if bias_correction:
+        phi2 = F.greatest(F.lit(0.0), phi2 - F.try_divide((k_ - 1) * (r_ - 1), n - 1))
+        r_, k_ = r_ - F.try_divide(F.pow(r_ - 1, F.lit(2)), n - 1), k_ - F.try_divide(F.pow(k_ - 1, F.lit(2)), n - 1)
+    den = F.least(k_ - 1, r_ - 1)
+    v = F.when(den <= 0, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(phi2, den)))
+    nominal = g.select("i", "j", v.alias("assoc"), F.lit("cramer").alias("kind"))
+    # between and total sum of squares of the centred values, per category and altogether
+    t = cells.where("kind = 1").groupBy("i", "j").agg(
+        F.sum(F.col("s") * F.col("s") / F.col("n")).alias("b"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"))
+    centre = F.col("s") * F.col("s") / F.col("n")
+    between, total = F.col("b") - centre, F.col("ss") - centre
+    noise = F.lit(1e-13) * (F.col("ss") + F.abs(centre))
+    eta = F.when((between <= noise) | (total <= noise), F.lit(0.0)).otherwise(F.sqrt(F.least(F.lit(1.0), F.try_divide(between, total))))
+    mixed = t.select("i", "j", eta.alias("assoc"), F.lit("correlation_ratio").alias("kind"))
+    first = spark.createDataFrame(list(enumerate(nom)), "i int, feature_a string")  # one row per column
+    out = []
+    for table, names in ((nominal, nom), (mixed, num)):
+        if names:
+            second = spark.createDataFrame(list(enumerate(names)), "j int, feature_b string")
+            out.append(table.join(F.broadcast(first), "i").join(F.broadcast(second), "j").select("feature_a", "feature_b", "assoc", "kind"))
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+
+
 def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -> DataFrame:
     """Pairwise association as ``(feature_a, feature_b, assoc, kind)``.
 
@@ -278,67 +416,21 @@ def association_matrix(df: DataFrame, cols=None, bias_correction: bool = True) -
     parts = []
     if len(num) > 1:
         parts.append(pairwise_pearson(df, num).withColumn("kind", F.lit("pearson")))
-    pc = [(a, b) for i, a in enumerate(nom) for b in nom[i + 1:]]
-    if pc:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("pid"), F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))
-            for i, (a, b) in enumerate(pc)])).alias("kv")).select("kv.pid", "kv.a", "kv.b") \
-            .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-        cells = long.groupBy("pid", "a", "b").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        wa, wb, wt = Window.partitionBy("pid", "a"), Window.partitionBy("pid", "b"), Window.partitionBy("pid")
-        t = cells.select("pid", "a", "b", "n", F.sum("n").over(wa).alias("na"), F.sum("n").over(wb).alias("nb"),
-                         F.sum("n").over(wt).alias("nn"), F.count(F.lit(1)).over(wa).alias("ca"),
-                         F.count(F.lit(1)).over(wb).alias("cb"))
-        # one aggregate over the cell table: a row margin appears once per cell of its row,
-        # so Σ 1/ca counts rows and Σ ln(na)/ca is the log of the product of row margins
-        g = t.groupBy("pid").agg(
-            F.max("nn").alias("n"), F.sum(1 / F.col("ca")).alias("r_"), F.sum(1 / F.col("cb")).alias("k_"),
-            F.sum(F.col("n") * F.col("n") / (F.col("na") * F.col("nb"))).alias("s"),
-            F.max(F.abs(F.col("n") * F.col("nn") - F.col("na") * F.col("nb"))).alias("adbc"),
-            F.sum(F.log(F.col("na")) / F.col("ca") + F.log(F.col("nb")) / F.col("cb")).alias("lprod")) \
-            .withColumn("r", F.round("r_")).withColumn("k", F.round("k_"))
-        chi2_plain = F.col("n") * (F.col("s") - 1)
-        yates = F.col("n") * F.pow(F.greatest(F.col("adbc") - F.col("n") / 2, F.lit(0.0)), 2) / F.exp(F.col("lprod"))
-        chi2 = F.when((F.col("r") == 2) & (F.col("k") == 2), yates).otherwise(chi2_plain)
-        phi2 = chi2 / F.col("n")
-        if bias_correction:
-            phi2c = F.greatest(F.lit(0.0), phi2 - (F.col("k") - 1) * (F.col("r") - 1) / (F.col("n") - 1))
-            rc = F.col("r") - F.pow(F.col("r") - 1, 2) / (F.col("n") - 1)
-            kc = F.col("k") - F.pow(F.col("k") - 1, 2) / (F.col("n") - 1)
-            den = F.least(kc - 1, rc - 1)
-            v = F.when(den <= 0, F.lit(0.0)).otherwise(F.sqrt(phi2c / den))
-        else:
-            den = F.least(F.col("k") - 1, F.col("r") - 1)
-            v = F.when(den <= 0, F.lit(0.0)).otherwise(F.sqrt(phi2 / den))
-        pt = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pc)], "pid int, feature_a string, feature_b string")
-        parts.append(g.select("pid", v.alias("assoc")).join(F.broadcast(pt), "pid")
-                     .select("feature_a", "feature_b", "assoc", F.lit("cramer").alias("kind")))
-    pm = [(a, b) for a in nom for b in num]
-    if pm:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("pid"), F.col(a).cast("string").alias("cat"), F.col(b).cast("double").alias("x"))
-            for i, (a, b) in enumerate(pm)])).alias("kv")).select("kv.pid", "kv.cat", "kv.x") \
-            .filter(F.col("cat").isNotNull() & F.col("x").isNotNull())
-        # one pass: per category count, mean and (stable) variance; the total sum of
-        # squares follows from the law of total variance
-        by_cat = long.groupBy("pid", "cat").agg(F.count(F.lit(1)).alias("nk"), F.avg("x").alias("mk"),
-                                                 F.var_pop("x").alias("vk"))
-        wp = Window.partitionBy("pid")
-        j = by_cat.withColumn("mu", F.sum(F.col("nk") * F.col("mk")).over(wp) / F.sum("nk").over(wp))
-        num_ = j.groupBy("pid").agg(F.sum(F.col("nk") * F.pow(F.col("mk") - F.col("mu"), 2)).alias("num"),
-                                    F.sum(F.col("nk") * F.col("vk")).alias("within"))
-        den = F.col("num") + F.col("within")
-        eta = F.when(F.col("num") == 0, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(F.col("num"), den)))
-        pt = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pm)], "pid int, feature_a string, feature_b string")
-        parts.append(num_.select("pid", eta.alias("assoc")).join(F.broadcast(pt), "pid")
-                     .select("feature_a", "feature_b", "assoc", F.lit("correlation_ratio").alias("kind")))
+    if nom and len(cols) > 1:
+        parts.append(nominal_associations(df, nom, num, bias_correction))
     diag = spark.createDataFrame([(c, c, 1.0, "self") for c in cols], "feature_a string, feature_b string, assoc double, kind string")
     if not parts:
         return diag
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    u = u.withColumn("assoc", F.coalesce(F.when(~F.isnan("assoc"), F.col("assoc")), F.lit(0.0)))
+    # a pair without a row where both are present is undefined as well
+    every = [(a, b, "pearson" if kinds[a] == kinds[b] == "numeric" else "cramer" if kinds[a] == kinds[b] else "correlation_ratio")
+             for i, a in enumerate(cols) for b in cols[i + 1:]]
+    every = [(a, b, k) if k != "correlation_ratio" or kinds[a] == "nominal" else (b, a, k) for a, b, k in every]
+    pairs = spark.createDataFrame(every, "feature_a string, feature_b string, kind string")
+    u = pairs.join(F.broadcast(u.drop("kind")), ["feature_a", "feature_b"], "left")  # both are d² rows
+    u = u.select("feature_a", "feature_b", F.coalesce(F.when(~F.isnan("assoc"), F.col("assoc")), F.lit(0.0)).alias("assoc"), "kind")
     # both orientations from one evaluation of the pair table
     both = u.select(F.explode(F.array(
         F.struct(F.col("feature_a"), F.col("feature_b"), F.col("assoc"), F.col("kind")),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import config as C
-from quarry.functions.columns import q
+from quarry.functions.columns import number, q
 from quarry.operators.project import columns_by_type
 
 
@@ -127,7 +127,7 @@ class ScalerModel:
     scales: dict = field(default_factory=dict)
 
     def exprs(self, prefix: str = "") -> list[Column]:
-        return [((F.col(q(c)).cast("double") - F.lit(m)) / F.lit(self.scales[c])).alias(prefix + c)
+        return [((number(q(c)) - F.lit(m)) / F.lit(self.scales[c])).alias(prefix + c)
                 for c, m in self.means.items()]
 
 
@@ -138,7 +138,7 @@ def fit_standard_scaler(df: DataFrame, cols) -> ScalerModel:
         return ScalerModel()
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(q(c)).cast("double")
+        x = number(q(c))
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
     r = df.agg(*aggs).first()
     means = {c: r[f"m{i}"] for i, c in enumerate(cols)}
@@ -149,7 +149,7 @@ def fit_standard_scaler(df: DataFrame, cols) -> ScalerModel:
 def standard_scale(df: DataFrame, cols, fit_on: DataFrame | None = None, prefix: str = "") -> DataFrame:
     """M2: z-score with population std, fitted on ``fit_on`` (train)."""
     m = fit_standard_scaler(fit_on if fit_on is not None else df, cols)
-    return df.select(*[c for c in df.columns if c not in m.means], *m.exprs(prefix))
+    return df.select(*[F.col(q(c)) for c in df.columns if c not in m.means], *m.exprs(prefix))
 
 
 def distinct_values(df: DataFrame, cols, max_per_column: int = C.MAX_CATEGORIES) -> dict:
@@ -158,7 +158,7 @@ def distinct_values(df: DataFrame, cols, max_per_column: int = C.MAX_CATEGORIES)
     if not cols:
         return {}
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("kv")) \
+        F.struct(F.lit(c).alias("column"), F.col(q(c)).cast("string").alias("value")) for c in cols])).alias("kv")) \
         .select("kv.column", "kv.value").filter(F.col("value").isNotNull()).distinct()
     sizes = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     big = {c: n for c, n in sizes.items() if n > max_per_column}
@@ -191,7 +191,7 @@ def one_hot(df: DataFrame, cols, fit_on: DataFrame | None = None, prefix: str =
     """M3: one column per training category; unseen or null → all zeros."""
     m = fit_one_hot(fit_on if fit_on is not None else df, cols)
     exprs = [F.coalesce(e, F.lit(0.0)).alias(n) for e, n in zip(m.exprs(prefix), m.names(prefix))]
-    return df.select(*[c for c in df.columns if c not in m.categories], *exprs)
+    return df.select(*[F.col(q(c)) for c in df.columns if c not in m.categories], *exprs)
 
 
 @dataclass
@@ -254,7 +254,7 @@ def category_codes(df: DataFrame, cols) -> DataFrame:
     (one small row per partition and column)."""
     from quarry.session import cut_lineage
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("kv")) \
+        F.struct(F.lit(c).alias("column"), F.col(q(c)).cast("string").alias("value")) for c in cols])).alias("kv")) \
         .select("kv.column", "kv.value").filter(F.col("value").isNotNull()).distinct()
     ranged = long.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
     ranged = cut_lineage(ranged.withColumn("_m", F.monotonically_increasing_id()))
@@ -281,8 +281,8 @@ def label_encode(df: DataFrame, cols) -> DataFrame:
         t = codes.filter(F.col("column") == c).select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
         if sizes.get(c, 0) <= C.BROADCAST_ROW_LIMIT // 10:
             t = F.broadcast(t)
-        out = out.join(t, F.col(c).cast("string") == F.col(f"_v{i}"), "left")
-    return out.select(*[F.col(f"_c{cols.index(c)}").alias(c) if c in cols else F.col(c) for c in df.columns])
+        out = out.join(t, F.col(q(c)).cast("string") == F.col(f"_v{i}"), "left")
+    return out.select(*[F.col(f"_c{cols.index(c)}").alias(c) if c in cols else F.col(q(c)) for c in df.columns])
 
 
 @dataclass

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.columns import q
+from quarry.functions.columns import number, q
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -75,7 +75,8 @@ def low_variation_columns(df: DataFrame, threshold: int = 1, cols=None) -> list[
     if threshold == 1:
         aggs = []
         for i, c in enumerate(cols):
-            aggs += [F.min(F.col(c)).alias(f"a{i}"), F.max(F.col(c)).alias(f"b{i}")]
+            x = number(q(c)) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.col(q(c))  # NaN is missing
+            aggs += [F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}")]
         r = df.agg(*aggs).first()
         return [c for i, c in enumerate(cols)
                 if r[f"a{i}"] is None or r[f"a{i}"] == r[f"b{i}"]]

@@ -32,7 +32,7 @@ def stack_row(df_one_row: DataFrame, pairs, key: str = "feature", value: str = "
 
 
 def _norm_value(f: T.StructField) -> Column:
-    c = F.col(f.name)
+    c = F.col(q(f.name))
     if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
         c = F.when(F.isnan(c), F.lit(None)).otherwise(c + F.lit(0.0))  # -0.0 and 0.0 are one value
     return c.cast("string")
@@ -77,10 +77,16 @@ def fit_means(df: DataFrame, cols, only_if_null: bool = True) -> dict:
     return out
 
 
+def fill_numbers(df: DataFrame, values: dict) -> DataFrame:
+    """Missing numbers (null or NaN) of the given columns become their value;
+    the column is then a double, so that an integer column keeps a fraction."""
+    return df.select(*[F.coalesce(number(q(c)), F.lit(float(values[c]))).alias(c) if c in values else F.col(q(c)) for c in df.columns])
+
+
 def impute_mean(df: DataFrame, cols, only_if_null: bool = True) -> DataFrame:
     """A2: numeric nulls → column mean."""
     means = fit_means(df, cols, only_if_null)
-    return df.fillna(means) if means else df
+    return fill_numbers(df, means) if means else df
 
 
 def fit_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 100_000) -> dict:
@@ -95,7 +101,7 @@ def fit_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 100_0
                      for i, c in enumerate(cols)]).first()
         return {c: r[f"m{i}"] for i, c in enumerate(cols) if r[f"m{i}"] is not None}
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("kv")) \
+        F.struct(F.lit(c).alias("column"), number(q(c)).alias("x")) for c in cols])).alias("kv")) \
         .select("kv.column", "kv.x")
     res = exact_quantiles(long, "x", [0.5], by=["column"]).collect()
     return {r["column"]: r["value"] for r in res}
@@ -104,7 +110,7 @@ def fit_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 100_0
 def impute_median(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     """A3: numeric nulls → median (exact by default)."""
     med = fit_medians(df, cols, approx)
-    return df.fillna(med) if med else df
+    return fill_numbers(df, med) if med else df
 
 
 def sample_skewness(c) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from quarry import config as C
 from quarry.functions.columns import GOLDEN_32, MIX_MULT, TWO_32_INT
-from quarry.plans.fixtures import D4_WIDE, D4_WIDE_SQL, d1, d2, d3, d4, d4_wide, duck_ctes
+from quarry.plans.fixtures import D4_TEXTS, D4_TEXTS_SQL, D4_WIDE, D4_WIDE_SQL, d1, d2, d3, d4, d4_texts, d4_wide, duck_ctes
 from quarry.session import cut_lineage
 
 R = 6
@@ -1169,6 +1169,74 @@ def q_trap_wide(spark, sf_dir):
     return rounded(out.select("feature_a", "feature_b", (F.col("assoc") + F.lit(0.0)).alias("assoc")), 5)
 
 
+@register("trap_wide_nominal", "A15 (200 text columns, nulls)", ", tx AS (" + D4_TEXTS_SQL.format(orders="orders") + ")\n, l AS ("
+          + " UNION ALL ".join(f"SELECT row_id, {i} AS i, {c} AS v FROM tx WHERE {c} IS NOT NULL" for i, c in enumerate(D4_TEXTS)) + """)
+, cells AS (SELECT a.i AS i, b.i AS j, a.v AS a, b.v AS b, CAST(count(*) AS DOUBLE) AS n FROM l a JOIN l b ON a.row_id = b.row_id AND a.i < b.i GROUP BY ALL)
+, t AS (SELECT *, sum(n) OVER (PARTITION BY i, j, a) AS na, sum(n) OVER (PARTITION BY i, j, b) AS nb, sum(n) OVER (PARTITION BY i, j) AS nn FROM cells)
+, g AS (SELECT i, j, max(nn) AS n, count(DISTINCT a) AS r, count(DISTINCT b) AS k, sum(n * n / (na * nb)) - 1 AS phi2, max(abs(n * nn - na * nb)) AS adbc,
+          max(CASE WHEN n * nn <> 0 THEN na * nb END) AS x FROM t GROUP BY i, j)
+, pr AS (SELECT i, j, product(na) AS pr FROM (SELECT DISTINCT i, j, a, na FROM t) GROUP BY i, j)
+, pc AS (SELECT i, j, product(nb) AS pc FROM (SELECT DISTINCT i, j, b, nb FROM t) GROUP BY i, j)
+, c AS (SELECT g.i, g.j, g.n, r, k, CASE WHEN r = 2 AND k = 2 THEN power(greatest(adbc - g.n / 2, 0), 2) / (pr * pc) ELSE phi2 END AS phi2
+        FROM g JOIN pr USING (i, j) JOIN pc USING (i, j))
+, v AS (SELECT i, j, CASE WHEN least(k - power(k - 1, 2) / (n - 1) - 1, r - power(r - 1, 2) / (n - 1) - 1) <= 0 THEN 0e0
+          ELSE sqrt(greatest(0, phi2 - (k - 1) * (r - 1) / (n - 1)) / least(k - power(k - 1, 2) / (n - 1) - 1, r - power(r - 1, 2) / (n - 1) - 1)) END AS assoc FROM c)
+, p AS (SELECT x.i, y.i AS j, coalesce(v.assoc, 0) AS assoc FROM range(0, 200) x(i) JOIN range(0, 200) y(i) ON x.i < y.i LEFT JOIN v ON v.i = x.i AND v.j = y.i)
+SELECT concat('t', i) AS feature_a, concat('t', j) AS feature_b, round(assoc, 5) AS assoc FROM p
+UNION ALL SELECT concat('t', j), concat('t', i), round(assoc, 5) FROM p""")
+def q_trap_wide_nominal(spark, sf_dir):
+    from quarry.operators.assoc import association_matrix
+    out = association_matrix(d4_texts(spark, sf_dir).drop("row_id")).filter("feature_a != feature_b")
+    return rounded(out.select("feature_a", "feature_b", (F.col("assoc") + F.lit(0.0)).alias("assoc")), 5)
+
+
+@register("trap_mixed_association", "A15 A16 (NaN in a mixed pair, integers)", CLEAN_D4_SQL + """
+, m AS (SELECT town, code, x, y, CAST(o_custkey % 7 AS DOUBLE) AS g FROM n4 JOIN orders ON o_orderkey = row_id)
+, l AS (""" + " UNION ALL ".join(f"SELECT '{a}' AS fa, '{b}' AS fb, {a} AS c, {b} AS v FROM m WHERE {b} IS NOT NULL" for a in ("town", "code") for b in ("x", "y", "g")) + """)
+, k AS (SELECT fa, fb, c, count(*) AS n, avg(v) AS mean FROM l GROUP BY ALL)
+, t AS (SELECT fa, fb, avg(v) AS mean, var_pop(v) * count(*) AS total FROM l GROUP BY ALL)
+SELECT k.fa AS feature_a, k.fb AS feature_b, round(sqrt(sum(n * (k.mean - t.mean) * (k.mean - t.mean)) / any_value(total)), 6) AS assoc,
+  round(1 - sqrt(sum(n * (k.mean - t.mean) * (k.mean - t.mean)) / any_value(total)), 6) AS distance
+FROM k JOIN t ON k.fa = t.fa AND k.fb = t.fb GROUP BY k.fa, k.fb""")
+def q_trap_mixed(spark, sf_dir):
+    from quarry.operators.assoc import association_distance, association_matrix
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("row_id"), (F.col("o_custkey") % 7).alias("g"))
+    a = cut_lineage(association_matrix(d4(spark, sf_dir).join(orders, "row_id").select("town", "code", "x", "y", "g")))
+    a = a.filter(F.col("feature_a").isin("town", "code") & F.col("feature_b").isin("x", "y", "g"))
+    return rounded(a.select("feature_a", "feature_b", "assoc").join(association_distance(a), ["feature_a", "feature_b"]))
+
+
+@register("trap_scale_missing", "M2 (NaN)", CLEAN_D4_SQL + """
+SELECT row_id, round((x - (SELECT avg(x) FROM n4)) / (SELECT stddev_pop(x) FROM n4), 6) AS x, round((y - (SELECT avg(y) FROM n4)) / (SELECT stddev_pop(y) FROM n4), 6) AS y FROM n4""")
+def q_trap_scale(spark, sf_dir):
+    from quarry.operators.features import standard_scale
+    return rounded(standard_scale(d4(spark, sf_dir).select("row_id", "x", "y"), ["x", "y"]))
+
+
+_WHOLE_SQL = "SELECT o_orderkey AS row_id, CAST(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey % 50 END AS INT) AS `a.b`, CAST(o_custkey % 2 AS INT) AS two FROM {orders}"
+
+
+@register("trap_fill_whole_numbers", "A1 A2 A3 (integer columns, names with dots)", f"""
+, w AS ({_WHOLE_SQL.format(orders="orders").replace("`a.b`", "ab")}), s AS (SELECT avg(ab) AS m, quantile_cont(ab, 0.5) AS q, count(DISTINCT ab) AS d FROM w)
+SELECT row_id, round(coalesce(ab, m), 6) AS mean_filled, round(coalesce(ab, q), 6) AS median_filled, d AS n_unique FROM w, s""")
+def q_trap_whole(spark, sf_dir):
+    from quarry.operators.stats import impute_mean, impute_median, n_unique
+    w = spark.sql(_WHOLE_SQL, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    n = n_unique(w, ["a.b"]).first()["n_unique"]
+    mean = impute_mean(w, ["a.b", "two"]).toDF("row_id", "mean_filled", "two").drop("two")
+    median = impute_median(w, ["a.b"]).toDF("row_id", "median_filled", "two").drop("two")
+    return rounded(mean.join(median, "row_id").withColumn("n_unique", F.lit(n)))
+
+
+@register("trap_low_variation", "P5 (NaN)", """
+SELECT row_id, x FROM (SELECT row_id, CASE WHEN isnan(x) THEN NULL ELSE x END AS x FROM d4)""")
+def q_trap_variation(spark, sf_dir):
+    from quarry.functions.columns import nan_to_null
+    from quarry.operators.project import drop_low_variation
+    flat = d4(spark, sf_dir).select("row_id", "x", F.when(F.isnan("y"), F.lit(float("nan"))).otherwise(F.lit(1.0)).alias("flat"))
+    return nan_to_null(drop_low_variation(flat))
+
+
 @register("trap_dotted_category", "M3 M4 P9 (names with dots)", """
 SELECT row_id, CASE WHEN town = 'B' THEN 1e0 ELSE 0e0 END AS b, CASE WHEN town = 'St. A' THEN 1e0 ELSE 0e0 END AS st_a,
   CASE WHEN town = 'a.b' THEN 1e0 ELSE 0e0 END AS a_b FROM d4""")

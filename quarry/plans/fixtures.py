@@ -58,6 +58,12 @@ D4_WIDE_SQL = ("SELECT row_id, " + ", ".join(
     f"CASE WHEN (row_id + {i}) % 10 = 0 THEN NULL ELSE CAST((row_id * {2 * i + 3}) % 101 AS DOUBLE) + 1e9 END AS c{i}"
     for i in range(30)) + " FROM {d4}")
 
+#: Two hundred text columns of two to eight values, some with nulls, over D4's keys.
+D4_TEXTS = [f"t{i}" for i in range(200)]
+D4_TEXTS_SQL = ("SELECT row_id, " + ", ".join(
+    f"CASE WHEN (row_id + {i}) % {17 + i % 5} = 0 THEN NULL ELSE CAST((row_id * {2 * i + 3} + o_custkey % {2 + i % 4}) % {2 + i % 7} AS STRING) END AS t{i}"
+    for i in range(200)) + " FROM (SELECT o_orderkey AS row_id, o_custkey FROM {orders})")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -87,6 +93,10 @@ def d4_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(D4_WIDE_SQL, d4=d4(spark, sf_dir))
 
 
+def d4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(D4_TEXTS_SQL, orders=table(spark, sf_dir, "orders"))
+
+
 def duck_ctes() -> str:
     """The same views for DuckDB, as a WITH prefix."""
     return ("WITH d1 AS (" + D1_SQL.format(orders="orders") + "), d2 AS ("
