@@ -1,9 +1,12 @@
 """Regression models, grid search and the benchmark table
 (M11-M24, M29, M12, M13, A18).
 
-Every learner is a Spark ML estimator, so each fit is a distributed job;
-``CrossValidator`` runs grid points concurrently from driver threads
-(``parallelism``) over an explicit hash fold column (M10).
+Every learner is a Spark ML estimator, so each fit is a distributed job over
+an explicit hash fold column (M10). A feature set is assembled once into a
+persisted matrix with as many partitions as its size asks for (``FitMatrix``):
+tree learners run a job per level and tree, and a job's cost on a small matrix is
+its tasks. All fits of a grid, folds and points alike, are handed to a bounded
+number of driver threads, each with a scheduler pool of its own.
 
 Penalty scales differ from the analysed pipeline's learners; the
 ``Penalized`` estimator maps (alpha, l1_ratio) at fit time from the
@@ -23,16 +26,16 @@ from __future__ import annotations
 
 import logging
 import math
+import threading
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark import InheritableThread, StorageLevel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,9 +97,14 @@ def rff_transformer(n_features: int, gamma: float, n_components: int = 64, seed:
 
 
 # Each tree level is one pass over the training rows; a larger statistics budget lets
-# Spark split more nodes (of all trees of a forest) per pass, and cached node ids avoid
-# re-walking the trees for every row.
-TREE_PASS_OPTS = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
+# Spark split more nodes (of all trees of a forest) per pass.
+TREE_PASS_OPTS = {"maxMemoryInMB": 1024}
+# A boosted fit's residuals depend on all trees before: their lineage is cut this often.
+BOOSTING_CHECKPOINT = 20
+#: Bytes of assembled training rows per partition.
+PARTITION_BYTES = 32 << 20
+#: Fits of a grid that run at the same time.
+CONCURRENT_FITS = 8
 
 
 def scale_gamma(train: DataFrame | None, features) -> float:
@@ -156,7 +164,7 @@ def model_spec(name: str, features, train: DataFrame | None = None, label: str =
                      est.minInstancesPerNode: p["min_samples_leaf"]}) for p in points]
     elif name == "Gradient Boosting":
         note = " [first tree unshrunk]"
-        est = GBTRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=64, **TREE_PASS_OPTS)
+        est = GBTRegressor(seed=C.RANDOM_STATE, labelCol=label, maxBins=64, checkpointInterval=BOOSTING_CHECKPOINT, **TREE_PASS_OPTS)
         maps = [(p, {est.maxIter: p["n_estimators"], est.stepSize: p["learning_rate"], est.maxDepth: p["max_depth"]})
                 for p in points]
     elif name in C.BOOSTING_ALIASES:
@@ -178,19 +186,96 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
         F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
 
 
+class FitMatrix:
+    """Training rows of one feature set, assembled once: label, fold and the
+    features (by the transformers of a model's pipeline before its learner)."""
+
+    def __init__(self, train: DataFrame, features, label: str = "label", fold_col: str = "fold"):
+        self.train, self.features, self.label, self.fold = train, list(features), label, fold_col
+        self._made: dict[str, DataFrame] = {}
+        self.rows = train.count()
+
+    def of(self, name: str, stages) -> DataFrame:
+        if name not in self._made:
+            df = self.train
+            for stage in stages:
+                df = stage.transform(df)
+            width = 8 * len(stages[-1].getInputCols()) + 48
+            parts = max(1, -(-self.rows * width // PARTITION_BYTES))
+            slim = df.select("features", F.col(self.label).cast("double").alias(self.label), self.fold)
+            # fewer partitions without a shuffle; more by an even one
+            slim = slim.coalesce(parts) if parts <= df.rdd.getNumPartitions() else slim.repartition(parts)
+            self._made[name] = slim.persist(StorageLevel.MEMORY_AND_DISK)
+        return self._made[name]
+
+    def release(self) -> None:
+        for df in self._made.values():
+            df.unpersist()
+        self._made.clear()
+
+
+def run_fits(spark, jobs: list, concurrent: int = CONCURRENT_FITS) -> list:
+    """Results of the calls in order, at most `concurrent` at a time, each thread
+    in a scheduler pool of its own (with FAIR scheduling, pools share the executors evenly)."""
+    results, errors, lock, at = [None] * len(jobs), [], threading.Lock(), iter(range(len(jobs)))
+
+    def work(pool: int):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit{pool}")
+        while not errors:
+            with lock:
+                k = next(at, None)
+            if k is None:
+                return
+            try:
+                results[k] = jobs[k]()
+            except Exception as e:  # noqa: BLE001 - raised below, in the caller's thread
+                errors.append(e)
+
+    threads = [InheritableThread(target=work, args=(i,)) for i in range(min(concurrent, len(jobs)))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return results
+
+
+_LARGER_IS_BETTER = {"r2"}
+
+
 def grid_search(name: str, train: DataFrame, features, label: str = "label", fold_col: str = "fold",
-                n_folds: int = C.N_SPLITS_CV, metric: str = "mse", parallelism: int = 4):
+                n_folds: int = C.N_SPLITS_CV, metric: str = "mse", parallelism: int = CONCURRENT_FITS, matrix: FitMatrix | None = None):
     """Every grid point on every fold, mean score, best params, refit
     on all training rows. Returns (best PipelineModel, params dict, cv table rows, note)."""
     pipe, maps, note = model_spec(name, features, train, label)
-    evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    epm = [dict(m) for _, m in maps]
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=epm, evaluator=evaluator, foldCol=fold_col, numFolds=n_folds,
-                        parallelism=parallelism, seed=C.RANDOM_STATE)
-    cvm = cv.fit(train)
-    scores = list(cvm.avgMetrics)
-    best_i = scores.index(max(scores) if evaluator.isLargerBetter() else min(scores))
-    return cvm.bestModel, maps[best_i][0], [(_grid_str(p), s) for (p, _), s in zip(maps, scores)], note
+    own = matrix is None
+    matrix = matrix or FitMatrix(train, features, label, fold_col)
+    *before, learner = pipe.getStages()
+    try:
+        def staged(params: dict):
+            """The transformers and the learner at a grid point, and the matrix they need."""
+            stages = [stage.copy({p: v for p, v in params.items() if p.parent == stage.uid}) for stage in before]
+            inputs = stages[-1].getInputCols()
+            plain = list(inputs) == matrix.features
+            return stages, learner.copy({p: v for p, v in params.items() if p.parent == learner.uid}), matrix.of("plain" if plain else name, stages[-1:] if plain else stages)
+
+        points = [staged(m) for _, m in maps]
+        for _, _, df in points:
+            df.count()  # assembled before the fits begin, once per matrix
+
+        def score(est, df, k):
+            model = est.fit(df.where(F.col(fold_col) != k))
+            return regression_metrics(model.transform(df.where(F.col(fold_col) == k)), label).first()[metric]
+
+        scores = run_fits(train.sparkSession, [lambda e=e, d=d, k=k: score(e, d, k) for _, e, d in points for k in range(n_folds)], parallelism)
+        means = [sum(scores[i * n_folds : (i + 1) * n_folds]) / n_folds for i in range(len(points))]
+        best = means.index(max(means) if metric in _LARGER_IS_BETTER else min(means))
+        stages, est, df = points[best]
+        return PipelineModel(stages=[*stages, est.fit(df)]), maps[best][0], [(_grid_str(p), v) for (p, _), v in zip(maps, means)], note
+    finally:
+        if own:
+            matrix.release()
 
 
 RESULT_SCHEMA = ("`Model` string, `Feature Set Name` string, `Number of Features` int, `Threshold Value` double, "
@@ -200,12 +285,12 @@ RESULT_SCHEMA = ("`Model` string, `Feature Set Name` string, `Number of Features
 
 def benchmark(train: DataFrame, test: DataFrame, features, models=C.SPARK_MODEL_NAMES,
               thresholds=C.CLUSTERING_THRESHOLDS_TO_TEST, label: str = "label", fold_col: str = "fold",
-              metric: str = "mse", store=None, assoc: DataFrame | None = None, parallelism: int = 4,
+              metric: str = "mse", store=None, assoc: DataFrame | None = None, parallelism: int = CONCURRENT_FITS,
               cv_out: list | None = None):
     """Thresholds × models sweep → result table.
 
     The linear families share one sufficient-statistics pass
-    (``quarry.operators.linear``); the others run ``CrossValidator``.
+    (``quarry.operators.linear``); the others share one assembled matrix.
     ``train`` must carry the fold column. Each threshold picks a feature
     set with M9+A17 on the training association table; a failing model
     keeps its row, with the error and no scores. Position numbers the rows
@@ -215,7 +300,7 @@ def benchmark(train: DataFrame, test: DataFrame, features, models=C.SPARK_MODEL_
     from quarry.operators.project import align_columns
     spark = train.sparkSession
     rows, fitted = [], {}
-    train = train.persist()
+    train, matrix = train.persist(), None
     try:
         for t in thresholds:
             label_fs = "Original Features" if t is None else f"Clustered (Thresh={t})"
@@ -227,6 +312,9 @@ def benchmark(train: DataFrame, test: DataFrame, features, models=C.SPARK_MODEL_
             test_fs = align_columns(test, feats, keep=("row_id", label))
             lin = [m for m in models if m in LINEAR_FAMILIES]
             lin_fits: dict = {}
+            if matrix is not None:
+                matrix.release()
+            matrix = FitMatrix(train, feats, label, fold_col)
             for name in models:
                 head = (name, label_fs, len(feats), None if t is None else float(t))
                 try:
@@ -237,7 +325,7 @@ def benchmark(train: DataFrame, test: DataFrame, features, models=C.SPARK_MODEL_
                         note = ""
                     else:
                         model, params, cv, note = grid_search(name, train, feats, label, fold_col, metric=metric,
-                                                              parallelism=parallelism)
+                                                              parallelism=parallelism, matrix=matrix)
                     if cv_out is not None:
                         cv_out += [(name, label_fs, p, float(v)) for p, v in cv]
                     m = regression_metrics(model.transform(test_fs), label).first()
@@ -251,6 +339,8 @@ def benchmark(train: DataFrame, test: DataFrame, features, models=C.SPARK_MODEL_
                     rows.append((*head, None, None, None, None, len(rows), f"{type(e).__name__}: {e}"[:500]))
     finally:
         train.unpersist()
+        if matrix is not None:
+            matrix.release()
     return spark.createDataFrame(rows, RESULT_SCHEMA), fitted
 
 
@@ -260,23 +350,6 @@ def predict(model, df: DataFrame, features, keep=("row_id", "label")) -> DataFra
     return model.transform(align_columns(df, features, keep=keep))
 
 
-def fit_and_score(name: str, params: dict, train: DataFrame, test: DataFrame, features, label: str = "label"):
-    """Fit one family at one grid point on all training rows and score the
-    test rows (no cross-validation). Returns (model, metrics row, note)."""
-    pipe, maps, note = model_spec(name, features, train, label)
-    pm = None
-    for p, m in maps:
-        if all(p.get(k) == v for k, v in params.items()):
-            pm = m
-            break
-    if pm is None:
-        raise ValueError(f"{params} is not a grid point of {name}")
-    model = pipe.fit(train, pm) if pm else pipe.fit(train)
-    from quarry.operators.project import align_columns
-    pred = model.transform(align_columns(test, features, keep=("row_id", label)))
-    return model, regression_metrics(pred, label).first(), note
-
-
 def cv_results(spark, cv_rows, metric: str = "mse") -> DataFrame:
     """Grid points with their mean validation error and the scoring value
     (C14: negative MSE / RMSE, larger is better)."""
