@@ -536,7 +536,7 @@ def q_one_hot(spark, sf_dir):
     return one_hot(s, ["event_type"], fit_on=s.filter("split = 'train'"))
 
 
-@register("column_transformer", "M4 M2 M3 M1", RANK_D3_SQL + """
+COLUMN_TRANSFORMER_SQL = (RANK_D3_SQL + """
 , f AS (SELECT avg(user_bucket) AS m1, stddev_pop(user_bucket) AS s1, avg(hour_of_day) AS m2, stddev_pop(hour_of_day) AS s2,
           avg(value) AS m3, stddev_pop(value) AS s3, avg(minority) AS m4, stddev_pop(minority) AS s4
         FROM s WHERE split = 'train')
@@ -545,6 +545,9 @@ SELECT row_id, split, round(label, 6) AS label, round((user_bucket - m1) / s1, 6
   round((minority - m4) / s4, 6) AS num__minority, """ + ", ".join(
     f"CASE WHEN event_type = '{v}' THEN 1e0 ELSE 0e0 END AS \"cat__event_type_{v}\"" for v in EVENT_TYPES_SQL)
     + " FROM s, f")
+
+
+@register("column_transformer", "M4 M2 M3 M1", COLUMN_TRANSFORMER_SQL)
 def q_column_transformer(spark, sf_dir):
     from quarry.operators.features import fit_column_transformer
     s = split_d3(spark, sf_dir)
@@ -1289,6 +1292,58 @@ def q_stored_models(spark, sf_dir):
     return rounded(spark.createDataFrame(found, "combo_key string, coef double, intercept double"))
 
 
+_NOTES_SQL = """SELECT row_id, concat('a ', coalesce(foundation_type_u, '-'), '{nl}', roof_shape_u, ', "', wall_thickness, '"', CASE WHEN row_id % 4 = 0 THEN '{nl}{nl}' ELSE '' END, 'z') AS note,
+  CASE WHEN row_id % 3 = 0 THEN NULL ELSE wall_thickness END AS wall, Difference AS diff FROM {d1}"""
+
+
+@register("quoted_line_breaks", "S1 S4 (line breaks inside quotes)", ", n AS (" + _NOTES_SQL.format(d1="d1", nl="' || chr(10) || '") + """)
+SELECT CAST(row_id AS DOUBLE) AS row_id, note, CASE WHEN wall IN ('') THEN NULL ELSE wall END AS wall, round(diff, 6) AS diff FROM n""")
+def q_quoted_line_breaks(spark, sf_dir):
+    """Text with line breaks, commas and quotes, written as CSV and read back in splits of 64 KB."""
+    from quarry.session import scratch_path
+    from quarry.sources.io import read_table, write_csv
+    path = scratch_path(spark, "notes")
+    notes = spark.sql(_NOTES_SQL.replace("{nl}", "\\n").format(d1="{d1}"), d1=d1(spark, sf_dir))
+    write_csv(notes.coalesce(2), path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
+    try:
+        return rounded(cut_lineage(read_table(spark, path)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+@register("stored_transformer", "S6 M4 P8", COLUMN_TRANSFORMER_SQL)
+def q_stored_transformer(spark, sf_dir):
+    """The fitted transformer is written, read back and applied."""
+    from quarry.operators.features import ColumnTransformerModel, fit_column_transformer
+    from quarry.session import scratch_path
+    from quarry.sources.io import load_json, save_json
+    path = scratch_path(spark, "transformer")
+    s = split_d3(spark, sf_dir)
+    save_json(spark, fit_column_transformer(s.filter("split = 'train'")).to_dict(), path)
+    return rounded(ColumnTransformerModel.from_dict(load_json(spark, path)).transform(s))
+
+
+@register("stored_pipeline", "S6 S7 M13 M14", TRAIN_STATS_SQL + """
+SELECT row_id, round(label, 6) AS label, round(my + sxy / sxx * (value - mx), 6) AS prediction FROM s, st WHERE split = 'test'""")
+def q_stored_pipeline(spark, sf_dir):
+    """A Spark ML pipeline put into a store, read back and used for scoring."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from quarry.operators.models import predict
+    from quarry.session import scratch_path
+    from quarry.sources.io import ModelStore
+    s = split_d3(spark, sf_dir)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["value"], outputCol="features"),
+                             LinearRegression(regParam=0.0, solver="normal", standardization=False)]).fit(s.filter("split = 'train'"))
+    root = scratch_path(spark, "store")
+    ModelStore(spark, root).put("Linear Regression_all", "Linear Regression", "all", model)
+    back = ModelStore(spark, root).get("Linear Regression_all")
+    return rounded(predict(back, s.filter("split = 'test'"), ["value"]).select("row_id", "label", "prediction"))
+
+
 @register("cv_scores", "C14 M11 M10 M15", f""", s AS (SELECT row_id, value, label, row_number() OVER (ORDER BY md5(concat(CAST(row_id AS VARCHAR), '{C.SEED_TEXT}')), row_id) - 1 AS r,
           count(*) OVER () AS n FROM d3)
 , f AS (SELECT value AS x, label AS y, {FOLD_SQL} AS fold FROM s)

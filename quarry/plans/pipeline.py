@@ -3,28 +3,23 @@
 One driver function chains the stages as DataFrame plans; each stage's
 output is written as Parquet under ``out_dir`` (a shared folder: by
 default under ``spark.checkpoint.dir``) and read back, which cuts the
-lineage and lets a later stage restart from the last written table.
+lineage. A run that is started again with the same ``out_dir`` takes up after the
+last complete stage (``plans.stages``); rows kept and dropped per step are
+counted while the stages are written (P10).
 """
 
 from __future__ import annotations
 
-import logging
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import config as C
 from quarry.config import PipelineConfig
+from quarry.plans.stages import Stages, counted, table_signature
 from quarry.session import scratch_path
 
-log = logging.getLogger("quarry.pipeline")
-
-
-def _stage(spark: SparkSession, df: DataFrame, out_dir: str, name: str) -> DataFrame:
-    path = f"{out_dir.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
 
 def preprocess(cleaned: DataFrame, cfg: PipelineConfig = PipelineConfig()):
     """Target, leakage filter, exact split, column transformer fitted on
@@ -76,69 +71,102 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = Pipe
                  out_dir: str | None = None, models=None, explain: bool = True) -> dict:
     """Clean → preprocess → describe → importance → models → explain.
 
-    Stops at the first failing stage (the exception propagates). Returns a
-    dict of result DataFrames (all re-read from ``out_dir``)."""
+    Stops at the first failing stage (the exception propagates); a further call
+    with the same ``out_dir``, input and configuration reads the complete stages
+    and goes on from there. Returns a dict of result DataFrames; ``stages`` lists
+    which were made and which read, ``filter_report`` the rows of each step."""
     from quarry.operators.assoc import mutual_information
     from quarry.operators.explain import linear_shap, shap_summary, top_original_features, tree_shap
-    from quarry.operators.features import kfold
+    from quarry.operators.features import ColumnTransformerModel, kfold
     from quarry.operators.frames import feature_relationship
-    from quarry.operators.models import benchmark, predict
+    from quarry.operators.models import benchmark, cv_results, predict
     from quarry.operators.rank import best_row, top_k
     from quarry.operators.stats import actual_vs_predicted, axis_range, describe_target, histogram, paired_ttest
-    from quarry.plans.clean import clean
-    from quarry.sources.io import ModelStore, save_json, write_csv
+    from quarry.plans import clean as cleaning
+    from quarry.sources.io import ModelStore, load_json, save_json, write_csv
 
-    out = out_dir or scratch_path(spark, "pipeline")
+    out = (out_dir or scratch_path(spark, "pipeline")).rstrip("/")
+    names = list(models or cfg.models)
+    stages = Stages(spark, out, f"{table_signature(raw)}|{sorted(asdict(cfg).items())}|{names}|{explain}")
     res: dict[str, DataFrame] = {}
-    cleaned = _stage(spark, clean(raw, cfg), out, "cleaned")
+    steps: list[tuple] = []
+    seen: dict = {}
+
+    def cleaned_rows():
+        model = cleaning.fit_cleaning(raw, cfg)
+        before, seen["raw"] = counted(raw)
+        after, seen["cleaned"] = counted(cleaning.apply_cleaning(before, model, cfg))
+        return after
+
+    def rows_of(*keys):
+        return {k: seen[k].get["rows"] for k in keys}
+
+    cleaned, n = stages.run("cleaned", cleaned_rows, lambda: rows_of("raw", "cleaned"))
+    steps.append(("clean", n["raw"], n["cleaned"]))
     res["cleaned"] = cleaned
-    x, feats, ct = preprocess(cleaned, cfg)
-    x = _stage(spark, x, out, "matrix")
+
+    def matrix_rows():
+        x, seen["features"], ct = preprocess(cleaned, cfg)
+        save_json(spark, ct.to_dict(), f"{out}/transformer")
+        x, seen["matrix"] = counted(x)
+        return x
+
+    x, kept = stages.run("matrix", matrix_rows, lambda: rows_of("matrix") | {"features": list(seen["features"])})
+    steps.append(("preprocess", n["cleaned"], kept["matrix"]))
+    feats, ct = kept["features"], ColumnTransformerModel.from_dict(load_json(spark, f"{out}/transformer"))
     res["matrix"] = x
-    save_json(spark, ct.to_dict(), f"{out}/transformer")
     res["class_distribution"] = label_distribution(cleaned, x, cfg)
     res["target"] = describe_target(raw, cfg.target)
     res["histogram"] = histogram(raw, cfg.target)
     if "simulated_damage" in raw.columns and "estimated" in raw.columns:
         res["paired_ttest"] = paired_ttest(raw, "simulated_damage", "estimated")
-    imp = _stage(spark, importance_input(raw, cfg), out, "importance_input")
-    res["mutual_information"] = mutual_information(imp, cfg.target, k=C.N_TOP_MI)
-    train = kfold(x.filter("split = 'train'"), cfg.row_id, cfg.n_folds, cfg.seed)
-    train = _stage(spark, train, out, "train_folds")
+    imp, _ = stages.run("importance_input", lambda: importance_input(raw, cfg))
+    res["mutual_information"], _ = stages.run("mutual_information", lambda: mutual_information(imp, cfg.target, k=C.N_TOP_MI))
+
+    def fold_rows():
+        train, seen["train"] = counted(kfold(x.filter("split = 'train'"), cfg.row_id, cfg.n_folds, cfg.seed))
+        return train
+
+    train, m = stages.run("train_folds", fold_rows, lambda: rows_of("train"))
+    steps.append(("train split", kept["matrix"], m["train"]))
     test = x.filter("split = 'test'")
     store = ModelStore(spark, f"{out}/models")
-    cv_rows: list = []
-    results, fitted = benchmark(train, test, feats, models=list(models or cfg.models), thresholds=cfg.thresholds,
-                                store=store, cv_out=cv_rows)
-    from quarry.operators.models import cv_results
-    res["cv_results"] = _stage(spark, cv_results(spark, cv_rows), out, "cv_results")
-    results = _stage(spark, results, out, "results")
+
+    def fits():
+        cv_rows: list = []
+        results, fitted = benchmark(train, test, feats, models=names, thresholds=cfg.thresholds, store=store, cv_out=cv_rows)
+        seen["cv"], seen["own"] = cv_rows, {key: list(own) for key, (_, own) in fitted.items()}
+        return results
+
+    results, fit = stages.run("results", fits, lambda: {"cv": [list(r) for r in seen["cv"]], "own": seen["own"]})
+    own = fit["own"]
+    res["cv_results"] = cv_results(spark, [tuple(r) for r in fit["cv"]])
     write_csv(results, f"{out}/results_csv", float_format="%.6f")
     res["results"] = results
     leaders = top_k(results.filter("Error is null"), "Test R2 Score", C.N_TOP_MODELS, tiebreak=("Position",)).collect()
-    scored = {}
-    for r in leaders:
-        key = f"{r['Model']}_{r['Feature Set Name']}"
-        model, own = fitted[key]
-        scored[key] = predict(model, test, own, keep=(cfg.row_id, "label"))
-    if scored:
-        res["actual_vs_predicted"] = _stage(spark, actual_vs_predicted(scored), out, "actual_vs_predicted")
+    keys = [f"{r['Model']}_{r['Feature Set Name']}" for r in leaders]
+    if keys:
+        res["actual_vs_predicted"], _ = stages.run("actual_vs_predicted", lambda: actual_vs_predicted(
+            {key: predict(store.get(key), test, own[key], keep=(cfg.row_id, "label")) for key in keys}))
         res["identity_range"] = axis_range(res["actual_vs_predicted"])
-    if explain and fitted:
+    if explain and own:
         best = best_row(results, "Test R2 Score", "Position").first()
         key = f"{best['Model']}_{best['Feature Set Name']}"
-        model, mfeats = fitted[key]
-        last = model.stages[-1] if hasattr(model, "stages") else model
-        if hasattr(last, "coefficients"):
-            coefs = dict(zip(mfeats, [float(c) for c in last.coefficients]))
-            shap = linear_shap(coefs, test, background=train)
-        else:
-            shap, _ = tree_shap(model, test, mfeats, cfg.row_id)
-        shap = _stage(spark, shap, out, "shap")
+
+        def shap_rows():
+            model, mfeats = store.get(key), own[key]
+            last = model.stages[-1] if hasattr(model, "stages") else model
+            if hasattr(last, "coefficients"):
+                return linear_shap(dict(zip(mfeats, [float(c) for c in last.coefficients])), test, background=train)
+            return tree_shap(model, test, mfeats, cfg.row_id)[0]
+
+        shap, _ = stages.run("shap", shap_rows)
         summary = shap_summary(shap, ct.categorical_columns)
         res["shap_summary"] = summary
-        top = top_original_features(summary)
-        res["feature_relationship"] = feature_relationship(cleaned, cfg.target, top)
+        res["feature_relationship"] = feature_relationship(cleaned, cfg.target, top_original_features(summary))
+    res["filter_report"] = spark.createDataFrame([(k, s, a, b, max(0, a - b)) for k, (s, a, b) in enumerate(steps)],
+                                                 "position int, step string, rows_before long, rows_after long, rows_dropped long")
+    res["stages"] = spark.createDataFrame([(s, "read") for s in stages.read] + [(s, "made") for s in stages.made], "stage string, how string")
     return res
 
 
