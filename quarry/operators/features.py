@@ -330,12 +330,9 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
           seed: str = C.SEED_TEXT, block_rows: int = 4096) -> DataFrame:
     """M8: oversample every minority class to the majority size.
 
-    Exact k nearest neighbours (Euclidean, same class) are found with a
-    blocked nested loop: each class is cut into hash blocks of at most
-    ``block_rows`` rows, every (query block, reference block) pair of a
-    class is scored in ``applyInPandas`` keeping only the k best per query
-    row, and the per-pair candidates are merged with a window. No group
-    holds more than two blocks and no all-pairs table is materialised.
+    Exact k nearest neighbours (Euclidean, same class) come from
+    ``operators.knn``: blocks around centres, of which a row visits only
+    those that can hold a neighbour.
     Synthetic row j of class c: base row chosen by hash, neighbour chosen
     by hash among its k, ``x + u·(nb − x)`` with a hashed u.
     """
@@ -348,17 +345,17 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
     alone = [c for c, n in counts.items() if n == 1 and n < n_major]
     if alone:
         raise ValueError(f"classes with one row have no neighbour to interpolate with: {alone}")
-    blocks = {c: max(1, -(-n // block_rows)) for c, n in counts.items()}
     minority = sorted((c for c, n in counts.items() if n < n_major), key=str)
     base = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in feats])
     if not minority:
         return base.withColumn("synthetic", F.lit(False))
-    bt = spark.createDataFrame([(c, blocks[c]) for c in minority], f"{label} {df.schema[label].dataType.simpleString()}, _nb int")
-    minority_rows = base.join(F.broadcast(bt.select(label)), label)
-    # the neighbour table (k rows per minority row) is quadratic to compute and used twice:
-    # write it once to the shared checkpoint folder instead of recomputing it
+    few = spark.createDataFrame([(c,) for c in minority], f"{label} {df.schema[label].dataType.simpleString()}")
+    minority_rows = base.join(F.broadcast(few), label)
+    # the neighbour table (k rows per minority row) is used twice: write it once to the
+    # shared checkpoint folder instead of recomputing it
+    from quarry.operators.knn import knn_within_class
     from quarry.session import cut_lineage
-    nbrs = cut_lineage(knn_within_class(minority_rows, feats, label, key, k, block_rows, seed, blocks))
+    nbrs = cut_lineage(knn_within_class(minority_rows, feats, label, key, k, block_rows, seed, {c: counts[c] for c in minority}))
     ranked = hash_rank(minority_rows, key, seed + "#smote", partition_by=[label])
     # synthetic ids come from a partitioned range per class (never one task exploding all of them)
     syn_ids = None
@@ -385,68 +382,3 @@ def smote(df: DataFrame, features, label: str = "label", key: str = "row_id", k:
         *[(F.col(f"_x_{f}") + F.col("u") * (F.col(f"_n_{f}") - F.col(f"_x_{f}"))).alias(f) for f in feats],
         F.lit(True).alias("synthetic"))
     return base.withColumn("synthetic", F.lit(False)).unionByName(syn)
-
-
-def knn_within_class(df: DataFrame, features, label: str = "label", key: str = "row_id", k: int = 5,
-                     block_rows: int = 4096, seed: str = C.SEED_TEXT, blocks: dict | None = None) -> DataFrame:
-    """M8 neighbour step: the exact ``k`` nearest rows of the same class
-    (squared Euclidean distance, ties by neighbour key) as
-    ``(key, j, nb, d2)`` with ``j`` = 0..k-1.
-
-    Each class is cut into hash blocks of at most ``block_rows`` rows; every
-    (query block, reference block) pair is scored in ``applyInPandas`` keeping
-    the k best per query row (all ties of the last place are seen, the smallest
-    keys win), and a window over each row's candidates (blocks × k of them)
-    keeps the final k. Work is quadratic per class, as exact neighbour search
-    is; memory per group is two blocks and a strip of differences."""
-    import numpy as np
-    import pandas as pd
-
-    from quarry.session import ship_package
-    spark = df.sparkSession
-    ship_package(spark)
-    feats = list(features)
-    if blocks is None:
-        counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-        blocks = {c: max(1, -(-n // block_rows)) for c, n in counts.items()}
-    lt = df.schema[label].dataType.simpleString()
-    bt = spark.createDataFrame(list(blocks.items()), f"{label} {lt}, _nb int")
-    m = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in feats]).join(F.broadcast(bt), label) \
-        .withColumn("_blk", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.col("_nb")).cast("int"))
-    q = m.select("*", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_rb")) \
-        .select(label, F.col("_blk").alias("_qb"), F.col("_rb"), F.lit("q").alias("_role"), key, *feats)
-    r = m.select(label, F.col("_blk").alias("_rb"), F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_qb"),
-                 F.lit("r").alias("_role"), key, *feats) \
-        .select(label, "_qb", "_rb", "_role", key, *feats)
-    kk = k
-
-    def knn(pdf: pd.DataFrame) -> pd.DataFrame:
-        qs = pdf[pdf["_role"] == "q"]
-        rs = pdf[pdf["_role"] == "r"]
-        if qs.empty or rs.empty:
-            return pd.DataFrame({key: [], "nb": [], "d2": []})
-        qx = qs[feats].to_numpy(float)
-        rx = rs[feats].to_numpy(float)
-        qk, rk = qs[key].to_numpy(), rs[key].to_numpy()
-        by_key = np.argsort(rk, kind="stable")
-        rx, rk = rx[by_key], rk[by_key]
-        strip = max(1, (1 << 22) // max(1, rx.size))  # at most 32 MiB of differences at a time
-        out = []
-        for lo in range(0, len(qx), strip):
-            d2 = ((qx[lo:lo + strip, None, :] - rx[None, :, :]) ** 2).sum(axis=2)
-            d2[qk[lo:lo + strip, None] == rk[None, :]] = np.inf
-            n = min(kk, d2.shape[1])
-            worst = np.partition(d2, n - 1, axis=1)[:, n - 1:n]
-            row, col = np.nonzero((d2 <= worst) & np.isfinite(d2))  # all ties of the last place
-            dd = d2[row, col]
-            order = np.lexsort((col, dd, row))  # columns are in key order
-            row, col, dd = row[order], col[order], dd[order]
-            keep = np.arange(len(row)) - np.searchsorted(row, row) < n
-            out.append(pd.DataFrame({key: qk[lo + row[keep]], "nb": rk[col[keep]], "d2": dd[keep]}))
-        return pd.concat(out)
-
-    key_t = df.schema[key].dataType.simpleString()
-    cand = q.unionByName(r).groupBy(label, "_qb", "_rb").applyInPandas(knn, f"{key} {key_t}, nb {key_t}, d2 double")
-    w = Window.partitionBy(key).orderBy("d2", "nb")
-    return cand.withColumn("j", (F.row_number().over(w) - 1).cast("int")).filter(F.col("j") < k) \
-        .select(key, "j", "nb", "d2")

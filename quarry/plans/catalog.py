@@ -1068,10 +1068,9 @@ def q_original_feature(spark, sf_dir):
 SELECT row_id, CAST(j AS INTEGER) AS j, nb, round(d2, 6) AS d2 FROM rk WHERE j < 5""")
 def q_smote_neighbours(spark, sf_dir):
     """Exact 5 nearest same-class neighbours of the minority training rows."""
-    from quarry.operators.features import knn_within_class
+    from quarry.operators.knn import knn_within_class
     s = split_d3(spark, sf_dir).filter("split = 'train' AND minority = 1")
-    return rounded(knn_within_class(s, ["value", "hour_of_day", "user_bucket"], "minority", "row_id", k=5,
-                                    block_rows=512))
+    return rounded(knn_within_class(s, ["value", "hour_of_day", "user_bucket"], "minority", "row_id", k=5))
 
 
 @register("shap_beeswarm", "M28 M26", RANK_D3_SQL + """
@@ -1256,7 +1255,7 @@ def q_trap_dotted(spark, sf_dir):
 , r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY d2, nb) - 1 AS j FROM k)
 SELECT row_id, CAST(j AS INTEGER) AS j, nb, d2 FROM r WHERE j < 5""")
 def q_trap_ties(spark, sf_dir):
-    from quarry.operators.features import knn_within_class
+    from quarry.operators.knn import knn_within_class
     return knn_within_class(d4(spark, sf_dir).select("row_id", "grp", "bit1", "bit2"), ["bit1", "bit2"], "grp", "row_id", 5)
 
 
