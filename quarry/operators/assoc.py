@@ -474,8 +474,13 @@ def cluster_features(assoc: DataFrame, features, threshold: float | None,
                      linkage: str = "average", max_rounds: int = 10_000) -> DataFrame:
     """M9: agglomerative clustering on A16 cut at ``threshold``.
 
-    Average linkage is reducible, so merging all reciprocal nearest pairs
-    each round gives the sequential dendrogram's clusters (up to ties).
+    The sequential algorithm merges the pair of clusters with the least
+    (distance, smaller label, larger label) each time, a cluster's label being its
+    smallest member's position. Average linkage is reducible: a merge elsewhere
+    can bring no cluster nearer than the nearer of its parts, and its label is
+    one of theirs, so a pair that is mutually nearest in that order stays so until
+    it is merged. Merging all such pairs each round therefore gives the same
+    clusters, ties included (distances are compared after rounding to 12 digits).
     Returns ``(feature, cluster)`` with cluster = smallest member position.
     """
     if linkage != "average":

@@ -796,7 +796,25 @@ def q_cluster_one_round(spark, sf_dir):
     return cluster_representatives(assoc, clusters, ASSOC_COLS)
 
 
-@register("feature_clusters", "M9 A17")
+def _merge_sql(dist: str, d: int, threshold: float) -> str:
+    """Clusters of d positions by merging the least pair of clusters again and again."""
+    return f""", merged AS (
+  WITH RECURSIVE r(step, cl) AS (
+    SELECT 0, CAST(range(0, {d}) AS BIGINT[])
+    UNION ALL
+    SELECT r.step + 1, list_transform(r.cl, lambda c: CASE WHEN c = m.cb THEN m.ca ELSE c END)
+    FROM r, LATERAL (
+      SELECT least(r.cl[i + 1], r.cl[j + 1]) AS ca, greatest(r.cl[i + 1], r.cl[j + 1]) AS cb, round(avg(distance), 12) AS dd
+      FROM {dist} WHERE r.cl[i + 1] <> r.cl[j + 1] GROUP BY ALL ORDER BY dd, ca, cb LIMIT 1) m
+    WHERE m.dd <= {threshold!r})
+  SELECT cl FROM r ORDER BY step DESC LIMIT 1)
+"""
+
+
+@register("feature_clusters", "M9 A17", ASSOC_SQL + f""", pos AS (SELECT * FROM (VALUES {", ".join(f"('{c}', {i})" for i, c in enumerate(ASSOC_COLS))}) v(feature, p))
+, ds AS (SELECT a.p AS i, b.p AS j, 1 - abs(assoc) AS distance FROM am JOIN pos a ON a.feature = fa JOIN pos b ON b.feature = fb WHERE fa <> fb)
+""" + _merge_sql("ds", len(ASSOC_COLS), CLUSTER_THRESHOLD) + """
+SELECT feature, CAST(cl[p + 1] AS INT) AS cluster FROM pos, merged""")
 def q_feature_clusters(spark, sf_dir):
     from quarry.operators.assoc import association_matrix, cluster_features
     from quarry.session import cut_lineage
@@ -1093,7 +1111,7 @@ def q_shap_beeswarm(spark, sf_dir):
     feats = ["value", "hour_of_day"]
     lm = LinearRegression(regParam=0.0, solver="normal", standardization=False).fit(
         VectorAssembler(inputCols=feats, outputCol="features").transform(train))
-    shap = linear_shap(dict(zip(feats, [float(c) for c in lm.coefficients])), test, background=train)
+    shap = linear_shap(dict(zip(feats, [float(c) for c in lm.coefficients])), test, background=train, with_value=True)
     return rounded(shap_beeswarm_frame(shap, test.select("row_id", *feats)))
 
 
@@ -1208,6 +1226,26 @@ def q_trap_mixed(spark, sf_dir):
     return rounded(a.select("feature_a", "feature_b", "assoc").join(association_distance(a), ["feature_a", "feature_b"]))
 
 
+#: Distances between twelve columns that take five values, most of them many times; the number of orders shifts them.
+_TIED_SQL = """, m AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 2 = 0) AS e FROM orders)
+, ds AS (SELECT a.i AS i, b.i AS j, ((least(a.i, b.i) * 7 + greatest(a.i, b.i) * 3 + n + e) % 5) / 5e0 AS distance
+         FROM range(0, 12) a(i) JOIN range(0, 12) b(i) ON a.i <> b.i, m)
+"""
+
+
+@register("trap_tied_clusters", "M9 (ties)", _TIED_SQL + _merge_sql("ds", 12, 0.5) + """
+SELECT concat('c', i) AS feature, CAST(cl[i + 1] AS INT) AS cluster FROM range(0, 12) t(i), merged""")
+def q_trap_clusters(spark, sf_dir):
+    from quarry.operators.assoc import cluster_features
+    n, e = spark.read.parquet(f"{sf_dir}/orders.parquet").agg(F.count("*"), F.count(F.when(F.col("o_orderkey") % 2 == 0, 1))).first()
+    ids = spark.range(12).select(F.col("id").alias("i"))
+    i, j = F.least("i", "j"), F.greatest("i", "j")
+    pairs = ids.join(ids.select(F.col("i").alias("j")), F.col("i") != F.col("j"))
+    assoc = pairs.select(F.concat(F.lit("c"), "i").alias("feature_a"), F.concat(F.lit("c"), "j").alias("feature_b"),
+                         (1 - ((i * 7 + j * 3 + F.lit(n + e)) % 5) / F.lit(5.0)).alias("assoc"))
+    return cluster_features(assoc, [f"c{k}" for k in range(12)], 0.5)
+
+
 @register("trap_scale_missing", "M2 (NaN)", CLEAN_D4_SQL + """
 SELECT row_id, round((x - (SELECT avg(x) FROM n4)) / (SELECT stddev_pop(x) FROM n4), 6) AS x, round((y - (SELECT avg(y) FROM n4)) / (SELECT stddev_pop(y) FROM n4), 6) AS y FROM n4""")
 def q_trap_scale(spark, sf_dir):
