@@ -24,7 +24,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     if learn_from is not None:
         one = one.where(learn_from(F.col("_id")))
     one = one.groupBy("_id").agg((F.avg("_y") >= 0.5).cast("int").alias("label"))
-    one = one.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     texts = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # labels of other documents take no place in the sample
+    one = one.join(texts.select("_id").distinct(), "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     return (texts.join(F.broadcast(one), "_id").groupBy("_id", "label").agg(F.min("text").alias("text"))
             .select(F.col("_id").alias("doc_id"), "text", "label"))

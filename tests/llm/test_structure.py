@@ -264,3 +264,12 @@ def test_contraction_of_chains_and_stars(spark):
         if parents[k] is not None:
             want[parents[k]] = [a + b for a, b in zip(want[parents[k]], want[k])]
     assert got == {k: tuple(v) for k, v in want.items()}
+
+
+# ----------------------------------------------------------------- labelled
+def test_sample_is_of_labelled_documents(spark):
+    from quarry.llm.labelled import labelled_sample
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5000)], "doc_id long, quality int")
+    got = labelled_sample(docs, labels, "quality", 40).collect()
+    assert len(got) == 40 and all(r["doc_id"] < 50 and r["label"] == r["doc_id"] % 2 for r in got)
