@@ -157,6 +157,25 @@ def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP12_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT *, length(h) // 2 AS n FROM d),
+p AS (SELECT r, h, unnest(range(0, greatest(0, n - 199))) AS i FROM n),
+w AS (SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM p),
+m AS (SELECT r, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM m),
+s AS (SELECT r, min(i) AS a, max(i) + 200 AS e FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM g) GROUP BY r, run),
+t AS (SELECT r, sum(e - a) AS gone, count(*) AS spans FROM s GROUP BY r),
+k AS (
+  SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) AS lo, a AS hi FROM s
+  UNION ALL SELECT r, max(e), max(n) FROM s JOIN n USING (r) GROUP BY r),
+x AS (SELECT r, string_agg(substr(h, CAST(2 * lo + 1 AS INT), CAST(2 * (hi - lo) AS INT)), '' ORDER BY lo, hi) AS kept FROM k JOIN n USING (r) GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM n LEFT JOIN t USING (r) LEFT JOIN x USING (r)
+"""
+
+
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations")
     fixed = structure.repair(structure.damage(turns), order=["role0", "text0", "hash0"]).withColumnRenamed("conv_id", "own")
@@ -166,6 +185,69 @@ def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def _op13_sql() -> str:
+    """Damage, faults and the cheapest edits by a table over the four states, row by row."""
+    def add(state: str, cost: str, edit: str) -> str:  # a state is its cost in six digits and its audit
+        return f"(lpad(CAST(CAST(substr({state}, 1, 6) AS INT) + {cost} AS VARCHAR), 6, '0') || substr({state}, 7) || '{edit}')"
+
+    def step(after: str, initial: str, before: list[str]) -> str:
+        from_here = [add(f"b.s{after}", "3", "D")]
+        for x in before:
+            from_here += [f"CASE WHEN NOT must_go AND initial = '{initial}' THEN {add(x, 'cut', 'K')} END", f"CASE WHEN NOT must_go THEN {add(x, '2 + cut', 'R')} END"]
+        return f"least({', '.join(from_here)})"
+
+    white = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+    inserted_user = f"least({add('b.s0', '2', 'I')}, {add('b.s1', '2', 'I')}, {add('b.s3', '2', 'I')})"
+    return rf"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, coalesce(CAST(conv_id AS VARCHAR), ' ') AS k, turn, coalesce(role, ' ') AS role0, coalesce(text, ' ') AS text0,
+         concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS name
+  FROM conversations),
+faulty AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, length(name) + 1),
+           lambda i: [CAST(ord(substr(name, i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, b: xor(xor(a, b) >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)), CAST(4294967295 AS BIGINT)) % 20 AS fault
+  FROM src),
+damaged AS (
+  SELECT k, turn, role0, text0, CASE WHEN fault = 4 THEN 'user' ELSE role0 END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text0, '[.!?]', '', 'g') ELSE text0 END AS text, c.copy
+  FROM faulty JOIN range(0, 2) c(copy) ON c.copy = 0 OR fault = 3 WHERE fault <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn ASC NULLS FIRST, role0, text0, copy) AS pos, substr(role, 1, 1) AS initial, rtrim(text, {white}) AS bare
+  FROM damaged),
+seen AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY k, role, text ORDER BY pos) > 1 AS again,
+         CASE WHEN pos > 1 AND concat(lag(initial) OVER (PARTITION BY k ORDER BY pos), initial) NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END AS bad
+  FROM placed),
+turns AS (
+  SELECT *, blank OR again AS must_go, CASE WHEN NOT blank AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut FROM seen),
+sums AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+         sum(cut) AS truncated, sum(bad) AS illegal, max(pos) AS n FROM turns GROUP BY k),
+best AS (
+  SELECT k, CAST(0 AS BIGINT) AS pos, '000000' AS s0, CAST(NULL AS VARCHAR) AS s1, CAST(NULL AS VARCHAR) AS s2, CAST(NULL AS VARCHAR) AS s3 FROM sums
+  UNION ALL
+  SELECT k, pos, {add("s0", "3", "D")}, least({add("s1", "3", "D")}, CASE WHEN NOT must_go AND initial = 's' THEN {add("s0", "cut", "K")} END),
+         {step("2", "u", ["b.s0", "b.s1", "b.s3", "b.i3"])}, {step("3", "a", ["b.s2", "b.i2"])}
+  FROM (SELECT b.k, t.pos, b.s0, b.s1, b.s2, b.s3, {inserted_user} AS i2, {add("b.s2", "2", "I")} AS i3, t.initial, t.must_go, t.cut
+        FROM best b JOIN turns t ON t.k = b.k AND t.pos = b.pos + 1) b),
+ends AS (
+  SELECT b.k, least(s0, s3, {add("s2", "2", "I")}, {add("s1", "4", "II")}) AS e FROM best b JOIN sums ON sums.k = b.k AND b.pos = n),
+edits AS (
+  SELECT k, i, substr(e, CAST(6 + i AS INT), 1) AS edit, length(replace(substr(e, 7, CAST(i AS INT)), 'I', '')) AS pos FROM ends, range(1, length(e) - 5) t(i)),
+said AS (
+  SELECT d.k, i, edit, role, text, row_number() OVER (PARTITION BY d.k ORDER BY i) - (CASE WHEN first_value(edit = 'K' AND initial = 's') OVER (PARTITION BY d.k ORDER BY i) THEN 1 ELSE 0 END) AS place
+  FROM edits d LEFT JOIN turns t ON t.k = d.k AND t.pos = d.pos WHERE edit <> 'D'),
+texts AS (
+  SELECT k, string_agg(CASE WHEN edit = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS text
+  FROM said GROUP BY k)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(CAST(substr(e, 1, 6) AS INT), 0) AS BIGINT) AS cost,
+       coalesce(substr(e, 7), '') AS audit, sha256(coalesce(x.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, k FROM src) c LEFT JOIN sums USING (k) LEFT JOIN ends USING (k) LEFT JOIN texts x USING (k)
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_quality_classifier, op3_bpe, op4_simhash_near_dedup, op5_source_mixing, op6_warc, op7_chat_format,
     op8_nearest_neighbours, op9_pii, op10_line_dedup, op11_prefix_trie, op12_repeated_passages,
@@ -173,4 +255,4 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op5_source_mixing": OP5_SQL, "op11_prefix_trie": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_source_mixing": OP5_SQL, "op11_prefix_trie": OP11_SQL, "op12_repeated_passages": OP12_SQL, "op13_structure_repair": _op13_sql()}

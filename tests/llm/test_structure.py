@@ -51,6 +51,20 @@ def test_repeats_equal_brute_force(spark, crowd, sieve_keys, anchor):
         assert (r["key"], r["digest"], r["marks"], r["packed"]) == (i, "d", [1], "k")
 
 
+def duck(name, columns, rows, query):
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE {name} ({columns})")
+    con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(rows[0]))})", rows)
+    return con.sql(queries.ORACLE_SQL[query]).fetchall()
+
+
+def test_sql_of_repeats():
+    docs = passages(11)
+    got = {r[0]: r[1:] for r in duck("documents", "doc_id BIGINT, text VARCHAR", list(enumerate(docs)), "op12_repeated_passages")}
+    want = brute_repeats([(t or "").encode() for t in docs], 200)
+    assert got == {i: (n, gone, len(spans), hashlib.sha256(kept).hexdigest()) for i, (kept, n, gone, spans) in enumerate(want)}
+
+
 def test_repeats_of_long_text_cross_slabs(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SLAB", 1000)
     rnd = random.Random(5)
@@ -210,6 +224,12 @@ def test_repair_query_equals_brute_force(spark, tmp_path, partitions):
     assert got == brute_repair(rows)
 
 
+def test_sql_of_repair():
+    rows = odd_turns(9)
+    got = duck("conversations", "conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR", rows, "op13_structure_repair")
+    assert {r[0]: r[1:] for r in got} == brute_repair(rows)
+
+
 def test_repair_in_blocks(spark, monkeypatch):
     rows = [(1, t, ("user", "assistant")[t % 2], f"turn {t}." * 20) for t in range(50)]
     text = "\n".join(f"{r}:{x}" for _, _, r, x in rows)
