@@ -2,8 +2,8 @@
 
 Tokens are summed per source; the sums and weights give every source a target
 and a repetition rate (target over size); each document is then emitted
-floor(rate) times, and once more if a hash of its id, read as a number in
-[0, 1), is below the rate's fraction.  The draw depends on nothing but id and
+floor(rate) times, and once more if a hash of its id and text, read as a number in
+[0, 1), is below the rate's fraction.  The draw depends on nothing but these and the
 seed, so reruns and recomputed tasks agree.
 
 Targets: the sources, in code point order with null last, take the weights in
@@ -14,9 +14,9 @@ in order of cap over weight, a source is capped exactly if its cap is at most
 what it would get were all before it capped.
 
 Edge cases: a null text has no words; a null source is a source of its own;
-a source without words has target 0 and emits nothing; documents with a null
-id draw by their text, and rows alike draw alike; an empty table gives no
-rows.  ``mix`` works on columns by place, so their names cannot clash.
+a source without words has target 0 and emits nothing; documents with a null or
+repeated id draw by their texts, and only rows with the same id and text draw
+alike; very long texts count whole; an empty table gives no rows.  ``mix`` works on columns by place, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -69,10 +69,18 @@ def draw(key: Column, seed: str = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def text_digest(text: str = "text") -> Column:
+    """What a row's draw depends on beside its doc_id."""
+    return F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+
+
 def with_copies(docs: DataFrame, table: DataFrame, source: str = "source", doc_id: str = "doc_id",
-                text: str = "text", seed: str = SEED) -> DataFrame:
+                digest: Column | None = None, seed: str = SEED) -> DataFrame:
     """`docs` with mix_copies, mix_source_size and mix_target.
 
+    A row's draw is a hash of its doc_id and `digest` (default: of the column
+    text), so rows without an id, or with one that repeats, draw by their texts.
+
     The table of rates has one narrow row per source; it is broadcast if its
     measured row count is small, and joined by shuffle otherwise.
     """
@@ -81,11 +89,9 @@ def with_copies(docs: DataFrame, table: DataFrame, source: str = "source", doc_i
     if one.count() <= BROADCAST_SOURCES:
         one = F.broadcast(one)
     d = docs.join(one, docs[source].eqNullSafe(F.col("mix_source")), "left")
-    key = F.col(f"`{doc_id}`").cast("string")
-    if text in docs.columns:
-        key = F.coalesce(key, F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))))
+    key = F.concat_ws(":", F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null")), text_digest() if digest is None else digest)
     whole = F.floor("mix_rate")
-    extra = (draw(F.coalesce(key, F.lit("null")), seed) < F.col("mix_rate") - whole).cast("int")
+    extra = (draw(key, seed) < F.col("mix_rate") - whole).cast("int")
     return d.withColumn("mix_copies", F.coalesce(whole + extra, F.lit(0)).cast("int")).drop("mix_source", "mix_rate")
 
 
@@ -101,4 +107,4 @@ def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: s
     """The mixed corpus: the rows of `docs`, repeated."""
     d, (source, doc_id, text) = by_place(docs, source, doc_id, text)
     sized = d.select(F.col(source).alias("source"), n_words(text).alias("size"))
-    return emit(with_copies(d, rates(sized), source, doc_id, text)).toDF(*docs.columns)
+    return emit(with_copies(d, rates(sized), source, doc_id, text_digest(text))).toDF(*docs.columns)

@@ -43,9 +43,9 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words().alias("size"))
-    docs = cut_lineage(docs)  # narrow; words are counted once
-    mixed = mixing.with_copies(docs, mixing.rates(docs.select("source", "size")))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words().alias("size"), mixing.text_digest().alias("digest"))
+    docs = cut_lineage(docs)  # narrow; texts are read once
+    mixed = mixing.with_copies(docs, mixing.rates(docs.select("source", "size")), digest=F.col("digest"))
     return mixed.select("doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
                         (F.col("size") * F.col("mix_copies")).cast("long").alias("taken"))
 
@@ -53,7 +53,7 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         coalesce(CAST(doc_id AS VARCHAR), 'null') AS k
+         coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, '')) AS k
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -293,3 +293,20 @@ def test_sample_is_of_labelled_documents(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(5000)], "doc_id long, quality int")
     got = labelled_sample(docs, labels, "quality", 40).collect()
     assert len(got) == 40 and all(r["doc_id"] < 50 and r["label"] == r["doc_id"] % 2 for r in got)
+
+
+# ------------------------------------------------------------------- mixing
+def test_rows_without_or_with_repeated_ids_draw_by_their_texts(spark, tmp_path):
+    from quarry.llm import mixing
+    rows = [(None if i % 2 else i % 5, f"word{i} " * 10, "abc"[i % 3]) for i in range(3000)]
+    where = table(spark, tmp_path, "documents", rows, "doc_id long, text string, source string")
+    got = queries.op5_source_mixing(spark, where).toPandas()
+    assert set(got["source_size"]) == {10_000}
+    for target, own in got.groupby("target"):  # three sources, three targets
+        assert len(own) == 1000 and abs(own["taken"].sum() - target) < 600
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{where}/documents.parquet/*.parquet'")
+    want = con.sql(queries.ORACLE_SQL["op5_source_mixing"]).fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in queries.op5_source_mixing(spark, where).collect())
+    df = spark.read.parquet(f"{where}/documents.parquet")
+    assert sorted(map(str, mixing.mix(df).collect())) == sorted(map(str, mixing.mix(df.repartition(7)).collect()))
