@@ -10,6 +10,7 @@ has in later splits is put behind it by the number of the split it began in.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 
 import pyarrow as pa
@@ -20,6 +21,8 @@ from pyspark.sql import types as T
 from quarry.session import cut_lineage, ship_package
 
 OUTSIDE, INSIDE = 0, 1
+#: Bytes that a task scans at least, in any number of splits, once there are TASKS_PER_CORE tasks a core.
+TASK_BYTES, TASKS_PER_CORE = 32 << 20, 4
 
 
 def state_after(line: str, state: int, sep: str = ",") -> int:
@@ -118,6 +121,15 @@ def _records(first: dict, sep: str):
     return run
 
 
+def in_few_tasks(lines: DataFrame) -> DataFrame:
+    """The lines with several splits in a task where splits are small: each would cost a task's start."""
+    spark, splits = lines.sparkSession, lines.rdd.getNumPartitions()
+    size, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    whole = splits * int(size) * 1024 ** " kmgtp".index(unit or " ")
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-whole // TASK_BYTES))
+    return lines.coalesce(tasks) if tasks < splits else lines
+
+
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """value, file, split of every line (ended by a line feed), in the order of the file inside a split."""
     df = spark.read.option("lineSep", "\n").text(path)
@@ -133,7 +145,7 @@ def may_span_lines(lines: DataFrame, sep: str = ",") -> bool:
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
     edge = "[\\r\"" + ("\\" + sep if not sep.isalnum() else sep) + "]"
     loose = F.regexp_replace("value", f'^"|"$|(?<={edge})"|"(?={edge})', "").contains('"')
-    return bool(lines.where(F.col("value").contains('"') & ((quotes % 2 == 1) | loose)).limit(1).count())
+    return bool(in_few_tasks(lines).where(F.col("value").contains('"') & ((quotes % 2 == 1) | loose)).limit(1).count())
 
 
 def read_records(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
@@ -142,7 +154,7 @@ def read_records(spark: SparkSession, path: str, sep: str = ",", encoding: str =
     Quoted fields may hold line breaks, separators and doubled quotes. A file
     whose last field is never closed raises."""
     ship_package(spark)
-    lines = read_lines(spark, path, encoding)
+    lines = in_few_tasks(read_lines(spark, path, encoding))
     maps = lines.mapInArrow(_maps(sep), "file string, split long, from_out int, from_in int").collect()  # one row per split
     first, by_file = {}, defaultdict(list)
     for r in maps:

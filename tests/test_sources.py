@@ -123,3 +123,19 @@ def test_quote_automaton():
             state = state_after(line, state)
         rows = list(csv.reader(io.StringIO(text, newline="")))  # reads blank lines as empty rows, but none after the last break
         assert cuts - (text.endswith("\n") and state == OUTSIDE) == len(rows), text
+
+
+def test_many_small_splits_share_tasks(spark, tmp_path):
+    from quarry.sources.csv_records import in_few_tasks, read_lines, read_records
+    rows = [(i, f'a "{i}"\nb, c' if i % 3 else "plain") for i in range(3000)]
+    text = "id,note\n" + "".join(f'{i},"{n.replace(chr(34), chr(34) * 2)}"\n' for i, n in rows)
+    (tmp_path / "t.csv").write_text(text)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        lines = in_few_tasks(read_lines(spark, str(tmp_path / "t.csv")))
+        assert lines.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        assert lines.select("split").distinct().count() > 100
+        assert sorted((int(r["id"]), r["note"]) for r in read_records(spark, str(tmp_path / "t.csv")).collect()) == rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
