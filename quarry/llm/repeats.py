@@ -31,8 +31,11 @@ A key with more than CROWD different segments (the edge of a passage that very
 many texts share) is not given to one task.  Its windows are told apart by their
 place relative to the anchor, in blocks of LEVELS places: windows of a block have
 its common bytes around the anchor, so a segment is filed once per block under their hash.
-Groups of one copy go, small groups are indexed, and those still crowded are
-divided into the blocks of the next level; at the last one a group is one window.
+What the segments of a block have alike is one part with its number of copies: near
+copies differ in few blocks, so a crowd of them is few parts.  Groups of one copy go,
+small groups of parts are indexed, and the parts of those still crowded are
+divided into the blocks of the next level; at the last one a part is one window.
+The ranges of a part are handed back to its members, level by level.
 
 Repeated keys are looked up in bit maps of SIEVE_BITS bits when there are at
 most SIEVE_KEYS of them; beyond that by a join, with the same result.  Texts are
@@ -301,24 +304,27 @@ def long_matches(pieces: list[bytes], copies: list[int], length: int = LENGTH) -
 def _indexed(length: int):
     def run(batches):
         def solve(rows):
-            marks = long_matches([r[5] for r in rows], [r[3] for r in rows], length)
-            rows = [(r[1], r[2], [r[4] + x for a in m for x in a]) for r, m in zip(rows, marks, strict=True) if m]
+            marks = long_matches([r[3] for r in rows], [r[2] for r in rows], length)
+            rows = [(r[0], r[1], [x for a in m for x in a]) for r, m in zip(rows, marks, strict=True) if m]
             if rows:
                 yield _marks(rows)
 
         held, size = [], 0
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("file", "key", "seg", "n", "at", "bytes")), strict=True):
+            for row in zip(*(b.column(c).to_pylist() for c in ("key", "seg", "n", "bytes")), strict=True):
                 if size >= BLOCK_BYTES and row[0] != held[-1][0]:
                     yield from solve(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5])
+                size += len(row[3])
         if held:
             yield from solve(held)
     return run
 
 
+_MARKS = "key long, seg long, ranges array<int>"
+
+
 def _marks(rows):
     kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()))
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "seg", "ranges"])
@@ -344,21 +350,51 @@ def divide(piece: bytes, size: int, length: int = LENGTH, anchor: int = ANCHOR):
 
 
 def _divided(size: int, length: int, anchor: int):
-    """The blocks of crowded segments, with the bytes of their windows."""
-    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    """The blocks of crowded segments: hash of the block, of the bytes of its windows (a part),
+    the segment, the part's place in it, and the bytes where the task has not sent them before."""
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
 
     def run(batches):
+        seen = set()
         for b in batches:
             for lo in range(0, len(b), 512):
-                rows = [(sub, k, s, n, at + first, p[first : end - 1 + length])
-                        for k, s, n, at, p in zip(*(b.column(c).slice(lo, 512).to_pylist() for c in ("key", "seg", "n", "at", "bytes")), strict=True)
-                        for sub, first, end in divide(p, size, length, anchor)]
+                rows = []
+                for k, s, n, p in zip(*(b.column(c).slice(lo, 512).to_pylist() for c in ("key", "seg", "n", "bytes")), strict=True):
+                    for sub, first, end in divide(p, size, length, anchor):
+                        part = p[first : end - 1 + length]
+                        same = (sub, _hash(part))
+                        rows.append((*same, k, s, n, first, None if same in seen else part))
+                        seen.add(same)
+                if len(seen) > _SEEN:
+                    seen.clear()
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                                     ["sub", "key", "seg", "n", "at", "bytes"])
+                                                     ["sub", "part", "key", "seg", "n", "at", "bytes"])
     return run
 
 
+def crowd_parts(segs: DataFrame, size: int, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[DataFrame, DataFrame]:
+    """(members, parts) of crowded segments (key, seg, n, bytes) in blocks of `size` places.
+
+    parts: key (of the block), seg (of the part), n (copies), bytes and m, the
+    parts of its block; blocks of one copy are left out.  members: up_key and
+    up_seg of a part, and a segment that holds it from byte `at` on."""
+    blocks = cut_lineage(segs.mapInArrow(_divided(size, length, anchor), "sub binary, part long, key long, seg long, n long, at int, bytes binary"))
+    parts = cut_lineage(blocks.groupBy("sub", "part").agg(F.sum("n").alias("n"), F.max("bytes").alias("bytes")))
+    groups = parts.groupBy("sub").agg(F.sum("n").alias("copies"), F.count("*").alias("m")).where("copies > 1").select("sub", "m")
+    parts = cut_lineage(parts.join(groups, "sub").select(F.xxhash64("sub").alias("key"), F.col("part").alias("seg"), "n", "bytes", "m"))
+    return blocks.select(F.xxhash64("sub").alias("up_key"), F.col("part").alias("up_seg"), "key", "seg", "at"), parts
+
+
+def _merged(batches):
+    """Ranges of every segment, as their union."""
+    for b in batches:
+        rows = [(k, s, [x for r in union_of(zip(f[::2], f[1::2], strict=True)) for x in r])
+                for k, s, f in zip(*(b.column(c).to_pylist() for c in ("key", "seg", "ranges")), strict=True)]
+        if rows:
+            yield _marks(rows)
+
+
 def _sieve_of(keys: DataFrame):
     """The repeated keys as a broadcast bit map of fixed size."""
     place = F.col("key").bitwiseAND(F.lit(SIEVE_BITS - 1))
@@ -392,23 +428,26 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
      .groupBy("key", "seg").agg(F.sum("n").alias("n"), F.max("bytes").alias("bytes")).write.option("compression", "zstd").parquet(path))
     pieces = texts.sparkSession.read.parquet(path)
     crowded = cut_lineage(pieces.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > crowd).select("key"))
-    cols = ["key", "seg", "n", "at", "bytes"]
-    few = pieces.join(crowded, "key", "left_anti").select(F.col("key").alias("file"), "key", "seg", "n", F.lit(0).alias("at"), "bytes")
-    crowd_rows = pieces.join(crowded, "key", "left_semi").select("key", "seg", "n", F.lit(0).alias("at"), "bytes")
-    equal = None
-    for size in LEVELS if crowded.count() else ():
-        blocks = cut_lineage(crowd_rows.mapInArrow(_divided(size, length, anchor), "sub binary, key long, seg long, n long, at int, bytes binary"))
-        groups = cut_lineage(blocks.groupBy("sub").agg(F.sum("n").alias("copies"), F.count("*").alias("m")).where("copies > 1"))
-        blocks = cut_lineage(blocks.join(groups.select("sub", "m"), "sub"))
+    cols = ["key", "seg", "n", "bytes"]
+    few = pieces.join(crowded, "key", "left_anti").select(*cols)
+    segs, levels, equal = pieces.join(crowded, "key", "left_semi").select(*cols), [], None
+    for size in LEVELS if not crowded.isEmpty() else ():
+        members, parts = crowd_parts(segs, size, length, anchor)
+        levels.append(members)
         if size == 1:
-            equal = blocks.select("key", "seg", F.array(F.col("at"), F.col("at") + F.lit(length)).alias("ranges"))
+            equal = parts.select("key", "seg", F.array(F.lit(0), F.lit(length)).alias("ranges"))
         else:
-            few = few.union(blocks.where(F.col("m") <= crowd).select(F.xxhash64("sub").alias("file"), *cols))
-            crowd_rows = blocks.where(F.col("m") > crowd).select(*cols)
-    # dealt by a hash of the file, not the file: a repartition like a join's own would be dropped from the plan
-    few = few.repartition(F.xxhash64("file")).sortWithinPartitions("file")
-    marks = few.mapInArrow(_indexed(length), "key long, seg long, ranges array<int>")
-    marks = marks if equal is None else marks.union(equal)
+            few, segs = few.union(parts.where(F.col("m") <= crowd).select(*cols)), parts.where(F.col("m") > crowd).select(*cols)
+    # dealt by a hash of the key, not the key: a repartition like a join's own would be dropped from the plan
+    few = few.repartition(F.xxhash64("key")).sortWithinPartitions("key")
+    marks = few.mapInArrow(_indexed(length), _MARKS)
+    if equal is not None:
+        marks = cut_lineage(marks.union(equal))
+    for members in reversed(levels):
+        up = marks.select(F.col("key").alias("up_key"), F.col("seg").alias("up_seg"), "ranges")
+        own = members.join(up, ["up_key", "up_seg"]).select("key", "seg", F.transform("ranges", lambda x: x + F.col("at")).alias("ranges"))
+        own = own.groupBy("key", "seg").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+        marks = cut_lineage(marks.union(own.mapInArrow(_merged, _MARKS)))
     whole = keys.where("seg = other").select("key", "seg", F.array().cast("array<int>").alias("ranges"))
     marks = cut_lineage(marks.union(whole))
     seen = source.mapInArrow(_occurrences(sieve, length, anchor), "key long, seg long, digest binary, start long, size int").join(marks, ["key", "seg"])

@@ -51,6 +51,28 @@ def test_repeats_equal_brute_force(spark, crowd, sieve_keys, anchor):
         assert (r["key"], r["digest"], r["marks"], r["packed"]) == (i, "d", [1], "k")
 
 
+def test_a_crowd_of_near_copies_is_few_parts(spark):
+    """What near copies have alike is indexed and divided once, not once per copy."""
+    rnd = random.Random(5)
+    base = "".join(rnd.choices("abcdefghij ", k=900))
+    docs = [base[:at] + "Z" + base[at + 1 :] for at in rnd.sample(range(len(base)), 120)]
+    found = defaultdict(dict)
+    for t in docs:
+        for starts, ends, keys in repeats.segments(t.encode()):
+            for a, b, key in zip(starts.tolist(), ends.tolist(), keys.tolist(), strict=True):
+                found[key][t[a:b].encode()] = found[key].get(t[a:b].encode(), 0) + 1
+    rows = [(k, n, copies, piece) for k, pieces in found.items() if len(pieces) > 10 for n, (piece, copies) in enumerate(pieces.items())]
+    segs = spark.createDataFrame(rows, "key long, seg long, n long, bytes binary").repartition(3)
+    members, parts = repeats.crowd_parts(segs, 28)
+    held = members.join(parts.select("key", "seg", "n", "bytes").toDF("up_key", "up_seg", "n", "part"), ["up_key", "up_seg"]).collect()
+    own = {(r[0], r[1]): r[3] for r in rows}
+    assert held and all(bytes(r["part"]) == own[r["key"], r["seg"]][r["at"] : r["at"] + len(r["part"])] for r in held)
+    assert 2 * parts.count() < len(held)  # before, one row for each of these was indexed and divided again
+    got = {r["doc_id"]: r for r in repeats.strip_repeats(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), crowd=3).collect()}
+    for i, (kept, _, gone, _) in enumerate(brute_repeats([t.encode() for t in docs], 200)):
+        assert (bytes(got[i]["kept"]), got[i]["n_removed"]) == (kept, gone)
+
+
 def duck(name, columns, rows, query):
     con = duckdb.connect()
     con.execute(f"CREATE TABLE {name} ({columns})")
