@@ -138,3 +138,22 @@ def test_linear_grid_from_statistics_matches_direct_solutions(spark, data):
     assert params == {"alpha": 0.1} or len(table) == 3
     pred = model.transform(df).select("prediction").first()[0]
     assert pred == pytest.approx(model.intercept + float(np.dot(model.coefficients, X[0])))
+
+
+def test_elimination_spreads_its_fits(spark, monkeypatch):
+    """RFE's rounds wait for one another: a matrix of 9 MB has a task for each 4 MB, one of a grid a single one."""
+    from quarry.operators import selection
+    from quarry.operators.models import FitMatrix
+    from quarry.operators.selection import rfe
+    n = 140_000
+    rows = spark.range(n).selectExpr("id AS row_id", "cast(id % 7 as double) AS a", "cast(id % 11 as double) AS b", "cast(id % 7 as double) AS label", "0 AS fold")
+    seen, fit = [], selection._importances
+    monkeypatch.setattr(selection, "_importances", lambda df, *x: seen.append((df.rdd.getNumPartitions(), df.count())) or fit(df, *x))
+    got = {r["feature"]: r["ranking"] for r in rfe(rows, ["a", "b"], n_select=1, step=1, num_trees=3, max_depth=3).collect()}
+    assert got == {"a": 1, "b": 2}
+    assert seen == [(-(-n * 64 // (4 << 20)), n)] == [(3, n)]
+    grid = FitMatrix(rows, ["a", "b"])
+    try:
+        assert grid.of("plain", [VectorAssembler(inputCols=["a", "b"], outputCol="features")]).rdd.getNumPartitions() == 1
+    finally:
+        grid.release()
