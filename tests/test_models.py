@@ -157,3 +157,19 @@ def test_elimination_spreads_its_fits(spark, monkeypatch):
         assert grid.of("plain", [VectorAssembler(inputCols=["a", "b"], outputCol="features")]).rdd.getNumPartitions() == 1
     finally:
         grid.release()
+
+
+def test_grids_fill_the_cores_and_forests_keep_their_nodes(spark, data):
+    """A forest keeps the node of every row between passes, with the same trees; a grid's fits follow the cores."""
+    from types import SimpleNamespace as Namespace
+    from quarry.operators.models import CONCURRENT_FITS, concurrent_fits, model_spec
+    _, _, df = data
+    forest = model_spec("Random Forest", ["a", "b", "c"])[0].getStages()[-1]
+    assert forest.getCacheNodeIds()
+    rows = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
+    trees = [[t.toDebugString.split("\n")[1:] for t in forest.copy({forest.numTrees: 5, forest.maxDepth: 6, forest.cacheNodeIds: c}).fit(rows).trees]
+             for c in (True, False)]
+    assert trees[0] == trees[1] and len(trees[0]) == 5
+    for cores, fits, boosted in ((12, 12, 24), (4, CONCURRENT_FITS, 8), (1, CONCURRENT_FITS, CONCURRENT_FITS)):
+        on = Namespace(sparkContext=Namespace(defaultParallelism=cores))
+        assert (concurrent_fits(on, "Random Forest"), concurrent_fits(on, "Gradient Boosting")) == (fits, boosted)
