@@ -173,3 +173,24 @@ def test_grids_fill_the_cores_and_forests_keep_their_nodes(spark, data):
     for cores, fits, boosted in ((12, 12, 24), (4, CONCURRENT_FITS, 8), (1, CONCURRENT_FITS, CONCURRENT_FITS)):
         on = Namespace(sparkContext=Namespace(defaultParallelism=cores))
         assert (concurrent_fits(on, "Random Forest"), concurrent_fits(on, "Gradient Boosting")) == (fits, boosted)
+
+
+def test_small_matrices_are_kept_on_several_executors(spark, monkeypatch):
+    """Fits run where their rows are: a matrix of few partitions is kept on every executor, one for fits in a row once."""
+    from types import SimpleNamespace as Namespace
+    from quarry.operators import models
+    session = lambda master, slots, **conf: Namespace(sparkContext=Namespace(master=master, defaultParallelism=slots, getConf=lambda: {f"spark.executor.{k}": v for k, v in conf.items()}))
+    assert models.copies(session("spark://host:7077", 12, cores="4"), 1) == 3
+    assert models.copies(session("spark://host:7077", 12), 1) == 6
+    assert models.copies(session("spark://host:7077", 400, cores="4"), 2) == models.MOST_COPIES
+    assert models.copies(session("spark://host:7077", 12, cores="4"), 12) == 1
+    assert models.copies(spark, 1) == 1
+    monkeypatch.setattr(models, "copies", lambda s, parts: 3)
+    rows = spark.range(50).selectExpr("id AS row_id", "cast(id as double) AS a", "cast(id as double) AS label", "0 AS fold")
+    for serial, kept in ((False, 3), (True, 1)):
+        matrix = models.FitMatrix(rows, ["a"], serial=serial)
+        try:
+            df = matrix.of("plain", [VectorAssembler(inputCols=["a"], outputCol="features")])
+            assert (df.storageLevel.replication, df.storageLevel.useMemory, df.storageLevel.useDisk, df.count()) == (kept, True, True, 50)
+        finally:
+            matrix.release()
