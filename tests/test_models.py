@@ -194,3 +194,18 @@ def test_small_matrices_are_kept_on_several_executors(spark, monkeypatch):
             assert (df.storageLevel.replication, df.storageLevel.useMemory, df.storageLevel.useDisk, df.count()) == (kept, True, True, 50)
         finally:
             matrix.release()
+
+
+@pytest.mark.parametrize("kind", ["classifier", "regressor"])
+def test_elimination_keeps_node_ids_and_its_trees(spark, monkeypatch, kind):
+    from quarry.operators import selection
+    rows = spark.createDataFrame([(i, float(i % 7), float(i * 37 % 11), float(i % 3)) for i in range(300)], "row_id long, a double, b double, label double")
+    made = {}
+    for opts in (dict(selection.FOREST_OPTS), {}):
+        monkeypatch.setattr(selection, "FOREST_OPTS", opts)
+        matrix, df = selection._matrix(rows, ["a", "b"], "label", None)
+        model, _ = selection._importances(df, [0, 1], "label", kind, 3, 5, 42)
+        matrix.release()
+        forest = model.stages[-1]
+        made[forest.getCacheNodeIds()] = forest.toDebugString.split("\n", 1)[1]
+    assert made[True] == made[False]
